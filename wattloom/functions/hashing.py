@@ -7,8 +7,8 @@ from pyspark.sql import Column, functions as F
 from wattloom.schemas import CMS_SEED_STEP
 
 
-def hex_modulo(digest: Column, digits: int, modulus: int) -> Column:
-    """Value of a hex string of ``digits`` characters, modulo ``modulus``.
+def hex_modulo(digest: str, digits: int, modulus: int) -> str:
+    """SQL expression: value of a hex string of ``digits`` characters, modulo ``modulus``.
 
     Folded from the left in chunks small enough that every intermediate fits a bigint.
     """
@@ -18,10 +18,10 @@ def hex_modulo(digest: Column, digits: int, modulus: int) -> Column:
         width = 4
     else:
         raise ValueError("modulus must be below 2**47")
-    total = F.lit(0).cast("bigint")
-    for start in range(0, digits, width):
-        chunk = F.conv(F.substring(digest, start + 1, width), 16, 10).cast("bigint")
-        total = (total * F.lit(16 ** width) + chunk) % F.lit(modulus)
+    total = "0L"
+    for start in range(1, digits + 1, width):
+        chunk = f"cast(conv(substring({digest}, {start}, {width}), 16, 10) as bigint)"
+        total = f"(({total} * {16 ** width}L + {chunk}) % {modulus}L)"
     return total
 
 
@@ -31,21 +31,28 @@ def bloom_shape(capacity: int, fpp: float) -> tuple[int, int]:
     return bits, max(1, round(bits / capacity * math.log(2)))
 
 
-def bloom_positions(key: Column, bits: int, hashes: int) -> Column:
-    """Array of bit positions of a key: double hashing from its SHA-256 and MD5 digests."""
-    text = F.encode(key.cast("string"), "utf-8")
-    first = hex_modulo(F.sha2(text, 256), 64, bits)
-    step = hex_modulo(F.md5(text), 32, bits)
-    # Spelled out per hash, not as a lambda, so that both digests are computed once per row.
-    return F.array(*[(first + F.lit(i) * step) % F.lit(bits) for i in range(hashes)])
+def bloom_digests(key: str, bits: int) -> tuple[Column, Column]:
+    """First position and step of a key: its SHA-256 and MD5 digests modulo ``bits``."""
+    text = f"encode(cast(`{key}` as string), 'utf-8')"
+    return (F.expr(hex_modulo(f"sha2({text}, 256)", 64, bits)),
+            F.expr(hex_modulo(f"md5({text})", 32, bits)))
+
+
+def bloom_positions(first: str, step: str, bits: int, hashes: int) -> Column:
+    """Array of the bit positions of a key (double hashing)."""
+    return F.expr("array(" + ", ".join(
+        f"({first} + {i}L * {step}) % {bits}L" for i in range(hashes)) + ")")
 
 
 def cms_seeds(depth: int) -> list[int]:
     return [row * CMS_SEED_STEP % 2 ** 32 for row in range(1, depth + 1)]
 
 
-def cms_cell(item: Column, seed: int, width: int) -> Column:
-    """Counter index of an item in the row with this seed."""
-    seeded = F.concat(F.unhex(F.lit(f"{seed:08x}")), F.encode(item, "utf-8"))
-    head = F.substring(F.sha2(seeded, 256), 1, 8)
-    return F.conv(head, 16, 10).cast("bigint") % F.lit(width)
+def cms_cells(item: str, width: int, depth: int) -> Column:
+    """Array of (row, col): the counter of an item in every row of the sketch."""
+    def cell(row, seed):
+        head = f"substring(sha2(concat(unhex('{seed:08x}'), encode(`{item}`, 'utf-8')), 256), 1, 8)"
+        return (f"named_struct('row', {row}, 'col', "
+                f"cast(conv({head}, 16, 10) as bigint) % {width}L)")
+    return F.expr("array(" + ", ".join(
+        cell(i, s) for i, s in enumerate(cms_seeds(depth))) + ")")

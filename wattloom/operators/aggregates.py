@@ -7,20 +7,21 @@ keys (meter, site) in front of the time grain. Nothing is sorted; order when pre
 
 from pyspark.sql import DataFrame, functions as F
 
+from wattloom.functions.numbers import steady_round
 from wattloom.schemas import (APPLIANCES, APPLIANCE_KWH, APPLIANCE_PCT, POWER, SUBMETERS, TARGET)
 
 
 def _rounder(digits):
-    return (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
+    return (lambda c: steady_round(c, digits)) if digits is not None else (lambda c: c)
 
 
 def hourly_patterns(readings: DataFrame, keys=()) -> DataFrame:
     kw = F.col(POWER)
     return readings.groupBy(*keys, F.hour("Datetime").alias("Hour")).agg(
-        F.round(F.avg(kw), 4).alias("avg_kw"),
-        F.round(F.max(kw), 4).alias("peak_kw"),
-        F.round(F.min(kw), 4).alias("min_kw"),
-        F.round(F.stddev(kw), 4).alias("stddev_kw"),
+        steady_round(F.avg(kw), 4).alias("avg_kw"),
+        steady_round(F.max(kw), 4).alias("peak_kw"),
+        steady_round(F.min(kw), 4).alias("min_kw"),
+        steady_round(F.stddev(kw), 4).alias("stddev_kw"),
         F.count(F.lit(1)).alias("record_count"),
     )
 
@@ -59,8 +60,8 @@ def monthly_summary(readings: DataFrame, keys=()) -> DataFrame:
     names = ["avg_sm1_kitchen_wh", "avg_sm2_laundry_wh", "avg_sm3_hvac_wh", "avg_sm_other_wh"]
     return readings.groupBy(*keys, "Year", "Month").agg(
         *_power_measures(4),
-        F.round(F.stddev(POWER), 4).alias("stddev_kw"),
-        *[F.round(F.avg(m), 4).alias(n) for m, n in zip(SUBMETERS, names)],
+        steady_round(F.stddev(POWER), 4).alias("stddev_kw"),
+        *[steady_round(F.avg(m), 4).alias(n) for m, n in zip(SUBMETERS, names)],
         F.count(F.lit(1)).alias("minutes_recorded"),
     )
 
@@ -69,12 +70,12 @@ def submetering_daily(readings: DataFrame, keys=()) -> DataFrame:
     """Daily energy per appliance group and its share of the day's rounded total."""
     daily = _by_day(readings, keys).agg(*_appliance_sums(4), _kwh(4))
     return daily.withColumns({
-        pct: F.round(F.try_divide(F.col(kwh), F.col(TARGET)) * 100, 2)
+        pct: steady_round(F.try_divide(F.col(kwh), F.col(TARGET)) * 100, 2)
         for kwh, pct in zip(APPLIANCE_KWH, APPLIANCE_PCT)})
 
 
 def submetering_share_avg(submetering: DataFrame) -> DataFrame:
-    return submetering.agg(*[F.round(F.avg(f"{a}_pct"), 2).alias(f"{a}_pct") for a in APPLIANCES])
+    return submetering.agg(*[steady_round(F.avg(f"{a}_pct"), 2).alias(f"{a}_pct") for a in APPLIANCES])
 
 
 def daily_group_count(readings: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from wattloom.functions.cleaning import clean_double, reading_time
+from wattloom.functions.numbers import steady_round
 from wattloom.schemas import (MEASURES, POWER, REMAINDER, SUBMETERS, WEATHER_DATE_FORMAT,
                               WEATHER_NAMES)
 
@@ -12,7 +13,7 @@ def remainder(power=POWER, submeters=SUBMETERS[:3]):
     unmetered = F.col(power) * 1000.0 / 60.0
     for meter in submeters:
         unmetered = unmetered - F.col(meter)
-    return F.round(unmetered, 4)
+    return steady_round(unmetered, 4)
 
 
 def type_readings(raw: DataFrame, keep=()) -> DataFrame:

@@ -7,6 +7,7 @@ bin (PSI) or per feature and distinct value (KS) before any shuffle.
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wattloom.functions.classes import psi_class
+from wattloom.functions.numbers import steady_round
 from wattloom.operators.order_stats import running_counts, unpivot_doubles
 from wattloom.schemas import (DRIFT_FEATURES, DRIFT_MIN_ROWS, KS_ALPHA, PSI_BINS, PSI_EDGE,
                               PSI_EMPTY)
@@ -21,13 +22,15 @@ def _is(split: str, side: str) -> Column:
     return F.col(split) == side
 
 
-def _edge(i: int, bins: int) -> Column:
-    """Edge ``i`` of equal-width bins over [lo, hi]; the outer edges reach slightly further."""
-    if i == 0:
-        return F.col("lo") - F.lit(PSI_EDGE)
-    if i == bins:
-        return F.col("hi") + F.lit(PSI_EDGE)
-    return F.lit(i) * ((F.col("hi") - F.col("lo")) / bins) + F.col("lo")
+def _bin_no(bins: int) -> str:
+    """SQL: the bin of ``value`` among equal-width bins over [lo, hi], NULL if in none.
+
+    The outer edges reach slightly further than the range.
+    """
+    inner = " + ".join(f"cast(value >= {i} * ((hi - lo) / {bins}) + lo as int)"
+                       for i in range(1, bins))
+    edge = f"{PSI_EDGE!r}D"
+    return f"CASE WHEN value BETWEEN lo - {edge} AND hi + {edge} THEN {inner} END"
 
 
 def psi(df: DataFrame, features=tuple(DRIFT_FEATURES), split="split", bins=PSI_BINS,
@@ -51,33 +54,29 @@ def psi(df: DataFrame, features=tuple(DRIFT_FEATURES), split="split", bins=PSI_B
               .withColumn("hi", F.when(F.col("_min") == F.col("_max"), F.col("_max") + 0.5)
                           .otherwise(F.col("_max")))
               .drop("_min", "_max"))
-    value = F.col("value")
-    bin_no = sum(((value >= _edge(i, bins)).cast("int") for i in range(1, bins)), F.lit(0))
-    inside = value.between(_edge(0, bins), _edge(bins, bins))
     binned = values.join(F.broadcast(ranges), "feature").select(
-        "feature", split, "n_train", "n_test", F.when(inside, bin_no).alias("bin"))
+        "feature", F.col(split).alias("side"), "n_train", "n_test",
+        F.expr(_bin_no(bins)).alias("bin"))
     counts = binned.groupBy("feature", "n_train", "n_test").agg(*[
-        F.count_if(side & (F.col("bin") == i)).alias(f"{name}_{i}")
-        for i in range(bins) for name, side in (("train", train), ("test", test))])
+        F.expr(f"count_if(side = '{side}' AND bin = {i}) AS {side}_{i}")
+        for i in range(bins) for side in ("train", "test")])
 
     def share(side, i):
-        n = F.col(f"{side}_{i}")
-        return F.when(n == 0, F.lit(PSI_EMPTY)).otherwise(n / F.col(f"n_{side}"))
+        return f"if({side}_{i} = 0, {PSI_EMPTY!r}D, {side}_{i} / n_{side})"
 
-    terms = [(share("test", i) - share("train", i)) * F.log(share("test", i) / share("train", i))
-             for i in range(bins)]
-    return (counts.select("feature", sum(terms, F.lit(0.0)).alias("psi"))
+    terms = [f"({share('test', i)} - {share('train', i)})"
+             f" * ln({share('test', i)} / {share('train', i)})" for i in range(bins)]
+    return (counts.select("feature", F.expr(" + ".join(terms)).alias("psi"))
             .withColumn("psi_status", psi_class(F.col("psi"))))
 
 
-def kolmogorov_p(statistic: Column, n1: Column, n2: Column, terms=60) -> Column:
+def kolmogorov_p(statistic: str, n1: str, n2: str, terms=60) -> Column:
     """Asymptotic two-sided p-value: 2 * sum of (-1)**(k-1) * exp(-2 k**2 lambda**2)."""
-    lam2 = statistic * statistic * n1 * n2 / (n1 + n2)
-    series = sum((F.lit(2.0 * (-1) ** (k - 1)) * F.exp(F.lit(-2.0 * k * k) * lam2)
-                  for k in range(1, terms + 1)), F.lit(0.0))
+    lam2 = f"({statistic} * {statistic} * {n1} * {n2} / ({n1} + {n2}))"
+    series = (f"aggregate(sequence(1, {terms}), 0D, (s, k) -> "
+              f"s + if(k % 2 = 1, 2D, -2D) * exp(-2D * k * k * {lam2}))")
     # Below lambda = 0.2 the sum is 1 to twelve digits, but converges too slowly to show it.
-    return F.when(lam2 < 0.04, F.lit(1.0)).otherwise(
-        F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
+    return F.expr(f"CASE WHEN {lam2} < 0.04 THEN 1D ELSE least(1D, greatest(0D, {series})) END")
 
 
 def ks(df: DataFrame, features=tuple(DRIFT_FEATURES), split="split",
@@ -86,14 +85,14 @@ def ks(df: DataFrame, features=tuple(DRIFT_FEATURES), split="split",
     counts = _sides(df, features, split).groupBy("feature", "value").agg(
         F.count_if(_is(split, "train")).alias("train"),
         F.count_if(_is(split, "test")).alias("test"))
-    totals = (counts.groupBy("feature")
-              .agg(F.sum("train").alias("n_train"), F.sum("test").alias("n_test"))
-              .where((F.col("n_train") >= min_rows) & (F.col("n_test") >= min_rows)))
-    gap = F.abs(F.col("train_upto") / F.col("n_train") - F.col("test_upto") / F.col("n_test"))
-    return (running_counts(counts, ["train", "test"]).join(F.broadcast(totals), "feature")
-            .groupBy("feature", "n_train", "n_test").agg(F.max(gap).alias("ks_statistic"))
-            .withColumn("ks_pvalue", kolmogorov_p(F.col("ks_statistic"), F.col("n_train"),
-                                                  F.col("n_test")))
+    gap = F.abs(F.col("train_upto") / F.col("train_total")
+                - F.col("test_upto") / F.col("test_total"))
+    return (running_counts(counts, ["train", "test"])
+            .where((F.col("train_total") >= min_rows) & (F.col("test_total") >= min_rows))
+            .groupBy("feature", F.col("train_total").alias("n_train"),
+                     F.col("test_total").alias("n_test"))
+            .agg(F.max(gap).alias("ks_statistic"))
+            .withColumn("ks_pvalue", kolmogorov_p("ks_statistic", "n_train", "n_test"))
             .withColumn("ks_result", F.when(F.col("ks_pvalue") < KS_ALPHA, "drift detected")
                         .otherwise("no drift")))
 
@@ -101,8 +100,8 @@ def ks(df: DataFrame, features=tuple(DRIFT_FEATURES), split="split",
 def drift_table(df: DataFrame, features=tuple(DRIFT_FEATURES), split="split") -> DataFrame:
     """PSI and KS side by side, rounded."""
     return psi(df, features, split).join(ks(df, features, split), "feature").select(
-        "feature", F.round("psi", 4).alias("psi"), "psi_status",
-        F.round("ks_pvalue", 4).alias("ks_pvalue"), "ks_result")
+        "feature", steady_round("psi", 4).alias("psi"), "psi_status",
+        steady_round("ks_pvalue", 4).alias("ks_pvalue"), "ks_result")
 
 
 def drift_report(df: DataFrame, version, run_at: Column | None = None,

@@ -7,6 +7,7 @@ and merges otherwise, splitting skewed partitions. Daily tables hold one row per
 
 from pyspark.sql import DataFrame, functions as F
 
+from wattloom.functions.numbers import steady_round
 from wattloom.schemas import APPLIANCE_KWH, WEATHER_COLUMNS
 
 
@@ -40,8 +41,8 @@ def batch_vs_stream(daily: DataFrame, stream_totals: DataFrame) -> DataFrame:
     """Batch totals beside stream totals: one row from two one-row aggregates."""
     batch = daily.agg(
         F.count(F.lit(1)).alias("batch_days"),
-        F.coalesce(F.round(F.sum("total_kwh"), 4), F.lit(0.0)).alias("batch_total_kwh"),
-        F.coalesce(F.round(F.avg("total_kwh"), 4), F.lit(0.0)).alias("batch_avg_kwh"))
+        F.coalesce(steady_round(F.sum("total_kwh"), 4), F.lit(0.0)).alias("batch_total_kwh"),
+        F.coalesce(steady_round(F.avg("total_kwh"), 4), F.lit(0.0)).alias("batch_avg_kwh"))
     stream = stream_totals.select(F.struct("stream_records", "stream_latency_ms")).scalar()
     return batch.select("*", stream["stream_records"].alias("stream_records"),
                         stream["stream_latency_ms"].alias("stream_latency_ms"))

@@ -154,8 +154,9 @@ def leaf_values(spark, model_path: str) -> DataFrame:
               .groupBy("treeID").agg(F.sort_array(F.collect_list(
                   F.struct(node["id"].alias("id"), node["prediction"].alias("value"))))
                   .alias("leaf")))
-    return leaves.agg(F.sort_array(F.collect_list(F.struct("treeID", F.col("leaf.value"))))
-                      .alias("t")).select(F.col("t.value").alias("trees"))
+    values = F.struct("treeID", F.col("leaf.value").alias("values"))
+    return leaves.agg(F.sort_array(F.collect_list(values)).alias("t")).select(
+        F.col("t.values").alias("trees"))
 
 
 def forest_interval(scored: DataFrame, leaves: DataFrame, z=INTERVAL_Z) -> DataFrame:

@@ -17,25 +17,30 @@ def unpivot_doubles(df: DataFrame, columns, keep=()) -> DataFrame:
             .where(F.col("value").isNotNull() & ~F.isnan("value")))
 
 
-def _bucket_of(value: Column, cuts: Column, stride: int) -> Column:
+def _bucket_of(stride: int) -> Column:
     """Number of cut points at or below ``value``, in two short scans instead of one long one."""
-    coarse = F.size(F.filter(F.array(*[cuts[i * stride - 1] for i in range(1, stride)]),
-                             lambda c: c <= value))
-    fine = F.size(F.filter(F.slice(cuts, coarse * stride + 1, stride - 1), lambda c: c <= value))
-    return coarse * stride + fine
+    heads = ", ".join(f"_cuts[{i * stride - 1}]" for i in range(1, stride))
+    coarse = f"size(filter(array({heads}), c -> c <= value))"
+    rest = f"slice(_cuts, {coarse} * {stride} + 1, {stride - 1})"
+    return F.expr(f"{coarse} * {stride} + size(filter({rest}, c -> c <= value))")
 
 
 def running_counts(counts: DataFrame, measures, stride: int = 16) -> DataFrame:
-    """Add ``<measure>_before`` and ``<measure>_upto``: sums over smaller (or equal) values.
+    """Add ``<measure>_before``, ``_upto`` and ``_total``: sums over smaller, smaller or equal,
+    and all values of the feature.
 
     ``counts`` has one row per (feature, value). A feature is spread over ``stride**2`` buckets.
     """
     n = stride * stride
     probabilities = [i / n for i in range(1, n)]
+    # Totals are taken along with the cut points. As they need the counts, all branches below
+    # start from one and the same shuffle of `counts`, which Spark then runs once.
     cuts = counts.groupBy("feature").agg(
-        F.percentile_approx("value", probabilities, 20 * n).alias("_cuts"))
+        F.percentile_approx("value", probabilities, 20 * n).alias("_cuts"),
+        *[F.sum(m).alias(f"{m}_total") for m in measures])
+    totals = [f"{m}_total" for m in measures]
     placed = (counts.join(cuts, "feature")
-              .withColumn("_bucket", _bucket_of(F.col("value"), F.col("_cuts"), stride))
+              .withColumn("_bucket", _bucket_of(stride))
               .drop("_cuts"))
     per_bucket = placed.groupBy("feature", "_bucket").agg(
         *[F.sum(m).alias(f"_{m}") for m in measures])
@@ -48,23 +53,23 @@ def running_counts(counts: DataFrame, measures, stride: int = 16) -> DataFrame:
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = placed.join(offsets, ["feature", "_bucket"]).withColumns({
         f"{m}_upto": F.col(f"_{m}_offset") + F.sum(m).over(inside) for m in measures})
-    return (out.withColumns({f"{m}_before": F.col(f"{m}_upto") - F.col(m) for m in measures})
-            .drop("_bucket", *[f"_{m}_offset" for m in measures]))
+    return out.select("feature", "value", *measures, *totals, *[
+        c for m in measures for c in (F.col(f"{m}_upto"),
+                                      (F.col(f"{m}_upto") - F.col(m)).alias(f"{m}_before"))])
 
 
 def exact_medians(df: DataFrame, columns) -> DataFrame:
     """(feature, median): the middle value, or the mean of the two middle values."""
     counts = (unpivot_doubles(df, columns).groupBy("feature", "value")
               .agg(F.count(F.lit(1)).alias("n")))
-    totals = counts.groupBy("feature").agg(F.sum("n").alias("total"))
-    ranked = running_counts(counts, ["n"]).join(totals, "feature")
 
     def holds(rank):
         return ((F.col("n_before") <= rank) & (rank < F.col("n_upto"))).cast("int")
 
-    lower = F.floor((F.col("total") - 1) / 2)
-    upper = F.floor(F.col("total") / 2)
-    hits = ranked.withColumn("_hits", holds(lower) + holds(upper)).where(F.col("_hits") > 0)
+    lower = F.floor((F.col("n_total") - 1) / 2)
+    upper = F.floor(F.col("n_total") / 2)
+    hits = (running_counts(counts, ["n"])
+            .withColumn("_hits", holds(lower) + holds(upper)).where(F.col("_hits") > 0))
     return hits.groupBy("feature").agg(
         (F.sum(F.col("value") * F.col("_hits")) / 2).alias("median"))
 

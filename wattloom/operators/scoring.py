@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wattloom.functions.cleaning import at_least_zero
+from wattloom.functions.numbers import steady_round
 from wattloom.schemas import DEFAULT_MAE, INTERVAL_MAE, MAPE_FLOOR, MODEL_VERSION, SEED, TARGET
 
 
@@ -48,11 +49,11 @@ def scored_table(df: DataFrame, lower: Column, upper: Column, predicted="predict
     y, p = F.col(TARGET), F.col(predicted)
     return df.select(
         *keys, "Date", y.alias("actual_kwh"),
-        F.round(p, 4).alias("predicted_kwh"),
-        F.round(at_least_zero(lower), 4).alias("lower_bound"),
-        F.round(upper, 4).alias("upper_bound"),
-        F.round(F.abs(y - p), 4).alias("abs_error"),
-        F.round(F.abs(y - p) / floored(y) * 100, 2).alias("pct_error"),
+        steady_round(p, 4).alias("predicted_kwh"),
+        steady_round(at_least_zero(lower), 4).alias("lower_bound"),
+        steady_round(upper, 4).alias("upper_bound"),
+        steady_round(F.abs(y - p), 4).alias("abs_error"),
+        steady_round(F.abs(y - p) / floored(y) * 100, 2).alias("pct_error"),
         F.year("Date").alias("Year"), F.month("Date").alias("Month"),
         F.lit(version).alias("model_version"))
 
@@ -77,10 +78,10 @@ def prediction_sample(predictions: DataFrame, n=10, seed=SEED) -> DataFrame:
 def prediction_preview(scored: DataFrame, models: dict[str, str], n=10) -> DataFrame:
     """First ``n`` days with the prediction and signed error of each model."""
     columns = [c for name, p in models.items() for c in
-               (F.round(p, 3).alias(f"{name}_pred"),
-                F.round(F.col(TARGET) - F.col(p), 3).alias(f"{name}_err"))]
+               (steady_round(p, 3).alias(f"{name}_pred"),
+                steady_round(F.col(TARGET) - F.col(p), 3).alias(f"{name}_err"))]
     return (scored.orderBy("Date").limit(n)
-            .select("Date", F.round(TARGET, 3).alias("actual"), *columns))
+            .select("Date", steady_round(TARGET, 3).alias("actual"), *columns))
 
 
 def worst_predictions(predictions: DataFrame, n=5) -> DataFrame:

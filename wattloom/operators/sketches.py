@@ -10,7 +10,8 @@ import math
 from pyspark.sql import DataFrame, functions as F
 
 from wattloom.functions.classes import power_class
-from wattloom.functions.hashing import bloom_positions, bloom_shape, cms_cell, cms_seeds
+from wattloom.functions.hashing import bloom_digests, bloom_positions, bloom_shape, cms_cells
+from wattloom.functions.numbers import steady_round
 from wattloom.schemas import (BLOOM_CAPACITY, BLOOM_FPP, BYTES_PER_KEY, CMS_DEPTH, CMS_WIDTH,
                               POWER_CLASSES, TOP_CLASS, UNKNOWN_CLASS)
 
@@ -21,8 +22,10 @@ WORD_BITS = 64
 
 def _positions(keys: DataFrame, key: str, bits: int, hashes: int, *carry) -> DataFrame:
     """One row per key and hash; ``keys`` must hold distinct keys."""
-    return keys.select(key, *carry,
-                       F.explode(bloom_positions(F.col(key), bits, hashes)).alias("bit"))
+    first, step = bloom_digests(key, bits)
+    # The digests get a projection of their own, so that each is computed once per key.
+    return keys.select(key, *carry, first.alias("_first"), step.alias("_step")).select(
+        key, *carry, F.explode(bloom_positions("_first", "_step", bits, hashes)).alias("bit"))
 
 
 def bloom_build(df: DataFrame, key: str, capacity=BLOOM_CAPACITY, fpp=BLOOM_FPP) -> DataFrame:
@@ -97,9 +100,9 @@ def bloom_summary(counts: DataFrame, capacity=BLOOM_CAPACITY, fpp=BLOOM_FPP) ->
         "processed",
         (F.col("processed") - unique).alias("duplicates_caught"),
         unique,
-        F.round(fill, 6).alias("est_fp_rate"),
+        steady_round(fill, 6).alias("est_fp_rate"),
         F.round(F.lit(kilobytes), 2).alias("memory_kb"),
-        F.round(saving, 1).alias("memory_saving_factor"),
+        steady_round(saving, 1).alias("memory_saving_factor"),
         F.lit(capacity).cast("bigint").alias("capacity"),
         F.lit(float(fpp)).alias("target_fp_rate"),
         F.round(F.lit(kilobytes), 2).alias("bit_array_kb"),
@@ -112,9 +115,7 @@ def bloom_summary(counts: DataFrame, capacity=BLOOM_CAPACITY, fpp=BLOOM_FPP) ->
 
 def _cells(items: DataFrame, item: str, width: int, depth: int, *carry) -> DataFrame:
     """One row per item and sketch row; ``items`` must hold distinct items."""
-    cells = F.array(*[F.struct(F.lit(i).alias("row"), cms_cell(F.col(item), s, width).alias("col"))
-                      for i, s in enumerate(cms_seeds(depth))])
-    return items.select(item, *carry, F.inline(cells))
+    return items.select(item, *carry, F.inline(cms_cells(item, width, depth)))
 
 
 def item_counts(df: DataFrame, item: str) -> DataFrame:

@@ -7,6 +7,7 @@ independent SQL engine can be compared value by value.
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattloom.functions.classes import power_class
+from wattloom.functions.numbers import steady_round
 from wattloom.operators import (aggregates, clean, drift, explain, joins, learning, monitoring,
                                 order_stats, profile, registry, scoring, series, sketches, splits)
 from wattloom.plans import standins
@@ -40,7 +41,7 @@ def tidy(df: DataFrame, digits=6) -> DataFrame:
     """Round doubles and drop time zones."""
     def plain(name, dtype):
         if dtype == "double":
-            return F.round(name, digits).alias(name)
+            return steady_round(name, digits).alias(name)
         if dtype == "timestamp":
             return F.col(name).cast("timestamp_ntz").alias(name)
         return F.col(name)
@@ -113,7 +114,7 @@ def ingest_text(spark, sf):
     base, _ = _ingested(spark, sf)
     cleaned = read_table(spark, location(base, "cleaned"))
     return cleaned.groupBy("Year", "Month").agg(
-        F.count(F.lit(1)).alias("row_count"), F.round(F.sum(POWER), 4).alias("total_power"))
+        F.count(F.lit(1)).alias("row_count"), steady_round(F.sum(POWER), 4).alias("total_power"))
 
 
 def _ingested(spark, sf):

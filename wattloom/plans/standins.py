@@ -8,6 +8,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from wattloom.functions.numbers import steady_round
 from wattloom.operators.clean import with_month_columns
 from wattloom.operators.joins import join_weather
 from wattloom.operators.series import add_lags, feature_table
@@ -64,12 +65,12 @@ def daily_series(spark, sf, keys=(), appliances=False) -> DataFrame:
     """Daily table of the orders: totals in units of 100,000."""
     o = table(spark, sf, "orders")
     price, unit = F.col("o_totalprice"), 1e5
-    sums = [F.round(F.sum(F.when(F.col("o_orderpriority") == p, price).otherwise(0.0)) / unit, 4)
+    sums = [steady_round(F.sum(F.when(F.col("o_orderpriority") == p, price).otherwise(0.0)) / unit, 4)
             .alias(f"{a}_kwh") for p, a in APPLIANCE_OF_PRIORITY.items()] if appliances else []
     daily = o.groupBy(*keys, F.to_date("o_orderdate").alias("Date")).agg(
-        F.round(F.sum(price) / unit, 4).alias("total_kwh"),
-        F.round(F.avg(price) / unit, 4).alias("avg_kw"),
-        F.round(F.max(price) / unit, 4).alias("peak_kw"),
+        steady_round(F.sum(price) / unit, 4).alias("total_kwh"),
+        steady_round(F.avg(price) / unit, 4).alias("avg_kw"),
+        steady_round(F.max(price) / unit, 4).alias("peak_kw"),
         F.count(F.lit(1)).alias("minutes_recorded"), *sums)
     return with_month_columns(daily, "Date")
 
@@ -77,9 +78,9 @@ def daily_series(spark, sf, keys=(), appliances=False) -> DataFrame:
 def weather(spark, sf) -> DataFrame:
     quantity = F.col("l_quantity")
     return table(spark, sf, "lineitem").groupBy(F.to_date("l_shipdate").alias("Date")).agg(
-        F.round(F.avg(quantity) - 5, 4).alias("temp_mean_c"),
+        steady_round(F.avg(quantity) - 5, 4).alias("temp_mean_c"),
         F.max(quantity).alias("temp_max_c"), F.min(quantity).alias("temp_min_c"),
-        F.round(F.greatest(F.sum("l_tax") - 0.8, F.lit(0.0)), 4).alias("precip_mm"))
+        steady_round(F.greatest(F.sum("l_tax") - 0.8, F.lit(0.0)), 4).alias("precip_mm"))
 
 
 def daily_weather(spark, sf, keys=(), appliances=True) -> DataFrame:

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from wattloom.functions.cleaning import number_or_zero
+from wattloom.functions.numbers import steady_round
 from wattloom.schemas import (APPLIANCE_KWH, POWER, SLIDE, SLIDING, SUBMETERS, TUMBLING)
 
 
@@ -32,8 +33,8 @@ def sliding(df: DataFrame, size=SLIDING, slide=SLIDE, watermark: str | None = No
     kw = F.col(POWER)
     return (_late_rule(df, watermark)
             .groupBy(*keys, F.window("event_time", size, slide).alias("w"))
-            .agg(F.round(F.avg(kw), 4).alias("sliding_avg_kw"),
-                 F.round(F.max(kw), 4).alias("sliding_peak_kw"),
+            .agg(steady_round(F.avg(kw), 4).alias("sliding_avg_kw"),
+                 steady_round(F.max(kw), 4).alias("sliding_peak_kw"),
                  F.count(F.lit(1)).alias("count"))
             .select(*keys, F.col("w.start").alias("window_start"),
                     F.col("w.end").alias("window_end"),
@@ -53,8 +54,8 @@ def last_windows(windows: DataFrame, n=10) -> DataFrame:
 def submetering_snapshot(df: DataFrame) -> DataFrame:
     """Energy per appliance group over everything received so far."""
     return df.agg(
-        *[F.round(F.sum(m) / 1000.0, 3).alias(c) for m, c in zip(SUBMETERS, APPLIANCE_KWH)],
-        F.round(F.sum(POWER) / 60.0, 3).alias("total_kwh"),
+        *[steady_round(F.sum(m) / 1000.0, 3).alias(c) for m, c in zip(SUBMETERS, APPLIANCE_KWH)],
+        steady_round(F.sum(POWER) / 60.0, 3).alias("total_kwh"),
         F.count(F.lit(1)).alias("records"),
         F.lit(0.0).alias("avg_latency_ms"))
 
@@ -63,7 +64,7 @@ def submetering_shares(snapshot: DataFrame) -> DataFrame:
     """Share of each appliance group in the total, whose floor is 0.001."""
     total = F.greatest("total_kwh", F.lit(0.001))
     return snapshot.select("*", *[
-        F.round(F.col(c) / total * 100, 1).alias(c.replace("_kwh", "_pct"))
+        steady_round(F.col(c) / total * 100, 1).alias(c.replace("_kwh", "_pct"))
         for c in APPLIANCE_KWH])
 
 
@@ -76,7 +77,7 @@ def latency(df: DataFrame, now_ms, clamp=True) -> DataFrame:
     delay = now_ms - F.coalesce("event_timestamp", now_ms)
     delay = F.greatest(delay, F.lit(0)) if clamp else delay
     return df.agg(F.count(F.lit(1)).alias("stream_records"),
-                  F.round(F.avg(delay), 2).alias("stream_latency_ms"))
+                  steady_round(F.avg(delay), 2).alias("stream_latency_ms"))
 
 
 def session_summary(df: DataFrame, now_ms=None) -> DataFrame:
@@ -85,7 +86,7 @@ def session_summary(df: DataFrame, now_ms=None) -> DataFrame:
     delay = F.greatest(now_ms - F.coalesce("event_timestamp", now_ms), F.lit(0))
     return df.agg(
         F.count(F.lit(1)).alias("total_received"),
-        F.round(F.avg(delay), 2).alias("avg_latency_ms"),
-        F.round(F.sum(F.coalesce(F.col(POWER), F.lit(0.0))) / 60.0, 4).alias("total_kwh"),
+        steady_round(F.avg(delay), 2).alias("avg_latency_ms"),
+        steady_round(F.sum(F.coalesce(F.col(POWER), F.lit(0.0))) / 60.0, 4).alias("total_kwh"),
         F.count_distinct(F.substring(F.coalesce("Datetime", F.lit("")), 1, 10))
         .alias("unique_days"))
