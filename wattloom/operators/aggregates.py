@@ -7,7 +7,7 @@ keys (meter, site) in front of the time grain. Nothing is sorted; order when pre
 
 from pyspark.sql import DataFrame, functions as F
 
-from wattloom.functions.numbers import steady_round
+from wattloom.functions.numbers import pearson, steady_round
 from wattloom.schemas import (APPLIANCES, APPLIANCE_KWH, APPLIANCE_PCT, POWER, SUBMETERS, TARGET)
 
 
@@ -87,7 +87,7 @@ def daily_group_count(readings: DataFrame) -> DataFrame:
 
 def correlation(df: DataFrame, left: str, right: str) -> DataFrame:
     """Pearson correlation over the pairs where both sides are known, and its sign in words."""
-    r = F.corr(left, right)
+    r = pearson(left, right)
     return df.agg(r.alias("correlation")).withColumn(
         "interpretation",
         F.when(F.col("correlation") < 0, "negative").when(F.col("correlation").isNotNull(),
@@ -96,7 +96,7 @@ def correlation(df: DataFrame, left: str, right: str) -> DataFrame:
 
 def correlation_ranking(features: DataFrame, columns, target=TARGET, top=10) -> DataFrame:
     """Features by absolute correlation with the target, strongest first."""
-    wide = features.agg(*[F.corr(c, target).alias(c) for c in columns])
+    wide = features.agg(*[pearson(c, target).alias(c) for c in columns])
     rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("correlation"))
                      for c in columns])
     return (wide.select(F.inline(rows)).where(F.col("correlation").isNotNull())

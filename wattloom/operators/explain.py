@@ -3,6 +3,7 @@
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from wattloom.functions.numbers import pearson
 from wattloom.operators.learning import Fitted
 from wattloom.schemas import SEED, TARGET
 
@@ -43,7 +44,7 @@ def permutation_effects(fitted: Fitted, test: DataFrame, key="Date", seed=SEED,
         TARGET, "f", "x", array_to_vector(swapped).alias("features")))
     error = scored.groupBy("f").agg(
         F.avg(F.abs(F.col(TARGET) - F.col("prediction"))).alias("mae"),
-        *[F.corr(F.col("x")[i], F.col("prediction")).alias(f"r{i}") for i in range(n_features)])
+        *[pearson(F.col("x")[i], F.col("prediction")).alias(f"r{i}") for i in range(n_features)])
     names = F.array(*[F.lit(n) for n in fitted.features])
     plain = error.where(F.col("f") < 0).select(
         F.struct("mae", F.array(*[f"r{i}" for i in range(n_features)]).alias("r"))).scalar()

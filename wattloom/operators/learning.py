@@ -1,5 +1,6 @@
 """Regression with ``pyspark.ml`` tree ensembles: preparation, training, validation, scoring."""
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
@@ -16,7 +17,10 @@ from wattloom.schemas import (APPLIANCE_RATIO, BOOSTED, BOOSTED_CV, CV_SPLITS, D
 from wattloom.session import fresh_path
 
 NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
-TREE_DEFAULTS = dict(featuresCol="features", labelCol=TARGET, seed=SEED)
+# Node ids are kept with the rows (and checkpointed), so trees are not sent out for every level.
+TREE_DEFAULTS = dict(featuresCol="features", labelCol=TARGET, seed=SEED, cacheNodeIds=True,
+                     maxMemoryInMB=512)
+PATIENCE = 20
 
 
 def feature_columns(df: DataFrame, exclude=tuple(NON_FEATURES), strict=False) -> list[str]:
@@ -68,20 +72,50 @@ def forest(**params):
     return RandomForestRegressor(**TREE_DEFAULTS, leafCol="leaf", **{**FOREST, **params})
 
 
-def boosted(early_stop=True, **params):
-    """Boosted trees; with ``early_stop`` the ``is_validation`` rows end the training."""
-    settings = {**BOOSTED, **params}
-    if early_stop:
-        settings = {"validationIndicatorCol": "is_validation", "validationTol": 1e-3, **settings}
-    return GBTRegressor(**TREE_DEFAULTS, **settings)
+def boosted(**params):
+    return GBTRegressor(**TREE_DEFAULTS, **{**BOOSTED, **params})
 
 
 def fit(estimator, train: DataFrame, features, medians, name) -> Fitted:
-    data = assemble(train, features, medians).select(
-        TARGET, "features", is_validation().alias("is_validation"))
+    data = spread(assemble(train, features, medians).select("Date", TARGET, "features"))
     return Fitted(estimator.fit(data), list(features), medians, name)
 
 
+def fit_boosted(estimator: GBTRegressor, train: DataFrame, features, medians, name,
+                patience=PATIENCE) -> Fitted:
+    """Boosted trees that stop ``patience`` trees after the best error on the held-out rows.
+
+    The library stops at the first tree that does not help, which noisy data brings at once. So
+    the sequence is grown in doublings up to ``maxIter`` and judged as a whole after each; a
+    shorter sequence is a prefix of a longer one.
+    """
+    data = spread(assemble(train, features, medians).select(
+        "Date", TARGET, "features", is_validation().alias("held_out"))).persist()
+    try:
+        grow, held_out = data.where("NOT held_out"), data.where("held_out")
+        limit = estimator.getMaxIter()
+        size = min(limit, patience + 5)
+        while True:
+            model = estimator.copy({estimator.maxIter: size}).fit(grow)
+            errors = model.evaluateEachIteration(held_out, "squared")  # one number per tree
+            stop = min(errors.index(min(errors)) + 1 + patience, limit)
+            if stop <= size or size == limit:
+                break
+            size = min(limit, size * 2)
+        if stop < size:
+            model = estimator.copy({estimator.maxIter: stop}).fit(grow)
+    finally:
+        data.unpersist()
+    return Fitted(model, list(features), medians, name)
+
+
+def spread(data: DataFrame, key="Date") -> DataFrame:
+    """Use all cores: growing trees costs much per row, so a small table in one file would
+    otherwise train on one core. Tables that already have enough partitions are left alone."""
+    cores = data.sparkSession.sparkContext.defaultParallelism
+    return data.repartition(cores, key) if data.rdd.getNumPartitions() < cores else data
+
+
 def metrics_of(fitted: Fitted, test: DataFrame) -> DataFrame:
     return evaluate(fitted.predict(test), fitted.name)
 
@@ -97,7 +131,8 @@ def train_and_test(estimator, table: DataFrame, name: str, strict=False, feature
     known = train if strict else table
     features = feature_columns(known, strict=strict) if features is None else features
     medians = column_medians(known, features) if medians is None else medians
-    fitted = fit(estimator, train, features, medians, name)
+    train_model = fit_boosted if isinstance(estimator, GBTRegressor) else fit
+    fitted = train_model(estimator, train, features, medians, name)
     row = metrics_of(fitted, test).first()  # four numbers
     fitted.metrics = {k: row[k] for k in ("MAE", "RMSE", "R2", "MAPE")}
     return fitted
@@ -144,27 +179,27 @@ def choose_best(first: Fitted, second: Fitted) -> Fitted:
     return first if first.metrics["R2"] >= second.metrics["R2"] else second
 
 
-def leaf_values(spark, model_path: str) -> DataFrame:
-    """One row, one array per tree: the prediction of each leaf, in leaf-index order.
+def leaf_values(spark, model_path: str) -> list[list[float]]:
+    """Per tree the prediction of each leaf, in leaf-index order.
 
-    Bounded by the model (trees times 2**depth numbers), whatever is scored with it.
+    As bounded as the model itself (trees times 2**depth numbers), which the driver holds anyway.
     """
     node = F.col("nodeData")
     leaves = (spark.read.parquet(f"{model_path}/data").where(node["leftChild"] < 0)
               .groupBy("treeID").agg(F.sort_array(F.collect_list(
                   F.struct(node["id"].alias("id"), node["prediction"].alias("value"))))
                   .alias("leaf")))
-    values = F.struct("treeID", F.col("leaf.value").alias("values"))
-    return leaves.agg(F.sort_array(F.collect_list(values)).alias("t")).select(
-        F.col("t.values").alias("trees"))
+    return [list(r["values"]) for r in leaves.select(
+        "treeID", F.col("leaf.value").alias("values")).orderBy("treeID").collect()]
 
 
-def forest_interval(scored: DataFrame, leaves: DataFrame, z=INTERVAL_Z) -> DataFrame:
+def forest_interval(scored: DataFrame, leaves: list[list[float]], z=INTERVAL_Z) -> DataFrame:
     """Add ``lower`` and ``upper``: prediction -/+ z population deviations over the trees.
 
-    ``scored`` carries the forest's leaf column; each row looks its leaves up in the table.
+    ``scored`` carries the forest's leaf column. The leaf table travels with the plan as one
+    constant (parsed once, when the plan is optimised); rows only look their leaves up in it.
     """
-    table = leaves.select("trees").scalar()
+    table = F.from_json(F.lit(json.dumps(leaves)), "array<array<double>>")
     votes = F.zip_with(table, vector_to_array("leaf"), lambda tree, i: tree[i.cast("int")])
     n = F.size("_votes")
     mean = F.aggregate("_votes", F.lit(0.0), lambda a, v: a + v) / n

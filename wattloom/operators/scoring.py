@@ -31,8 +31,10 @@ def evaluate(df: DataFrame, label: str, actual=TARGET, predicted="prediction") -
 def baseline_improvement(df: DataFrame, actual=TARGET, predicted="prediction") -> DataFrame:
     """MAE of always predicting the mean, and how much better the predictions are (percent)."""
     mean = df.agg(F.avg(actual)).scalar()
-    return (df.agg(F.avg(F.abs(F.col(actual) - mean)).alias("baseline_mae"),
-                   F.avg(F.abs(F.col(actual) - F.col(predicted))).alias("model_mae"))
+    errors = df.select(F.abs(F.col(actual) - mean).alias("of_mean"),
+                       F.abs(F.col(actual) - F.col(predicted)).alias("of_model"))
+    return (errors.agg(F.avg("of_mean").alias("baseline_mae"),
+                       F.avg("of_model").alias("model_mae"))
             .withColumn("improvement_pct",
                         (1 - F.try_divide(F.col("model_mae"), F.col("baseline_mae"))) * 100))
 
