@@ -68,10 +68,11 @@ def test_importance_and_permutation(forest, table):
     assert len(effects) == len(FEATURES)
 
 
-def test_boosted_stops_by_itself(table):
-    fitted = learning.train_and_test(learning.boosted(maxIter=30, maxDepth=3), table, "boosted",
-                                     features=FEATURES)
-    assert 1 <= fitted.model.getNumTrees <= 30 and fitted.metrics["R2"] > 0.5
+@pytest.mark.parametrize("options", [{}, {"patience": 3}])
+def test_boosted_stops_by_itself(table, options):
+    fitted = learning.train_and_test(learning.boosted(maxIter=20, maxDepth=3), table, "boosted",
+                                     features=FEATURES, **options)
+    assert 1 <= fitted.model.getNumTrees <= 20 and fitted.metrics["R2"] > 0.5
 
 
 def test_cross_validation(table):

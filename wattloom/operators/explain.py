@@ -41,16 +41,17 @@ def permutation_effects(fitted: Fitted, test: DataFrame, key="Date", seed=SEED,
     swapped = F.transform("x", lambda v, i: F.when(i == F.col("f"), F.element_at(
         F.col("donor"), i + 1)).otherwise(v))
     scored = fitted.model.transform(mixed.select(
-        TARGET, "f", "x", array_to_vector(swapped).alias("features")))
+        TARGET, "f", array_to_vector(swapped).alias("features")))
     error = scored.groupBy("f").agg(
-        F.avg(F.abs(F.col(TARGET) - F.col("prediction"))).alias("mae"),
-        *[pearson(F.col("x")[i], F.col("prediction")).alias(f"r{i}") for i in range(n_features)])
+        F.avg(F.abs(F.col(TARGET) - F.col("prediction"))).alias("mae"))
     names = F.array(*[F.lit(n) for n in fitted.features])
-    plain = error.where(F.col("f") < 0).select(
-        F.struct("mae", F.array(*[f"r{i}" for i in range(n_features)]).alias("r"))).scalar()
-    effects = error.where(F.col("f") >= 0).select(
-        names[F.col("f")].alias("feature"),
-        (F.col("mae") - plain["mae"]).alias("mean_effect"),
-        F.when(plain["r"][F.col("f")] > 0, "increases").otherwise("decreases").alias("direction"))
+    plain = error.where(F.col("f") < 0).select("mae").scalar()
+    # Direction: how the prediction moves with the feature on the unchanged rows.
+    moves = (fitted.predict(test).select("prediction", F.posexplode(vector_to_array("features")))
+             .groupBy(F.col("pos").alias("f")).agg(pearson("col", "prediction").alias("r")))
+    effects = error.where(F.col("f") >= 0).withColumn("mean_effect", F.col("mae") - plain).join(
+        moves, "f").select(
+        names[F.col("f")].alias("feature"), "mean_effect",
+        F.when(F.col("r") > 0, "increases").otherwise("decreases").alias("direction"))
     ranked = effects.orderBy(F.col("mean_effect").desc(), "feature")
     return ranked if top is None else ranked.limit(top)

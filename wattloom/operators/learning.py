@@ -20,7 +20,6 @@ NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
 # Node ids are kept with the rows (and checkpointed), so trees are not sent out for every level.
 TREE_DEFAULTS = dict(featuresCol="features", labelCol=TARGET, seed=SEED, cacheNodeIds=True,
                      maxMemoryInMB=512)
-PATIENCE = 20
 
 
 def feature_columns(df: DataFrame, exclude=tuple(NON_FEATURES), strict=False) -> list[str]:
@@ -73,7 +72,9 @@ def forest(**params):
 
 
 def boosted(**params):
-    return GBTRegressor(**TREE_DEFAULTS, **{**BOOSTED, **params})
+    """Boosted trees. Training ends at the first tree that does not lower the error on the
+    held-out rows; see ``fit_boosted`` for a rule with patience."""
+    return GBTRegressor(**TREE_DEFAULTS, **{"validationTol": 0.0, **BOOSTED, **params})
 
 
 def fit(estimator, train: DataFrame, features, medians, name) -> Fitted:
@@ -82,19 +83,22 @@ def fit(estimator, train: DataFrame, features, medians, name) -> Fitted:
 
 
 def fit_boosted(estimator: GBTRegressor, train: DataFrame, features, medians, name,
-                patience=PATIENCE) -> Fitted:
-    """Boosted trees that stop ``patience`` trees after the best error on the held-out rows.
+                patience: int | None = None) -> Fitted:
+    """Boosted trees with early stopping on a held-out tenth of the training rows.
 
-    The library stops at the first tree that does not help, which noisy data brings at once. So
-    the sequence is grown in doublings up to ``maxIter`` and judged as a whole after each; a
-    shorter sequence is a prefix of a longer one.
+    Without ``patience`` the library's own rule applies, at no extra cost. With it, training goes
+    on until that many trees brought nothing: the sequence is grown in doublings up to
+    ``maxIter`` (a shorter sequence is a prefix of a longer one) and cut there.
     """
     data = spread(assemble(train, features, medians).select(
         "Date", TARGET, "features", is_validation().alias("held_out"))).persist()
     try:
+        if patience is None:
+            model = estimator.copy({estimator.validationIndicatorCol: "held_out"}).fit(data)
+            return Fitted(model, list(features), medians, name)
         grow, held_out = data.where("NOT held_out"), data.where("held_out")
         limit = estimator.getMaxIter()
-        size = min(limit, patience + 5)
+        size = min(limit, 2 * patience)
         while True:
             model = estimator.copy({estimator.maxIter: size}).fit(grow)
             errors = model.evaluateEachIteration(held_out, "squared")  # one number per tree
@@ -121,7 +125,7 @@ def metrics_of(fitted: Fitted, test: DataFrame) -> DataFrame:
 
 
 def train_and_test(estimator, table: DataFrame, name: str, strict=False, features=None,
-                   medians=None) -> Fitted:
+                   medians=None, **fit_options) -> Fitted:
     """Fit on the 'train' rows of a split table and measure on the 'test' rows.
 
     Features and medians come from the whole table; with ``strict`` from the training rows only,
@@ -132,7 +136,7 @@ def train_and_test(estimator, table: DataFrame, name: str, strict=False, feature
     features = feature_columns(known, strict=strict) if features is None else features
     medians = column_medians(known, features) if medians is None else medians
     train_model = fit_boosted if isinstance(estimator, GBTRegressor) else fit
-    fitted = train_model(estimator, train, features, medians, name)
+    fitted = train_model(estimator, train, features, medians, name, **fit_options)
     row = metrics_of(fitted, test).first()  # four numbers
     fitted.metrics = {k: row[k] for k in ("MAE", "RMSE", "R2", "MAPE")}
     return fitted

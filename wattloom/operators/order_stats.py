@@ -1,60 +1,56 @@
 """Exact order statistics (running counts, medians) without sorting a column in one task.
 
-Values are first collapsed to distinct ones with their counts, then cut into buckets of about
-equally many distinct values. Running counts inside a bucket are a window over that bucket;
-the counts before it come from a table of one row per bucket. The cut points only steer how
-the work spreads, they never change a result.
+Values are first collapsed to distinct ones with their counts, and these are range-partitioned
+and stored with the number of their range. Running counts inside a range are a window over that
+range; what comes before it is read from a table of one row per feature and range. A value with
+many copies is one row, and the ranges are cut to hold about equally many distinct values.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from wattloom.session import written
 
-def unpivot_doubles(df: DataFrame, columns, keep=()) -> DataFrame:
-    """One row per non-null value: the kept columns, ``feature``, ``value``."""
+
+def unpivot_columns(df: DataFrame, columns, keep=()) -> DataFrame:
+    """One row per column and row: the kept columns, ``feature``, ``value`` (may be NULL)."""
     # -0.0 and 0.0 are one value; adding 0.0 makes them one group as well.
     typed = df.select(*keep, *[(F.col(c).cast("double") + F.lit(0.0)).alias(c) for c in columns])
-    return (typed.unpivot(list(keep), list(columns), "feature", "value")
-            .where(F.col("value").isNotNull() & ~F.isnan("value")))
+    return typed.unpivot(list(keep), list(columns), "feature", "value")
 
 
-def _bucket_of(stride: int) -> Column:
-    """Number of cut points at or below ``value``, in two short scans instead of one long one."""
-    heads = ", ".join(f"_cuts[{i * stride - 1}]" for i in range(1, stride))
-    coarse = f"size(filter(array({heads}), c -> c <= value))"
-    rest = f"slice(_cuts, {coarse} * {stride} + 1, {stride - 1})"
-    return F.expr(f"{coarse} * {stride} + size(filter({rest}, c -> c <= value))")
+def unpivot_doubles(df: DataFrame, columns, keep=()) -> DataFrame:
+    """As ``unpivot_columns``, without missing values."""
+    return unpivot_columns(df, columns, keep).where("value IS NOT NULL AND NOT isnan(value)")
 
 
-def running_counts(counts: DataFrame, measures, stride: int = 16) -> DataFrame:
+def running_counts(counts: DataFrame, measures, only: Column | None = None) -> DataFrame:
     """Add ``<measure>_before``, ``_upto`` and ``_total``: sums over smaller, smaller or equal,
     and all values of the feature.
 
-    ``counts`` has one row per (feature, value). A feature is spread over ``stride**2`` buckets.
+    ``counts`` has one row per (feature, value). ``only`` drops ranges nobody asks for: it may
+    use ``<measure>_offset`` and ``<measure>_end``, the sums before and up to the end of a range.
     """
-    n = stride * stride
-    probabilities = [i / n for i in range(1, n)]
-    # Totals are taken along with the cut points. As they need the counts, all branches below
-    # start from one and the same shuffle of `counts`, which Spark then runs once.
-    cuts = counts.groupBy("feature").agg(
-        F.percentile_approx("value", probabilities, 20 * n).alias("_cuts"),
-        *[F.sum(m).alias(f"{m}_total") for m in measures])
-    totals = [f"{m}_total" for m in measures]
-    placed = (counts.join(cuts, "feature")
-              .withColumn("_bucket", _bucket_of(stride))
-              .drop("_cuts"))
-    per_bucket = placed.groupBy("feature", "_bucket").agg(
+    # Written, not cached: which range a row fell into must stay the same for all that follows,
+    # also if executors are lost.
+    ranged = written(counts.repartitionByRange("feature", "value")
+                     .withColumn("_range", F.spark_partition_id()), "ranges")
+    per_range = ranged.groupBy("feature", "_range").agg(
         *[F.sum(m).alias(f"_{m}") for m in measures])
-    earlier = (Window.partitionBy("feature").orderBy("_bucket")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = per_bucket.select("feature", "_bucket", *[
-        F.coalesce(F.sum(f"_{m}").over(earlier), F.lit(0)).alias(f"_{m}_offset")
-        for m in measures])
-    inside = (Window.partitionBy("feature", "_bucket").orderBy("value")
+    whole = Window.partitionBy("feature")
+    upto = (whole.orderBy("_range")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ends = per_range.select("feature", "_range", *[
+        c for m in measures for c in (
+            F.sum(f"_{m}").over(upto).alias(f"{m}_end"),
+            (F.sum(f"_{m}").over(upto) - F.col(f"_{m}")).alias(f"{m}_offset"),
+            F.sum(f"_{m}").over(whole).alias(f"{m}_total"))])
+    inside = (Window.partitionBy("feature", "_range").orderBy("value")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = placed.join(offsets, ["feature", "_bucket"]).withColumns({
-        f"{m}_upto": F.col(f"_{m}_offset") + F.sum(m).over(inside) for m in measures})
-    return out.select("feature", "value", *measures, *totals, *[
-        c for m in measures for c in (F.col(f"{m}_upto"),
+    out = ranged.join(ends if only is None else ends.where(only), ["feature", "_range"])
+    out = out.withColumns({
+        f"{m}_upto": F.col(f"{m}_offset") + F.sum(m).over(inside) for m in measures})
+    return out.select("feature", "value", *measures, *[
+        c for m in measures for c in (F.col(f"{m}_total"), F.col(f"{m}_upto"),
                                       (F.col(f"{m}_upto") - F.col(m)).alias(f"{m}_before"))])
 
 
@@ -62,14 +58,15 @@ def exact_medians(df: DataFrame, columns) -> DataFrame:
     """(feature, median): the middle value, or the mean of the two middle values."""
     counts = (unpivot_doubles(df, columns).groupBy("feature", "value")
               .agg(F.count(F.lit(1)).alias("n")))
+    # Ranks of the two middle rows, counted from 0; the same one if the count is odd.
+    lower, upper = F.expr("(n_total - 1) div 2"), F.expr("n_total div 2")
 
     def holds(rank):
         return ((F.col("n_before") <= rank) & (rank < F.col("n_upto"))).cast("int")
 
-    lower = F.floor((F.col("n_total") - 1) / 2)
-    upper = F.floor(F.col("n_total") / 2)
-    hits = (running_counts(counts, ["n"])
-            .withColumn("_hits", holds(lower) + holds(upper)).where(F.col("_hits") > 0))
+    middle = (F.col("n_offset") <= upper) & (lower < F.col("n_end"))
+    hits = (running_counts(counts, ["n"], middle)
+            .withColumn("_hits", holds(lower) + holds(upper)).where("_hits > 0"))
     return hits.groupBy("feature").agg(
         (F.sum(F.col("value") * F.col("_hits")) / 2).alias("median"))
 

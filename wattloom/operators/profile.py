@@ -4,15 +4,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from wattloom.functions.classes import skew_class
 from wattloom.functions.cleaning import clean_double, is_missing
+from wattloom.operators.order_stats import unpivot_columns
 from wattloom.schemas import FEATURE_GROUPS, MEASURES, READING_DATE_FORMAT
 
 
-def _per_column(df: DataFrame, columns, report, label="column") -> DataFrame:
+def _per_column(df: DataFrame, columns, report) -> DataFrame:
     """Aggregate a struct per column in one pass, then turn the structs into rows."""
     wide = df.agg(*[F.struct(*report(c)).alias(f"_{i}") for i, c in enumerate(columns)])
-    rows = F.array(*[F.struct(F.lit(c).alias(label), F.col(f"_{i}").alias("r"))
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_{i}").alias("r"))
                      for i, c in enumerate(columns)])
-    return wide.select(F.inline(rows)).select(label, "r.*")
+    return wide.select(F.inline(rows)).select("column", "r.*")
 
 
 def volume(**datasets: DataFrame) -> DataFrame:
@@ -59,10 +60,11 @@ def describe(df: DataFrame, columns=tuple(MEASURES), from_text=True) -> DataFram
 def feature_summary(features: DataFrame, groups=FEATURE_GROUPS) -> DataFrame:
     """Mean, sample standard deviation and missing count of every feature in every group."""
     group_of = {c: g for g, cols in groups.items() for c in cols if c in features.columns}
-    def report(c):
-        return [F.lit(group_of[c]).alias("feature_group"), F.avg(c).alias("mean"),
-                F.stddev(c).alias("stddev"), F.count_if(F.col(c).isNull()).alias("missing")]
-    return _per_column(features, list(group_of), report, label="feature")
+    names = F.create_map(*[F.lit(x) for pair in group_of.items() for x in pair])
+    return (unpivot_columns(features, list(group_of)).groupBy("feature")
+            .agg(F.avg("value").alias("mean"), F.stddev("value").alias("stddev"),
+                 F.count_if(F.col("value").isNull()).alias("missing"))
+            .withColumn("feature_group", names[F.col("feature")]))
 
 
 def rows_per_year(df: DataFrame, date) -> DataFrame:

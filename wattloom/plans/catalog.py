@@ -627,10 +627,10 @@ def _messages(spark, sf):
     """Events as a stream of JSON messages; small errors arrive as an array, not an object."""
     events = table_stream(spark, f"{sf}/events*.parquet", table(spark, sf, "events").schema)
     readings = standins.as_readings(events, keep=("event_type",))
-    messages = as_messages(readings, limit=None, stamp=F.unix_millis("Datetime"))
-    broken = ((F.get_json_object("value", "$.event_type") == "error")
-              & (F.get_json_object("value", f"$.{POWER}").try_cast("double") < 5))
-    return messages.withColumn("value", F.when(broken, "[5]").otherwise(F.col("value")))
+    messages = as_messages(readings, limit=None, stamp=F.unix_millis("Datetime"),
+                           keep=("event_type", POWER))
+    broken = (F.col("event_type") == "error") & (F.col(POWER) < 5)
+    return messages.select("key", F.when(broken, "[5]").otherwise(F.col("value")).alias("value"))
 
 
 def _live(spark, sf):

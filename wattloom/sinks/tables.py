@@ -73,7 +73,7 @@ def write_report(report: DataFrame, path: str) -> None:
 
 
 def as_messages(df: DataFrame, limit: int | None = PUBLISH_LIMIT, time="Datetime",
-                stamp=None) -> DataFrame:
+                stamp=None, keep=()) -> DataFrame:
     """(key, value): the rows in time order, at most ``limit``, as keyed JSON objects.
 
     NaN and NULL become JSON null, timestamps text; ``event_timestamp`` is the sending time in
@@ -93,7 +93,7 @@ def as_messages(df: DataFrame, limit: int | None = PUBLISH_LIMIT, time="Datetime
                      {"ignoreNullFields": "false"})
     if limit is not None:
         df = df.orderBy(time).limit(limit)
-    return df.select(text_time.alias("key"), body.alias("value"))
+    return df.select(*keep, text_time.alias("key"), body.alias("value"))
 
 
 def publish(messages: DataFrame, servers: str | None = None, topic: str | None = None,
