@@ -48,10 +48,12 @@ def parse_messages(messages: DataFrame, fields=tuple(MESSAGE_FIELDS), keep=()) -
     the message; readers cast what they use. ``event_time`` is NULL if it cannot be parsed.
     """
     schema = T.StructType([T.StructField(f, T.StringType()) for f in [*fields, _CORRUPT]])
-    parsed = messages.select(*keep, F.from_json("value", schema, {
-        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}).alias("m"))
-    is_object = F.col("m").isNotNull() & F.col(f"m.{_CORRUPT}").isNull()
-    out = parsed.where(is_object).select(*keep, *[f"m.{f}" for f in fields])
+    body = F.from_json("value", schema, {"mode": "PERMISSIVE",
+                                         "columnNameOfCorruptRecord": _CORRUPT})
+    # A generator, because a filter on a plain column of from_json would be pushed below the
+    # projection and parse every message again.
+    parsed = messages.where(F.trim("value") != "").select(*keep, F.inline(F.array(body)))
+    out = parsed.where(F.col(_CORRUPT).isNull()).select(*keep, *fields)
     if "event_timestamp" in fields:
         out = out.withColumn("event_timestamp", F.col("event_timestamp").try_cast("bigint"))
     if "Datetime" in fields:
