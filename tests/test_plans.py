@@ -43,7 +43,7 @@ def test_feature_table_sorts_a_series_once(spark, sf):
 def test_raw_size_series_never_meet_in_one_task(spark, sf):
     text = plan(catalog.QUERIES["reading_lags"](spark, sf))
     singles = [line for line in text.splitlines() if "SinglePartition" in line]
-    # The one gathering left is of the row counts per day.
+    # The one gathering left is of the row counts per range.
     assert len(singles) == 1
     readings = standins.readings(spark, sf)
     for df in (order_stats.exact_medians(readings, ["Global_active_power"]),

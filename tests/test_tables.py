@@ -88,6 +88,23 @@ def test_join_keeps_unmatched_days(spark):
     assert joins.join_submetering(daily, None) is daily
 
 
+@pytest.mark.parametrize("keys", [(), ("user_id",)])
+def test_tables_from_one_scan(spark, sf, keys):
+    readings = standins.readings(spark, sf, keep=keys)
+    # Some NULLs, as in cleaned readings with missing sub-meters.
+    readings = readings.withColumn("Sub_metering_2", F.when(F.hour("Datetime") > 5,
+                                                            F.col("Sub_metering_2")))
+    cells = aggregates.hourly_cells(readings, keys)
+    for direct, rolled in [
+            (aggregates.hourly_patterns, aggregates.hourly_from_cells),
+            (aggregates.daily_totals, aggregates.daily_from_cells),
+            (aggregates.monthly_summary, aggregates.monthly_from_cells),
+            (aggregates.submetering_daily, aggregates.submetering_from_cells)]:
+        a = direct(readings, keys)
+        b = rolled(cells, keys).select(*a.columns)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, direct.__name__
+
+
 def test_missing_tables(spark):
     assert table_if_present(spark, fresh_path(spark, "none")) is None
     assert submetering_if_present(spark, fresh_path(spark, "none")) is None

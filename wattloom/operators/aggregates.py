@@ -11,6 +11,9 @@ from wattloom.functions.numbers import pearson, steady_round
 from wattloom.operators.order_stats import unpivot_columns
 from wattloom.schemas import (APPLIANCES, APPLIANCE_KWH, APPLIANCE_PCT, POWER, SUBMETERS, TARGET)
 
+MONTHLY_APPLIANCES = ["avg_sm1_kitchen_wh", "avg_sm2_laundry_wh", "avg_sm3_hvac_wh",
+                      "avg_sm_other_wh"]
+
 
 def _rounder(digits):
     return (lambda c: steady_round(c, digits)) if digits is not None else (lambda c: c)
@@ -58,23 +61,83 @@ def daily_with_appliances(readings: DataFrame, keys=(), digits=None) -> DataFram
 
 
 def monthly_summary(readings: DataFrame, keys=()) -> DataFrame:
-    names = ["avg_sm1_kitchen_wh", "avg_sm2_laundry_wh", "avg_sm3_hvac_wh", "avg_sm_other_wh"]
     return readings.groupBy(*keys, "Year", "Month").agg(
         *_power_measures(4),
         steady_round(F.stddev(POWER), 4).alias("stddev_kw"),
-        *[steady_round(F.avg(m), 4).alias(n) for m, n in zip(SUBMETERS, names)],
+        *[steady_round(F.avg(m), 4).alias(n) for m, n in zip(SUBMETERS, MONTHLY_APPLIANCES)],
         F.count(F.lit(1)).alias("minutes_recorded"),
     )
 
 
 def submetering_daily(readings: DataFrame, keys=()) -> DataFrame:
     """Daily energy per appliance group and its share of the day's rounded total."""
-    daily = _by_day(readings, keys).agg(*_appliance_sums(4), _kwh(4))
+    return _with_shares(_by_day(readings, keys).agg(*_appliance_sums(4), _kwh(4)))
+
+
+def _with_shares(daily: DataFrame) -> DataFrame:
     return daily.withColumns({
         pct: steady_round(F.try_divide(F.col(kwh), F.col(TARGET)) * 100, 2)
         for kwh, pct in zip(APPLIANCE_KWH, APPLIANCE_PCT)})
 
 
+# ---- One scan for all batch tables -------------------------------------------------------
+
+def hourly_cells(readings: DataFrame, keys=()) -> DataFrame:
+    """Per day and hour all that the batch tables need: counts, sums, extremes, variance.
+
+    The only pass over the readings; the tables below are roll-ups of this small one.
+    """
+    return readings.groupBy(*keys, F.to_date("Datetime").alias("Date"), "Year", "Month",
+                            F.hour("Datetime").alias("Hour")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(POWER).alias("n"),
+        F.sum(POWER).alias("total"), F.max(POWER).alias("peak"), F.min(POWER).alias("low"),
+        F.avg(POWER).alias("mean"), F.var_pop(POWER).alias("variance"),
+        *[c for m in SUBMETERS for c in (F.sum(m).alias(m), F.count(m).alias(f"n_{m}"))])
+
+
+def _power_rollup():
+    return [steady_round(F.sum("total") / 60.0, 4).alias(TARGET),
+            steady_round(F.try_divide(F.sum("total"), F.sum("n")), 4).alias("avg_kw"),
+            steady_round(F.max("peak"), 4).alias("peak_kw")]
+
+
+def _stddev_rollup():
+    """Sample deviation from the cells: inside them, plus of their means about the whole mean."""
+    n, mean = F.sum("n"), F.try_divide(F.sum("total"), F.sum("n"))
+    inside = F.sum(F.col("n") * F.col("variance"))
+    between = F.sum(F.col("n") * F.col("mean") * F.col("mean")) - n * mean * mean
+    spread = F.greatest(inside + between, F.lit(0.0))
+    return steady_round(F.when(n > 1, F.sqrt(F.try_divide(spread, n - 1))), 4).alias("stddev_kw")
+
+
+def hourly_from_cells(cells: DataFrame, keys=()) -> DataFrame:
+    _, avg, peak = _power_rollup()
+    return cells.groupBy(*keys, "Hour").agg(
+        avg, peak, steady_round(F.min("low"), 4).alias("min_kw"), _stddev_rollup(),
+        F.sum("n_rows").alias("record_count"))
+
+
+def daily_from_cells(cells: DataFrame, keys=()) -> DataFrame:
+    return cells.groupBy(*keys, "Date", "Year", "Month").agg(
+        *_power_rollup(), F.sum("n_rows").alias("minutes_recorded"))
+
+
+def monthly_from_cells(cells: DataFrame, keys=()) -> DataFrame:
+    return cells.groupBy(*keys, "Year", "Month").agg(
+        *_power_rollup(), _stddev_rollup(),
+        *[steady_round(F.try_divide(F.sum(m), F.sum(f"n_{m}")), 4).alias(n)
+          for m, n in zip(SUBMETERS, MONTHLY_APPLIANCES)],
+        F.sum("n_rows").alias("minutes_recorded"))
+
+
+def submetering_from_cells(cells: DataFrame, keys=()) -> DataFrame:
+    return _with_shares(cells.groupBy(*keys, "Date", "Year", "Month").agg(
+        *[steady_round(F.sum(m) / 1000.0, 4).alias(c) for m, c in zip(SUBMETERS, APPLIANCE_KWH)],
+        steady_round(F.sum("total") / 60.0, 4).alias(TARGET)))
+
+
+# ---- Reports on aggregates ----------------------------------------------------------------
+
 def submetering_share_avg(submetering: DataFrame) -> DataFrame:
     return submetering.agg(*[steady_round(F.avg(f"{a}_pct"), 2).alias(f"{a}_pct") for a in APPLIANCES])
 

@@ -16,31 +16,31 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from wattloom.functions.calendar import (calendar_columns, cyclical_columns, interaction_columns,
                                          ratio_columns, weather_columns)
 from wattloom.schemas import APPLIANCE_KWH, LAG_ROWS, REQUIRED_FEATURES, TARGET
+from wattloom.session import written
 
 
-def with_position(df: DataFrame, order: str, keys=(), period: Column | None = None) -> DataFrame:
+def with_position(df: DataFrame, order: str, keys=()) -> DataFrame:
     """Add ``_pos``, the 0-based row number in ``order`` within ``keys`` (neither may be NULL).
 
-    Rows are numbered inside a period (a day unless given: any function of ``order`` that never
-    decreases) and shifted by the row count of the earlier periods, so no task sees more than one
-    period of a series.
+    Rows are range-partitioned, so that a busy series or a busy hour is spread over as many
+    ranges as its size asks for, and stored with the number of their range. They are numbered
+    inside the range and shifted by the row count of the series' earlier ranges.
     """
-    period = F.to_date(order) if period is None else period
-    marked = df.withColumn("_period", period)
-    earlier = (Window.partitionBy(*keys).orderBy("_period")
+    ranged = written(df.repartitionByRange(*keys, order)
+                     .withColumn("_range", F.spark_partition_id()), "ranges")
+    earlier = (Window.partitionBy(*keys).orderBy("_range")
                .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (marked.groupBy(*keys, "_period").agg(F.count(F.lit(1)).alias("_n"))
-               .select(*keys, "_period",
+    offsets = (ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
+               .select(*keys, "_range",
                        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")))
-    inside = Window.partitionBy(*keys, "_period").orderBy(order)
-    return (marked.join(offsets, [*keys, "_period"], "left")
+    inside = Window.partitionBy(*keys, "_range").orderBy(order)
+    return (ranged.join(offsets, [*keys, "_range"])
             .withColumn("_pos", F.col("_before") + F.row_number().over(inside) - 1)
-            .drop("_period", "_before"))
+            .drop("_range", "_before"))
 
 
 def over_series(df: DataFrame, build: Callable[[WindowSpec], dict[str, Column]], back: int,
-                order="Date", keys=(), block_rows: int | None = None,
-                period: Column | None = None) -> DataFrame:
+                order="Date", keys=(), block_rows: int | None = None) -> DataFrame:
     """Add the columns ``build(window)`` returns; they may look back ``back`` rows at most."""
     if block_rows is None:
         return df.withColumns(build(Window.partitionBy(*keys).orderBy(order)))
@@ -50,7 +50,7 @@ def over_series(df: DataFrame, build: Callable[[WindowSpec], dict[str, Column]],
     is_tail = F.col("_pos") % block_rows >= block_rows - back
     # The tail of a block is repeated, as context only, in front of the next block.
     targets = F.when(is_tail, F.array(block, block + 1)).otherwise(F.array(block))
-    spread = (with_position(df, order, keys, period)
+    spread = (with_position(df, order, keys)
               .withColumn("_own", block).withColumn("_block", F.explode(targets)))
     window = Window.partitionBy(*keys, "_block").orderBy("_pos")
     return (spread.withColumns(build(window)).where(F.col("_block") == F.col("_own"))

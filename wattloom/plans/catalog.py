@@ -310,6 +310,23 @@ def submetering_daily(spark, sf):
     return aggregates.submetering_daily(standins.readings(spark, sf))
 
 
+@query
+def batch_tables(spark, sf):
+    """All four batch tables from one scan, as rows per table and their energy."""
+    cells = written(aggregates.hourly_cells(standins.readings(spark, sf)), "cells")
+    tables = {"hourly": aggregates.hourly_from_cells(cells).withColumn("x", F.col("stddev_kw")),
+              "daily": aggregates.daily_from_cells(cells).withColumn("x", F.col(TARGET)),
+              "monthly": aggregates.monthly_from_cells(cells).withColumn("x", F.col("stddev_kw")),
+              "submetering": aggregates.submetering_from_cells(cells)
+              .withColumn("x", F.col("hvac_pct"))}
+    out = None
+    for name, table_ in tables.items():
+        row = table_.agg(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("row_count"),
+                         steady_round(F.sum("x"), 4).alias("checksum"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query
 def submetering_share_avg(spark, sf):
     return aggregates.submetering_share_avg(
@@ -793,6 +810,18 @@ def train_boosted(spark, sf):
     return _metrics_row(spark, fitted)
 
 
+@query
+def best_model(spark, sf):
+    """Both models on the same split, and which of them is kept (the higher R2)."""
+    table_ = _model_table(spark, sf)
+    forest = _forest(table_)
+    boosted = learning.train_and_test(learning.boosted(), table_, "gradient_boosting",
+                                      features=forest.features, medians=forest.medians)
+    best = learning.choose_best(forest, boosted)
+    return _metrics_row(spark, forest).unionByName(_metrics_row(spark, boosted)).withColumn(
+        "is_best", F.col("model") == best.name)
+
+
 @query
 def cv_forest(spark, sf):
     table_ = _model_table(spark, sf)

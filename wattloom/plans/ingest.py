@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from wattloom.operators.clean import clean_readings, clean_weather
+from wattloom.schemas import RAW_SCHEMA
 from wattloom.sinks.tables import land, location, validate_counts, write_parquet
 from wattloom.sources.readings import read_readings
 from wattloom.sources.weather import read_weather
@@ -12,10 +13,11 @@ def ingest(spark: SparkSession, readings_path, weather_path, base: str) -> DataF
     """Land raw readings, raw weather and cleaned readings; return the validation report.
 
     Row counts are observed while the tables are written, so nothing is scanned just to count.
+    The text is parsed once: cleaning starts from the landed raw table.
     """
-    raw = read_readings(spark, readings_path)
+    write_parquet(read_readings(spark, readings_path), location(base, "raw_readings"))
+    raw = spark.read.schema(RAW_SCHEMA).parquet(location(base, "raw_readings"))
     weather = read_weather(spark, weather_path)
-    write_parquet(raw, location(base, "raw_readings"))
 
     def counted(df, dataset):
         seen = Observation(dataset)

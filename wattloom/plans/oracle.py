@@ -336,6 +336,13 @@ ORACLE["submetering_daily"] = f"{SUBMETER} SELECT * FROM sub"
 ORACLE["submetering_share_avg"] = f"""{SUBMETER}
 SELECT round(avg(kitchen_pct), 2) AS kitchen_pct, round(avg(laundry_pct), 2) AS laundry_pct,
        round(avg(hvac_pct), 2) AS hvac_pct, round(avg(other_pct), 2) AS other_pct FROM sub"""
+ORACLE["batch_tables"] = f"""{SUBMETER},
+hourly AS (SELECT hour("Datetime"), round(stddev_samp(kw), 4) AS x FROM readings GROUP BY ALL),
+monthly AS (SELECT "Year", "Month", round(stddev_samp(kw), 4) AS x FROM readings GROUP BY ALL)
+SELECT 'hourly' AS dataset, count(*) AS row_count, round(sum(x), 4) AS checksum FROM hourly
+UNION ALL SELECT 'daily', count(*), round(sum(total_kwh), 4) FROM sub
+UNION ALL SELECT 'monthly', count(*), round(sum(x), 4) FROM monthly
+UNION ALL SELECT 'submetering', count(*), round(sum(hvac_pct), 4) FROM sub"""
 ORACLE["daily_group_count"] = "SELECT count(DISTINCT CAST(ts AS DATE)) AS daily_groups FROM events"
 DAILY_COLUMNS = """"Date", "Year", "Month", total_kwh, avg_kw, peak_kw, minutes_recorded,
        temp_mean_c, temp_max_c, temp_min_c, precip_mm"""
