@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from wattloom.operators import aggregates, order_stats, series, sketches
+from wattloom.operators import aggregates, order_stats, sketches
 from wattloom.plans import catalog, standins
 
 PACKAGE = pathlib.Path(catalog.__file__).parents[1]

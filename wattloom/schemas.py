@@ -99,7 +99,6 @@ FOREST_CV = dict(numTrees=100, maxDepth=10, minInstancesPerNode=1, featureSubset
 BOOSTED = dict(maxIter=300, stepSize=0.05, maxDepth=5, minInstancesPerNode=10)
 BOOSTED_CV = dict(maxIter=100, stepSize=0.05, maxDepth=5, minInstancesPerNode=20)
 VALIDATION_FRACTION = 0.1
-PATIENCE = 20
 CV_SPLITS = 5
 MAPE_FLOOR = 0.1
 INTERVAL_Z = 1.96
