@@ -52,7 +52,7 @@ def parse_messages(messages: DataFrame, fields=tuple(MESSAGE_FIELDS), keep=()) -
                                          "columnNameOfCorruptRecord": _CORRUPT})
     # A generator, because a filter on a plain column of from_json would be pushed below the
     # projection and parse every message again.
-    parsed = messages.where(F.trim("value") != "").select(*keep, F.inline(F.array(body)))
+    parsed = messages.select(*keep, F.inline(F.array_compact(F.array(body))))
     out = parsed.where(F.col(_CORRUPT).isNull()).select(*keep, *fields)
     if "event_timestamp" in fields:
         out = out.withColumn("event_timestamp", F.col("event_timestamp").try_cast("bigint"))
