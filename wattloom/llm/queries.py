@@ -1,8 +1,9 @@
 """The registered queries of the operators, with production parameters, over whole tables."""
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from wattloom.llm import decontaminate, url_filter
+from wattloom.llm import decontaminate, line_dedup, packing, url_filter
 from wattloom.plans.standins import table
 
 #: Fixed values of the URL rules.
@@ -26,4 +27,17 @@ def op4_decontaminate(spark, sf):
         decontaminate.contaminated(F.col("n_words"), hit).alias("contaminated"))
 
 
-QUERIES = {q.__name__: q for q in (op3_url_filter, op4_decontaminate)}
+def op8_line_dedup(spark, sf):
+    """Every document without its source's boilerplate lines, and how many lines went."""
+    cleaned = line_dedup.drop_lines(table(spark, sf, "documents"), removed="n_removed")
+    return cleaned.select("doc_id", "source", "text", "n_removed")
+
+
+def op9_best_fit_packing(spark, sf):
+    """All documents in sequences of 1024 tokens."""
+    return packing.pack(table(spark, sf, "documents"),
+                        public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES = {q.__name__: q for q in (op3_url_filter, op4_decontaminate, op8_line_dedup,
+                                    op9_best_fit_packing)}

@@ -50,4 +50,25 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGIN
 FROM dw LEFT JOIN hit h USING (doc_id) LEFT JOIN named k USING (doc_id)
 """
 
-ORACLE = {"op3_url_filter": OP3, "op4_decontaminate": OP4}
+OP8 = r"""
+WITH d AS (SELECT doc_id, source, text, string_split(coalesce(text, ''), chr(10)) AS l
+           FROM documents),
+totals AS (SELECT source, count(*) AS pages FROM d GROUP BY source),
+counts AS (SELECT source, line, count(*) AS n
+           FROM (SELECT source, unnest(list_distinct(l)) AS line FROM d) GROUP BY source, line),
+common AS (
+  SELECT c.source, list(line) AS lines FROM counts c JOIN totals t
+    ON c.source IS NOT DISTINCT FROM t.source
+  WHERE n >= 5 AND n > pages * CAST(0.08 AS DOUBLE)
+    AND NOT regexp_full_match(line, '[\x20\x09-\x0D]*')
+  GROUP BY c.source),
+k AS (
+  SELECT doc_id, d.source, text, l,
+         list_filter(l, lambda x: NOT list_contains(coalesce(lines, []), x)) AS kept
+  FROM d LEFT JOIN common c ON c.source IS NOT DISTINCT FROM d.source)
+SELECT doc_id, source, CASE WHEN text IS NOT NULL THEN array_to_string(kept, chr(10)) END AS text,
+       CAST(len(l) - len(kept) AS BIGINT) AS n_removed
+FROM k
+"""
+
+ORACLE = {"op3_url_filter": OP3, "op4_decontaminate": OP4, "op8_line_dedup": OP8}
