@@ -3,7 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wattloom.llm import decontaminate, line_dedup, packing, url_filter
+from wattloom.llm import decontaminate, line_dedup, packing, quality, url_filter
+from wattloom.llm.common import crc32_of
 from wattloom.plans.standins import table
 
 #: Fixed values of the URL rules.
@@ -11,6 +12,14 @@ URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example
              ("allow", "com/fr/"), ("block", "com/de/")]
 
 
+def op1_quality(spark, sf):
+    """Every document's quality score; the fold with remainder 0 is never learnt from."""
+    docs = table(spark, sf, "documents")
+    scored = quality.score(docs, quality.train(docs, table(spark, sf, "labels")))
+    return scored.select("doc_id", (F.pmod(crc32_of("doc_id"), F.lit(5)) == 0).alias("held_out"),
+                         "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 def op3_url_filter(spark, sf):
     """The rule and verdict of every page's url; urls that no rule fits are allowed."""
     return url_filter.filter_urls(table(spark, sf, "pages"), URL_RULES)
@@ -39,5 +48,5 @@ def op9_best_fit_packing(spark, sf):
                         public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {q.__name__: q for q in (op3_url_filter, op4_decontaminate, op8_line_dedup,
-                                    op9_best_fit_packing)}
+QUERIES = {q.__name__: q for q in (op1_quality, op3_url_filter, op4_decontaminate,
+                                    op8_line_dedup, op9_best_fit_packing)}
