@@ -3,7 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wattloom.llm import decontaminate, line_dedup, packing, quality, url_filter
+from wattloom.llm import (decontaminate, line_dedup, ngram_join, packing, quality,
+                          url_filter)
 from wattloom.llm.common import crc32_of
 from wattloom.plans.standins import table
 
@@ -48,5 +49,10 @@ def op9_best_fit_packing(spark, sf):
                         public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_ngram_jaccard(spark, sf):
+    """Components of documents whose sets of 3-word shingles have Jaccard 0.9 or more."""
+    return ngram_join.similar_sets(table(spark, sf, "documents"), words=3, percent=90)
+
+
 QUERIES = {q.__name__: q for q in (op1_quality, op3_url_filter, op4_decontaminate,
-                                    op8_line_dedup, op9_best_fit_packing)}
+                                    op8_line_dedup, op9_best_fit_packing, op10_ngram_jaccard)}
