@@ -3,8 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wattloom.llm import (decontaminate, line_dedup, ngram_join, packing, quality,
-                          url_filter)
+from wattloom.llm import (decontaminate, line_dedup, lm_score, ngram_join, packing,
+                          quality, url_filter)
 from wattloom.llm.common import crc32_of
 from wattloom.plans.standins import table
 
@@ -37,6 +37,11 @@ def op4_decontaminate(spark, sf):
         decontaminate.contaminated(F.col("n_words"), hit).alias("contaminated"))
 
 
+def op6_lm_score(spark, sf):
+    """Every document's log10 probability by counts and by the log-bilinear model."""
+    return lm_score.score_texts(table(spark, sf, "documents"))
+
+
 def op8_line_dedup(spark, sf):
     """Every document without its source's boilerplate lines, and how many lines went."""
     cleaned = line_dedup.drop_lines(table(spark, sf, "documents"), removed="n_removed")
@@ -54,5 +59,5 @@ def op10_ngram_jaccard(spark, sf):
     return ngram_join.similar_sets(table(spark, sf, "documents"), words=3, percent=90)
 
 
-QUERIES = {q.__name__: q for q in (op1_quality, op3_url_filter, op4_decontaminate,
+QUERIES = {q.__name__: q for q in (op1_quality, op3_url_filter, op4_decontaminate, op6_lm_score,
                                     op8_line_dedup, op9_best_fit_packing, op10_ngram_jaccard)}
