@@ -3,8 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wattloom.llm import (decontaminate, line_dedup, lm_score, ngram_join, packing,
-                          quality, url_filter)
+from wattloom.llm import (decontaminate, embedding_dedup, line_dedup, lm_score, ngram_join,
+                          packing, quality, url_filter)
 from wattloom.llm.common import crc32_of
 from wattloom.plans.standins import table
 
@@ -42,6 +42,11 @@ def op6_lm_score(spark, sf):
     return lm_score.score_texts(table(spark, sf, "documents"))
 
 
+def op7_embedding_dedup(spark, sf):
+    """Near copies among all vectors of equal label, and the one of each group that is kept."""
+    return embedding_dedup.near_vectors(table(spark, sf, "embeddings"))
+
+
 def op8_line_dedup(spark, sf):
     """Every document without its source's boilerplate lines, and how many lines went."""
     cleaned = line_dedup.drop_lines(table(spark, sf, "documents"), removed="n_removed")
@@ -60,4 +65,4 @@ def op10_ngram_jaccard(spark, sf):
 
 
 QUERIES = {q.__name__: q for q in (op1_quality, op3_url_filter, op4_decontaminate, op6_lm_score,
-                                    op8_line_dedup, op9_best_fit_packing, op10_ngram_jaccard)}
+                                    op7_embedding_dedup, op8_line_dedup, op9_best_fit_packing, op10_ngram_jaccard)}
