@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from wattloom.llm import (decontaminate, embedding_dedup, line_dedup, lm_score, ngram_join,
-                          packing, quality, url_filter)
+                          packing, pii, quality, url_filter)
 from wattloom.llm.common import crc32_of
 from wattloom.plans.standins import table
 
@@ -21,6 +21,18 @@ def op1_quality(spark, sf):
                          "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op2_pii(spark, sf):
+    """Personal data in every document: the patterns' spans, and those the field adds."""
+    docs = table(spark, sf, "documents")
+    found = pii.find_pii(docs, pii.train(docs))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size("base") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}")
+              for k in pii.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.listing("base"), 256).alias("base_sha256"),
+        pii.listing(pii.in_order(F.concat("base", "added"))).alias("spans"))
+
+
 def op3_url_filter(spark, sf):
     """The rule and verdict of every page's url; urls that no rule fits are allowed."""
     return url_filter.filter_urls(table(spark, sf, "pages"), URL_RULES)
@@ -64,5 +76,5 @@ def op10_ngram_jaccard(spark, sf):
     return ngram_join.similar_sets(table(spark, sf, "documents"), words=3, percent=90)
 
 
-QUERIES = {q.__name__: q for q in (op1_quality, op3_url_filter, op4_decontaminate, op6_lm_score,
+QUERIES = {q.__name__: q for q in (op1_quality, op2_pii, op3_url_filter, op4_decontaminate, op6_lm_score,
                                     op7_embedding_dedup, op8_line_dedup, op9_best_fit_packing, op10_ngram_jaccard)}
