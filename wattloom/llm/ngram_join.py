@@ -3,9 +3,11 @@
 Two sets of sizes a and b with Jaccard similarity of at least p percent differ in at most
 ``D = (a + b) * (100 - p) / (100 + p)`` elements. Within a band of sizes the hash space is cut
 into more segments than D can be, so such sets agree in at least one whole segment: sets meet in
-the tile of that band, segment and content. In a tile everything is first compared with its
-smallest member; only tiles whose members are then still in different components compare all
-members, by bitmaps, block by block. Pairs that the bitmaps admit are intersected exactly.
+the tile of that band, segment and content. Tiles that share members form a group, and all links
+lie within groups. A group of few members is compared in one task. In larger groups the members
+of each tile are compared with its smallest, then with a few others; only tiles whose members
+are then still apart compare all members, block by block. Bitmaps rule pairs out; those they
+admit are intersected exactly.
 """
 
 import numpy as np
@@ -18,10 +20,15 @@ from wattloom.llm.common import (WordHasher, components, list_array, lower_map,
 SPACES = lower_map([*range(9, 14), 32])
 U64 = np.uint64
 BITS = 1024
+#: Groups of tiles up to this many sets are compared in one task, larger ones in many.
+SMALL = 128
 #: Sizes of a band lie within this factor.
 BAND = 1.4
 #: Members of a tile that one task compares with as many others at once.
 BLOCK = 256
+#: Further members of a tile that are compared with all, if one did not join them: the smallest
+#: after flipping these bits, so that tiles with common members agree on them.
+FLIPS = [int(x) for x in (np.arange(1, 9, dtype=U64) * U64(0x9E3779B97F4A7C15)).view(np.int64)]
 #: Rows that a task combines before they are shuffled.
 COMBINE = 4 << 20
 
@@ -109,38 +116,18 @@ def _signed(values):
     return np.array(values, U64).view(np.int64)
 
 
-def _sign(words, percent):
+def _sign(words):
     def run(batches):
-        bands = Bands(percent)
         for batch in batches:
-            n, d1, d2, bits, keys = [], [], [], [], []
+            n, d1, d2 = [], [], []
             for _, s in shingle_hashes(batch.column("text"), words):
-                mixed, first, second = _digests(s)
+                _, first, second = _digests(s)
                 n.append(len(s))
                 d1.append(first)
                 d2.append(second)
-                bits.append(bitmap(s))
-                keys.append(bands.keys(s, mixed) if len(s) else s)
-            flat = np.concatenate(keys) if keys else np.zeros(0, U64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(n, pa.int64()), pa.array(_signed(d1)),
-                 pa.array(_signed(d2)), pa.array(bits, pa.binary()),
-                 list_array(flat.view(np.int64), [len(k) for k in keys], pa.int64())],
-                ["id", "n", "d1", "d2", "bits", "keys"])
-    return run
-
-
-def _sets(words):
-    def run(batches):
-        for batch in batches:
-            d1, n, sets = [], [], []
-            for _, s in shingle_hashes(batch.column("text"), words):
-                d1.append(_digests(s)[1])
-                sets.append(s)
-            flat = np.concatenate(sets) if sets else np.zeros(0, U64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_signed(d1)), list_array(flat.view(np.int64), [len(s) for s in sets],
-                                                   pa.int64())], ["d1", "s"])
+                 pa.array(_signed(d2))], ["id", "n", "d1", "d2"])
     return run
 
 
@@ -157,75 +144,204 @@ def _by_key(keys, sets):
 
 
 MEMBER = ["key", "d1", "pivot"]
+PACKED = "bucket int, who binary, many binary, keys binary, rest binary"
 
 
-def _combine(batches):
-    """Before the shuffle: of the sets of a key in one task only the first stands for it.
+def _pack(words, percent, buckets):
+    """Before the shuffle: tile keys by bucket, six bytes each, a set's keys together.
 
-    ``pivot`` is NULL for a key with a single set here, else that first set.
+    Of the sets of a key in one task only the first goes to the key's bucket; the others are
+    (key, set, first set) in ``rest`` of any bucket, so a key of very many sets is no hot one.
+    Keys are cut to 48 bits besides the bucket: chance meetings are compared and found apart.
     """
-    def flush():
-        lists = [x for x, _ in held]
-        keys = np.concatenate([x.flatten().to_numpy() for x in lists])
-        sets = np.concatenate([np.repeat(d, x.value_lengths().to_numpy()) for x, d in held])
+    def flush(held):
+        keys = np.concatenate([k for k, _ in held])
+        sets = np.concatenate([np.full(len(k), d, U64) for k, d in held])
         keys, sets, first, group = _by_key(keys, sets)
+        head = np.zeros(len(keys), bool)
+        head[first] = True
         size = np.diff(np.append(first, len(keys)))
-        pivot = sets[first][group] if len(keys) else sets
+        several = head & (size[group] > 1)
+        rest = np.stack([keys[~head], sets[~head], sets[first][group][~head]], 1)
+        # The first set of several is in `rest` too, which tells that its key has more.
+        rest = np.concatenate([rest, np.stack([keys[several], sets[several], sets[several]], 1)])
+        keys, sets = keys[head], sets[head]
+        bucket = keys % U64(buckets)
+        order = np.lexsort((sets, bucket))
+        keys, sets, bucket = keys[order], sets[order], bucket[order]
+        cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=U64))
+        shares = np.array_split(np.arange(len(rest)), buckets)
+        out = {n: [] for n in ("bucket", "who", "many", "keys", "rest")}
+        for b in range(buckets):
+            k, d = keys[cuts[b]:cuts[b + 1]], sets[cuts[b]:cuts[b + 1]]
+            if not len(k) and not len(shares[b]):
+                continue
+            who, many = np.unique(d, return_counts=True)
+            cut = ((k // U64(buckets)) & U64((1 << 48) - 1))
+            planes = cut.view(np.uint8).reshape(-1, 8)[:, :6]
+            for name, value in (("bucket", b), ("who", who.tobytes()), ("keys", planes.tobytes()),
+                                ("many", many.astype(np.uint32).tobytes()),
+                                ("rest", rest[shares[b]].tobytes())):
+                out[name].append(value)
         return pa.RecordBatch.from_arrays(
-            [pa.array(keys), pa.array(sets), pa.array(pivot, mask=size[group] == 1)], MEMBER)
+            [pa.array(out["bucket"], pa.int32()),
+             *[pa.array(out[n], pa.binary()) for n in ("who", "many", "keys", "rest")]],
+            ["bucket", "who", "many", "keys", "rest"])
 
-    held, rows = [], 0
-    for batch in batches:
-        held.append((batch.column("keys"), batch.column("d1").to_numpy()))
-        rows += len(batch.column("keys").flatten())
-        if rows >= COMBINE:
-            yield flush()
-            held, rows = [], 0
-    if held:
-        yield flush()
+    def run(batches):
+        bands, held, rows = Bands(percent), [], 0
+        for batch in batches:
+            for _, s in shingle_hashes(batch.column("text"), words):
+                if len(s):
+                    mixed, first, _ = _digests(s)
+                    keys = bands.keys(s, mixed)
+                    held.append((keys, first))
+                    rows += len(keys)
+                    if rows >= COMBINE:
+                        yield flush(held)
+                        held, rows = [], 0
+        if rows:
+            yield flush(held)
+    return run
 
 
-def _meet(batches):
+def _meet(buckets):
     """After the shuffle: all (key, set, first set of the key) of keys with several sets."""
-    keys, sets, several = [], [], []
-    for batch in batches:
-        k, d = batch.column("key").to_numpy(), batch.column("d1").to_numpy()
-        pivot = batch.column("pivot")
-        alone = pivot.is_null().to_numpy(zero_copy_only=False)
-        p = pivot.fill_null(0).to_numpy()
-        member = ~alone & (p != d)
-        if member.any():
+    def cut(keys):
+        return (keys // U64(buckets)) & U64((1 << 48) - 1)
+
+    def run(batches):
+        keys, sets, several = [], [], []
+        for batch in batches:
+            for row in batch.to_pylist():
+                bucket = row["bucket"]
+                planes = np.frombuffer(row["keys"], np.uint8).reshape(-1, 6)
+                k = np.zeros((len(planes), 8), np.uint8)
+                k[:, :6] = planes
+                keys.append(k.view(U64)[:, 0] * U64(buckets) + U64(bucket))
+                sets.append(np.repeat(np.frombuffer(row["who"], U64),
+                                      np.frombuffer(row["many"], np.uint32)))
+                rest = np.frombuffer(row["rest"], U64).reshape(-1, 3)
+                if len(rest):
+                    at = cut(rest[:, 0]) * U64(buckets) + rest[:, 0] % U64(buckets)
+                    yield members(at, rest[:, 1], rest[:, 2])
+        if keys:
+            keys, sets, first, group = _by_key(np.concatenate(keys), np.concatenate(sets))
+            keep = np.diff(np.append(first, len(keys)))[group] > 1
+            yield members(keys[keep], sets[keep], sets[first][group][keep])
+
+    def members(*columns):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.ascontiguousarray(c).view(np.int64)) for c in columns], MEMBER)
+    return run
+
+
+def _sizes(words):
+    """(d1, n, bits) of the texts whose set is still the one they stand for."""
+    def run(batches):
+        for batch in batches:
+            wanted = batch.column("d1").to_numpy().view(U64)
+            found = [(wanted[row], len(s), bitmap(s))
+                     for row, s in shingle_hashes(batch.column("text"), words)
+                     if len(s) and _digests(s)[1] == wanted[row]]
+            d1, n, bits = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(k[member]), pa.array(d[member]), pa.array(p[member])], MEMBER)
-        keys.append(k[~member])
-        sets.append(d[~member])
-        several.append(k[~member & ~alone])
-    if keys:
-        many = np.unique(np.concatenate(several))
-        keys, sets, first, group = _by_key(np.concatenate(keys), np.concatenate(sets))
-        size = np.diff(np.append(first, len(keys)))
-        keep = (size[group] > 1) | np.isin(keys, many) if len(keys) else np.zeros(0, bool)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys[keep]), pa.array(sets[keep]),
-             pa.array(sets[first][group][keep] if len(keys) else sets)], MEMBER)
+                [pa.array(_signed(d1)), pa.array(n, pa.int64()), pa.array(bits, pa.binary())],
+                ["d1", "n", "bits"])
+    return run
+
 
+def _alike(a, b, percent):
+    if percent * max(len(a), len(b)) > 100 * min(len(a), len(b)):
+        return False
+    both = np.sort(np.concatenate((a, b)), kind="stable")  # merges two sorted runs
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
+def _allowed(x, nx, y, ny, percent):
+    """Which pairs sizes and bitmaps allow: each bit of one set alone is an element of its own."""
+    both = x @ y.T
+    most = np.minimum(nx[:, None] - (x.sum(1)[:, None] - both),
+                      ny[None, :] - (y.sum(1)[None, :] - both))
+    return 100 * most >= percent * (nx[:, None] + ny[None, :] - most)
+
+
+def _unpacked(bits):
+    return np.unpackbits(np.frombuffer(b"".join(bits), np.uint8)).reshape(-1, BITS).astype(
+        np.float32)
+
+
+def _small_groups(words, percent):
+    """(node, component) of whole groups, whose rows follow each other."""
+    def solve(names, texts):
+        found = {}
+        for row, s in shingle_hashes(pa.array(texts, pa.string()), words):
+            if len(s) and _digests(s)[1] == U64(names[row] & (1 << 64) - 1):
+                found.setdefault(names[row], s)
+        names, sets = list(found), list(found.values())
+        if len(names) < 2:
+            return
+        root = list(range(len(names)))
+
+        def top(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+        bits, n = _unpacked([bitmap(s) for s in sets]), np.array([len(s) for s in sets])
+        good = np.triu(_allowed(bits, n, bits, n, percent), 1)
+        for i, j in np.argwhere(good).tolist():
+            a, b = top(i), top(j)
+            if a != b and _alike(sets[i], sets[j], percent):
+                root[max(a, b)] = min(a, b)
+        groups = {}
+        for i, name in enumerate(names):
+            groups.setdefault(top(i), []).append(name)
+        for members in groups.values():
+            least = min(members)
+            yield from ((m, least) for m in members if m != least)
 
-def _intersect(percent):
     def run(batches):
+        now, names, texts = None, [], []
         for batch in batches:
-            left, right = batch.column("sa"), batch.column("sb")
-            lv, rv = left.flatten().to_numpy().view(U64), right.flatten().to_numpy().view(U64)
-            lo = np.append(0, np.cumsum(left.value_lengths().to_numpy()))
-            ro = np.append(0, np.cumsum(right.value_lengths().to_numpy()))
-            keep = np.zeros(len(left), bool)
-            for i in range(len(keep)):
-                a, b = lv[lo[i]:lo[i + 1]], rv[ro[i]:ro[i + 1]]
-                if percent * max(len(a), len(b)) > 100 * min(len(a), len(b)):
-                    continue
-                both = np.sort(np.concatenate((a, b)), kind="stable")  # merges two sorted runs
-                common = int((both[1:] == both[:-1]).sum())
-                keep[i] = 100 * common >= percent * (len(a) + len(b) - common)
-            mask = pa.array(keep)
+            out = []
+            for group, name, text in zip(*(batch.column(c).to_pylist()
+                                           for c in ("component", "d1", "text"))):
+                if group != now:
+                    out += solve(names, texts)
+                    now, names, texts = group, [], []
+                names.append(name)
+                texts.append(text)
+            yield rows(out)
+        yield rows(list(solve(names, texts)))
+
+    def rows(out):
+        return pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()),
+                                           pa.array([b for _, b in out], pa.int64())], ["a", "b"])
+    return run
+
+
+def _intersect(words, percent):
+    def run(batches):
+        for batch in batches:
+            pairs = zip(shingle_hashes(batch.column("ta"), words),
+                        shingle_hashes(batch.column("tb"), words))
+            mask = pa.array([_alike(x, y, percent) for (_, x), (_, y) in pairs], pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
+    return run
+
+
+def _admit(percent):
+    """Pairs (a, b) whose sizes and bitmaps allow a link."""
+    def run(batches):
+        for batch in batches:
+            x, y = _unpacked(batch.column("ba").to_pylist()), _unpacked(
+                batch.column("bb").to_pylist())
+            nx, ny = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+            both = (x * y).sum(1)
+            most = np.minimum(nx - (x.sum(1) - both), ny - (y.sum(1) - both))
+            mask = pa.array(100 * most >= percent * (nx + ny - most))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
     return run
@@ -233,29 +349,20 @@ def _intersect(percent):
 
 def _tile(percent):
     """Pairs of different components in a tile that sizes and bitmaps allow."""
-    def pairs(low, high, same):
-        def unpack(part):
-            bits = np.frombuffer(b"".join(part.column("bits").to_pylist()), np.uint8)
-            return (np.unpackbits(bits).reshape(-1, BITS).astype(np.float32),
-                    *(part.column(c).to_numpy() for c in ("n", "c", "d1")))
-        (x, nx, cx, dx), (y, ny, cy, dy) = unpack(low), unpack(high)
-        both = x @ y.T
-        # Each bit of one set alone stands for an element that the other lacks.
-        most = np.minimum(nx[:, None] - (x.sum(1)[:, None] - both),
-                          ny[None, :] - (y.sum(1)[None, :] - both))
-        union = nx[:, None] + ny[None, :] - most
-        good = (100 * most >= percent * union) & (cx[:, None] != cy[None, :])
-        if same:
-            good &= dx[:, None] < dy[None, :]
-        i, j = np.nonzero(good)
-        return np.minimum(dx[i], dy[j]), np.maximum(dx[i], dy[j])
-
     def run(table):
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         at = table.column("at").to_numpy()
-        low = table.filter(pa.array(at == i))
-        a, b = pairs(low, low if i == j else table.filter(pa.array(at == j)), i == j)
-        return pa.table({"a": a, "b": b})
+
+        def side(part):
+            return (_unpacked(part.column("bits").to_pylist()),
+                    *(part.column(c).to_numpy() for c in ("n", "c", "d1")))
+        x, nx, cx, dx = side(table.filter(pa.array(at == i)))
+        y, ny, cy, dy = side(table.filter(pa.array(at == j)))
+        good = _allowed(x, nx, y, ny, percent) & (cx[:, None] != cy[None, :])
+        if i == j:
+            good &= dx[:, None] < dy[None, :]
+        p, q = np.nonzero(good)
+        return pa.table({"a": np.minimum(dx[p], dy[q]), "b": np.maximum(dx[p], dy[q])})
     return run
 
 
@@ -273,56 +380,95 @@ def similar_sets(documents: DataFrame, id="doc_id", text="text", words=5, percen
     integers. Copies of a set are one class: they cost a row each and are never paired.
     No link between different sets is lost: see the module. Nothing is capped.
     """
+    spark = documents.sparkSession
     docs = documents.select(F.col(f"`{id}`").cast("long").alias("id"),
                             F.col(f"`{text}`").cast("string").alias("text"))
-    signed = written(docs.mapInArrow(
-        _sign(words, percent),
-        "id long, n long, d1 long, d2 long, bits binary, keys array<long>"), "signed")
+    usable = docs.where("id IS NOT NULL")
+    signed = written(docs.mapInArrow(_sign(words), "id long, n long, d1 long, d2 long"), "signed")
     classes = (signed.where("n > 0 AND id IS NOT NULL").groupBy("d1", "d2")
                .agg(F.min("id").alias("rep")))
-    dealt = F.when(F.col("pivot").isNull() | (F.col("pivot") == F.col("d1")), F.col("key")
-                   ).otherwise(F.xxhash64("key", "d1"))
+    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     members = ", ".join(f"{c} long" for c in MEMBER)
-    met = written(signed.where("n > 0 AND id IS NOT NULL").select("keys", "d1")
-                  .mapInArrow(_combine, members).repartition(dealt)
-                  .mapInArrow(_meet, members), "tiles")
-
-    # The sets of all classes that met any other, from one text of each.
-    wanted = met.select("d1").distinct()
-    reps = written(classes.join(wanted, "d1").select("d1", "rep"), "classes")
-    sets = written(docs.join(reps.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
-                   .mapInArrow(_sets(words), "d1 long, s array<long>")
-                   .join(wanted, "d1", "left_semi").dropDuplicates(["d1"]), "sets")
+    met = written(usable.select("text").mapInArrow(_pack(words, percent, buckets), PACKED)
+                  .repartition("bucket").mapInArrow(_meet(buckets), members), "tiles")
+    stars = met.where("d1 <> pivot").select("d1", "pivot").distinct()
+    grouped = components(stars, "candidates")
+    grouped = grouped.union(grouped.select(F.col("component").alias("node"), "component")
+                            .distinct())
+    sizes = grouped.groupBy("component").agg(F.count("*").alias("size"))
+    placed = grouped.join(sizes, "component").select(
+        F.col("node").alias("d1"), "component", (F.col("size") > SMALL).alias("large"))
+    reps = written(classes.join(placed, "d1"), "classes")
+
+    # One text of each class that met any other; how many has no bound, so no side is broadcast.
+    ids = reps.select(F.col("rep").alias("id"), "d1", "component", "large").hint("merge")
+    texts = written(usable.join(ids, "id").select("component", "large", "d1", "text"), "texts")
+    solved = texts.where("NOT large").repartition("component").sortWithinPartitions(
+        "component").mapInArrow(_small_groups(words, percent), "a long, b long")
+    solved = written(solved, "small")
+
+    met = met.join(reps.where("large").select("d1"), "d1", "left_semi")
+    full = texts.where("large").select("d1", "text")
+    sets = written(full.mapInArrow(_sizes(words), "d1 long, n long, bits binary"), "sizes")
+
+    def sides(pairs, of, columns):
+        for e in ("a", "b"):
+            pairs = pairs.join(of.select(F.col("d1").alias(e), *[
+                F.col(c).alias(c[0] + e) for c in columns]), e)
+        return pairs
 
     def linked(pairs):
-        full = (pairs.join(sets.select(F.col("d1").alias("a"), F.col("s").alias("sa")), "a")
-                .join(sets.select(F.col("d1").alias("b"), F.col("s").alias("sb")), "b"))
-        return full.select("a", "b", "sa", "sb").mapInArrow(_intersect(percent), "a long, b long")
-
-    stars = met.where("d1 <> pivot").select(F.least("d1", "pivot").alias("a"),
-                                            F.greatest("d1", "pivot").alias("b")).distinct()
-    first = components(linked(stars), "stars")
-
-    # Tiles whose members are still apart. Of tiles with the same members one is enough.
-    placed = met.select("key", "d1").distinct().join(
-        first.select(F.col("node").alias("d1"), "component"), "d1", "left").select(
-        "key", "d1", F.coalesce("component", "d1").alias("c"))
-    apart = (placed.groupBy("key").agg(
-        F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("size"),
-        F.sum(F.xxhash64("d1").cast("decimal(38,0)")).alias("who")).where("low < high")
-        .groupBy("size", "who").agg(F.min("key").alias("key")))
-    bits = signed.select("d1", "n", "bits").join(wanted, "d1", "left_semi").groupBy("d1").agg(
-        F.first("n").alias("n"), F.first("bits").alias("bits"))
-    tiles = placed.join(apart.select("key", F.ceil(F.col("size") / BLOCK).alias("blocks")), "key")
+        fit = written(sides(pairs, sets, ["n", "bits"]).mapInArrow(
+            _admit(percent), "a long, b long").distinct(), "pairs")
+        if fit.isEmpty():
+            return fit
+        return sides(fit, full, ["text"]).select("a", "b", "ta", "tb").mapInArrow(
+            _intersect(words, percent), "a long, b long")
+
+    first = components(linked(
+        met.where("d1 <> pivot").select(F.least("d1", "pivot").alias("a"),
+                                        F.greatest("d1", "pivot").alias("b")).distinct()), "stars")
+
+    def apart(groups, *more):
+        """(key, set, component) of tile members, and keys whose members are apart."""
+        rows = met.select("key", "d1").distinct().join(
+            groups.select(F.col("node").alias("d1"), "component"), "d1", "left").select(
+            "key", "d1", F.coalesce("component", "d1").alias("c"))
+        keys = rows.groupBy("key").agg(
+            F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("size"),
+            F.sum(F.xxhash64("d1").cast("decimal(38,0)")).alias("who"), *more
+        ).where("low < high")
+        # Of tiles with the same members one is enough.
+        return rows, keys.groupBy("size", "who").agg(
+            F.min("key").alias("key"), *[F.first(m).alias(m) for m in keys.columns[5:]])
+
+    def joined(groups, links):
+        stars = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        return components(stars.union(links), "groups")
+
+    rows, keys = apart(first, *[F.min(F.col("d1").bitwiseXOR(F.lit(x))).alias(f"p{i}")
+                                for i, x in enumerate(FLIPS)])
+    pivots = F.array_distinct(F.array(*[F.col(f"p{i}").bitwiseXOR(F.lit(x))
+                                        for i, x in enumerate(FLIPS)]))
+    some = rows.join(keys.select("key", pivots.alias("pivots")), "key").select(
+        "d1", "c", F.explode("pivots").alias("p")).where("d1 <> p").select(
+        F.least("d1", "p").alias("a"), F.greatest("d1", "p").alias("b")).distinct()
+    ends = {e: first.select(F.col("node").alias(e), F.col("component").alias("c" + e))
+            for e in ("a", "b")}
+    some = some.join(ends["a"], "a", "left").join(ends["b"], "b", "left").where(
+        F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    second = joined(first, linked(some))
+
+    rows, keys = apart(second)
+    tiles = rows.join(keys.select("key", F.ceil(F.col("size") / BLOCK).alias("blocks")), "key")
     tiles = tiles.withColumn("at", F.pmod(F.xxhash64("d1"), F.col("blocks"))).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    tiles = tiles.join(bits, "d1").select(
+    tiles = tiles.join(sets.select("d1", "n", "bits"), "d1").select(
         "key", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"), "at",
         "d1", "c", "n", "bits")
     left = tiles.groupBy("key", "i", "j").applyInArrow(_tile(percent), "a long, b long")
-    second = written(linked(left.distinct()), "links")
-    groups = components(first.select(F.col("node").alias("a"), F.col("component").alias("b"))
-                        .union(second), "groups")
+    groups = joined(second, linked(left.distinct())).union(
+        solved.select(F.col("a").alias("node"), F.col("b").alias("component")))
 
     # From sets to documents: the smallest id of a component's sets.
     ids = reps.groupBy("d1").agg(F.min("rep").alias("rep")).join(
@@ -345,7 +491,7 @@ def drop_near_copies(documents: DataFrame, id="doc_id", text="text", words=5, pe
                      ) -> DataFrame:
     """One row of each component of near copies: the one with the smallest id.
 
-    Rows of empty text or NULL id stay. Of rows that repeat the kept id, one stays.
+    Rows of empty text or NULL id stay, and so do all rows that have the kept id.
     """
     found = similar_sets(documents, id, text, words, percent)
     gone = found.where(F.col(id) != F.col("component_id")).select(F.col(id).alias("gone"))
