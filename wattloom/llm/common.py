@@ -121,7 +121,7 @@ class WordHasher:
     def __init__(self):
         self.up = self.down = np.ones(1, U64)
 
-    def _powers(self, n):
+    def powers(self, n):
         if len(self.up) < n:
             n = max(n, 2 * len(self.up))
             base = np.full(n, self.BASE, U64)
@@ -135,7 +135,7 @@ class WordHasher:
     def __call__(self, mapped, starts, ends):
         if not len(starts):
             return np.zeros(0, U64)
-        up, down = self._powers(len(mapped) + 1)
+        up, down = self.powers(len(mapped) + 1)
         total = np.zeros(len(mapped) + 1, U64)
         np.cumsum(mapped * up[:len(mapped)], out=total[1:])
         return mix64((total[ends] - total[starts]) * down[starts]

@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from wattloom.llm import (decontaminate, embedding_dedup, line_dedup, lm_score, ngram_join,
-                          packing, pii, quality, url_filter)
+                          packing, pii, quality, substring_dedup, url_filter)
 from wattloom.llm.common import crc32_of
 from wattloom.plans.standins import table
 
@@ -49,6 +49,16 @@ def op4_decontaminate(spark, sf):
         decontaminate.contaminated(F.col("n_words"), hit).alias("contaminated"))
 
 
+def op5_suffix_array_dedup(spark, sf):
+    """What is left of every document without its repeated strings of 400 bytes."""
+    cut = substring_dedup.cut_repeats(table(spark, sf, "documents"))
+    sizes = F.transform("spans", lambda x, i: F.when(i % 2 == 1, x).otherwise(-x))
+    return cut.select(
+        "doc_id", "n_bytes", F.aggregate(sizes, F.lit(0).cast("long"), lambda a, x: a + x)
+        .alias("n_removed"), (F.size("spans") / 2).cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_lm_score(spark, sf):
     """Every document's log10 probability by counts and by the log-bilinear model."""
     return lm_score.score_texts(table(spark, sf, "documents"))
@@ -76,5 +86,6 @@ def op10_ngram_jaccard(spark, sf):
     return ngram_join.similar_sets(table(spark, sf, "documents"), words=3, percent=90)
 
 
-QUERIES = {q.__name__: q for q in (op1_quality, op2_pii, op3_url_filter, op4_decontaminate, op6_lm_score,
+QUERIES = {q.__name__: q for q in (op1_quality, op2_pii, op3_url_filter, op4_decontaminate,
+                                    op5_suffix_array_dedup, op6_lm_score,
                                     op7_embedding_dedup, op8_line_dedup, op9_best_fit_packing, op10_ngram_jaccard)}
