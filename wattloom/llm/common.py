@@ -12,7 +12,7 @@ __all__ = ["CHUNK_BYTES", "broadcast", "components", "crc32_of", "free_name", "f
            "written", "WordHasher"]
 
 #: Texts are worked on in slices of about this many bytes; one text is never cut.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 U64 = np.uint64
 
@@ -123,7 +123,7 @@ class WordHasher:
 
     def powers(self, n):
         if len(self.up) < n:
-            n = max(n, 2 * len(self.up))
+            n = 1 << n.bit_length()
             base = np.full(n, self.BASE, U64)
             base[0] = 1
             self.up = np.cumprod(base)

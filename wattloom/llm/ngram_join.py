@@ -30,7 +30,7 @@ BLOCK = 256
 #: after flipping these bits, so that tiles with common members agree on them.
 FLIPS = [int(x) for x in (np.arange(1, 9, dtype=U64) * U64(0x9E3779B97F4A7C15)).view(np.int64)]
 #: Rows that a task combines before they are shuffled.
-COMBINE = 4 << 20
+COMBINE = 1 << 19
 
 
 def shingle_hashes(column, words):
