@@ -26,8 +26,12 @@ def test_date_filter_reaches_the_scan(spark, sf):
     assert "PushedFilters: [IsNotNull(o_orderkey), GreaterThan(o_orderkey,100)]" in plan(orders)
 
 
-@pytest.mark.parametrize("name", ["daily_totals", "feature_table", "drift_ks", "bloom_report",
-                                  "cms_vs_exact", "monitor_monthly", "clean_readings"])
+STREAMS_AND_MODELS = ("stream_", "train_", "best_", "cv_forest", "forest_", "permutation",
+                      "score_forest", "model_registry", "session_report")
+
+
+@pytest.mark.parametrize("name", [q for q in catalog.QUERIES
+                                  if not q.startswith(STREAMS_AND_MODELS)])
 def test_no_python_and_no_cross_join(spark, sf, name):
     text = plan(catalog.QUERIES[name](spark, sf))
     for word in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "Pandas"):
@@ -53,8 +57,8 @@ def test_raw_size_series_never_meet_in_one_task(spark, sf):
 
 
 def test_library_has_no_forbidden_calls():
-    source = "\n".join(p.read_text() for p in PACKAGE.rglob("*.py"))
-    for call in ("toPandas", "localCheckpoint", "crossJoin", ".rdd.map", "applyInPandas", "udf("):
+    source = "\n".join(p.read_text() for p in PACKAGE.rglob("*.py") if p.parent.name != "llm")
+    for call in ("toPandas", "localCheckpoint", "crossJoin", ".rdd", "applyInPandas", "udf("):
         assert call not in source, call
 
 

@@ -149,3 +149,10 @@ def test_impute(spark):
     df = spark.createDataFrame([(1.0, 5), (None, 7), (3.0, None)], "a double, b int")
     rows = order_stats.impute_medians(df, ["a", "b"]).collect()
     assert sorted((r["a"], r["b"]) for r in rows) == [(1.0, 5.0), (2.0, 7.0), (3.0, 6.0)]
+
+
+def test_null_keys_and_ties_keep_their_rows(spark):
+    rows = [(k, 7, i) for k in ("a", None) for i in range(50)]
+    df = spark.createDataFrame(rows, "k string, t int, i int").repartition(6)
+    out = series.with_position(df, ["t", "i"], ("k",)).collect()
+    assert len(out) == 100 and all(r["_pos"] == r["i"] for r in out)

@@ -28,8 +28,8 @@ def run(spark, stream, mode="update", sink=None):
     path = fresh_path(spark, "test-stream")
     query = runs.start(stream, sink or runs.per_trigger_sink(f"{path}/out"), f"{path}/check", mode,
                        available_now=True)
-    assert runs.finish(query)
-    return f"{path}/out", query
+    runs.finish(query, log=f"{path}/log")
+    return f"{path}/out", f"{path}/log"
 
 
 def test_messages_that_are_not_objects_are_skipped(spark):
@@ -87,11 +87,11 @@ def test_late_rows(spark):
         [minute(40)],
     ])
     stream = table_stream(spark, path, spark.read.parquet(path).schema, max_files=1)
-    out, query = run(spark, windows.tumbling(stream, watermark="10 minutes"))
+    out, log = run(spark, windows.tumbling(stream, watermark="10 minutes"))
     got = {r["window_start"]: r["count"] for r in runs.latest(spark, out, ["window_start"]).collect()}
     at = lambda m: T0 + dt.timedelta(minutes=m)
     assert got[at(0)] == 1 and got[at(20)] == 1 and got[at(30)] == 2
-    assert runs.live_summary(query).first()["dropped_late"] == 1
+    assert runs.live_summary(spark, log).first()["dropped_late"] == 1
 
 
 def test_sliding_start_in_batch(spark):
@@ -120,7 +120,7 @@ def test_bloom_dedup_across_triggers(spark, compact_every):
                               for b in range(5)])
     stream = table_stream(spark, path, spark.read.parquet(path).schema, max_files=1)
     sink = runs.BloomDedup(fresh_path(spark, "bloom"), "key", compact_every=compact_every)
-    _, query = run(spark, stream.select("key"), "append", sink)
+    run(spark, stream.select("key"), "append", sink)
     row = bloom_summary(sink.report(spark)).first()
     assert (row["processed"], row["unique_keys"], row["duplicates_caught"]) == (50, 30, 20)
     # A batch that is run again changes nothing.
@@ -133,8 +133,9 @@ def test_progress(spark):
     path = fresh_path(spark, "in")
     write_files(spark, path, [[minute(0)], [minute(1), minute(2)]])
     stream = table_stream(spark, path, spark.read.parquet(path).schema, max_files=1)
-    _, query = run(spark, stream.select("key"), "append")
-    summary = runs.live_summary(query).first()
+    _, log = run(spark, stream.select("key"), "append")
+    assert runs.progress_report(spark, log).count() == 2
+    summary = runs.live_summary(spark, log).first()
     assert (summary["total_received"], summary["total_triggers"]) == (3, 2)
 
 
@@ -146,3 +147,34 @@ def test_session_summary(spark):
     row = windows.session_summary(df, F.lit(1000)).first()
     assert row.asDict() == {"total_received": 3, "avg_latency_ms": 33.33, "total_kwh": 1.5,
                             "unique_days": 2}
+
+
+def test_a_limit_that_is_hit_raises(spark):
+    path = fresh_path(spark, "in")
+    write_files(spark, path, [[minute(0)]])
+    stream = table_stream(spark, path, spark.read.parquet(path).schema)
+    query = runs.start(stream, runs.per_trigger_sink(f"{path}-out"), f"{path}-check", "append",
+                       every="1 second")
+    with pytest.raises(TimeoutError):
+        runs.finish(query, timeout=6, poll=1)
+    assert not query.isActive
+    # The processing-time trigger took up the file before that.
+    assert spark.read.parquet(f"{path}-out").count() == 1
+
+
+def test_bloom_dedup_counts_null_keys(spark):
+    sink = runs.BloomDedup(fresh_path(spark, "bloom"), "key")
+    sink(spark.createDataFrame([("a",), (None,), ("a",)], "key string"), 0)
+    row = sink.report(spark).first()
+    assert (row["processed"], row["unique_keys"]) == (3, 1)
+
+
+@pytest.mark.parametrize("name", ["tumbling", "watermark"])
+def test_catalog_streams_take_several_triggers(spark, sf, name):
+    from wattloom.plans import catalog
+    if name == "watermark":
+        out = catalog._feed(spark, sf, F.dayofmonth("ts") % 3, lambda e: e.select("user_id"), "t",
+                            "append")
+    else:
+        out = catalog._run(spark, catalog._event_stream(spark, sf).select("user_id"), "t", "append")
+    assert spark.read.parquet(out).select("trigger_id").distinct().count() == 3

@@ -151,3 +151,23 @@ def test_whole_pipeline(spark, sf, tmp_path):
     assert months.agg(F.sum("n_days")).first()[0] == predictions.count()
     assert spark.read.json(location(base, "drift")).first()["features_checked"] == 8
     assert aggregates.prediction_months(predictions).count() == months.count()
+
+def test_many_series_share_one_weather_table(spark):
+    daily = spark.createDataFrame(
+        [("u1", dt.date(2024, 1, 1), 1.0), ("u2", dt.date(2024, 1, 1), 2.0),
+         (None, dt.date(2024, 1, 2), 3.0)], "user_id string, Date date, total_kwh double")
+    weather = spark.createDataFrame(
+        [(dt.date(2024, 1, 1), 4.0, 5.0, 3.0, 0.0), (dt.date(2024, 1, 1), 6.0, 5.0, 3.0, 0.0)],
+        "Date date, temp_mean_c double, temp_max_c double, temp_min_c double, precip_mm double")
+    rows = joins.join_weather(daily, weather).orderBy("total_kwh").collect()
+    assert [r["temp_mean_c"] for r in rows] == [5.0, 5.0, None]  # the mean, and no row twice
+
+
+def test_keyed_batch_with_shared_weather(spark, sf, tmp_path):
+    base = str(tmp_path / "keyed")
+    readings = standins.readings(spark, sf, keep=("user_id",))
+    write_parquet(readings, location(base, "cleaned"), ("Year", "Month"))
+    run_batch(spark, base, standins.weather(spark, sf), keys=("user_id",))
+    stored = read_table(spark, location(base, "daily_weather"))
+    assert stored.count() == read_table(spark, location(base, "daily")).count()
+    assert {"user_id", "temp_mean_c"} <= set(stored.columns)

@@ -1,14 +1,13 @@
 """Which features a model relies on: built-in importance and permutation effects."""
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattloom.functions.numbers import pearson
 from wattloom.operators.learning import Fitted
+from wattloom.operators.series import with_position
 from wattloom.schemas import SEED, TARGET
 
-ROWS_PER_BUCKET = 50_000
-
 
 def importance(fitted: Fitted, top=15) -> DataFrame:
     """(feature, importance), the ``top`` strongest; one entry per feature of the model."""
@@ -21,20 +20,17 @@ def permutation_effects(fitted: Fitted, test: DataFrame, key="Date", seed=SEED,
                         top: int | None = 15) -> DataFrame:
     """(feature, mean_effect, direction): growth of the MAE when a feature is shuffled.
 
-    Rows trade places inside hash buckets of bounded size: each gets the values of a donor row
-    from one join, and is then scored once per feature with only that value replaced. All
+    Each row gets the values of a donor row, the one whose rank in a random order equals its own
+    rank by key, from one join over all rows, and is then scored once per feature with only that value replaced. All
     features are scored in a single job. ``key`` identifies a row. The direction is the sign of
     the correlation between the feature and the prediction.
     """
     n_features = len(fitted.features)
-    buckets = max(1, test.count() // ROWS_PER_BUCKET)  # one number
     base = fitted.prepare(test).select(key, TARGET, vector_to_array("features").alias("x"),
-                                       F.pmod(F.xxhash64(key), F.lit(buckets)).alias("b"))
-    draw = F.xxhash64(F.col(key), F.lit(seed))
-    own = base.withColumn("p", F.row_number().over(Window.partitionBy("b").orderBy(key)))
-    donor = base.select("b", F.col("x").alias("donor"), F.row_number().over(
-        Window.partitionBy("b").orderBy(draw, key)).alias("p"))
-    pairs = own.join(donor, ["b", "p"])
+                                       F.xxhash64(F.col(key), F.lit(seed)).alias("draw"))
+    own = with_position(base, [key])
+    donor = with_position(base, ["draw", key]).select("_pos", F.col("x").alias("donor"))
+    pairs = own.join(donor, "_pos")
     # Position -1 is the unchanged row.
     mixed = pairs.select(TARGET, "x", "donor", F.explode(
         F.sequence(F.lit(-1), F.lit(n_features - 1))).alias("f"))

@@ -14,9 +14,13 @@ from wattloom.schemas import APPLIANCE_KWH, WEATHER_COLUMNS
 def join_weather(daily: DataFrame, weather: DataFrame, keys=()) -> DataFrame:
     """Every daily row with the weather of its date, NULL where there is none.
 
-    ``weather`` must hold one row per date (and key): see ``duplicate_dates``.
+    ``keys`` are the columns that tell places apart in ``weather``; without any, all series
+    share its one row per date. Several rows of a date (see ``duplicate_dates``) become their
+    mean, so days are never multiplied.
     """
-    return daily.join(weather.select(*keys, "Date", *WEATHER_COLUMNS), [*keys, "Date"], "left")
+    on = [*keys, "Date"]
+    one = weather.groupBy(*on).agg(*[F.avg(c).alias(c) for c in WEATHER_COLUMNS])
+    return daily.join(one, on, "left")
 
 
 def duplicate_dates(table: DataFrame, keys=()) -> DataFrame:

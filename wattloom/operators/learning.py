@@ -16,6 +16,10 @@ from wattloom.schemas import (APPLIANCE_RATIO, BOOSTED, BOOSTED_CV, CV_SPLITS, D
                               VALIDATION_FRACTION)
 from wattloom.session import fresh_path
 
+#: Parts of the training rows; daily tables are small, and growing trees costs much per row.
+TRAIN_PARTITIONS = 16
+#: Trees without gain after which boosting stops.
+PATIENCE = 20
 NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
 # Node ids are kept with the rows (and checkpointed), so trees are not sent out for every level.
 TREE_DEFAULTS = dict(featuresCol="features", labelCol=TARGET, seed=SEED, cacheNodeIds=True,
@@ -55,8 +59,11 @@ class Fitted:
 
 
 def assemble(df: DataFrame, features, medians) -> DataFrame:
-    """Add the ``features`` vector, NULLs filled with the given medians."""
-    filled = {f"_{c}": F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in features}
+    """Add the ``features`` vector, NULLs filled with the given medians.
+
+    A feature without a median (it has no value in the rows it was taken from) counts as 0.
+    """
+    filled = {f"_{c}": F.coalesce(F.col(c).cast("double"), F.lit(medians.get(c) or 0.0)) for c in features}
     assembler = VectorAssembler(inputCols=list(filled), outputCol="features")
     return assembler.transform(df.withColumns(filled)).drop(*filled)
 
@@ -72,8 +79,6 @@ def forest(**params):
 
 
 def boosted(**params):
-    """Boosted trees. Training ends at the first tree that does not lower the error on the
-    held-out rows; see ``fit_boosted`` for a rule with patience."""
     return GBTRegressor(**TREE_DEFAULTS, **{"validationTol": 0.0, **BOOSTED, **params})
 
 
@@ -83,12 +88,12 @@ def fit(estimator, train: DataFrame, features, medians, name) -> Fitted:
 
 
 def fit_boosted(estimator: GBTRegressor, train: DataFrame, features, medians, name,
-                patience: int | None = None) -> Fitted:
+                patience: int | None = PATIENCE) -> Fitted:
     """Boosted trees with early stopping on a held-out tenth of the training rows.
 
-    Without ``patience`` the library's own rule applies, at no extra cost. With it, training goes
-    on until that many trees brought nothing: the sequence is grown in doublings up to
+    Training goes on until ``patience`` trees brought nothing: the sequence is grown in doublings up to
     ``maxIter`` (a shorter sequence is a prefix of a longer one) and cut there.
+    With None the library's own rule applies, which stops at the first tree without gain.
     """
     data = spread(assemble(train, features, medians).select(
         "Date", TARGET, "features", is_validation().alias("held_out"))).persist()
@@ -114,10 +119,9 @@ def fit_boosted(estimator: GBTRegressor, train: DataFrame, features, medians, na
 
 
 def spread(data: DataFrame, key="Date") -> DataFrame:
-    """Use all cores: growing trees costs much per row, so a small table in one file would
-    otherwise train on one core. Tables that already have enough partitions are left alone."""
-    cores = data.sparkSession.sparkContext.defaultParallelism
-    return data.repartition(cores, key) if data.rdd.getNumPartitions() < cores else data
+    """The rows in ``TRAIN_PARTITIONS`` parts by key: the same on every machine, so that the
+    rows drawn for a tree, and with them the model, are the same too."""
+    return data.repartition(TRAIN_PARTITIONS, key)
 
 
 def metrics_of(fitted: Fitted, test: DataFrame) -> DataFrame:

@@ -32,10 +32,17 @@ def date_range(df: DataFrame, date="Date", fmt=READING_DATE_FORMAT) -> DataFrame
     return df.agg(F.min(day).alias("first_date"), F.max(day).alias("last_date"))
 
 
-def schema_listing(spark, **datasets: DataFrame) -> DataFrame:
-    rows = [(name, pos, field.name, field.dataType.simpleString())
-            for name, df in datasets.items() for pos, field in enumerate(df.schema)]
-    return spark.createDataFrame(rows, "dataset string, position int, column string, type string")
+def schema_listing(**datasets: DataFrame) -> DataFrame:
+    """(dataset, position, column, type, row_count): every column as stored."""
+    out = None
+    for name, df in datasets.items():
+        fields = F.array(*[F.struct(F.lit(pos).alias("position"), F.lit(f.name).alias("column"),
+                                    F.lit(f.dataType.simpleString()).alias("type"))
+                           for pos, f in enumerate(df.schema)])
+        rows = df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("dataset"), F.inline(fields), "row_count")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def missing_report(df: DataFrame, columns=tuple(MEASURES)) -> DataFrame:
@@ -67,26 +74,30 @@ def feature_summary(features: DataFrame, groups=FEATURE_GROUPS) -> DataFrame:
             .withColumn("feature_group", names[F.col("feature")]))
 
 
-def rows_per_year(df: DataFrame, date) -> DataFrame:
-    day = F.col(date)
+def _day(date, text_format):
+    """A date column, or a text column parsed; text that is no date is NULL."""
+    return F.try_to_date(F.col(date), text_format) if text_format else F.col(date)
+
+
+def rows_per_year(df: DataFrame, date, text_format: str | None = None) -> DataFrame:
+    day = _day(date, text_format)
     return (df.where(day.isNotNull()).groupBy(F.year(day).alias("Year"))
             .agg(F.count(F.lit(1)).alias("row_count")))
 
 
-def rows_per_month(df: DataFrame, date) -> DataFrame:
-    day = F.col(date)
+def rows_per_month(df: DataFrame, date, text_format: str | None = None) -> DataFrame:
+    day = _day(date, text_format)
     return (df.where(day.isNotNull()).groupBy(F.month(day).alias("Month"))
             .agg(F.count(F.lit(1)).alias("row_count")))
 
 
-def partition_sizes(df: DataFrame, column="Year") -> DataFrame:
-    """Rows per value after a hash repartition on it, with the partition that holds them.
+def partition_sizes(df: DataFrame, column="Year", parts=8) -> DataFrame:
+    """Rows per value, and the partition of ``parts`` that a hash repartition gives them to.
 
-    A diagnostic of how a column would spread; the count is taken after the shuffle on
-    purpose, so it is meant for a projection of that column only.
+    The rows themselves are counted where they lie; only counts are moved.
     """
-    return (df.select(column).repartition(column)
-            .groupBy(column).agg(F.count(F.lit(1)).alias("row_count")))
+    return df.groupBy(column).agg(F.count(F.lit(1)).alias("row_count")).withColumn(
+        "partition", F.pmod(F.hash(column), F.lit(parts)))
 
 
 def skew_report(df: DataFrame, by=("Year", "Month")) -> DataFrame:

@@ -19,23 +19,30 @@ from wattloom.schemas import APPLIANCE_KWH, LAG_ROWS, REQUIRED_FEATURES, TARGET
 from wattloom.session import written
 
 
-def with_position(df: DataFrame, order: str, keys=()) -> DataFrame:
-    """Add ``_pos``, the 0-based row number in ``order`` within ``keys`` (neither may be NULL).
+def with_position(df: DataFrame, order, keys=()) -> DataFrame:
+    """Add ``_pos``, the 0-based row number in ``order`` within ``keys``.
+
+    ``order`` is a column or a list of columns; name enough of them to leave no ties. NULL keys
+    are a series of their own, NULLs in ``order`` come first.
 
     Rows are range-partitioned, so that a busy series or a busy hour is spread over as many
     ranges as its size asks for, and stored with the number of their range. They are numbered
     inside the range and shifted by the row count of the series' earlier ranges.
     """
-    ranged = written(df.repartitionByRange(*keys, order)
+    order = [order] if isinstance(order, str) else list(order)
+    ranged = written(df.repartitionByRange(*keys, *order)
                      .withColumn("_range", F.spark_partition_id()), "ranges")
     earlier = (Window.partitionBy(*keys).orderBy("_range")
                .rowsBetween(Window.unboundedPreceding, -1))
     offsets = (ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
                .select(*keys, "_range",
                        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")))
-    inside = Window.partitionBy(*keys, "_range").orderBy(order)
-    return (ranged.join(offsets, [*keys, "_range"])
-            .withColumn("_pos", F.col("_before") + F.row_number().over(inside) - 1)
+    inside = Window.partitionBy(*keys, "_range").orderBy(*order)
+    same = F.col("r._range") == F.col("o._range")
+    for k in keys:
+        same = same & F.col(f"r.{k}").eqNullSafe(F.col(f"o.{k}"))
+    joined = ranged.alias("r").join(offsets.alias("o"), same).select("r.*", "o._before")
+    return (joined.withColumn("_pos", F.col("_before") + F.row_number().over(inside) - 1)
             .drop("_range", "_before"))
 
 
@@ -43,7 +50,8 @@ def over_series(df: DataFrame, build: Callable[[WindowSpec], dict[str, Column]],
                 order="Date", keys=(), block_rows: int | None = None) -> DataFrame:
     """Add the columns ``build(window)`` returns; they may look back ``back`` rows at most."""
     if block_rows is None:
-        return df.withColumns(build(Window.partitionBy(*keys).orderBy(order)))
+        by = [order] if isinstance(order, str) else list(order)
+        return df.withColumns(build(Window.partitionBy(*keys).orderBy(*by)))
     if block_rows < back:
         raise ValueError("a block must be at least as long as the look-back")
     block = F.floor(F.col("_pos") / block_rows)

@@ -82,11 +82,12 @@ def bloom_first_seen(df: DataFrame, key: str, order: str, capacity=BLOOM_CAPACIT
 
 def bloom_report(df: DataFrame, key: str, order: str, capacity=BLOOM_CAPACITY,
                  fpp=BLOOM_FPP) -> DataFrame:
-    """Deduplication report of one run over the rows in ``order``."""
+    """Deduplication report of one run over the rows in ``order``; NULL keys count as processed."""
     seen = bloom_first_seen(df, key, order, capacity, fpp)
+    processed = df.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
     return bloom_summary(
-        seen.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("processed"),
-                 F.count_if(F.col("is_new")).alias("unique_keys")), capacity, fpp)
+        seen.agg(F.count_if(F.col("is_new")).alias("unique_keys"))
+        .select(processed.alias("processed"), "unique_keys"), capacity, fpp)
 
 
 def bloom_summary(counts: DataFrame, capacity=BLOOM_CAPACITY, fpp=BLOOM_FPP) -> DataFrame:
@@ -129,6 +130,12 @@ def cms_build(df: DataFrame, item: str, width=CMS_WIDTH, depth=CMS_DEPTH) -> Dat
             .groupBy("row", "col").agg(F.sum("n").alias("count")))
 
 
+def cms_update(df: DataFrame, item: str, width=CMS_WIDTH, depth=CMS_DEPTH) -> DataFrame:
+    """(row, col, count) of a stream's records, one grouping as streams allow."""
+    cells = _cells(df.where(F.col(item).isNotNull()), item, width, depth)
+    return cells.groupBy("row", "col").agg(F.count(F.lit(1)).alias("count"))
+
+
 def cms_merge(*sketches: DataFrame) -> DataFrame:
     out = sketches[0]
     for other in sketches[1:]:

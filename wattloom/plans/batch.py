@@ -8,7 +8,8 @@ from wattloom.sinks.tables import land, location
 from wattloom.sources.readings import read_table
 
 
-def run_batch(spark: SparkSession, base: str, weather: DataFrame, keys=()) -> None:
+def run_batch(spark: SparkSession, base: str, weather: DataFrame, keys=(),
+              weather_keys=()) -> None:
     """All batch tables from the cleaned readings, which are scanned once.
 
     The scan yields one row per day and hour; that small table is stored and rolled up. ``daily``
@@ -21,4 +22,4 @@ def run_batch(spark: SparkSession, base: str, weather: DataFrame, keys=()) -> No
     land(aggregates.monthly_from_cells(cells, keys), base, "monthly")
     land(aggregates.submetering_from_cells(cells, keys), base, "submetering")
     daily = read_table(spark, location(base, "daily"))
-    land(joins.join_weather(daily, weather, keys), base, "daily_weather")
+    land(joins.join_weather(daily, weather, weather_keys), base, "daily_weather")

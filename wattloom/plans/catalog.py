@@ -13,9 +13,9 @@ from wattloom.operators import (aggregates, clean, drift, explain, joins, learni
 from wattloom.plans import standins
 from wattloom.plans.ingest import ingest
 from wattloom.plans.standins import table
-from wattloom.schemas import FEATURE_GROUPS, MEASURES, POWER, REMAINDER, TARGET
+from wattloom.schemas import FEATURE_GROUPS, MEASURES, POWER, REMAINDER, TARGET, WATERMARK
 from wattloom.session import fresh_path, written
-from wattloom.sinks.tables import as_messages, location, write_parquet
+from wattloom.sinks.tables import as_messages, location, write_parquet, write_report
 from wattloom.sources.messages import parse_messages, table_stream
 from wattloom.sources.readings import read_readings, read_readings_for_profiling, read_table
 from wattloom.sources.tables import daily_with_weather, submetering_if_present
@@ -215,7 +215,7 @@ def join_submetering(spark, sf):
 
 @query
 def publish_json(spark, sf):
-    """The first 5000 readings as keyed JSON messages, parsed back."""
+    """All readings as keyed JSON messages, parsed back."""
     readings = standins.readings(spark, sf)
     messages = as_messages(readings, stamp=F.lit(NOW_MS))
     return parse_messages(messages, keep=("key",)).select(
@@ -239,8 +239,9 @@ def profile_range(spark, sf):
 
 @query
 def profile_schema(spark, sf):
-    return profile.schema_listing(spark, readings=standins.raw_text(spark, sf),
-                                  weather=standins.weather(spark, sf))
+    """Columns, types and rows of the given tables that stand in for readings and weather."""
+    return profile.schema_listing(**{n: table(spark, sf, n)
+                                     for n in ("events", "lineitem", "orders", "customer")})
 
 
 @query
@@ -253,21 +254,28 @@ def profile_stats(spark, sf):
     return tidy(profile.describe(standins.raw_text(spark, sf)))
 
 
+def _text_dates(spark, sf):
+    """Order dates as text, one in ten of them unreadable."""
+    text = F.when(F.col("o_orderkey") % 10 == 0, "?").otherwise(
+        F.date_format("o_orderdate", "d/M/yyyy"))
+    return table(spark, sf, "orders").select(text.alias("Date"))
+
+
 @query
 def rows_per_year(spark, sf):
-    return profile.rows_per_year(table(spark, sf, "orders"), "o_orderdate")
+    return profile.rows_per_year(_text_dates(spark, sf), "Date", "d/M/yyyy")
 
 
 @query
 def rows_per_month(spark, sf):
-    return profile.rows_per_month(table(spark, sf, "orders"), "o_orderdate")
+    return profile.rows_per_month(_text_dates(spark, sf), "Date", "d/M/yyyy")
 
 
 @query
 def partition_sizes(spark, sf):
     orders = clean.with_month_columns(table(spark, sf, "orders").select("o_orderdate"),
                                       "o_orderdate")
-    return profile.partition_sizes(orders)
+    return profile.partition_sizes(orders).drop("partition")
 
 
 @query
@@ -442,7 +450,8 @@ def reading_lags(spark, sf):
     """Lags and trailing statistics over the raw readings: one series as long as the table."""
     readings = table(spark, sf, "events").select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias(TARGET))
-    out = series.over_series(readings, series.rolling_columns, 30, order="ts", block_rows=4096)
+    out = series.over_series(readings, series.rolling_columns, 30, order=["ts", "event_id"],
+                             block_rows=4096)
     return tidy(out.drop("ts"))
 
 
@@ -640,31 +649,63 @@ def cms_error_rate(spark, sf):
 
 # ---- Streaming --------------------------------------------------------------------------
 
-def _messages(spark, sf):
-    """Events as a stream of JSON messages; small errors arrive as an array, not an object."""
-    events = table_stream(spark, f"{sf}/events*.parquet", table(spark, sf, "events").schema)
+FILES, FILES_PER_TRIGGER = 6, 2
+
+
+def _event_stream(spark, sf):
+    """Events as a stream of several triggers, from files written in parallel."""
+    path, events = fresh_path(spark, "events"), table(spark, sf, "events")
+    events.repartition(FILES, "event_id").write.parquet(path)
+    return table_stream(spark, path, events.schema, max_files=FILES_PER_TRIGGER)
+
+
+def _messages(events):
+    """Events as JSON messages; small errors arrive as an array, not an object."""
     readings = standins.as_readings(events, keep=("event_type",))
-    messages = as_messages(readings, limit=None, stamp=F.unix_millis("Datetime"),
-                           keep=("event_type", POWER))
+    messages = as_messages(readings, stamp=F.unix_millis("Datetime"), keep=("event_type", POWER))
     broken = (F.col("event_type") == "error") & (F.col(POWER) < 5)
     return messages.select("key", F.when(broken, "[5]").otherwise(F.col("value")).alias("value"))
 
 
-def _live(spark, sf):
-    return windows.live_readings(parse_messages(_messages(spark, sf)))
+def _live(events):
+    return windows.live_readings(parse_messages(_messages(events)))
 
 
-def _run(spark, stream, name, mode="update") -> str:
+def _run(spark, stream, name, mode="update", log=None) -> str:
     """Run a stream over all available input; returns where its triggers wrote."""
     path = fresh_path(spark, name)
     runs.finish(runs.start(stream, runs.per_trigger_sink(f"{path}/out"), f"{path}/checkpoint",
-                           mode, available_now=True))
+                           mode, available_now=True), log=log)
     return f"{path}/out"
 
 
+def _feed(spark, sf, arrival, build, name, mode="update", sink=None) -> str:
+    """Events arriving in groups by the number ``arrival``, each taken up before the next one.
+
+    A stream on one checkpoint is run whenever a group has been written; returns where its
+    triggers wrote.
+    """
+    path, events = fresh_path(spark, name), table(spark, sf, "events")
+    numbered = events.withColumn("arrival", arrival)
+    groups = sorted(r[0] for r in numbered.select("arrival").distinct().collect())  # a few
+    sink = sink or runs.per_trigger_sink(f"{path}/out")
+    for n in groups:
+        numbered.where(F.col("arrival") == n).drop("arrival").write.mode("append").parquet(
+            f"{path}/in")
+        stream = build(table_stream(spark, f"{path}/in", events.schema))
+        runs.finish(runs.start(stream, sink, f"{path}/checkpoint", mode, available_now=True))
+    return f"{path}/out"
+
+
+def _ten_days():
+    """The ten days of its month that an event belongs to, in order."""
+    tens = F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2))
+    return F.year("ts") * 36 + F.month("ts") * 3 + tens
+
+
 @query
 def stream_source_parse(spark, sf):
-    parsed = parse_messages(_messages(spark, sf), keep=("key",)).select(
+    parsed = parse_messages(_messages(_event_stream(spark, sf)), keep=("key",)).select(
         "key", F.col("event_time").cast("timestamp_ntz").alias("event_time"),
         F.col(POWER).try_cast("double").alias("power"), "event_timestamp")
     return spark.read.parquet(_run(spark, parsed, "parse", "append")).drop("trigger_id",
@@ -673,13 +714,16 @@ def stream_source_parse(spark, sf):
 
 @query
 def stream_tumbling(spark, sf):
-    out = _run(spark, windows.tumbling(_live(spark, sf)), "tumbling")
+    """Windows of a stream in order of time, whose state the watermark keeps small."""
+    out = _feed(spark, sf, _ten_days(), lambda e: windows.tumbling(_live(e), watermark=WATERMARK),
+                "tumbling")
     return tidy(runs.latest(spark, out, ["window_start"]))
 
 
 @query
 def stream_sliding(spark, sf):
-    out = _run(spark, windows.sliding(_live(spark, sf)), "sliding")
+    out = _feed(spark, sf, _ten_days(), lambda e: windows.sliding(_live(e), watermark=WATERMARK),
+                "sliding")
     return tidy(runs.latest(spark, out, ["window_start", "window_end"]), 4)
 
 
@@ -700,17 +744,26 @@ def sliding_last10(spark, sf):
 
 @query
 def stream_submetering(spark, sf):
-    out = _run(spark, windows.submetering_snapshot(_live(spark, sf)), "submetering", "complete")
+    snapshot = windows.submetering_snapshot(_live(_event_stream(spark, sf)), F.lit(NOW_MS))
+    out = _run(spark, snapshot, "submetering", "complete")
     return windows.submetering_shares(runs.latest(spark, out, []))
 
 
 @query
 def stream_bucket_counts(spark, sf):
-    live = _live(spark, sf).withColumn("kw", F.col(POWER) / 25)
+    live = _live(_event_stream(spark, sf)).withColumn("kw", F.col(POWER) / 25)
     out = _run(spark, windows.bucket_counts(sketches.with_power_class(live, "kw")), "buckets")
     return runs.latest(spark, out, ["bucket"])
 
 
+@query
+def stream_cms(spark, sf):
+    """A Count-Min sketch that a stream of users updates."""
+    users = _event_stream(spark, sf).select(F.col("user_id").cast("string").alias("item"))
+    out = _run(spark, sketches.cms_update(users, "item"), "sketch")
+    return runs.latest(spark, out, ["row", "col"])
+
+
 @query
 def stream_sink_batches(spark, sf):
     """Rows in the latest view of the three per-trigger outputs."""
@@ -719,51 +772,70 @@ def stream_sink_batches(spark, sf):
         "sliding_windows": (windows.sliding, ["window_start"], "update"),
         "submetering": (windows.submetering_snapshot, [], "complete"),
     }
-    latest = {name: runs.latest(spark, _run(spark, build(_live(spark, sf)), name, mode), keys)
+    latest = {name: runs.latest(spark, _run(spark, build(_live(_event_stream(spark, sf))), name,
+                                            mode), keys)
               for name, (build, keys, mode) in outputs.items()}
     return profile.volume(**latest)
 
 
-def _arrivals(spark, sf) -> str:
-    """Events as five arrival batches: errors arrive two batches after their own ten days."""
-    path = fresh_path(spark, "arrivals")
-    events = table(spark, sf, "events")
-    base = F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2))
-    batch = base + F.when(F.col("event_type") == "error", 2).otherwise(0)
-    by_arrival = events.withColumn("arrival", batch)
-    for n in range(5):  # files are taken in the order they were written
-        (by_arrival.where(F.col("arrival") == n).drop("arrival").coalesce(1)
-         .write.mode("append").parquet(path))
-    return path
-
-
 @query
 def stream_watermark(spark, sf):
-    """Five-minute windows of a stream with late rows, under the ten-minute watermark."""
-    schema = table(spark, sf, "events").schema
-    events = table_stream(spark, _arrivals(spark, sf), schema, max_files=1).select(
-        F.col("ts").cast("timestamp").alias("event_time"), F.col("value").alias(POWER))
-    out = _run(spark, windows.tumbling(events, watermark="10 minutes"), "watermark")
+    """Five-minute windows of a stream with late rows, under the ten-minute watermark.
+
+    Errors arrive two groups after their own ten days.
+    """
+    base = F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2))
+    arrival = base + F.when(F.col("event_type") == "error", 2).otherwise(0)
+
+    def build(events):
+        readings = events.select(F.col("ts").cast("timestamp").alias("event_time"),
+                                 F.col("value").alias(POWER))
+        return windows.tumbling(readings, watermark=WATERMARK)
+    out = _feed(spark, sf, arrival, build, "watermark")
     return tidy(runs.latest(spark, out, ["window_start"]))
 
 
 @query
 def stream_dedup(spark, sf):
     """Distinct keys of a stream, each kept once."""
-    events = table_stream(spark, f"{sf}/events*.parquet", table(spark, sf, "events").schema)
-    unique = runs.drop_duplicates(events.select("user_id"), ["user_id"])
+    unique = runs.drop_duplicates(_event_stream(spark, sf).select("user_id"), ["user_id"])
     return spark.read.parquet(_run(spark, unique, "dedup", "append")).select("user_id")
 
 
+@query
+def stream_dedup_within(spark, sf):
+    """Distinct keys of a stream, remembered for as long as the table spans."""
+    events = _event_stream(spark, sf).select(
+        "user_id", F.col("ts").cast("timestamp").alias("event_time"))
+    unique = runs.drop_duplicates(events, ["user_id"], within="400 days")
+    return spark.read.parquet(_run(spark, unique, "within", "append")).select("user_id")
+
+
 @query
 def stream_dedup_sketch(spark, sf):
-    """Bloom-filter deduplication of a stream."""
-    events = table_stream(spark, f"{sf}/events*.parquet", table(spark, sf, "events").schema)
-    path = fresh_path(spark, "bloom")
-    sink = runs.BloomDedup(path, "user_id")
-    runs.finish(runs.start(events.select("user_id"), sink, f"{path}/checkpoint", "append",
-                           available_now=True))
-    return sketches.bloom_summary(sink.report(spark))
+    """Deduplication of a stream by a crowded Bloom filter: 200 keys planned, all users fed."""
+    sink = runs.BloomDedup(fresh_path(spark, "bloom"), "user_id", capacity=200)
+    _feed(spark, sf, _ten_days(), lambda e: e.select("user_id"), "bloom-in", "append", sink)
+    return sketches.bloom_summary(sink.report(spark), 200)
+
+
+@query
+def session_report(spark, sf):
+    """Totals of a stream session, from the progress kept for every trigger."""
+    log = fresh_path(spark, "progress")
+    _run(spark, _live(_event_stream(spark, sf)).select("event_time"), "session", "append", log)
+    return runs.live_summary(spark, log).select(
+        "total_received", "total_triggers", (F.col("elapsed_sec") > 0).alias("timed"),
+        (F.col("throughput_rps") > 0).alias("rated"))
+
+
+@query
+def json_report(spark, sf):
+    """A report appended as JSON lines, read back."""
+    path = fresh_path(spark, "report")
+    report = sketches.bloom_report(table(spark, sf, "orders"), "o_custkey", "o_orderkey")
+    write_report(report, path)
+    return spark.read.schema(report.schema).json(path)
 
 
 @query
@@ -775,8 +847,7 @@ def latency_avg(spark, sf):
 
 @query
 def session_summary(spark, sf):
-    messages = as_messages(standins.readings(spark, sf), limit=None,
-                           stamp=F.unix_millis("Datetime"))
+    messages = as_messages(standins.readings(spark, sf), stamp=F.unix_millis("Datetime"))
     return windows.session_summary(windows.live_readings(parse_messages(messages)),
                                    F.lit(NOW_MS))
 
@@ -854,7 +925,7 @@ def model_registry(spark, sf):
     """Two registered versions; the registry's latest pointer."""
     table_ = _model_table(spark, sf)
     base = fresh_path(spark, "registry")
-    small = learning.train_and_test(learning.forest(numTrees=20, maxDepth=5), table_, "small")
+    fitted = _forest(table_)
     for version, at in [("v1.0", "2024-01-01 00:00:00"), ("v1.1", "2024-02-01 00:00:00")]:
-        registry.register(spark, base, small, version, ("", ""), ("", ""), now=at)
+        registry.register(spark, base, fitted, version, ("", ""), ("", ""), now=at)
     return registry.latest(spark, base)

@@ -262,7 +262,7 @@ SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS "key", value AS power,
        CASE WHEN event_type = 'view' THEN value ELSE 0 END AS kitchen,
        CAST(year(ts) AS INTEGER) AS "Year", CAST(1706745600000 AS BIGINT) AS event_timestamp,
        date_trunc('second', ts) AS event_time
-FROM events ORDER BY ts LIMIT 5000"""
+FROM events"""
 
 # ---- Profiling --------------------------------------------------------------------------
 
@@ -272,24 +272,28 @@ UNION ALL SELECT 'weather', count(DISTINCT CAST(l_shipdate AS DATE)) FROM lineit
 ORACLE["profile_range"] = """
 SELECT min(CAST(ts AS DATE)) AS first_date, max(CAST(ts AS DATE)) AS last_date
 FROM events WHERE value <= 200"""
-ORACLE["profile_schema"] = "SELECT * FROM (VALUES " + ", ".join(
-    f"('readings', {i}, '{c}', 'string')" for i, c in enumerate(
-        ["Date", "Time", "Global_active_power", "Global_reactive_power", "Voltage",
-         "Global_intensity", "Sub_metering_1", "Sub_metering_2", "Sub_metering_3"])
-) + ", ('weather', 0, 'Date', 'date'), " + ", ".join(
-    f"('weather', {i + 1}, '{c}', 'double')" for i, c in enumerate(WEATHER_IN)
-) + """) t(dataset, "position", "column", "type")"""
+ORACLE["profile_schema"] = """
+SELECT table_name AS dataset, CAST(ordinal_position - 1 AS INTEGER) AS "position",
+       column_name AS "column",
+       CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+            WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
+            WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS "type", row_count
+FROM information_schema.columns JOIN (""" + " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
+    for t in ["events", "lineitem", "orders", "customer"]) + ") n USING (table_name)"
 ORACLE["profile_stats"] = f"WITH {RAW} " + " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", count({x}) AS count, round(avg({x}), 6) AS mean,
     round(stddev_samp({x}), 6) AS stddev, round(min({x}), 6) AS min, round(max({x}), 6) AS max
     FROM raw""" for c, x in zip(MISSING, ["gap", "grp", "volt", "inten", "s1", "s2", "s3"]))
 ORACLE["rows_per_year"] = """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS "Year", count(*) AS row_count
-FROM orders GROUP BY ALL"""
+FROM orders WHERE o_orderkey % 10 <> 0 GROUP BY ALL"""
 ORACLE["rows_per_month"] = """
 SELECT CAST(month(o_orderdate) AS INTEGER) AS "Month", count(*) AS row_count
+FROM orders WHERE o_orderkey % 10 <> 0 GROUP BY ALL"""
+ORACLE["partition_sizes"] = """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS "Year", count(*) AS row_count
 FROM orders GROUP BY ALL"""
-ORACLE["partition_sizes"] = ORACLE["rows_per_year"]
 ORACLE["skew_report"] = """
 WITH sizes AS (SELECT year(o_orderdate), month(o_orderdate), count(*) AS n
                FROM orders GROUP BY ALL),
@@ -396,8 +400,9 @@ SELECT event_id, round(value, 6) AS total_kwh,
     AS roll_30_std,
   round(lag(value, 1) OVER w - lag(value, 8) OVER w, 6) AS wow_change
 FROM events
-WINDOW w AS (ORDER BY ts), week AS (ORDER BY ts ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING),
-  month AS (ORDER BY ts ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)"""
+WINDOW w AS (ORDER BY ts, event_id),
+  week AS (ORDER BY ts, event_id ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING),
+  month AS (ORDER BY ts, event_id ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)"""
 
 # ---- Splits and learning inputs ---------------------------------------------------------
 
@@ -605,32 +610,33 @@ SELECT c_custkey, bool_and(bits.bit IS NOT NULL) AS maybe_present
 FROM probe_pos LEFT JOIN bits USING (bit) GROUP BY c_custkey"""
 
 
-def first_seen(capacity):
-    keys = """SELECT o_custkey, count(*) AS n, min(o_orderkey) AS first_seen
-              FROM orders GROUP BY o_custkey"""
-    return f"""WITH {positions(keys, "o_custkey", capacity, ", n, first_seen")},
+def first_seen(capacity, source="orders", key="o_custkey", order="o_orderkey"):
+    keys = f"""SELECT {key}, count(*) AS n, min({order}) AS first_seen
+              FROM {source} GROUP BY {key}"""
+    return f"""WITH {positions(keys, key, capacity, ", n, first_seen")},
 set_at AS (SELECT bit, min(first_seen) AS set_at FROM pos GROUP BY bit),
-seen AS (SELECT o_custkey, any_value(n) AS n, any_value(first_seen) AS first_seen,
+seen AS (SELECT {key}, any_value(n) AS n, any_value(first_seen) AS first_seen,
                 bool_or(set_at >= first_seen) AS is_new
-         FROM pos JOIN set_at USING (bit) GROUP BY o_custkey)"""
+         FROM pos JOIN set_at USING (bit) GROUP BY {key})"""
 
 
 ORACLE["bloom_first_seen"] = f"{first_seen(200)} SELECT * FROM seen"
 
 
-def bloom_figures(counts):
-    kilobytes = math.ceil(47926 / 8) / 1024
+def bloom_figures(counts, capacity=5000):
+    bits = math.ceil(-capacity * math.log(0.01) / math.log(2) ** 2)
+    kilobytes = math.ceil(bits / 8) / 1024
     return f"""SELECT processed, processed - unique_keys AS duplicates_caught, unique_keys,
-       round((1 - exp(-7.0 * unique_keys / 47926)) ** 7, 6) AS est_fp_rate,
+       round((1 - exp(-7.0 * unique_keys / {bits})) ** 7, 6) AS est_fp_rate,
        CAST({round(kilobytes, 2)} AS DOUBLE) AS memory_kb,
        round(processed * 20.0 / 1024 / {kilobytes}, 1) AS memory_saving_factor,
-       CAST(5000 AS BIGINT) AS capacity, CAST(0.01 AS DOUBLE) AS target_fp_rate,
+       CAST({capacity} AS BIGINT) AS capacity, CAST(0.01 AS DOUBLE) AS target_fp_rate,
        CAST({round(kilobytes, 2)} AS DOUBLE) AS bit_array_kb, 7 AS hash_functions,
        unique_keys AS n_inserted FROM ({counts})"""
 
 
 ORACLE["bloom_report"] = first_seen(5000) + bloom_figures(
-    """SELECT CAST(sum(n) AS BIGINT) AS processed,
+    """SELECT (SELECT count(*) FROM orders) AS processed,
               count(*) FILTER (is_new) AS unique_keys FROM seen""")
 SEEDS = [i * 2654435761 % 2 ** 32 for i in range(1, 8)]
 
@@ -702,7 +708,8 @@ s AS (SELECT round(sum(CASE WHEN event_type = 'view' THEN kw ELSE 0 END) / 1000,
              round(sum(CASE WHEN event_type = 'purchase' THEN kw ELSE 0 END) / 1000, 3) AS hvac_kwh,
              round(sum(CASE WHEN event_type = 'signup' THEN kw ELSE 0 END) / 1000, 3) AS other_kwh,
              round(sum(kw) / 60, 3) AS total_kwh, count(*) AS records,
-             CAST(0 AS DOUBLE) AS avg_latency_ms FROM live)
+             round(avg(greatest(1706745600000 - epoch_us(ts) // 1000, 0)), 2)
+               AS avg_latency_ms FROM live)
 SELECT *, round(kitchen_kwh / greatest(total_kwh, 0.001) * 100, 1) AS kitchen_pct,
        round(laundry_kwh / greatest(total_kwh, 0.001) * 100, 1) AS laundry_pct,
        round(hvac_kwh / greatest(total_kwh, 0.001) * 100, 1) AS hvac_pct,
@@ -714,21 +721,31 @@ SELECT 'tumbling_windows' AS dataset,
        count(DISTINCT time_bucket(INTERVAL '5 minutes', t)) AS row_count FROM live
 UNION ALL SELECT 'sliding_windows', count(*) FROM slid
 UNION ALL SELECT 'submetering', 1"""
-# A batch drops rows whose window ended before the watermark of the batch before it, which is
-# the latest time seen up to two batches earlier, less ten minutes.
+# Between groups the stream catches up, so a group's rows are late if their window ended before
+# the latest time of all earlier groups, less ten minutes.
 ORACLE["stream_watermark"] = f"""WITH arrived AS (
   SELECT ts AS t, value AS kw, least((day(ts) - 1) // 10, 2)
          + CASE WHEN event_type = 'error' THEN 2 ELSE 0 END AS batch FROM events),
 marks AS (SELECT b.batch, (SELECT max(a.t) - INTERVAL '10 minutes' FROM arrived a
-                           WHERE a.batch <= b.batch - 2) AS mark
+                           WHERE a.batch <= b.batch - 1) AS mark
           FROM (SELECT DISTINCT batch FROM arrived) b),
 kept AS (SELECT a.* FROM arrived a JOIN marks m USING (batch)
          WHERE m.mark IS NULL
             OR time_bucket(INTERVAL '5 minutes', a.t) + INTERVAL '5 minutes' > m.mark)
 {TUMBLE} FROM kept GROUP BY ALL"""
 ORACLE["stream_dedup"] = "SELECT DISTINCT user_id FROM events"
-ORACLE["stream_dedup_sketch"] = bloom_figures(
-    "SELECT count(*) AS processed, count(DISTINCT user_id) AS unique_keys FROM events")
+ORACLE["stream_dedup_within"] = ORACLE["stream_dedup"]
+# A key is new in the group of its first record unless keys of earlier groups had set its bits.
+ORACLE["stream_dedup_sketch"] = first_seen(200, """(
+    SELECT user_id, year(ts) * 36 + month(ts) * 3 + least((day(ts) - 1) // 10, 2) AS ten
+    FROM events)""", "user_id", "ten") + bloom_figures("""
+SELECT (SELECT count(*) FROM events) AS processed, count(*) FILTER (is_new) AS unique_keys
+FROM seen""", 200)
+ORACLE["stream_cms"] = ORACLE["cms_build"]
+ORACLE["json_report"] = ORACLE["bloom_report"]
+ORACLE["session_report"] = """
+SELECT count(*) AS total_received, CAST(3 AS BIGINT) AS total_triggers, true AS timed, true AS rated
+FROM events"""
 ORACLE["latency_avg"] = """
 SELECT count(*) AS stream_records,
        round(avg(greatest(1706745600000 - epoch_us(ts) // 1000, 0)), 2) AS stream_latency_ms FROM events"""

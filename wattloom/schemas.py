@@ -40,13 +40,11 @@ TARGET = "total_kwh"
 
 # ---- Stream messages --------------------------------------------------------------------
 MESSAGE_FIELDS = ["Datetime", *MEASURES, REMAINDER, "Year", "Month", "event_timestamp"]
-PUBLISH_LIMIT = 5000
 TUMBLING = "5 minutes"
 SLIDING = "10 minutes"
 SLIDE = "5 minutes"
 WATERMARK = "10 minutes"
 TRIGGER = "10 seconds"
-STREAM_TIMEOUT_SEC = 600
 
 # ---- Consumption classes: upper bounds in kW, exclusive -----------------------------------
 POWER_CLASSES = [

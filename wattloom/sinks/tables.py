@@ -2,7 +2,6 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wattloom.schemas import PUBLISH_LIMIT
 
 # Fixed layout below the base path.
 LAYOUT = {
@@ -72,9 +71,9 @@ def write_report(report: DataFrame, path: str) -> None:
     report.write.mode("append").json(path)
 
 
-def as_messages(df: DataFrame, limit: int | None = PUBLISH_LIMIT, time="Datetime",
+def as_messages(df: DataFrame, limit: int | None = None, time="Datetime",
                 stamp=None, keep=()) -> DataFrame:
-    """(key, value): the rows in time order, at most ``limit``, as keyed JSON objects.
+    """(key, value): all rows as keyed JSON objects, or the first ``limit`` in time order.
 
     NaN and NULL become JSON null, timestamps text; ``event_timestamp`` is the sending time in
     milliseconds.

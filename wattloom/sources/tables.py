@@ -21,16 +21,16 @@ def table_if_present(spark: SparkSession, path) -> DataFrame | None:
 
 
 def daily_with_weather(spark: SparkSession, path, readings: Callable[[], DataFrame],
-                       weather: Callable[[], DataFrame], keys=()) -> DataFrame:
+                       weather: Callable[[], DataFrame], keys=(), weather_keys=()) -> DataFrame:
     """The prepared daily table at ``path``, or else the same columns rebuilt, unrounded."""
     ready = table_if_present(spark, path)
     if ready is not None:
         return ready
-    return rebuild_daily(readings(), weather(), keys)
+    return rebuild_daily(readings(), weather(), keys, weather_keys)
 
 
-def rebuild_daily(readings: DataFrame, weather: DataFrame, keys=()) -> DataFrame:
-    return join_weather(daily_with_appliances(readings, keys), weather, keys)
+def rebuild_daily(readings: DataFrame, weather: DataFrame, keys=(), weather_keys=()) -> DataFrame:
+    return join_weather(daily_with_appliances(readings, keys), weather, weather_keys)
 
 
 def submetering_if_present(spark: SparkSession, path, keys=()) -> DataFrame | None:

@@ -1,11 +1,13 @@
 """Running streaming queries: per-trigger output, latest state, deduplication, progress."""
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wattloom.functions.hashing import bloom_shape
 from wattloom.operators.sketches import WORD_BITS, _positions, bloom_merge, bloom_words
-from wattloom.schemas import BLOOM_CAPACITY, BLOOM_FPP, STREAM_TIMEOUT_SEC, TRIGGER
+from wattloom.schemas import BLOOM_CAPACITY, BLOOM_FPP, TRIGGER
 
 
 def start(df: DataFrame, sink, checkpoint: str, mode="update", available_now=False,
@@ -16,27 +18,54 @@ def start(df: DataFrame, sink, checkpoint: str, mode="update", available_now=Fal
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
-def finish(query: StreamingQuery, timeout=STREAM_TIMEOUT_SEC) -> bool:
-    """Wait for the query, stopping it at the time limit. True if it ended by itself."""
-    ended = query.awaitTermination(timeout)
-    if not ended:
-        query.stop()
-    return ended
+PROGRESS = ("batch_id bigint, input_rows bigint, rows_per_second double, duration_ms bigint, "
+            "dropped_late bigint")
+
+
+def finish(query: StreamingQuery, timeout: float | None = None, log: str | None = None,
+           poll=2.0) -> None:
+    """Wait until the query ends by itself; its failure is raised here.
+
+    There is no limit unless ``timeout`` (seconds) sets one; if it is hit, the query is stopped
+    and ``TimeoutError`` raised, so a part of the input never passes for the whole. With ``log``,
+    one row per trigger is kept at that path as triggers go by (a query itself remembers only
+    its last hundred).
+    """
+    start_, seen = time.monotonic(), -1
+    while True:
+        ended = query.awaitTermination(poll)
+        if log:
+            seen = _keep_progress(query, log, seen)
+        if ended:
+            return
+        if timeout is not None and time.monotonic() - start_ > timeout:
+            query.stop()
+            raise TimeoutError(f"the stream did not end within {timeout} s")
+
+
+def _keep_progress(query: StreamingQuery, log: str, seen: int) -> int:
+    """Append the triggers after ``seen`` to the log; returns the last one's number."""
+    rows = []
+    for p in query.recentProgress:
+        if p["batchId"] > seen and p["durationMs"].get("addBatch") is not None:
+            dropped = sum(op["numRowsDroppedByWatermark"] for op in p["stateOperators"])
+            rows.append((p["batchId"], p["numInputRows"],
+                         float(p.get("processedRowsPerSecond") or 0),
+                         p["durationMs"].get("triggerExecution", 0), dropped))
+    if rows:
+        SparkSession.active().createDataFrame(rows, PROGRESS).coalesce(1).write.mode(
+            "append").parquet(log)
+    return max([seen, *(r[0] for r in rows)])
 
 
 def per_trigger_sink(path: str):
     """Sink that keeps each trigger's rows in a directory of its own.
 
     A batch that is run again after a failure overwrites its directory, so no row appears twice.
-    Empty batches leave nothing behind.
     """
     def sink(batch: DataFrame, batch_id: int):
-        batch = batch.withColumn("written_at", F.current_timestamp()).persist()
-        try:
-            if not batch.isEmpty():
-                batch.write.mode("overwrite").parquet(f"{path}/trigger_id={batch_id}")
-        finally:
-            batch.unpersist()
+        batch.withColumn("written_at", F.current_timestamp()).write.mode("overwrite").parquet(
+            f"{path}/trigger_id={batch_id}")
     return sink
 
 
@@ -64,7 +93,8 @@ class BloomDedup:
     """Approximate deduplication of a stream, as a ``foreachBatch`` sink.
 
     The filter lives in the shared folder as a table of its set words: batch ``b`` reads what
-    batches before ``b`` wrote, adds the words its new keys set, and writes one report row.
+    batches before ``b`` wrote and adds the words its new keys set, and its counts. Keys
+    themselves are not kept.
     Re-running a batch gives the same result. Rows are collapsed to distinct keys first, so a
     key with many copies costs one probe. Within a batch keys are told apart exactly; across
     batches a key may be taken for a duplicate with the filter's false-positive rate.
@@ -86,9 +116,9 @@ class BloomDedup:
 
     def __call__(self, batch: DataFrame, batch_id: int):
         spark, key = batch.sparkSession, self.key
-        keys = batch.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col(key).isNotNull())
-        positions = _positions(keys, key, self.bits, self.hashes, "n").withColumn(
-            "word", F.floor(F.col("bit") / WORD_BITS))
+        keys = batch.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        positions = _positions(keys.where(F.col(key).isNotNull()), key, self.bits, self.hashes
+                               ).withColumn("word", F.floor(F.col("bit") / WORD_BITS))
         before = self._words_before(spark, batch_id)
         if before is None:
             hit = F.lit(False)
@@ -97,39 +127,34 @@ class BloomDedup:
             hit = F.coalesce(
                 F.getbit("bits", (F.col("bit") % WORD_BITS).cast("int")) == 1, F.lit(False))
         probed = (positions.groupBy(key)
-                  .agg(F.first("n").alias("n"), F.bool_and(hit).alias("known"),
+                  .agg(F.bool_and(hit).alias("known"),
                        F.collect_list("bit").alias("set_bits")))  # `hashes` entries
-        keys_path = f"{self.path}/keys/batch_id={batch_id}"
-        probed.write.mode("overwrite").parquet(keys_path)
-        probed = spark.read.parquet(keys_path)
         added = bloom_words(probed.where(~F.col("known")).select(F.explode("set_bits").alias("bit")))
         if before is not None and batch_id % self.compact_every == 0:
             added = bloom_merge(before, added)
         added.write.mode("overwrite").parquet(f"{self.path}/words/batch_id={batch_id}")
+        total = keys.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("processed"))
+        new = probed.agg(F.count_if(~F.col("known")).alias("unique_keys"))
+        total.select("processed", F.lit(None).cast("bigint").alias("unique_keys")).unionByName(
+            new.select(F.lit(None).cast("bigint").alias("processed"), "unique_keys")).write.mode(
+            "overwrite").parquet(f"{self.path}/counts/batch_id={batch_id}")
 
     def report(self, spark: SparkSession) -> DataFrame:
-        """(processed, unique_keys) over all batches."""
-        return spark.read.parquet(f"{self.path}/keys").agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("processed"),
-            F.count_if(~F.col("known")).alias("unique_keys"))
+        """(processed, unique_keys) over all batches; records of NULL key count as processed."""
+        return spark.read.parquet(f"{self.path}/counts").agg(
+            F.coalesce(F.sum("processed"), F.lit(0)).alias("processed"),
+            F.coalesce(F.sum("unique_keys"), F.lit(0)).alias("unique_keys"))
 
 
-def progress_report(query: StreamingQuery) -> DataFrame:
-    """(batch_id, input_rows, rows_per_second, duration_ms, dropped_late) of recent triggers."""
-    spark = SparkSession.active()
-    rows = []
-    for p in query.recentProgress:
-        dropped = sum(op["numRowsDroppedByWatermark"] for op in p["stateOperators"])
-        rows.append((p["batchId"], p["numInputRows"], float(p.get("processedRowsPerSecond") or 0),
-                     p["durationMs"].get("triggerExecution", 0), dropped))
-    return spark.createDataFrame(rows, "batch_id bigint, input_rows bigint, "
-                                 "rows_per_second double, duration_ms bigint, dropped_late bigint")
+def progress_report(spark: SparkSession, log: str) -> DataFrame:
+    """(batch_id, input_rows, rows_per_second, duration_ms, dropped_late) of every trigger."""
+    return spark.read.schema(PROGRESS).parquet(log)
 
 
-def live_summary(query: StreamingQuery) -> DataFrame:
-    """Totals over the recent triggers: records, triggers, seconds, records per second."""
+def live_summary(spark: SparkSession, log: str) -> DataFrame:
+    """Totals over all triggers: records, triggers, seconds, records per second."""
     rows, seconds = F.sum("input_rows"), F.sum("duration_ms") / 1000.0
-    return progress_report(query).agg(
+    return progress_report(spark, log).agg(
         F.coalesce(rows, F.lit(0)).alias("total_received"),
         F.count_if(F.col("input_rows") > 0).alias("total_triggers"),
         F.round(seconds, 1).alias("elapsed_sec"),

@@ -51,13 +51,15 @@ def last_windows(windows: DataFrame, n=10) -> DataFrame:
     return windows.orderBy(F.col("window_start").desc()).limit(n)
 
 
-def submetering_snapshot(df: DataFrame) -> DataFrame:
-    """Energy per appliance group over everything received so far."""
-    return df.agg(
+def submetering_snapshot(df: DataFrame, now_ms=None) -> DataFrame:
+    """Energy per appliance group over everything received so far, and the mean delay."""
+    now_ms = F.unix_millis(F.current_timestamp()) if now_ms is None else now_ms
+    delay = F.greatest(now_ms - F.coalesce("event_timestamp", now_ms), F.lit(0))
+    return df.withColumn("_delay", delay).agg(
         *[steady_round(F.sum(m) / 1000.0, 3).alias(c) for m, c in zip(SUBMETERS, APPLIANCE_KWH)],
         steady_round(F.sum(POWER) / 60.0, 3).alias("total_kwh"),
         F.count(F.lit(1)).alias("records"),
-        F.lit(0.0).alias("avg_latency_ms"))
+        steady_round(F.avg("_delay"), 2).alias("avg_latency_ms"))
 
 
 def submetering_shares(snapshot: DataFrame) -> DataFrame:
