@@ -10,7 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from wattloom.llm import (decontaminate, embedding_dedup, lm_score, ngram_join, packing, pii,
-                          quality, suffix_array, url_filter)
+                          quality, substring_dedup, suffix_array, url_filter)
 from wattloom.llm.common import components
 from wattloom.llm.queries import QUERIES
 from wattloom.plans.standins import table
@@ -160,15 +160,16 @@ def test_repeats_of_the_table(spark, sf, docs):
             len(text.encode()), n, runs, hashlib.sha256(kept).hexdigest())
 
 
-def test_repeats_of_a_crowd(spark):
-    """One passage in many texts, at different offsets: more blocks than a shard takes."""
-    from wattloom.llm.substring_dedup import cut_repeats
+@pytest.mark.parametrize("crowd", [20, 1000])
+def test_repeats_of_a_crowd(spark, monkeypatch, crowd):
+    """One passage in many texts, between different neighbours, in shards and string by string."""
+    monkeypatch.setattr(substring_dedup, "CROWD", crowd)
     rng = random.Random(3)
     passage = "".join(rng.choice("abcdef ") for _ in range(300))
     texts = ["".join(rng.choice("xyz ") for _ in range(rng.randint(0, 90))) + passage
              + "".join(rng.choice("uvw ") for _ in range(rng.randint(0, 90))) for _ in range(260)]
     texts += texts[:3] + [passage * 3, None, ""]
-    rows = cut_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"),
+    rows = substring_dedup.cut_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"),
                        length=200).collect()
     expected = list(brute.repeats(texts, 200))
     for r in rows:

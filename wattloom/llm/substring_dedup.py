@@ -18,9 +18,9 @@ U64 = np.uint64
 GRAM = 64
 #: Bytes of blocks in one suffix array.
 SHARD = 1 << 20
-#: Different blocks of an anchor up to which they go to one shard; the strings of more are
-#: grouped one by one.
-CROWD = 100
+#: Different blocks of an anchor up to which they go to one shard, which they then about fill;
+#: the strings of more are grouped one by one.
+CROWD = 1000
 
 
 class Roller:
@@ -204,21 +204,27 @@ def cut_repeats(documents: DataFrame, id="doc_id", text="text", length=400) -> D
     # How many blocks are fetched has no bound, so they are not broadcast.
     wanted = wanted.select(F.col("id").alias("of"), F.col("k1").alias("w1"),
                            F.col("k2").alias("w2"), "anchor", "block", "start", "many",
-                           "kinds").hint("merge")
+                           "kinds", "alone").hint("merge")
     same = (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2")) & F.col("id").eqNullSafe(
         F.col("of"))
     fetched = docs.join(wanted, same).select(
-        "anchor", "block", "kinds", F.substring(
+        "anchor", "block", "kinds", "alone", F.substring(
             F.col("text").cast("binary"), F.col("start") + 1, F.col("many") + length - 1
         ).alias("bytes"))
     fetched = written(fetched, "fetched")
     spans = "anchor long, block long, spans array<int>"
     small = fetched.where(F.col("kinds") <= CROWD).select("anchor", "block", "bytes").repartition(
         "anchor").sortWithinPartitions("anchor", "block").mapInArrow(_shards(length), spans)
-    strings = fetched.where(F.col("kinds") > CROWD).select("anchor", "block", "bytes").mapInArrow(
-        _strings(length), "anchor long, block long, h1 long, h2 long, at int")
-    twice = strings.groupBy("anchor", "h1", "h2").agg(F.count("*").alias("n")).where("n > 1")
-    crowded = strings.join(twice.drop("n"), ["anchor", "h1", "h2"]).groupBy(
+
+    def strings(some):
+        return some.where(F.col("kinds") > CROWD).select("anchor", "block", "bytes").mapInArrow(
+            _strings(length), "anchor long, block long, h1 long, h2 long, at int")
+
+    twice = strings(fetched).groupBy("anchor", "h1", "h2").agg(F.count("*").alias("n")).where(
+        "n > 1")
+    # Blocks that occur twice count for others, but are repeated as a whole anyway.
+    crowded = strings(fetched.where("alone")).join(
+        twice.drop("n"), ["anchor", "h1", "h2"]).groupBy(
         "anchor", "block").agg(F.collect_set("at").alias("at"))
     each = F.transform("at", lambda x: F.array(x, x + 1))
     crowded = crowded.select("anchor", "block", F.flatten(each).alias("spans"))
