@@ -168,8 +168,8 @@ def _local_stars(batches):
 def components(edges: DataFrame, name="components") -> DataFrame:
     """(node, component): the smallest node that links (a, b) of two longs reach from ``node``.
 
-    Each partition first contracts its own links to stars. Then large-star and small-star steps
-    alternate until the links no longer change; each round is a written table. Every step is a
+    Each partition contracts its own links to stars; then a large-star and a small-star step
+    follow, and so on until the links no longer change. Each round is a written table. Every step is a
     grouped minimum, summed before the shuffle, and a join that adaptive execution can split, so
     a node with very many links is no hot task. Nodes without a link are not returned; links
     with a NULL end and loops are ignored.
@@ -186,6 +186,7 @@ def components(edges: DataFrame, name="components") -> DataFrame:
         if tuple(state) == before or not state[0]:
             return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
         before = tuple(state)
+        links = links.mapInArrow(_local_stars, "a long, b long")
         both = links.union(links.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = (both.where("b > a").join(least, "a").where("b <> m")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from wattloom.llm.common import free_name
+from wattloom.llm.common import free_name, written
 
 #: Blank lines separate paragraphs and are never boilerplate.
 BLANK = r"^[\x20\x09-\x0D]*$"
@@ -51,10 +51,11 @@ def drop_lines(pages: DataFrame, host="source", text="text", ratio=0.08, min_pag
     with the number of lines cut.
 
     Lines are counted as hashes, summed before the shuffle. The boilerplate of a host is one
-    short array, joined to its pages on the host; Spark broadcasts it if it is small and
-    otherwise splits the pages of a large host over tasks.
+    short array. These are written first, so their size is known: Spark broadcasts them if they
+    are small, without a shuffle of the pages, and otherwise joins on the host and splits the
+    pages of a large one over tasks.
     """
-    common = boilerplate(pages, host, text, ratio, min_pages)
+    common = written(boilerplate(pages, host, text, ratio, min_pages), "boilerplate")
     at, found, kept = (free_name(pages, n) for n in ("host_", "boilerplate_", "kept_"))
     common = common.select(F.col("host").alias(at), F.col("lines").alias(found))
     joined = pages.join(common, F.col(f"`{host}`").eqNullSafe(F.col(at)), "left")

@@ -77,7 +77,7 @@ class Bands:
         if band not in self.cuts:
             high = self.high[band]
             count = most_different(high, high, self.percent) + 1
-            count += -(-count // 10)  # some to spare, as empty segments tell nothing
+            count += -(-count // 4)  # some to spare: the smallest segments tell least
             self.cuts[band] = np.array([i * 2 ** 64 // count for i in range(1, count)], U64)
         return self.cuts[band]
 
@@ -94,9 +94,13 @@ class Bands:
             at = np.concatenate(([0], np.searchsorted(s, self.edges(band)), [n]))
             names = np.arange(len(at) - 1, dtype=U64) + U64(band << 32)
             keys = mix64(total[at[1:]] - total[at[:-1]] + mix64(names))
-            filled = at[1:] > at[:-1]
-            # Sets that could agree in empty segments alone must use those as well.
-            out.append(keys[filled] if filled.sum() > most else keys)
+            # Similar sets agree in more than `spare` segments. Up to so many of the smallest
+            # are left out: of two such sets, the one that leaves out larger segments still
+            # has a common one that both keep.
+            sizes = at[1:] - at[:-1]
+            spare = len(sizes) - 1 - most
+            least = np.searchsorted(np.cumsum(np.bincount(sizes)), spare, "right")
+            out.append(keys[sizes >= least])
         return np.concatenate(out) if out else np.zeros(0, U64)
 
 
