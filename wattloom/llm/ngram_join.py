@@ -4,10 +4,10 @@ Two sets of sizes a and b with Jaccard similarity of at least p percent differ i
 ``D = (a + b) * (100 - p) / (100 + p)`` elements. Within a band of sizes the hash space is cut
 into more segments than D can be, so such sets agree in at least one whole segment: sets meet in
 the tile of that band, segment and content. Tiles that share members form a group, and all links
-lie within groups. A group of few members is compared in one task. In larger groups the members
-of each tile are compared with its smallest, then with a few others; only tiles whose members
-are then still apart compare all members, block by block. Bitmaps rule pairs out; those they
-admit are intersected exactly.
+lie within groups. A group of few members is compared in one task. In larger groups all
+are compared with a few of the group, then those of each tile with its smallest; only tiles
+whose members are then still apart compare all of them, block by block. Bitmaps rule pairs out;
+those they admit are intersected exactly.
 """
 
 import numpy as np
@@ -26,8 +26,7 @@ SMALL = 128
 BAND = 1.4
 #: Members of a tile that one task compares with as many others at once.
 BLOCK = 256
-#: Further members of a tile that are compared with all, if one did not join them: the smallest
-#: after flipping these bits, so that tiles with common members agree on them.
+#: The members of a large group that are compared with all: the smallest after flipping these.
 FLIPS = [int(x) for x in (np.arange(1, 9, dtype=U64) * U64(0x9E3779B97F4A7C15)).view(np.int64)]
 #: Rows that a task combines before they are shuffled.
 COMBINE = 1 << 19
@@ -429,34 +428,34 @@ def similar_sets(documents: DataFrame, id="doc_id", text="text", words=5, percen
         return sides(fit, full, ["text"]).select("a", "b", "ta", "tb").mapInArrow(
             _intersect(words, percent), "a long, b long")
 
-    first = components(linked(
-        met.where("d1 <> pivot").select(F.least("d1", "pivot").alias("a"),
-                                        F.greatest("d1", "pivot").alias("b")).distinct()), "stars")
+    def between(first, second):
+        return (F.least(first, second).alias("a"), F.greatest(first, second).alias("b"))
 
-    def apart(groups, *more):
+    # A few members of a group are compared with all others: of near copies they join most.
+    inside = reps.where("large").select("component", "d1")
+    flipped = [F.min(F.col("d1").bitwiseXOR(F.lit(x))).bitwiseXOR(F.lit(x)) for x in FLIPS]
+    pivots = inside.groupBy("component").agg(F.array(*flipped).alias("pivots"))
+    first = components(linked(inside.join(pivots, "component").select(
+        "d1", F.explode("pivots").alias("p")).where("d1 <> p").select(
+        *between("d1", "p")).distinct()), "stars")
+
+    def apart(groups):
         """(key, set, component) of tile members, and keys whose members are apart."""
         rows = met.select("key", "d1").distinct().join(
             groups.select(F.col("node").alias("d1"), "component"), "d1", "left").select(
             "key", "d1", F.coalesce("component", "d1").alias("c"))
         keys = rows.groupBy("key").agg(
             F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("size"),
-            F.sum(F.xxhash64("d1").cast("decimal(38,0)")).alias("who"), *more
-        ).where("low < high")
+            F.sum(F.xxhash64("d1").cast("decimal(38,0)")).alias("who")).where("low < high")
         # Of tiles with the same members one is enough.
-        return rows, keys.groupBy("size", "who").agg(
-            F.min("key").alias("key"), *[F.first(m).alias(m) for m in keys.columns[5:]])
+        return rows, keys.groupBy("size", "who").agg(F.min("key").alias("key"))
 
     def joined(groups, links):
         stars = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
         return components(stars.union(links), "groups")
 
-    rows, keys = apart(first, *[F.min(F.col("d1").bitwiseXOR(F.lit(x))).alias(f"p{i}")
-                                for i, x in enumerate(FLIPS)])
-    pivots = F.array_distinct(F.array(*[F.col(f"p{i}").bitwiseXOR(F.lit(x))
-                                        for i, x in enumerate(FLIPS)]))
-    some = rows.join(keys.select("key", pivots.alias("pivots")), "key").select(
-        "d1", "c", F.explode("pivots").alias("p")).where("d1 <> p").select(
-        F.least("d1", "p").alias("a"), F.greatest("d1", "p").alias("b")).distinct()
+    # Then the members of a tile with its smallest, where they are not together yet.
+    some = met.where("d1 <> pivot").select(*between("d1", "pivot")).distinct()
     ends = {e: first.select(F.col("node").alias(e), F.col("component").alias("c" + e))
             for e in ("a", "b")}
     some = some.join(ends["a"], "a", "left").join(ends["b"], "b", "left").where(
