@@ -26,7 +26,7 @@ def test_date_filter_reaches_the_scan(spark, sf):
     assert "PushedFilters: [IsNotNull(o_orderkey), GreaterThan(o_orderkey,100)]" in plan(orders)
 
 
-STREAMS_AND_MODELS = ("stream_", "train_", "best_", "cv_forest", "forest_", "permutation",
+STREAMS_AND_MODELS = ("stream_", "train_", "best_", "cv_forest", "cv_boosted", "forest_", "permutation",
                       "score_forest", "model_registry", "session_report")
 
 

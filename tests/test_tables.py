@@ -11,7 +11,7 @@ from wattloom.session import fresh_path
 from wattloom.sinks.tables import location, validate_counts, write_parquet, write_report
 from wattloom.sources.readings import read_readings, read_readings_for_profiling, read_table
 from wattloom.sources.tables import submetering_if_present, table_if_present
-from wattloom.sources.weather import normal_name, read_weather
+from wattloom.sources.weather import normal_name, read_weather, unreadable_dates
 
 POWER_TEXT = """Date;Time;Global_active_power;Global_reactive_power;Voltage;Global_intensity;Sub_metering_1;Sub_metering_2;Sub_metering_3
 16/12/2006;17:24:00;4.216;0.418;234.840;18.400;0.000;1.000;17.000
@@ -171,3 +171,20 @@ def test_keyed_batch_with_shared_weather(spark, sf, tmp_path):
     stored = read_table(spark, location(base, "daily_weather"))
     assert stored.count() == read_table(spark, location(base, "daily")).count()
     assert {"user_id", "temp_mean_c"} <= set(stored.columns)
+
+
+def test_weather_files_of_different_layout(spark, tmp_path):
+    folder = tmp_path / "weather"
+    folder.mkdir()
+    (folder / "a.csv").write_text("lat,lon\n1,2\n\ntime,temperature_2m_mean (C),"
+                                  "precipitation_sum (mm)\n2024-01-01,5,30\n2024-13-01,6,7\n")
+    (folder / "b.csv").write_text("time,precipitation_sum (mm),temperature_2m_mean (C),cloud\n"
+                                  "2024-01-02,31,4,9\n")
+    weather = read_weather(spark, str(folder))
+    rows = {r["time"]: r for r in weather.collect()}
+    assert (rows["2024-01-01"]["temperature_2m_mean"],
+            rows["2024-01-01"]["precipitation_sum"]) == (5.0, 30.0)
+    assert (rows["2024-01-02"]["temperature_2m_mean"],
+            rows["2024-01-02"]["precipitation_sum"]) == (4.0, 31.0)
+    assert rows["2024-01-01"]["cloud"] is None and rows["2024-01-02"]["cloud"] == 9.0
+    assert unreadable_dates(weather).first().asDict() == {"rows": 3, "unreadable": 1}

@@ -8,7 +8,7 @@ keys (meter, site) in front of the time grain. Nothing is sorted; order when pre
 from pyspark.sql import DataFrame, functions as F
 
 from wattloom.functions.numbers import pearson, steady_round
-from wattloom.operators.order_stats import unpivot_columns
+from wattloom.operators.profile import per_column
 from wattloom.schemas import (APPLIANCES, APPLIANCE_KWH, APPLIANCE_PCT, POWER, SUBMETERS, TARGET)
 
 MONTHLY_APPLIANCES = ["avg_sm1_kitchen_wh", "avg_sm2_laundry_wh", "avg_sm3_hvac_wh",
@@ -161,12 +161,10 @@ def correlation(df: DataFrame, left: str, right: str) -> DataFrame:
 def correlation_ranking(features: DataFrame, columns, target=TARGET, top=10) -> DataFrame:
     """Features by absolute correlation with the target, strongest first.
 
-    One grouping over (feature, value, target) rows, which collapse to a row per feature before
-    the shuffle, keeps the plan small however many features there are.
+    One aggregate over all columns at once: no row is repeated for a feature.
     """
-    long = unpivot_columns(features.withColumn("_y", F.col(target).cast("double")), columns,
-                           keep=("_y",))
-    return (long.groupBy("feature").agg(pearson("value", "_y").alias("correlation"))
+    long = per_column(features, columns, lambda c: [pearson(c, target).alias("correlation")])
+    return (long.withColumnRenamed("column", "feature")
             .where(F.col("correlation").isNotNull())
             .withColumn("direction", F.when(F.col("correlation") > 0, "up").otherwise("down"))
             .orderBy(F.abs("correlation").desc(), "feature").limit(top))

@@ -4,11 +4,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from wattloom.functions.classes import skew_class
 from wattloom.functions.cleaning import clean_double, is_missing
-from wattloom.operators.order_stats import unpivot_columns
 from wattloom.schemas import FEATURE_GROUPS, MEASURES, READING_DATE_FORMAT
 
 
-def _per_column(df: DataFrame, columns, report) -> DataFrame:
+def per_column(df: DataFrame, columns, report) -> DataFrame:
     """Aggregate a struct per column in one pass, then turn the structs into rows."""
     wide = df.agg(*[F.struct(*report(c)).alias(f"_{i}") for i, c in enumerate(columns)])
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_{i}").alias("r"))
@@ -51,7 +50,7 @@ def missing_report(df: DataFrame, columns=tuple(MEASURES)) -> DataFrame:
         n = F.count_if(is_missing(F.col(c)))
         return [n.alias("missing"),
                 F.round(F.try_divide(n * 100.0, F.count(F.lit(1))), 2).alias("missing_pct")]
-    return _per_column(df, columns, report)
+    return per_column(df, columns, report)
 
 
 def describe(df: DataFrame, columns=tuple(MEASURES), from_text=True) -> DataFrame:
@@ -61,16 +60,19 @@ def describe(df: DataFrame, columns=tuple(MEASURES), from_text=True) -> DataFram
         return [F.count(value).alias("count"), F.avg(value).alias("mean"),
                 F.stddev(value).alias("stddev"), F.min(value).alias("min"),
                 F.max(value).alias("max")]
-    return _per_column(df, columns, report)
+    return per_column(df, columns, report)
 
 
 def feature_summary(features: DataFrame, groups=FEATURE_GROUPS) -> DataFrame:
     """Mean, sample standard deviation and missing count of every feature in every group."""
     group_of = {c: g for g, cols in groups.items() for c in cols if c in features.columns}
     names = F.create_map(*[F.lit(x) for pair in group_of.items() for x in pair])
-    return (unpivot_columns(features, list(group_of)).groupBy("feature")
-            .agg(F.avg("value").alias("mean"), F.stddev("value").alias("stddev"),
-                 F.count_if(F.col("value").isNull()).alias("missing"))
+
+    def report(c):
+        value = F.col(c).cast("double")
+        return [F.avg(value).alias("mean"), F.stddev(value).alias("stddev"),
+                F.count_if(value.isNull()).alias("missing")]
+    return (per_column(features, list(group_of), report).withColumnRenamed("column", "feature")
             .withColumn("feature_group", names[F.col("feature")]))
 
 

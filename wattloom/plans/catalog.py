@@ -900,6 +900,13 @@ def cv_forest(spark, sf):
         learning.forest_cv(), table_, learning.feature_columns(table_)))
 
 
+@query
+def cv_boosted(spark, sf):
+    table_ = _model_table(spark, sf)
+    return learning.cv_summary(learning.cross_validate(
+        learning.boosted_cv(), table_, learning.feature_columns(table_)))
+
+
 @query
 def forest_importance(spark, sf):
     return explain.importance(_forest(_model_table(spark, sf)))
