@@ -214,6 +214,37 @@ def test_probabilities_add_up_to_one():
         assert np.exp(a[first] + b[second] - z[first, second]).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_words_of_one_ending_are_told_apart_by_their_context(spark):
+    """Words beyond the most frequent 895 have vectors, and so have they as context."""
+    rng = random.Random(3)
+    common = " ".join(f"f{i}" for i in range(1000))
+    pairs = [(f"l{i}", f"w{i}zz") for i in range(40)]
+    docs = [(2 * i, common) for i in range(30)]
+    docs += [(100_000 + i, " ".join(f"{a} {b}" for a, b in rng.sample(pairs, 20)))
+             for i in range(50)]
+    right = " ".join(f"{a} {b}" for a, b in pairs)
+    wrong = " ".join(f"{a} {pairs[i - 7][1]}" for i, (a, _) in enumerate(pairs))
+    held = [i for i in range(1000) if zlib.crc32(str(-i).encode()) % 10 == 0][:2]
+    docs += [(-held[0], right), (-held[1], wrong)]
+    rows = {r.doc_id: r for r in lm_score.score_texts(spark.createDataFrame(
+        docs, "doc_id long, text string").coalesce(1), batch_tokens=256).collect()}
+    a, b = rows[-held[0]], rows[-held[1]]
+    assert a.held_out and b.held_out and a.base_score == pytest.approx(b.base_score)
+    assert a.score > b.score + 4
+
+
+def test_a_tree_of_several_depths_adds_up_to_one():
+    rng = np.random.default_rng(1)
+    net = lm_score.LogBilinear(5000, 8, np.arange(5000.0)[::-1])
+    for _ in range(20):
+        x = rng.integers(0, 5000, 500)
+        net.step(x[:-2], x[1:-1], x[2:], rng)
+    net.ready()
+    for first, second in ((0, 0), (3, 4999), (700, 5)):
+        logs = net.logs(np.full(5000, first), np.full(5000, second), np.arange(5000))
+        assert np.exp(logs).sum() == pytest.approx(1, abs=1e-4)
+
+
 # ---- 7 embeddings ----------------------------------------------------------------------
 
 @pytest.mark.parametrize("cell_rows", [4096, 40])

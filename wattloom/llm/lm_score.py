@@ -1,10 +1,12 @@
 """LM scoring by a log-bilinear model, trained in numpy with noise-contrastive estimation.
 
-The model predicts a token's symbol from the symbols of the two tokens before it. Frequent
-words are symbols of their own; all other words share symbols by their last two bytes, and a
-word's share of its symbol is its smoothed count. The logit is bilinear, so the exponentials
-of the two context parts are separate tables, and the normaliser of all contexts at once is
-one product of them.
+The model predicts a token's symbol from the symbols of the two tokens before it. Every word of
+the lexicon is a symbol with vectors of its own; words beyond it share symbols by their last two
+bytes, and a word's share of its symbol is its smoothed count. Symbols are the leaves of a tree
+of FAN children a node, in the order of their endings. Nodes have vectors too, trained at each
+depth by noise-contrastive estimation, which needs no normaliser; a score is the product of the
+probabilities of the children on the way to the leaf, each normalised over its siblings, so that
+a context costs a few times FAN products instead of one for each word.
 """
 
 import math
@@ -20,6 +22,9 @@ from wattloom.llm.common import (broadcast, crc32_of, list_array, lower_map, ope
 
 LOWER = lower_map([])
 LOWER[0] = 0
+#: Children of a node of the tree of symbols, as a power of two.
+FAN_BITS = 6
+FAN = 1 << FAN_BITS
 #: The token after a text's last word. Words hold no white space, so it is none of them.
 END = b"\n"
 SMOOTH = 0.1
@@ -60,7 +65,8 @@ class Symbols:
         #: lexicon: [(token, count)], most frequent first; endings: [(last bytes, sum, distinct)]
         self.tokens = [t for t, _ in lexicon]
         self.counts = np.array([n for _, n in lexicon], np.float64)
-        named = [END, *[t for t in self.tokens if t != END][:words - 1]]
+        named = [t for t in self.tokens if t != END][:None if words is None else words - 1]
+        named = [END, *sorted(named, key=lambda t: t[::-1])]
         self.named = {t: i for i, t in enumerate(named)}
         left = {e: [s, d] for e, s, d in endings}
         counted = dict(lexicon)
@@ -107,60 +113,241 @@ def contexts(symbols, ends):
     return first, second
 
 
+def _order(places):
+    """What sorts places under 2 ** 32: numpy has a fast stable sort of 16 bits only."""
+    order = np.argsort(places.astype(np.uint16), kind="stable")
+    high = places >> 16
+    if high.any():
+        order = order[np.argsort(high[order].astype(np.uint16), kind="stable")]
+    return order
+
+
+#: Chances of a node's children as noise are multiples of 1 / SLOTS.
+SLOTS = 4 * FAN
+
+
+def _noise(share):
+    """(child of each slot of a parent, log of each node's chance among its siblings)."""
+    parents = -(-len(share) >> FAN_BITS) if len(share) > 1 else 1
+    padded = np.zeros(parents * FAN)
+    padded[:len(share)] = share
+    padded = padded.reshape(parents, FAN)
+    children = (np.arange(parents * FAN) < len(share)).reshape(parents, FAN)
+    # One slot for each child; the others follow the shares.
+    free = SLOTS - children.sum(1)
+    ends = np.cumsum(padded, 1)
+    ends = np.rint(ends / ends[:, -1:] * free[:, None]) + np.cumsum(children, 1)
+    slots = np.diff(ends, axis=1, prepend=0).astype(np.int64)
+    table = np.repeat(np.arange(parents * FAN), slots.ravel()).reshape(parents, SLOTS)
+    return table.astype(np.int32), np.log(np.maximum(slots, 1) / SLOTS).ravel().astype(np.float32)
+
+
+def _summed(places, rows, few=5):
+    """(distinct places, the sum of the rows of each); most places come once or twice."""
+    order = _order(places)
+    ordered = places[order]
+    starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    sizes = np.diff(np.append(starts, len(order)))
+    out = rows[order[starts]]
+    for i in range(1, few):
+        more = np.flatnonzero(sizes > i)
+        out[more] += rows[order[starts[more] + i]]
+    for i in np.flatnonzero(sizes > few).tolist():
+        out[i] += rows[order[starts[i] + few:starts[i] + sizes[i]]].sum(0)
+    return ordered[starts], out
+
+
 class LogBilinear:
-    """Logit of w after (first, second): (R[first] C1 + R[second] C2) . T[w] + bias[w]."""
+    """Logit of w after (first, second): (R[first] C1 + R[second] C2) . T[w] + bias[w].
+
+    ``depths`` holds T, with the bias as its last column, of the nodes of each depth of the tree,
+    the last those of the symbols; a symbol's node is the symbol shifted by the depth's bits.
+    """
 
     def __init__(self, size, dim, noise, seed=11):
         rng = np.random.default_rng(seed)
-        self.noise = (noise + 1) / (noise + 1).sum()
-        self.w = [rng.normal(0, 0.3, (size, dim)), np.eye(dim) * 0.7, np.eye(dim) * 0.4,
-                  rng.normal(0, 0.1, (size, dim)), np.log(self.noise)]
-        self.square = [np.full_like(w, 0.1) for w in self.w]
-
-    def flat(self):
-        return np.concatenate([w.ravel() for w in self.w])
-
-    def load(self, flat):
-        at = 0
-        for i, w in enumerate(self.w):
-            self.w[i] = flat[at:at + w.size].reshape(w.shape)
-            at += w.size
-
-    def step(self, first, second, target, rng, noises=96, rate=0.08):
-        """One step of noise-contrastive estimation; the batch shares its noise words."""
-        r, c1, c2, t, bias = self.w
-        size, dim = t.shape
-        drawn = rng.choice(size, noises, p=self.noise)
-        r1, r2 = r[first], r[second]
-        q = r1 @ c1 + r2 @ c2
-        offset = np.log(noises * self.noise)
-        real = np.einsum("ij,ij->i", q, t[target]) + bias[target] - offset[target]
-        fake = q @ t[drawn].T + (bias - offset)[drawn]
-        up = 1 / (1 + np.exp(np.clip(real, -30, 30)))
-        down = -1 / (1 + np.exp(-np.clip(fake, -30, 30)))
-        dq = up[:, None] * t[target] + down @ t[drawn]
-
-        def gather(places, rows):
-            cells = (places[:, None] * dim + np.arange(dim)).ravel()
-            return np.bincount(cells, rows.ravel(), size * dim).reshape(size, dim)
-
-        steps = [gather(first, dq @ c1.T) + gather(second, dq @ c2.T), r1.T @ dq, r2.T @ dq,
-                 gather(target, up[:, None] * q) + gather(drawn, down.T @ q),
-                 np.bincount(target, up, size) + np.bincount(drawn, down.sum(0), size)]
-        for w, g, s in zip(self.w, steps, self.square):
-            g /= len(target) ** 0.5
-            s += g * g
-            w += rate * g / np.sqrt(s)
+        levels = 1
+        while size > 1 << FAN_BITS * levels:
+            levels += 1
+        self.size, self.shifts = size, [FAN_BITS * i for i in range(levels)][::-1]
+        self.noise, self.depths = [], []
+        for shift in self.shifts:
+            cuts = np.arange(0, size, 1 << shift)
+            share = np.add.reduceat(np.asarray(noise, float) + 1, cuts)
+            self.noise.append(share)
+            among = np.add.reduceat(share, np.arange(0, len(share), FAN))
+            vectors = rng.normal(0, 0.1, (len(cuts), dim + 1)).astype(np.float32)
+            vectors[:, -1] = np.log(share / among[np.arange(len(share)) >> FAN_BITS])
+            self.depths.append(vectors)
+        self.r = rng.normal(0, 0.3, (size, dim)).astype(np.float32)
+        self.c = [(np.eye(dim) * x).astype(np.float32) for x in (0.7, 0.4)]
+
+    def learner(self):
+        """Sets up what only training needs: sums of squares, and how often a row was moved."""
+        self.square = [np.full(len(w), 1e-3, np.float32) for w in self.moved()]
+        self.times = [np.zeros(len(w), np.float32) for w in self.moved()]
+        self.drawn = [_noise(share) for share in self.noise]
+
+    def moved(self):
+        return [self.r, *self.c, *self.depths]
+
+    def _move(self, which, places, g, n, rate):
+        """An Adagrad step of the named rows, with one sum of squares a row."""
+        w, square = self.moved()[which], self.square[which]
+        g = g / np.float32(n ** 0.5)
+        square[places] += (g * g).mean(1)
+        w[places] += rate * g / np.sqrt(square[places])[:, None]
+        self.times[which][places] += 1
+
+    def step(self, first, second, target, rng, noises=5, rate=0.12):
+        """One step of noise-contrastive estimation at each depth, with siblings as the noise.
+
+        Few parents see the expected noise of all their children, many parents drawn noise.
+        """
+        if not hasattr(self, "square"):
+            self.learner()
+        (c1, c2), n, rate = self.c, len(target), np.float32(rate)
+        r1, r2 = self.r[first], self.r[second]
+        q = np.ones((n, len(c1) + 1), np.float32)
+        q[:, :-1] = r1 @ c1 + r2 @ c2
+        dq = np.zeros_like(q)
+        for i, (shift, t, (table, chance)) in enumerate(zip(self.shifts, self.depths, self.drawn)):
+            if len(table) <= FAN:
+                self._move(3 + i, *self._expected(i, target >> shift, q, dq, noises), n, rate)
+                continue
+            places = np.empty((n, 1 + noises), np.int64)
+            places[:, 0] = target >> shift
+            places[:, 1:] = table[places[:, :1] >> FAN_BITS, rng.integers(0, SLOTS, (n, noises))]
+            rows = t[places]
+            odds = np.matmul(rows, q[:, :, None])[:, :, 0] - chance[places] - math.log(noises)
+            back = -1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+            back[:, 0] += 1
+            dq += np.matmul(back[:, None, :], rows)[:, 0]
+            self._move(3 + i, *_summed(places.ravel(), (
+                back[:, :, None] * q[:, None, :]).reshape(-1, q.shape[1])), n, rate)
+        dq = dq[:, :-1]
+        self._move(0, *_summed(np.concatenate([first, second]),
+                               np.concatenate([dq @ c1.T, dq @ c2.T])), n, rate)
+        for i, r in ((1, r1), (2, r2)):
+            self._move(i, np.arange(len(c1)), r.T @ dq, n, rate)
+
+    def _expected(self, i, node, q, dq, noises):
+        """Gradient of one depth with few parents: of all siblings, for the expected noise."""
+        t, chance = self.depths[i], self.drawn[i][1]
+        order = _order(node)
+        node = node[order]
+        parent = node >> FAN_BITS
+        starts = np.flatnonzero(np.append(True, parent[1:] != parent[:-1]))
+        places, sums = [], []
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(node)]):
+            base, at = int(parent[a]) << FAN_BITS, order[a:b]
+            some, log = t[base:base + FAN], chance[base:base + FAN][:len(t) - base]
+            mine = q[at]
+            back = mine @ some.T
+            back -= log + np.float32(math.log(noises))
+            np.clip(back, -30, 30, out=back)
+            back = -1 / (1 + np.exp(-back))
+            own = (np.arange(b - a), node[a:b] - base)
+            real = 1 + back[own]
+            back *= noises * np.exp(log)
+            back[own] += real
+            dq[at] += back @ some
+            places.append(np.arange(base, base + len(some)))
+            sums.append(back.T @ mine)
+        return np.concatenate(places), np.concatenate(sums)
 
     def tables(self):
-        """(first part, second part + bias, log normaliser) of all logits, base e."""
-        r, c1, c2, t, bias = self.w
-        a, b = (r @ c1) @ t.T, (r @ c2) @ t.T + bias
+        """(first part, second part + bias, log normaliser) of all logits of one depth, base e."""
+        (c1, c2), t = self.c, self.depths[0]
+        a = (self.r @ c1) @ t[:, :-1].T
+        b = (self.r @ c2) @ t[:, :-1].T + t[:, -1]
         high_a, high_b = a.max(1), b.max(1)
         product = np.exp(a - high_a[:, None]) @ np.exp(b - high_b[:, None]).T
         z = np.log(np.maximum(product, 1e-300)) + high_a[:, None] + high_b[None, :]
         return a.astype(np.float32), b.astype(np.float32), z.astype(np.float32)
 
+    def ready(self):
+        """Sets up what scoring needs: the two parts of every context."""
+        self.parts = [self.r @ c for c in self.c]
+
+    def logs(self, first, second, target, block=1 << 16):
+        """Log probability, base e, of each target after its context, over all symbols."""
+        out = np.empty(len(target))
+        for low in range(0, len(target), block):
+            at = slice(low, low + block)
+            out[at] = self._logs(first[at], second[at], target[at])
+        return out
+
+    def _logs(self, first, second, target):
+        order = _order(target)
+        target = target[order]
+        q = self.parts[0][first[order]] + self.parts[1][second[order]]
+        total, logits = np.zeros(len(target)), np.empty((len(target), FAN), np.float32)
+        for shift, t in zip(self.shifts, self.depths):
+            node = target >> shift
+            parent = node >> FAN_BITS
+            starts = np.flatnonzero(np.append(True, parent[1:] != parent[:-1]))
+            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(target)]):
+                base = int(parent[a]) << FAN_BITS
+                some = t[base:base + FAN]
+                np.matmul(q[a:b], some[:, :-1].T, out=logits[a:b, :len(some)])
+                logits[a:b, :len(some)] += some[:, -1]
+                logits[a:b, len(some):] = -np.inf
+            for a in range(0, len(target), 2048):
+                x = logits[a:a + 2048]
+                x -= x.max(1)[:, None]
+                total[a:a + 2048] += x[np.arange(len(x)), node[a:a + 2048] & (FAN - 1)]
+                np.exp(x, out=x)
+                total[a:a + 2048] -= np.log(x.sum(1))
+        out = np.empty(len(target))
+        out[order] = total
+        return out
+
+
+#: Rows of a model that travel together.
+BLOCK_ROWS = 1024
+PARTS = "which int, block int, places binary, times binary, value binary"
+
+
+def _parts(net):
+    """The rows that this task moved, by blocks, with how often each was."""
+    out = []
+    for which, (w, times) in enumerate(zip(net.moved(), net.times)):
+        at = np.flatnonzero(times)
+        cuts = np.flatnonzero(np.append(True, at[1:] // BLOCK_ROWS != at[:-1] // BLOCK_ROWS))
+        for a, b in zip(cuts, [*cuts[1:], len(at)]):
+            some = at[a:b]
+            if len(some):
+                out.append((which, int(some[0]) // BLOCK_ROWS, some.astype(np.int32).tobytes(),
+                            times[some].tobytes(), w[some].tobytes()))
+    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    for low in range(0, len(out), 64):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(zip(*out[low:low + 64]), kinds)],
+            ["which", "block", "places", "times", "value"])
+
+
+def _mean(table):
+    """A block's rows as the mean of the tasks that moved them, weighted by how often."""
+    sums, weights = np.zeros(0), np.zeros(BLOCK_ROWS)
+    base = table.column("block")[0].as_py() * BLOCK_ROWS
+    # In the order of their bytes, however they arrived.
+    for places, times, value in sorted(zip(*(table.column(c).to_pylist()
+                                             for c in ("places", "times", "value")))):
+        at = np.frombuffer(places, np.int32) - base
+        times = np.frombuffer(times, np.float32).astype(float)
+        value = np.frombuffer(value, np.float32).reshape(len(at), -1)
+        if not sums.size:
+            sums = np.zeros((BLOCK_ROWS, value.shape[1]))
+        sums[at] += value * times[:, None]
+        weights[at] += times
+    at = np.flatnonzero(weights)
+    mean = (sums[at] / weights[at, None]).astype(np.float32)
+    return pa.table([table.column("which")[:1], table.column("block")[:1],
+                     pa.array([(at + base).astype(np.int32).tobytes()]),
+                     pa.array([weights[at].astype(np.float32).tobytes()]),
+                     pa.array([mean.tobytes()])], ["which", "block", "places", "times", "value"])
+
 
 def _symbols_of(texts, lexicon, symbol, symbols):
     """Flat lexicon places (-1: none), symbols and last places of the texts' tokens."""
@@ -174,13 +361,13 @@ def _symbols_of(texts, lexicon, symbol, symbols):
     return flat, places, outside, out, ends
 
 
-def _train(shared, dim, batch_tokens):
+def _train(shared, start, batch_tokens):
     def run(batches):
-        symbols = opened(shared)
+        symbols, net = opened(shared), opened(start)
         lexicon, symbol = symbols.table()
-        net = LogBilinear(symbols.size, dim, symbols.sums)
+        net.learner()
         rng = np.random.default_rng(5)
-        seen, held = 0, []
+        count, held = 0, []
 
         def learn():
             first, second, target = (np.concatenate(x) for x in zip(*held))
@@ -193,26 +380,21 @@ def _train(shared, dim, batch_tokens):
             for _, texts in tokens_of(batch.column("text")):
                 *_, found, ends = _symbols_of(texts, lexicon, symbol, symbols)
                 held.append((*contexts(found, ends), found))
-                seen += len(found)
-                if sum(len(h[2]) for h in held) >= 64 * batch_tokens:
+                count += len(found)
+                if count >= 64 * batch_tokens:
                     learn()
-                    held = []
+                    count, held = 0, []
         if held:
             learn()
-        flat = net.flat()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(flat))), pa.array(flat * seen),
-             pa.array(np.full(len(flat), seen))], ["at", "value", "weight"])
+        yield from _parts(net)
     return run
 
 
-def _score(shared):
+def _score(shared, fitted):
     def run(batches):
-        symbols, flat_net, dim, total, distinct = opened(shared)
+        symbols, (net, total, distinct) = opened(shared), opened(fitted)
         lexicon, symbol = symbols.table()
-        net = LogBilinear(symbols.size, dim, symbols.sums)
-        net.load(flat_net)
-        a, b, z = net.tables()
+        net.ready()
         base_of = math.log10(total + SMOOTH * (distinct + 1))
         logs = np.append(np.log10(symbols.counts + SMOOTH), 0.0)
         known = np.append(symbols.counts > 0, False)
@@ -224,7 +406,7 @@ def _score(shared):
                 flat, places, outside, found, ends = _symbols_of(texts, lexicon, symbol, symbols)
                 first, second = contexts(found, ends)
                 seen = logs[places]
-                model = (a[first, found] + b[second, found] - z[first, second]) / math.log(10)
+                model = net.logs(first, second, found) / math.log(10)
                 model = model + np.where(one_word[found], 0, seen - symbols.share[found])
                 starts = np.append(0, ends[:-1] + 1)
                 size = ends + 1 - starts
@@ -249,7 +431,7 @@ def _score(shared):
     return run
 
 
-def score_texts(documents: DataFrame, id="doc_id", text="text", folds=10, held_fold=0, words=896,
+def score_texts(documents: DataFrame, id="doc_id", text="text", folds=10, held_fold=0, words=None,
                 groups=128, dim=32, lexicon=200_000, batch_tokens=4096, replicas=1024
                 ) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
@@ -264,8 +446,10 @@ def score_texts(documents: DataFrame, id="doc_id", text="text", folds=10, held_f
 
     Words are counted before the shuffle. The ``lexicon`` most frequent words, at most, are
     broadcast; the few tokens beyond are joined with their counts, and as none of those is
-    frequent, no key is hot. Each task trains from the same start on its part of the corpus,
-    in at most ``replicas`` tasks, and the weighted mean of their models is used.
+    frequent, no key is hot. The model has vectors for all words of the lexicon (or the ``words``
+    most frequent), and one each for the ``groups`` endings of the words beyond. Each task trains
+    from the same start on its part of the corpus, in at most ``replicas`` tasks, and each row of
+    the model is the mean over the tasks that moved it, weighted by how often they did.
     """
     spark = documents.sparkSession
     kind = dict(documents.dtypes)[id]
@@ -293,15 +477,16 @@ def score_texts(documents: DataFrame, id="doc_id", text="text", folds=10, held_f
         F.substring("token", -2, 2).alias("e")).agg(F.sum("n"), F.count("*")).collect()]
     symbols = Symbols(frequent, endings, words, groups)
     shared = broadcast(spark, symbols)
-    trained = train.coalesce(replicas).mapInArrow(
-        _train(shared, dim, batch_tokens), "at long, value double, weight long")
-    means = dict(trained.groupBy("at").agg(F.sum("value") / F.greatest(F.sum("weight"), F.lit(1)))
-                 .collect()) if total else {}
-    net = LogBilinear(symbols.size, dim, symbols.sums).flat()
-    if means:
-        net = np.array([means[i] for i in range(len(net))])
+    net = LogBilinear(symbols.size, dim, symbols.sums)
+    if total:
+        start = broadcast(spark, net)
+        moved = train.coalesce(replicas).mapInArrow(_train(shared, start, batch_tokens), PARTS)
+        for r in moved.groupBy("which", "block").applyInArrow(_mean, PARTS).collect():
+            at = np.frombuffer(r.places, np.int32)
+            net.moved()[r.which][at] = np.frombuffer(r.value, np.float32).reshape(len(at), -1)
+        start.unpersist()
     parts = written(docs.withColumn("held_out", held).mapInArrow(
-        _score(broadcast(spark, (symbols, net, dim, total, distinct))),
+        _score(shared, broadcast(spark, (net, total, distinct))),
         f"id {kind}, held_out boolean, row long, n_tokens long, n_known long, "
         "base_score double, score double, outside array<binary>"), "scored")
     seen = F.coalesce("n", F.lit(0))
