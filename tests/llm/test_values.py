@@ -233,6 +233,19 @@ def test_words_of_one_ending_are_told_apart_by_their_context(spark):
     assert a.score > b.score + 4
 
 
+def test_scores_do_not_depend_on_partitions(spark, sf):
+    documents = table(spark, sf, "documents")
+    one, many = ({r.doc_id: r.score for r in lm_score.score_texts(
+        documents.repartition(n), batch_tokens=512, task_tokens=6000).collect()} for n in (1, 7))
+    assert one == pytest.approx(many, rel=1e-4)
+
+
+def test_training_deepens_with_the_corpus():
+    assert lm_score._plan(10, 1000, 8) == (1, 1)
+    plans = [lm_score._plan(n * 1000, 1000, 8) for n in (4, 64, 1000)]
+    assert plans == [(2, 2), (8, 8), (125, 8)]
+
+
 def test_a_tree_of_several_depths_adds_up_to_one():
     rng = np.random.default_rng(1)
     net = lm_score.LogBilinear(5000, 8, np.arange(5000.0)[::-1])

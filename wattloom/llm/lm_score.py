@@ -361,8 +361,15 @@ def _symbols_of(texts, lexicon, symbol, symbols):
     return flat, places, outside, out, ends
 
 
+def _plan(total, task_tokens, replicas):
+    """(rounds, tasks of each): so many that a task learns from about ``task_tokens`` tokens."""
+    rounds = max(1, math.ceil(math.log2(max(1, total / task_tokens))),
+                 math.ceil(total / task_tokens / replicas))
+    return rounds, max(1, math.ceil(total / task_tokens / rounds))
+
+
 def _train(shared, start, batch_tokens):
-    def run(batches):
+    def run(table):
         symbols, net = opened(shared), opened(start)
         lexicon, symbol = symbols.table()
         net.learner()
@@ -376,17 +383,17 @@ def _train(shared, start, batch_tokens):
                 at = order[low:low + batch_tokens]
                 net.step(first[at], second[at], target[at], rng)
 
-        for batch in batches:
-            for _, texts in tokens_of(batch.column("text")):
-                *_, found, ends = _symbols_of(texts, lexicon, symbol, symbols)
-                held.append((*contexts(found, ends), found))
-                count += len(found)
-                if count >= 64 * batch_tokens:
-                    learn()
-                    count, held = 0, []
+        # In the order of their hashes, however they arrived.
+        for _, texts in tokens_of(table.sort_by("slot").column("text")):
+            *_, found, ends = _symbols_of(texts, lexicon, symbol, symbols)
+            held.append((*contexts(found, ends), found))
+            count += len(found)
+            if count >= 64 * batch_tokens:
+                learn()
+                count, held = 0, []
         if held:
             learn()
-        yield from _parts(net)
+        return pa.Table.from_batches(list(_parts(net)))
     return run
 
 
@@ -432,7 +439,8 @@ def _score(shared, fitted):
 
 
 def score_texts(documents: DataFrame, id="doc_id", text="text", folds=10, held_fold=0, words=None,
-                groups=128, dim=32, lexicon=200_000, batch_tokens=4096, replicas=1024
+                groups=128, dim=32, lexicon=200_000, batch_tokens=4096, replicas=1024,
+                task_tokens=1_000_000
                 ) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
@@ -447,17 +455,19 @@ def score_texts(documents: DataFrame, id="doc_id", text="text", folds=10, held_f
     Words are counted before the shuffle. The ``lexicon`` most frequent words, at most, are
     broadcast; the few tokens beyond are joined with their counts, and as none of those is
     frequent, no key is hot. The model has vectors for all words of the lexicon (or the ``words``
-    most frequent), and one each for the ``groups`` endings of the words beyond. Each task trains
-    from the same start on its part of the corpus, in at most ``replicas`` tasks, and each row of
-    the model is the mean over the tasks that moved it, weighted by how often they did.
+    most frequent), and one each for the ``groups`` endings of the words beyond. Texts are
+    dealt by the hash of id and text to rounds, whose number grows with the logarithm of the
+    training tokens, and to at most ``replicas`` tasks of a round, of about ``task_tokens`` tokens
+    each; how the input lies in files does not matter. A round starts from the means of the last.
+    Each row of the model is the mean over the tasks that moved it, weighted by how often.
     """
     spark = documents.sparkSession
     kind = dict(documents.dtypes)[id]
     docs = documents.select(F.col(f"`{id}`").alias("id"),
                             F.col(f"`{text}`").cast("string").alias("text"))
     held = F.pmod(crc32_of("id"), F.lit(folds)) == held_fold
-    train = docs.where(~held).select("text")
-    counts = written(train.mapInArrow(_count(1_000_000), "token binary, n long")
+    train = docs.where(~held)
+    counts = written(train.select("text").mapInArrow(_count(1_000_000), "token binary, n long")
                      .groupBy("token").agg(F.sum("n").alias("n")), "counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     # Words of a count, in steps of a sixteenth of a power of two: how many are frequent enough.
@@ -479,12 +489,17 @@ def score_texts(documents: DataFrame, id="doc_id", text="text", folds=10, held_f
     shared = broadcast(spark, symbols)
     net = LogBilinear(symbols.size, dim, symbols.sums)
     if total:
-        start = broadcast(spark, net)
-        moved = train.coalesce(replicas).mapInArrow(_train(shared, start, batch_tokens), PARTS)
-        for r in moved.groupBy("which", "block").applyInArrow(_mean, PARTS).collect():
-            at = np.frombuffer(r.places, np.int32)
-            net.moved()[r.which][at] = np.frombuffer(r.value, np.float32).reshape(len(at), -1)
-        start.unpersist()
+        rounds, tasks = _plan(total, task_tokens, replicas)
+        slot = F.xxhash64("id", "text")
+        for i in range(rounds):
+            start = broadcast(spark, net)
+            some = train.where(F.pmod(slot, F.lit(rounds)) == i).select(
+                "text", F.pmod(F.floor(slot / rounds), F.lit(tasks)).alias("task"), slot.alias("slot"))
+            moved = some.groupBy("task").applyInArrow(_train(shared, start, batch_tokens), PARTS)
+            for r in moved.groupBy("which", "block").applyInArrow(_mean, PARTS).collect():
+                at = np.frombuffer(r.places, np.int32)
+                net.moved()[r.which][at] = np.frombuffer(r.value, np.float32).reshape(len(at), -1)
+            start.unpersist()
     parts = written(docs.withColumn("held_out", held).mapInArrow(
         _score(shared, broadcast(spark, (net, total, distinct))),
         f"id {kind}, held_out boolean, row long, n_tokens long, n_known long, "
