@@ -345,6 +345,15 @@ def test_near_copies_of_the_table(spark, sf, docs, words, percent):
         assert (r.n_shingles, r.component_id) == expected[r.doc_id]
 
 
+def test_the_null_character_is_part_of_words(spark):
+    texts = ["a\0b", "a b", "\0", "x \0 y z", "x y z", "p q\0 r s t", "p q\0 r s t u", "p q r s t"]
+    docs = list(enumerate(texts))
+    expected = brute.near_sets(docs, 3, 60)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    for r in ngram_join.similar_sets(frame, words=3, percent=60).collect():
+        assert (r.n_shingles, r.component_id) == expected[r.doc_id]
+
+
 @pytest.mark.parametrize("small", [128, 4])
 def test_near_copies_of_a_large_group(spark, monkeypatch, small):
     """Chains of edits: groups whose members are not all alike, in one task and in many."""

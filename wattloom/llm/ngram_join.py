@@ -18,6 +18,8 @@ from wattloom.llm.common import (WordHasher, components, list_array, lower_map,
                                  text_chunks, word_spans, written)
 
 SPACES = lower_map([*range(9, 14), 32])
+#: U+0000 is part of words, and 0 parts them: it becomes a byte that UTF-8 never uses.
+SPACES[0] = 0xFF
 U64 = np.uint64
 BITS = 1024
 #: Groups of tiles up to this many sets are compared in one task, larger ones in many.
