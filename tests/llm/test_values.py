@@ -354,6 +354,18 @@ def test_the_null_character_is_part_of_words(spark):
         assert (r.n_shingles, r.component_id) == expected[r.doc_id]
 
 
+def test_near_copies_of_a_repeated_id_go_row_by_row(spark):
+    base = [f"w{i}" for i in range(60)]
+    copy, other = " ".join(base), " ".join(f"v{i}" for i in range(60))
+    docs = [(1, copy), (2, copy + " end"), (2, other), (3, other + " x"), (1, copy + " more"),
+            (4, "alone in the world of words"), (4, ""), (4, None)]
+    rows = [tuple(r) for r in ngram_join.drop_near_copies(spark.createDataFrame(
+        docs, "doc_id long, text string"), words=3).collect()]
+    assert len([r for r in rows if r[0] == 1]) == 1 and (2, copy + " end") not in rows
+    assert [r for r in rows if r[0] in (2, 3)] == [(2, other)]
+    assert len([r for r in rows if r[0] == 4]) == 3
+
+
 @pytest.mark.parametrize("small", [128, 4])
 def test_near_copies_of_a_large_group(spark, monkeypatch, small):
     """Chains of edits: groups whose members are not all alike, in one task and in many."""

@@ -131,8 +131,8 @@ def _sign(words):
                 d1.append(first)
                 d2.append(second)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(n, pa.int64()), pa.array(_signed(d1)),
-                 pa.array(_signed(d2))], ["id", "n", "d1", "d2"])
+                [batch.column("id"), batch.column("text_key"), pa.array(n, pa.int64()),
+                 pa.array(_signed(d1)), pa.array(_signed(d2))], ["id", "text_key", "n", "d1", "d2"])
     return run
 
 
@@ -385,11 +385,22 @@ def similar_sets(documents: DataFrame, id="doc_id", text="text", words=5, percen
     integers. Copies of a set are one class: they cost a row each and are never paired.
     No link between different sets is lost: see the module. Nothing is capped.
     """
+    return _judged(documents, id, text, words, percent).select(
+        F.col("id").alias(id), F.col("n").alias("n_shingles"), "component_id")
+
+
+def _text_key(text):
+    return F.xxhash64(F.col(f"`{text}`").cast("string"))
+
+
+def _judged(documents, id, text, words, percent):
+    """(id, text_key, n, component_id, component) of every row; ``component`` is of its sets."""
     spark = documents.sparkSession
     docs = documents.select(F.col(f"`{id}`").cast("long").alias("id"),
-                            F.col(f"`{text}`").cast("string").alias("text"))
+                            F.col(f"`{text}`").cast("string").alias("text"),
+                            _text_key(text).alias("text_key"))
     usable = docs.where("id IS NOT NULL")
-    signed = written(docs.mapInArrow(_sign(words), "id long, n long, d1 long, d2 long"), "signed")
+    signed = written(docs.mapInArrow(_sign(words), "id long, text_key long, n long, d1 long, d2 long"), "signed")
     classes = (signed.where("n > 0 AND id IS NOT NULL").groupBy("d1", "d2")
                .agg(F.min("id").alias("rep")))
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -480,24 +491,32 @@ def similar_sets(documents: DataFrame, id="doc_id", text="text", words=5, percen
         groups.select(F.col("node").alias("d1"), "component"), "d1", "left").withColumn(
         "component", F.coalesce("component", "d1"))
     smallest = ids.groupBy("component").agg(F.min("rep").alias("smallest"))
-    known = ids.join(smallest, "component").select("d1", "smallest")
+    known = ids.join(smallest, "component").select("d1", "smallest", "component")
     named = classes.join(known, "d1", "left").select(
         F.col("d1").alias("k1"), F.col("d2").alias("k2"),
-        F.coalesce("smallest", "rep").alias("found"))
-    out = signed.select("id", "n", "d1", "d2").join(
+        F.coalesce("smallest", "rep").alias("found"),
+        F.coalesce("component", "d1").alias("component"))
+    out = signed.select("id", "text_key", "n", "d1", "d2").join(
         named, (F.col("n") > 0) & (F.col("d1") == F.col("k1")) & (F.col("d2") == F.col("k2")),
         "left")
-    return out.select(F.col("id").alias(id), F.col("n").alias("n_shingles"),
-                      F.when(F.col("id").isNotNull(), F.coalesce("found", "id"))
-                      .alias("component_id"))
+    return out.select("id", "text_key", "n", F.when(F.col("id").isNotNull(), F.coalesce("found", "id"))
+                      .alias("component_id"), "component")
 
 
 def drop_near_copies(documents: DataFrame, id="doc_id", text="text", words=5, percent=80
                      ) -> DataFrame:
-    """One row of each component of near copies: the one with the smallest id.
+    """One text of each component of near copies, of the row with the smallest id.
 
-    Rows of empty text or NULL id stay, and so do all rows that have the kept id.
+    Rows are judged one by one, also those of one id; of several texts of the kept id in a
+    component one stays. Rows of empty text or NULL id stay, and so do all rows that equal the
+    kept one in id and text.
     """
-    found = similar_sets(documents, id, text, words, percent)
-    gone = found.where(F.col(id) != F.col("component_id")).select(F.col(id).alias("gone"))
-    return (documents.join(gone.distinct(), F.col(f"`{id}`") == F.col("gone"), "left_anti"))
+    found = _judged(documents, id, text, words, percent).where("id IS NOT NULL AND n > 0")
+    kept = found.where("id = component_id")
+    several = kept.groupBy("component").agg(
+        F.min("text_key").alias("low"), F.max("text_key").alias("high")).where("low < high")
+    gone = found.where("id <> component_id").select("id", "text_key").union(
+        kept.join(several, "component").where("text_key <> low").select("id", "text_key"))
+    gone = gone.select(F.col("id").alias("gone"), F.col("text_key").alias("gone_key")).distinct()
+    return documents.join(gone, (F.col(f"`{id}`") == F.col("gone"))
+                          & (_text_key(text) == F.col("gone_key")), "left_anti")
