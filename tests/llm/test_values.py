@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from wattloom.llm import (decontaminate, embedding_dedup, lm_score, ngram_join, packing, pii,
@@ -43,6 +44,30 @@ def test_quality_on_the_held_out_fold(spark, sf):
     assert np.mean([[g > b for b in bad] for g in good]) > 0.98
 
 
+def drawn_first(spark, values):
+    """The value that a draw by the smallest hashes takes before the others."""
+    frame = spark.createDataFrame([(v,) for v in values], ["v"])
+    return frame.orderBy(F.pmod(F.xxhash64("v"), F.lit(1 << 20))).first().v
+
+
+def test_training_samples_hold_their_bound(spark, monkeypatch):
+    """A text, or an id, of most rows does not fill the sample, also if it is drawn."""
+    sizes = []
+    texts = [f"mail a{i}@b.org" for i in range(200)]
+    hot = drawn_first(spark, texts)
+    monkeypatch.setattr(pii, "fit", lambda fields: sizes.append(len(fields)))
+    pii.train(spark.createDataFrame([(t,) for t in texts + [hot] * 300], "text string"), max_docs=20)
+    assert 0 < sizes.pop() <= 40
+    ids = [i for i in range(300) if zlib.crc32(str(i).encode()) % 5]
+    hot = drawn_first(spark, ids)
+    monkeypatch.setattr(quality, "fit_nnpu", lambda x, u, prior: sizes.append(len(x)))
+    monkeypatch.setattr(quality, "calibrate", lambda *args: None)
+    docs = [(i, f"text {i}") for i in ids] + [(hot, f"other text {i}") for i in range(300)]
+    quality.train(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(
+        [(i, 1) for i in ids], "doc_id long, quality int"), max_rows=20)
+    assert 0 < sizes.pop() <= 40
+
+
 def test_negative_risk_is_held_at_zero():
     """On two clouds the fitted output separates them although negatives are never named."""
     rng = np.random.default_rng(0)

@@ -221,13 +221,15 @@ def _graphs(batches):
 def train(documents: DataFrame, text="text", max_docs=20_000):
     """A model fitted to the mentions of at most about ``max_docs`` documents that have any.
 
-    The documents are those whose texts have the smallest hashes among texts with a digit or an
-    at sign. The sample bounds the driver's part; scoring covers every text.
+    The documents are those whose texts have the smallest hashes among the distinct texts with a
+    digit or an at sign; copies of a text count once. The sample bounds the driver's part; scoring
+    covers every text.
     """
     some = documents.select(F.col(f"`{text}`").cast("string").alias("text")).where(
         F.col("text").rlike("[0-9@]"))
-    share = min(1.0, max_docs / max(1, some.count()))
-    picked = some.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    key = F.xxhash64("text")
+    share = min(1.0, max_docs / max(1, some.select(key.alias("h")).distinct().count()))
+    picked = some.where(F.pmod(key, F.lit(1 << 20)) < int(share * (1 << 20))).distinct()
     rows = picked.mapInArrow(_graphs, "nodes array<struct<t string, k int>>").collect()
     fields = []
     for nodes in sorted([(n.t, n.k) for n in r.nodes] for r in rows):

@@ -147,7 +147,8 @@ def train(documents: DataFrame, labels: DataFrame, id="doc_id", text="text", lab
     """A classifier from rows whose crc32 of the id, mod ``folds``, is not ``held_fold``.
 
     It is fitted on a sample of at most about ``max_rows`` such documents, the ones with the
-    smallest hashes of their ids, so the driver's part has a fixed size. Sampled rows labelled 1
+    smallest hashes of id and text among distinct ones (equal rows count once), so the driver's
+    part has a fixed size. Sampled rows labelled 1
     are the trusted positives, rows without a label the unlabelled text; the prior is the share
     of 1 among the labelled; rows labelled 0 take part in prior and calibration alone. A
     document with labels of both kinds, or NULL, is unlabelled. Without positives there is no
@@ -158,8 +159,9 @@ def train(documents: DataFrame, labels: DataFrame, id="doc_id", text="text", lab
              .select("id", F.when(F.col("low") == F.col("high"), F.col("low")).alias("y")))
     rows = documents.where(F.pmod(crc32_of(id), F.lit(folds)) != held_fold).select(
         F.col(id).alias("id"), F.col(text).cast("string").alias("text"))
-    share = min(1.0, max_rows / max(1, rows.select("id").count()))
-    picked = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    key = F.xxhash64("id", "text")
+    share = min(1.0, max_rows / max(1, rows.select(key.alias("h")).distinct().count()))
+    picked = rows.where(F.pmod(key, F.lit(1 << 20)) < int(share * (1 << 20))).distinct()
     kind = dict(documents.dtypes)[id]
     sample = picked.mapInArrow(_features, f"id {kind}, x array<float>").join(known, "id", "left")
     found = sample.select("x", F.col("y").cast("double")).toArrow()
