@@ -3,8 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wattloom.llm import (decontaminate, embedding_dedup, line_dedup, lm_score, ngram_join,
-                          packing, pii, quality, substring_dedup, url_filter)
+from wattloom.llm import (bpe, decontaminate, divergence, embedding_dedup, filter_audit, line_dedup,
+                          lm_score, ngram_join, packing, pii, quality, substring_dedup, url_filter)
 from wattloom.llm.common import crc32_of
 from wattloom.plans.standins import table
 
@@ -86,6 +86,27 @@ def op10_ngram_jaccard(spark, sf):
     return ngram_join.similar_sets(table(spark, sf, "documents"), words=3, percent=90)
 
 
-QUERIES = {q.__name__: q for q in (op1_quality, op2_pii, op3_url_filter, op4_decontaminate,
-                                    op5_suffix_array_dedup, op6_lm_score,
-                                    op7_embedding_dedup, op8_line_dedup, op9_best_fit_packing, op10_ngram_jaccard)}
+def op11_source_divergence(spark, sf):
+    """How far every source of a language is from the others, and its own most telling terms."""
+    return divergence.divergence(table(spark, sf, "documents"))
+
+
+def op12_filter_interaction(spark, sf):
+    """What five filters remove in each of their 120 orders, by source."""
+    return filter_audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op13_bpe(spark, sf):
+    """Digests of every document's token ids and of the text that they decode to."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoded = bpe.encode_texts(table(spark, sf, "documents"), path, packed=True)
+    return bpe.decode_ids(encoded, path).select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+QUERIES = {q.__name__: q for q in (
+    op1_quality, op2_pii, op3_url_filter, op4_decontaminate, op5_suffix_array_dedup, op6_lm_score,
+    op7_embedding_dedup, op8_line_dedup, op9_best_fit_packing, op10_ngram_jaccard,
+    op11_source_divergence, op12_filter_interaction, op13_bpe)}
