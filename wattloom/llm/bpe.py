@@ -11,6 +11,7 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from wattloom.llm.common import broadcast, offsets_of, opened, texts_of
@@ -19,7 +20,7 @@ from wattloom.llm.packing import byte_symbols
 #: Rank of a pair that is never merged.
 NEVER = np.int32(np.iinfo(np.int32).max)
 #: Texts are encoded in runs of about this many characters, and long ones cut at spaces.
-RUN_CHARS = 1 << 20
+RUN_CHARS = 1 << 19
 #: Words whose ids a task remembers; beyond it, it starts afresh.
 KNOWN_WORDS = 1 << 18
 
@@ -274,28 +275,33 @@ def _left(frame, keep, made):
     return "".join(f"`{k}` {kinds[k]}, " for k in keep)
 
 
+def _runs(lengths):
+    """(first, end) of runs of rows of about ``RUN_CHARS`` together, at least one row each."""
+    ends, row = np.cumsum(lengths), 0
+    while row < len(ends):
+        before = ends[row - 1] if row else 0
+        end = max(row + 1, int(np.searchsorted(ends, before + RUN_CHARS, "right")))
+        yield row, end
+        row = end
+
+
 def _encode(shared, packed):
     def run(batches):
         coder = Coder(opened(shared))
         for batch in batches:
-            texts = texts_of(batch.column("text"))
+            column = batch.column("text")
             left = batch.drop_columns(["text"])
-            row = 0
-            while row < len(texts):
-                end, chars = row, 0
-                while end < len(texts) and (end == row or chars + len(texts[end]) <= RUN_CHARS):
-                    chars += len(texts[end])
-                    end += 1
-                ids, sizes = coder.encode(texts[row:end])
+            lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+            for row, end in _runs(lengths):
+                ids, sizes = coder.encode(texts_of(column.slice(row, end - row)))
                 at = offsets_of(sizes)
                 if packed:
                     raw = ids.astype("<u4").tobytes()
-                    column = pa.array([raw[4 * a:4 * b] for a, b in zip(at, at[1:])], pa.binary())
+                    out = pa.array([raw[4 * a:4 * b] for a, b in zip(at, at[1:])], pa.binary())
                 else:
-                    column = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([*left.slice(row, end - row).columns, column],
+                    out = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([*left.slice(row, end - row).columns, out],
                                                  [*left.schema.names, "ids"])
-                row = end
     return run
 
 
@@ -324,13 +330,17 @@ def _decode(shared):
         for batch in batches:
             column = batch.column("ids")
             packed = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
-            rows = [x or () for x in column.to_pylist()]
-            if packed:
-                rows = [np.frombuffer(x or b"", "<u4").tolist() for x in rows]
+            lengths = pc.fill_null(pc.binary_length(column) if packed else
+                                   pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
             left = batch.drop_columns(["ids"])
-            yield pa.RecordBatch.from_arrays(
-                [*left.columns, column, pa.array([coder.decode(x) for x in rows], pa.string())],
-                [*left.schema.names, "ids", "decoded"])
+            for row, end in _runs(lengths):
+                here = column.slice(row, end - row)
+                # One row at a time: ids as Python numbers take many times their bytes.
+                rows = (np.frombuffer(x.as_py() or b"", "<u4").tolist() if packed
+                        else x.as_py() or () for x in here)
+                text = pa.array([coder.decode(x) for x in rows], pa.string())
+                yield pa.RecordBatch.from_arrays([*left.slice(row, end - row).columns, here, text],
+                                                 [*left.schema.names, "ids", "decoded"])
     return run
 
 
