@@ -56,8 +56,29 @@ def test_interval_is_the_spread_of_the_trees(spark, forest, table):
                      F.max(F.abs(F.col("upper") - F.col("prediction") - 1.96 * F.col("sd"))).alias("b"),
                      F.count(F.lit(1)).alias("n")).first()
     assert worst["a"] < 1e-9 and worst["b"] < 1e-9 and worst["n"] == table.count()
-    # The leaf table is a constant of the plan, not parsed per row.
-    assert "from_json" not in with_interval._jdf.queryExecution().optimizedPlan().toString()
+    # The leaf table is no part of the plan.
+    assert len(with_interval._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+
+
+def test_interval_of_a_full_forest(spark, table):
+    """200 trees: the plan stays as small as that of a few, rows that are equal stay apart."""
+    fitted = learning.train_and_test(learning.forest(numTrees=200, maxDepth=4), table, "forest",
+                                     features=FEATURES)
+    path = fresh_path(spark, "model")
+    fitted.model.write().save(path)
+    scored = fitted.predict(table.limit(40).union(table.limit(40)))
+    out = learning.forest_interval(scored, learning.leaf_values(spark, path))
+    assert len(out._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+    leaves = {}
+    for r in learning.leaf_values(spark, path).collect():
+        leaves[r.tree, r.leaf] = r.value
+    rows = out.collect()
+    assert len(rows) == scored.count()
+    for r in rows[::7]:
+        votes = [leaves[t, int(at)] for t, at in enumerate(r.leaf)]
+        mean = sum(votes) / 200
+        sd = (sum((v - mean) ** 2 for v in votes) / 200) ** 0.5
+        assert r.prediction == pytest.approx(mean) and r.upper - r.lower == pytest.approx(3.92 * sd)
 
 
 def test_importance_and_permutation(forest, table):

@@ -1,27 +1,32 @@
-"""Regression with ``pyspark.ml`` tree ensembles: preparation, training, validation, scoring."""
+"""Regression with tree ensembles: preparation, training, validation, scoring."""
 
-import json
 from dataclasses import dataclass, field
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.regression import RandomForestRegressor
+from pyspark.sql import DataFrame, Window, functions as F
 
+from wattloom.operators.boosting import HistogramBoosting
 from wattloom.operators.order_stats import exact_medians
 from wattloom.operators.scoring import evaluate, mae_interval, metric_columns, scored_table
 from wattloom.operators.splits import cv_folds
 from wattloom.schemas import (APPLIANCE_RATIO, BOOSTED, BOOSTED_CV, CV_SPLITS, DEFAULT_MAE, FOREST,
                               FOREST_CV, INTERVAL_Z, MODEL_VERSION, NON_FEATURES, SEED, TARGET,
                               VALIDATION_FRACTION)
-from wattloom.session import fresh_path
+from wattloom.session import fresh_path, written
 
-#: Parts of the training rows; daily tables are small, and growing trees costs much per row.
-TRAIN_PARTITIONS = 16
+#: Parts of the training rows: a few for a daily table, then one for so many rows.
+FEW_PARTS, ROWS_PER_PART = 8, 50_000
+#: Forests of a validation that are trained at the same time.
+FITS_AT_ONCE = 5
 #: Trees without gain after which boosting stops.
 PATIENCE = 20
 NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
-# Node ids are kept with the rows (and checkpointed), so trees are not sent out for every level.
+# Node ids are kept with the rows, so trees are not sent out for every level.
 TREE_DEFAULTS = dict(featuresCol="features", labelCol=TARGET, seed=SEED, cacheNodeIds=True,
                      maxMemoryInMB=512)
 
@@ -79,7 +84,7 @@ def forest(**params):
 
 
 def boosted(**params):
-    return GBTRegressor(**TREE_DEFAULTS, **{"validationTol": 0.0, **BOOSTED, **params})
+    return HistogramBoosting(labelCol=TARGET, **{**BOOSTED, **params})
 
 
 def fit(estimator, train: DataFrame, features, medians, name) -> Fitted:
@@ -87,41 +92,25 @@ def fit(estimator, train: DataFrame, features, medians, name) -> Fitted:
     return Fitted(estimator.fit(data), list(features), medians, name)
 
 
-def fit_boosted(estimator: GBTRegressor, train: DataFrame, features, medians, name,
+def fit_boosted(estimator: HistogramBoosting, train: DataFrame, features, medians, name,
                 patience: int | None = PATIENCE) -> Fitted:
     """Boosted trees with early stopping on a held-out tenth of the training rows.
 
-    Training goes on until ``patience`` trees brought nothing: the sequence is grown in doublings up to
-    ``maxIter`` (a shorter sequence is a prefix of a longer one) and cut there.
-    With None the library's own rule applies, which stops at the first tree without gain.
+    Training goes on until ``patience`` trees brought nothing, or to ``maxIter`` trees; with
+    None no rows are held out and all trees are grown.
     """
-    data = spread(assemble(train, features, medians).select(
-        "Date", TARGET, "features", is_validation().alias("held_out"))).persist()
-    try:
-        if patience is None:
-            model = estimator.copy({estimator.validationIndicatorCol: "held_out"}).fit(data)
-            return Fitted(model, list(features), medians, name)
-        grow, held_out = data.where("NOT held_out"), data.where("held_out")
-        limit = estimator.getMaxIter()
-        size = min(limit, 2 * patience)
-        while True:
-            model = estimator.copy({estimator.maxIter: size}).fit(grow)
-            errors = model.evaluateEachIteration(held_out, "squared")  # one number per tree
-            stop = min(errors.index(min(errors)) + 1 + patience, limit)
-            if stop <= size or size == limit:
-                break
-            size = min(limit, size * 2)
-        if stop < size:
-            model = estimator.copy({estimator.maxIter: stop}).fit(grow)
-    finally:
-        data.unpersist()
-    return Fitted(model, list(features), medians, name)
+    data = assemble(train, features, medians).select(
+        "Date", TARGET, "features", is_validation().alias("held_out"))
+    if patience is not None:
+        estimator = estimator.copy({estimator.patience: patience,
+                                    estimator.validationIndicatorCol: "held_out"})
+    return Fitted(estimator.fit(data), list(features), medians, name)
 
 
 def spread(data: DataFrame, key="Date") -> DataFrame:
-    """The rows in ``TRAIN_PARTITIONS`` parts by key: the same on every machine, so that the
-    rows drawn for a tree, and with them the model, are the same too."""
-    return data.repartition(TRAIN_PARTITIONS, key)
+    """The rows in parts by key, as many as their number asks for: the same on every machine, so
+    that the rows drawn for a tree, and with them the model, are the same too."""
+    return data.repartition(max(FEW_PARTS, -(-data.count() // ROWS_PER_PART)), key)
 
 
 def metrics_of(fitted: Fitted, test: DataFrame) -> DataFrame:
@@ -139,7 +128,7 @@ def train_and_test(estimator, table: DataFrame, name: str, strict=False, feature
     known = train if strict else table
     features = feature_columns(known, strict=strict) if features is None else features
     medians = column_medians(known, features) if medians is None else medians
-    train_model = fit_boosted if isinstance(estimator, GBTRegressor) else fit
+    train_model = fit_boosted if isinstance(estimator, HistogramBoosting) else fit
     fitted = train_model(estimator, train, features, medians, name, **fit_options)
     row = metrics_of(fitted, test).first()  # four numbers
     fitted.metrics = {k: row[k] for k in ("MAE", "RMSE", "R2", "MAPE")}
@@ -147,24 +136,38 @@ def train_and_test(estimator, table: DataFrame, name: str, strict=False, feature
 
 
 def cross_validate(estimator, table: DataFrame, features, n_splits=CV_SPLITS, date="Date"):
-    """Per-fold metrics of expanding-window validation: (fold, MAE, R2, ...).
+    """Per-fold metrics of expanding-window validation: (fold, MAE, R2).
 
-    Medians come from each fold's training rows only. The table is small (one row per day), the
-    folds are filters on its ``fold`` column.
+    Fold k is tested on its rows and trained on all rows of the folds before it; medians (and
+    bins) come from these only. All folds are trained at once: boosted trees are grown side by
+    side on one stacked table, and forests by concurrent jobs of ``FITS_AT_ONCE`` threads, each
+    of which carries the caller's job group and pool (a FAIR pool shares the cluster evenly). The
+    test rows of all folds are scored and measured in one job.
     """
-    folded = cv_folds(table, n_splits, date).persist()
-    out = None
-    try:
-        for k in range(1, n_splits + 1):
-            train, test = folded.where(F.col("fold") < k), folded.where(F.col("fold") == k)
-            fitted = fit(estimator, train, features, column_medians(train, features), f"fold {k}")
-            row = fitted.predict(test).agg(*metric_columns(TARGET)).first()
-            scores = table.sparkSession.createDataFrame(
-                [(k, row["MAE"], row["R2"])], "fold int, MAE double, R2 double")
-            out = scores if out is None else out.unionByName(scores)
-    finally:
-        folded.unpersist()
-    return out
+    folded = written(cv_folds(table, n_splits, date), "folds")
+    folds = range(1, n_splits + 1)
+
+    def parts(k):
+        train, test = folded.where(F.col("fold") < k), folded.where(F.col("fold") == k)
+        medians = column_medians(train, features)
+        return [assemble(x, features, medians).select(date, "fold", TARGET, "features")
+                for x in (train, test)]
+
+    def at_once(work, items):
+        with ThreadPool(min(FITS_AT_ONCE, n_splits)) as pool:
+            run = inheritable_thread_target(table.sparkSession)(work)
+            return pool.map(run, items)
+
+    halves = dict(zip(folds, at_once(parts, folds)))
+    if isinstance(estimator, HistogramBoosting):
+        models = estimator.fit_series(reduce(DataFrame.unionByName, [
+            estimator.rows_of(halves[k][0], k) for k in folds]))
+    else:
+        models = dict(zip(folds, at_once(
+            lambda k: estimator.copy().fit(spread(halves[k][0], date)), folds)))
+    scored = reduce(DataFrame.unionByName, [
+        models[k].transform(halves[k][1]).select("fold", TARGET, "prediction") for k in folds])
+    return scored.groupBy("fold").agg(*metric_columns(TARGET)).select("fold", "MAE", "R2")
 
 
 def cv_summary(scores: DataFrame) -> DataFrame:
@@ -179,7 +182,7 @@ def forest_cv():
 
 
 def boosted_cv():
-    return GBTRegressor(**TREE_DEFAULTS, **BOOSTED_CV)
+    return HistogramBoosting(labelCol=TARGET, **BOOSTED_CV)
 
 
 def choose_best(first: Fitted, second: Fitted) -> Fitted:
@@ -187,37 +190,34 @@ def choose_best(first: Fitted, second: Fitted) -> Fitted:
     return first if first.metrics["R2"] >= second.metrics["R2"] else second
 
 
-def leaf_values(spark, model_path: str) -> list[list[float]]:
-    """Per tree the prediction of each leaf, in leaf-index order.
-
-    As bounded as the model itself (trees times 2**depth numbers), which the driver holds anyway.
-    """
+def leaf_values(spark, model_path: str) -> DataFrame:
+    """(tree, leaf, value): the prediction of each leaf of a saved forest, leaves numbered as the
+    forest's leaf column numbers them, in the order of their nodes."""
     node = F.col("nodeData")
+    of_tree = Window.partitionBy("tree").orderBy("id")
     leaves = (spark.read.parquet(f"{model_path}/data").where(node["leftChild"] < 0)
-              .groupBy("treeID").agg(F.sort_array(F.collect_list(
-                  F.struct(node["id"].alias("id"), node["prediction"].alias("value"))))
-                  .alias("leaf")))
-    return [list(r["values"]) for r in leaves.select(
-        "treeID", F.col("leaf.value").alias("values")).orderBy("treeID").collect()]
+              .select(F.col("treeID").alias("tree"), node["id"].alias("id"),
+                      node["prediction"].alias("value")))
+    return leaves.select("tree", (F.row_number().over(of_tree) - 1).alias("leaf"), "value")
 
 
-def forest_interval(scored: DataFrame, leaves: list[list[float]], z=INTERVAL_Z) -> DataFrame:
+def forest_interval(scored: DataFrame, leaves: DataFrame, z=INTERVAL_Z) -> DataFrame:
     """Add ``lower`` and ``upper``: prediction -/+ z population deviations over the trees.
 
-    ``scored`` carries the forest's leaf column. The leaf table travels with the plan as one
-    constant (parsed once, when the plan is optimised); rows only look their leaves up in it.
+    ``scored`` carries the forest's leaf column; every row casts one vote per tree, which finds
+    its value in the leaf table by a join. The table is stored first, so Spark knows its size: it
+    is sent to the tasks while it is small, and joined by sorting otherwise. The votes of a row
+    lie together and are summed before they are shuffled.
     """
-    table = F.from_json(F.lit(json.dumps(leaves)), "array<array<double>>")
-    votes = F.zip_with(table, vector_to_array("leaf"), lambda tree, i: tree[i.cast("int")])
-    n = F.size("_votes")
-    mean = F.aggregate("_votes", F.lit(0.0), lambda a, v: a + v) / n
-    variance = F.aggregate("_votes", F.lit(0.0),
-                           lambda a, v: a + (v - F.col("_mean")) * (v - F.col("_mean"))) / n
-    return (scored.withColumn("_votes", votes).withColumn("_mean", mean)
-            .withColumn("_margin", F.sqrt(variance) * z)
-            .withColumns({"lower": F.col("prediction") - F.col("_margin"),
-                          "upper": F.col("prediction") + F.col("_margin")})
-            .drop("_votes", "_mean", "_margin"))
+    leaves = written(leaves, "leaves")
+    rows = written(scored.withColumn("_row", F.monotonically_increasing_id()), "scored")
+    votes = rows.select("_row", F.posexplode(vector_to_array("leaf")).alias("tree", "_at")).select(
+        "_row", "tree", F.col("_at").cast("int").alias("leaf"))
+    spread_ = votes.join(leaves, ["tree", "leaf"]).groupBy("_row").agg(
+        (F.stddev_pop("value") * z).alias("_margin"))
+    return rows.join(spread_, "_row").withColumns(
+        {"lower": F.col("prediction") - F.col("_margin"),
+         "upper": F.col("prediction") + F.col("_margin")}).drop("_row", "_margin")
 
 
 def batch_score(fitted: Fitted, table: DataFrame, version=MODEL_VERSION, model_path=None,

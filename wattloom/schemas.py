@@ -94,7 +94,7 @@ TRAIN_RATIO = 0.80
 SEED = 42
 FOREST = dict(numTrees=200, maxDepth=12, minInstancesPerNode=5, featureSubsetStrategy="sqrt")
 FOREST_CV = dict(numTrees=100, maxDepth=10, minInstancesPerNode=1, featureSubsetStrategy="all")
-BOOSTED = dict(maxIter=300, stepSize=0.05, maxDepth=5, minInstancesPerNode=10)
+BOOSTED = dict(maxIter=300, stepSize=0.05, maxDepth=5, minInstancesPerNode=10, l2=0.1)
 BOOSTED_CV = dict(maxIter=100, stepSize=0.05, maxDepth=5, minInstancesPerNode=20)
 VALIDATION_FRACTION = 0.1
 CV_SPLITS = 5
