@@ -27,17 +27,21 @@ KNOWN_WORDS = 1 << 18
 
 def _steps_of(data):
     """The settings that this module knows to follow; others are an error, not a wrong result."""
-    steps = lambda part, many: part.get(many) or [part]
-    normal = [(s["type"], s.get("pattern"), s.get("content"))
-              for s in steps(data["normalizer"], "normalizers")]
-    split, level = steps(data["pre_tokenizer"], "pretokenizers")
+    def steps(name, many):
+        part = data[name] or {}
+        return part.get(many) or [part]
+
+    normal = [(s.get("type"), s.get("pattern"), s.get("content"))
+              for s in steps("normalizer", "normalizers")]
+    cut = steps("pre_tokenizer", "pretokenizers")
+    split, level = cut if len(cut) == 2 else ({}, {})
     model = data["model"]
     known = (
         normal == [("NFC", None, None), ("Replace", {"Regex": r"\s+"}, " "),
                    ("Lowercase", None, None)]
-        and (split["type"], split["behavior"], split["invert"]) == ("Split", "Removed", True)
-        and (level["type"], level["add_prefix_space"], level["use_regex"])
-        == ("ByteLevel", False, False)
+        and [split.get(k) for k in ("type", "behavior", "invert")] == ["Split", "Removed", True]
+        and [level.get(k) for k in ("type", "add_prefix_space", "use_regex")]
+        == ["ByteLevel", False, False]
         and model["type"] == "BPE" and not data["decoder"]
         and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix",
                                            "byte_fallback", "ignore_merges"))
