@@ -50,3 +50,13 @@ def batch_vs_stream(daily: DataFrame, stream_totals: DataFrame) -> DataFrame:
     stream = stream_totals.select(F.struct("stream_records", "stream_latency_ms")).scalar()
     return batch.select("*", stream["stream_records"].alias("stream_records"),
                         stream["stream_latency_ms"].alias("stream_latency_ms"))
+
+
+def join_calendar(readings: DataFrame, calendar: DataFrame, on=("Year", "Month")) -> DataFrame:
+    """Rows of a table partitioned by ``on`` whose partition is in ``calendar``, with its columns.
+
+    ``calendar`` has a row per partition, so at most as many as the table has folders. Which ones
+    a filter on it leaves is known only when the query runs: Spark then prunes the scan to their
+    folders. The hint makes the calendar the broadcast side, which pruning reuses.
+    """
+    return readings.join(F.broadcast(calendar), list(on))

@@ -6,16 +6,25 @@ join. Neither the bits nor the counters pass through the driver.
 """
 
 import math
+import sys
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from wattloom.functions.classes import power_class
 from wattloom.functions.hashing import bloom_digests, bloom_positions, bloom_shape, cms_cells
 from wattloom.functions.numbers import steady_round
 from wattloom.schemas import (BLOOM_CAPACITY, BLOOM_FPP, BYTES_PER_KEY, CMS_DEPTH, CMS_WIDTH,
-                              POWER_CLASSES, TOP_CLASS, UNKNOWN_CLASS)
+                              NATIVE_CMS, POWER_CLASSES, TOP_CLASS, UNKNOWN_CLASS)
+
+# Functions of this module go to the executors by value; it need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WORD_BITS = 64
+#: Merged sketches that a task holds; each takes about depth * width * 8 bytes.
+MOST_SKETCHES = 256
 
 
 # ---- Bloom filter -----------------------------------------------------------------------
@@ -61,25 +70,58 @@ def bloom_probe(keys: DataFrame, key: str, words: DataFrame, capacity=BLOOM_CAPA
             .groupBy(key).agg(F.bool_and(F.coalesce(hit, F.lit(False))).alias("maybe_present")))
 
 
+def shard_of(key: str, shards: int):
+    """The shard of a key: the head of its MD5 digest modulo the number of shards."""
+    text = F.col(key).cast("string").cast("binary")
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % shards
+
+
 def bloom_first_seen(df: DataFrame, key: str, order: str, capacity=BLOOM_CAPACITY,
-                     fpp=BLOOM_FPP) -> DataFrame:
+                     fpp=BLOOM_FPP, shards=1) -> DataFrame:
     """(key, n, first_seen, is_new): what a filter fed row by row in ``order`` reports per key.
 
     A key is reported new at its first row unless other keys had set all its bits before. A
     falsely recognised key sets no new bit, so the first time a bit is set is the earliest first
     row among all keys that have it, and the row-by-row outcome follows from two groupings.
-    ``order`` must be unique per row.
+    ``order`` must be unique per row; rows that share it are fed together and do not hide each
+    other. With ``shards`` there is a filter for each shard, sized for its part of the keys.
     """
-    bits, hashes = bloom_shape(capacity, fpp)
+    bits, hashes = bloom_shape(-(-capacity // shards), fpp)
     keys = (df.where(F.col(key).isNotNull()).groupBy(key)
             .agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first_seen")))
     positions = _positions(keys, key, bits, hashes, "n", "first_seen")
+    if shards > 1:
+        positions = positions.withColumn("bit", F.col("bit") + shard_of(key, shards) * bits)
     set_at = positions.groupBy("bit").agg(F.min("first_seen").alias("set_at"))
     return (positions.join(set_at, "bit").groupBy(key)
             .agg(F.first("n").alias("n"), F.first("first_seen").alias("first_seen"),
                  F.bool_or(F.col("set_at") >= F.col("first_seen")).alias("is_new")))
 
 
+def bloom_join(large: DataFrame, small: DataFrame, large_key: str, small_key: str,
+               how="inner") -> DataFrame:
+    """An inner or left-semi join that sends only rows of ``large`` through the shuffle whose key a
+    Bloom filter of ``small``'s keys knows. The result is that of the plain join.
+
+    Spark builds the filter while the query runs and applies it at the scan of the large side. By
+    itself it only does so for very large scans; here it is asked for at any size, for the
+    queries of this session, since the caller knows that ``small`` is selective.
+    """
+    if how not in ("inner", "leftsemi"):
+        raise ValueError("only joins that drop rows without a match can filter first")
+    spark = large.sparkSession
+    for name, value in RUNTIME_FILTER.items():
+        spark.conf.set(name, value)
+    return large.join(small, F.col(large_key) == F.col(small_key), how)
+
+
+#: Settings under which a shuffled join filters its large side, whatever the scan's size.
+RUNTIME_FILTER = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+}
+
+
 def bloom_report(df: DataFrame, key: str, order: str, capacity=BLOOM_CAPACITY,
                  fpp=BLOOM_FPP) -> DataFrame:
     """Deduplication report of one run over the rows in ``order``; NULL keys count as processed."""
@@ -161,6 +203,100 @@ def cms_summary(sketch: DataFrame, width=CMS_WIDTH, depth=CMS_DEPTH) -> DataFram
         F.lit(round(0.5 ** depth, 6)).alias("error_prob_delta"))
 
 
+# The library's own sketch: one binary value per group, built by a single partial aggregation.
+
+def cms_native(df: DataFrame, item: str, by=(), eps=NATIVE_CMS["eps"],
+               confidence=NATIVE_CMS["confidence"], seed=NATIVE_CMS["seed"]) -> DataFrame:
+    """(by..., sketch): a Count-Min sketch of an integer column as one binary value per group.
+
+    Counters are updated row by row where the rows are; only sketches are shuffled, and no row is
+    multiplied by the depth. NULL items are not counted; a group without any has an empty sketch.
+    """
+    sketch = F.count_min_sketch(F.col(item).cast("bigint"), F.lit(float(eps)),
+                                F.lit(float(confidence)), F.lit(seed)).alias("sketch")
+    return df.groupBy(*by).agg(sketch)
+
+
+def opened_sketch(raw: bytes):
+    """(total, multipliers, counters) of a serialized sketch.
+
+    Fixed layout, numbers big-endian: version (int, 1), total (long), depth and width (ints), a
+    multiplier per row (longs), then the counters row by row (longs).
+    """
+    if int.from_bytes(raw[:4], "big") != 1:
+        raise ValueError("not a Count-Min sketch of version 1")
+    depth, width = (int.from_bytes(raw[i:i + 4], "big") for i in (12, 16))
+    numbers = np.frombuffer(raw, ">i8", offset=20).astype(np.int64)
+    if len(numbers) != depth * (width + 1):
+        raise ValueError("a Count-Min sketch of another size")
+    return (int.from_bytes(raw[4:12], "big"), numbers[:depth],
+            numbers[depth:].reshape(depth, width))
+
+
+def _added(raws):
+    """One sketch from several of the same shape, read one at a time."""
+    head = total = multipliers = counters = None
+    for raw in raws:
+        n, m, c = opened_sketch(raw)
+        if head is None:
+            head, total, multipliers, counters = raw[12:20], n, m, c.copy()
+        elif raw[12:20] != head or (m != multipliers).any():
+            raise ValueError("sketches of different shape or seed cannot be merged")
+        else:
+            total, counters = total + n, counters + c
+    return (b"\0\0\0\1" + total.to_bytes(8, "big") + head + multipliers.astype(">i8").tobytes()
+            + counters.astype(">i8").tobytes())
+
+
+def cms_native_merge(sketches: DataFrame, by=()) -> DataFrame:
+    """(by..., sketch): the sums of sketches, of days or of other partial tables.
+
+    Tasks add up what they hold before it is shuffled, so a group of very many sketches is one
+    sketch per task by then.
+    """
+    kinds = dict(sketches.dtypes)
+    schema = "".join(f"`{c}` {kinds[c]}, " for c in by) + "sketch binary"
+
+    def partly(batches):
+        held = {}
+        for batch in batches:
+            for key, raw in zip(batch[list(by)].itertuples(index=False, name=None) if by
+                                else [()] * len(batch), batch["sketch"]):
+                if raw is not None:
+                    held[key] = _added([held[key], raw] if key in held else [raw])
+            if len(held) > MOST_SKETCHES:
+                yield pd.DataFrame([(*k, v) for k, v in held.items()], columns=[*by, "sketch"])
+                held = {}
+        yield pd.DataFrame([(*k, v) for k, v in held.items()], columns=[*by, "sketch"])
+
+    def wholly(key, batch):
+        return pd.DataFrame([(*key, _added(batch["sketch"]))], columns=[*by, "sketch"])
+
+    return sketches.select(*by, "sketch").mapInPandas(partly, schema).groupBy(*by).applyInPandas(
+        wholly, schema)
+
+
+def cms_native_query(items: DataFrame, item: str, sketch: str = "sketch") -> DataFrame:
+    """``items`` with ``cms_estimate``, the smallest of the item's counters in the row's sketch.
+
+    Items and sketches meet in a row by whatever join the caller needs. NULL items count 0.
+    """
+    @F.pandas_udf("long")
+    def estimate(item: pd.Series, raw: pd.Series) -> pd.Series:
+        out = np.zeros(len(item), np.int64)
+        known = item.notna().to_numpy()
+        for one in raw[known].unique():
+            at = np.flatnonzero(known & (raw == one).to_numpy())
+            _, multipliers, counters = opened_sketch(one)
+            with np.errstate(over="ignore"):
+                h = item.iloc[at].to_numpy().astype(np.int64)[:, None] * multipliers
+                h = (h + (h >> 32)) & 0x7FFFFFFF
+            out[at] = counters[np.arange(len(multipliers)), h % counters.shape[1]].min(axis=1)
+        return pd.Series(out)
+
+    return items.withColumn("cms_estimate", estimate(F.col(item).cast("bigint"), F.col(sketch)))
+
+
 def power_classes(spark) -> DataFrame:
     """All consumption classes, the unknown one included."""
     names = [name for _, name in POWER_CLASSES] + [TOP_CLASS, UNKNOWN_CLASS]

@@ -15,7 +15,8 @@ from wattloom.plans.ingest import ingest
 from wattloom.plans.standins import table
 from wattloom.schemas import FEATURE_GROUPS, MEASURES, POWER, REMAINDER, TARGET, WATERMARK
 from wattloom.session import fresh_path, written
-from wattloom.sinks.tables import as_messages, location, write_parquet, write_report
+from wattloom.sinks.tables import (JavaFolder, as_messages, location, replace_partitions,
+                                   write_parquet, write_report)
 from wattloom.sources.messages import parse_messages, table_stream
 from wattloom.sources.readings import read_readings, read_readings_for_profiling, read_table
 from wattloom.sources.tables import daily_with_weather, submetering_if_present
@@ -195,6 +196,44 @@ def pruned_count(spark, sf):
         january_1998=stored.where("Year = 1998 AND Month = 1"))
 
 
+@query
+def pruned_join(spark, sf):
+    """Readings of the months that a filtered calendar names; other months' files are not read."""
+    path = fresh_path(spark, "by-month")
+    orders = clean.with_month_columns(table(spark, sf, "orders"), "o_orderdate")
+    write_parquet(orders.select("o_orderkey", "o_totalprice", "Year", "Month"), path,
+                  ("Year", "Month"))
+    calendar = orders.select("Year", "Month").distinct().withColumn(
+        "quarter", F.ceil(F.col("Month") / 3))
+    joined = joins.join_calendar(read_table(spark, path), calendar.where(
+        "quarter = 1 AND Year > 1996"))
+    return joined.groupBy("Year", "Month").agg(F.count("*").alias("n")).select(
+        F.col("Year").cast("int").alias("Year"), F.col("Month").cast("int").alias("Month"), "n")
+
+
+@query
+def reland_month(spark, sf):
+    """A month landed again with corrected rows; the other months stay as they were."""
+    path = fresh_path(spark, "by-month")
+    orders = clean.with_month_columns(table(spark, sf, "orders"), "o_orderdate").select(
+        "o_orderkey", "Year", "Month")
+    write_parquet(orders, path, ("Year", "Month"))
+    march = orders.where("Year = 1997 AND Month = 3 AND o_orderkey % 2 = 0")
+    replace_partitions(march, path, ("Year", "Month"))
+    return read_table(spark, path).groupBy("Year", "Month").agg(F.count("*").alias("n")).select(
+        F.col("Year").cast("int").alias("Year"), F.col("Month").cast("int").alias("Month"), "n")
+
+
+@query
+def filtered_join(spark, sf):
+    """Line items of the urgent orders of a month: a Bloom filter of the order keys is applied to
+    the line items before they are shuffled."""
+    orders = table(spark, sf, "orders").where(
+        "o_orderpriority = '1-URGENT' AND year(o_orderdate) = 1995 AND month(o_orderdate) = 3")
+    joined = sketches.bloom_join(table(spark, sf, "lineitem"), orders, "l_orderkey", "o_orderkey")
+    return joined.groupBy("o_orderkey").agg(F.count("*").alias("n"))
+
+
 @query
 def daily_rebuild(spark, sf):
     """Daily table rebuilt from readings because no prepared one exists."""
@@ -635,6 +674,21 @@ def cms_build(spark, sf):
         table(spark, sf, "events").withColumn("item", F.col("user_id").cast("string")), "item")
 
 
+@query
+def cms_native(spark, sf):
+    """Users counted by daily sketches that are merged: how far the estimates are from the truth."""
+    events = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    daily = written(sketches.cms_native(events, "user_id", ["day"]), "daily-sketches")
+    exact = events.groupBy("user_id").agg(F.count("*").alias("n"))
+    whole = sketches.cms_native_merge(daily).withColumn("total", F.lit(events.count()))
+    asked = sketches.cms_native_query(exact.join(F.broadcast(whole)), "user_id")  # one row
+    return asked.agg(
+        F.count("*").alias("items"), F.sum("n").alias("updates"),
+        F.count_if(F.col("cms_estimate") < F.col("n")).alias("below"),
+        (F.count_if(F.col("cms_estimate") - F.col("n") > F.col("total") * 0.001)
+         <= F.count("*") * (1 - 0.9921875)).alias("within_bound"))
+
+
 @query
 def cms_vs_exact(spark, sf):
     events = table(spark, sf, "events").withColumn("kw", F.col("value") / 25)
@@ -682,18 +736,25 @@ def _run(spark, stream, name, mode="update", log=None) -> str:
 def _feed(spark, sf, arrival, build, name, mode="update", sink=None) -> str:
     """Events arriving in groups by the number ``arrival``, each taken up before the next one.
 
-    A stream on one checkpoint is run whenever a group has been written; returns where its
-    triggers wrote.
+    The table is read once and stored by group; a group's folder is then moved into the folder
+    that one running query reads. Returns where the query's triggers wrote.
     """
     path, events = fresh_path(spark, name), table(spark, sf, "events")
     numbered = events.withColumn("arrival", arrival)
-    groups = sorted(r[0] for r in numbered.select("arrival").distinct().collect())  # a few
+    write_parquet(numbered, f"{path}/waiting", ("arrival",))
+    groups = sorted(r[0] for r in spark.read.parquet(f"{path}/waiting").select("arrival")
+                    .distinct().collect())  # a few
+    store = JavaFolder(spark, f"{path}/in")
     sink = sink or runs.per_trigger_sink(f"{path}/out")
-    for n in groups:
-        numbered.where(F.col("arrival") == n).drop("arrival").write.mode("append").parquet(
-            f"{path}/in")
-        stream = build(table_stream(spark, f"{path}/in", events.schema))
-        runs.finish(runs.start(stream, sink, f"{path}/checkpoint", mode, available_now=True))
+    stream = build(table_stream(spark, f"{path}/in", events.schema, nested=True))
+    query = runs.start(stream, sink, f"{path}/checkpoint", mode, every="0 seconds")
+    try:
+        for n in groups:
+            store.take(f"{path}/waiting/arrival={n}")
+            query.processAllAvailable()
+    finally:
+        query.stop()
+        runs.finish(query)
     return f"{path}/out"
 
 
@@ -819,11 +880,20 @@ def stream_dedup_sketch(spark, sf):
     return sketches.bloom_summary(sink.report(spark), 200)
 
 
+@query
+def stream_dedup_state(spark, sf):
+    """Users that a crowded, sharded Bloom filter in stream state lets pass: 200 keys planned."""
+    out = _feed(spark, sf, _ten_days(), lambda e: runs.drop_near_duplicates(
+        e.select("user_id"), "user_id", capacity=200, shards=4), "state", "append")
+    return spark.read.parquet(out).select("user_id")
+
+
 @query
 def session_report(spark, sf):
     """Totals of a stream session, from the progress kept for every trigger."""
     log = fresh_path(spark, "progress")
-    _run(spark, _live(_event_stream(spark, sf)).select("event_time"), "session", "append", log)
+    _run(spark, _live(runs.observed(_event_stream(spark, sf))).select("event_time"), "session",
+         "append", log)
     return runs.live_summary(spark, log).select(
         "total_received", "total_triggers", (F.col("elapsed_sec") > 0).alias("timed"),
         (F.col("throughput_rps") > 0).alias("rated"))

@@ -741,6 +741,28 @@ ORACLE["stream_dedup_sketch"] = first_seen(200, """(
     FROM events)""", "user_id", "ten") + bloom_figures("""
 SELECT (SELECT count(*) FROM events) AS processed, count(*) FILTER (is_new) AS unique_keys
 FROM seen""", 200)
+SHARD = "('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8))::BIGINT % 4"
+ORACLE["stream_dedup_state"] = first_seen(50, """(
+    SELECT user_id, year(ts) * 36 + month(ts) * 3 + least((day(ts) - 1) // 10, 2) AS ten
+    FROM events)""", "user_id", "ten").replace(
+        "SELECT bit, min", f"SELECT {SHARD} AS shard, bit, min").replace(
+        "GROUP BY bit", "GROUP BY ALL").replace(
+        "USING (bit)", f"ON pos.bit = set_at.bit AND shard = {SHARD}") + """
+SELECT user_id FROM seen WHERE is_new"""
+MONTHS = "CAST(year(o_orderdate) AS INTEGER) AS \"Year\", CAST(month(o_orderdate) AS INTEGER) AS \"Month\""
+ORACLE["pruned_join"] = f"""
+SELECT {MONTHS}, count(*) AS n FROM orders
+WHERE month(o_orderdate) <= 3 AND year(o_orderdate) > 1996 GROUP BY ALL"""
+ORACLE["reland_month"] = f"""
+SELECT {MONTHS}, count(*) AS n FROM orders
+WHERE NOT (year(o_orderdate) = 1997 AND month(o_orderdate) = 3 AND o_orderkey % 2 = 1) GROUP BY ALL"""
+ORACLE["filtered_join"] = """
+SELECT o_orderkey, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+WHERE o_orderpriority = '1-URGENT' AND year(o_orderdate) = 1995 AND month(o_orderdate) = 3
+GROUP BY o_orderkey"""
+ORACLE["cms_native"] = """
+SELECT count(DISTINCT user_id) AS items, count(user_id) AS updates, CAST(0 AS BIGINT) AS below,
+       true AS within_bound FROM events"""
 ORACLE["stream_cms"] = ORACLE["cms_build"]
 ORACLE["json_report"] = ORACLE["bloom_report"]
 ORACLE["session_report"] = """

@@ -63,6 +63,7 @@ BLOOM_FPP = 0.01
 CMS_WIDTH = 2000
 CMS_DEPTH = 7
 CMS_SEED_STEP = 2654435761
+NATIVE_CMS = dict(eps=0.001, confidence=0.9921875, seed=42)  # width 2000, depth 7
 BYTES_PER_KEY = 20
 
 # ---- Features ---------------------------------------------------------------------------

@@ -46,6 +46,32 @@ def write_parquet(df: DataFrame, path: str, partition_by=()) -> None:
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by) -> None:
+    """Write the partitions that ``df`` has rows of anew, and leave all others as they are.
+
+    Running it again gives the same table. New files are written aside and moved in place when
+    all tasks are done, so a write that fails leaves the old partitions readable. Without rows
+    nothing changes; a table that does not exist yet is made.
+    """
+    (df.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+
+
+class JavaFolder:
+    """A folder of any file system that Spark can write, into which others can be moved."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        self.as_path, self.path = jvm.org.apache.hadoop.fs.Path, path
+        self.store = self.as_path(path).getFileSystem(conf)
+        self.store.mkdirs(self.as_path(path))
+
+    def take(self, folder: str) -> None:
+        """Move a folder with all its files in here, in one step where the store can rename."""
+        if not self.store.rename(self.as_path(folder), self.as_path(self.path)):
+            raise OSError(f"{folder} could not be moved to {self.path}")
+
+
 def land(df: DataFrame, base: str, dataset: str) -> str:
     """Write a dataset to its place in the layout."""
     path = location(base, dataset)

@@ -33,9 +33,11 @@ def file_messages(spark: SparkSession, path, max_files: int | None = None) -> Da
     return reader.json(path)
 
 
-def table_stream(spark: SparkSession, path, schema, max_files: int | None = None) -> DataFrame:
-    """Rows of the Parquet files at ``path`` (a directory or a glob) as a stream."""
-    reader = spark.readStream.schema(schema)
+def table_stream(spark: SparkSession, path, schema, max_files: int | None = None,
+                 nested=False) -> DataFrame:
+    """Rows of the Parquet files at ``path`` (a directory or a glob) as a stream; with ``nested``
+    also of those in folders below it, whatever their names."""
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", nested)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)

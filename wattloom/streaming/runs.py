@@ -1,25 +1,98 @@
 """Running streaming queries: per-trigger output, latest state, deduplication, progress."""
 
+import sys
+import threading
 import time
+from collections import defaultdict
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery, StreamingQueryListener
 
-from wattloom.functions.hashing import bloom_shape
-from wattloom.operators.sketches import WORD_BITS, _positions, bloom_merge, bloom_words
+from wattloom.functions.hashing import bloom_digests, bloom_shape
+from wattloom.operators.sketches import (WORD_BITS, _positions, bloom_merge, bloom_words,
+                                         shard_of)
 from wattloom.schemas import BLOOM_CAPACITY, BLOOM_FPP, TRIGGER
 
+# Functions of this module go to the executors by value; it need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: Seconds to wait for the last reports of a query that has ended.
+LAST_REPORTS = 10.0
+
+
+#: Name of the observation that counts the rows a stream receives.
+RECEIVED = "received"
+
+
+def observed(df: DataFrame) -> DataFrame:
+    """Count the rows that pass here, for the progress log; to be put at a stream's source."""
+    return df.observe(RECEIVED, F.count(F.lit(1)).alias("rows"))
+
+
+class ProgressLog(StreamingQueryListener):
+    """Collects one row for every trigger that processed a batch, as Spark reports it.
+
+    Reports arrive on their own, so none is missed however fast triggers follow each other. Rows
+    wait here until ``take`` fetches them.
+    """
+
+    def __init__(self):
+        self.lock, self.rows, self.ended = threading.Lock(), defaultdict(list), set()
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        if "addBatch" not in p.durationMs:
+            return
+        dropped = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+        seen = p.observedMetrics.get(RECEIVED)
+        row = (p.batchId, p.numInputRows if seen is None else seen["rows"],
+               float(p.processedRowsPerSecond or 0), p.durationMs.get("triggerExecution", 0),
+               dropped, sum(op.numRowsTotal for op in p.stateOperators))
+        with self.lock:
+            self.rows[str(p.runId)].append(row)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        with self.lock:
+            self.ended.add(str(event.runId))
+
+    def take(self, run_id):
+        with self.lock:
+            return self.rows.pop(run_id, [])
+
+    def has_ended(self, run_id):
+        with self.lock:
+            return run_id in self.ended
+
+
+_listening: dict[str, ProgressLog] = {}
+
 
 def start(df: DataFrame, sink, checkpoint: str, mode="update", available_now=False,
           every=TRIGGER) -> StreamingQuery:
     """Start a query whose batches go to ``sink(batch, batch_id)``."""
     trigger = {"availableNow": True} if available_now else {"processingTime": every}
-    return (df.writeStream.outputMode(mode).foreachBatch(sink)
-            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+    log, streams = ProgressLog(), df.sparkSession.streams
+    streams.addListener(log)
+    try:
+        query = (df.writeStream.outputMode(mode).foreachBatch(sink)
+                 .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+    except Exception:
+        streams.removeListener(log)
+        raise
+    _listening[str(query.runId)] = log
+    return query
 
 
 PROGRESS = ("batch_id bigint, input_rows bigint, rows_per_second double, duration_ms bigint, "
-            "dropped_late bigint")
+            "dropped_late bigint, state_rows bigint")
 
 
 def finish(query: StreamingQuery, timeout: float | None = None, log: str | None = None,
@@ -28,34 +101,35 @@ def finish(query: StreamingQuery, timeout: float | None = None, log: str | None
 
     There is no limit unless ``timeout`` (seconds) sets one; if it is hit, the query is stopped
     and ``TimeoutError`` raised, so a part of the input never passes for the whole. With ``log``,
-    one row per trigger is kept at that path as triggers go by (a query itself remembers only
-    its last hundred).
+    one row per trigger is kept at that path, from what a listener has been told: no trigger is
+    left out.
     """
-    start_, seen = time.monotonic(), -1
-    while True:
-        ended = query.awaitTermination(poll)
-        if log:
-            seen = _keep_progress(query, log, seen)
-        if ended:
-            return
-        if timeout is not None and time.monotonic() - start_ > timeout:
-            query.stop()
-            raise TimeoutError(f"the stream did not end within {timeout} s")
-
-
-def _keep_progress(query: StreamingQuery, log: str, seen: int) -> int:
-    """Append the triggers after ``seen`` to the log; returns the last one's number."""
-    rows = []
-    for p in query.recentProgress:
-        if p["batchId"] > seen and p["durationMs"].get("addBatch") is not None:
-            dropped = sum(op["numRowsDroppedByWatermark"] for op in p["stateOperators"])
-            rows.append((p["batchId"], p["numInputRows"],
-                         float(p.get("processedRowsPerSecond") or 0),
-                         p["durationMs"].get("triggerExecution", 0), dropped))
+    start_ = time.monotonic()
+    spark, run_id = SparkSession.active(), str(query.runId)
+    listener = _listening.get(run_id)
+    try:
+        while True:
+            ended = query.awaitTermination(poll)
+            if ended and listener:
+                # Reports come a little later than the end itself.
+                late = time.monotonic() + LAST_REPORTS
+                while not listener.has_ended(run_id) and time.monotonic() < late:
+                    time.sleep(0.02)
+            if log and listener:
+                _keep_progress(spark, listener.take(run_id), log)
+            if ended:
+                return
+            if timeout is not None and time.monotonic() - start_ > timeout:
+                query.stop()
+                raise TimeoutError(f"the stream did not end within {timeout} s")
+    finally:
+        if not query.isActive and _listening.pop(run_id, None):
+            spark.streams.removeListener(listener)
+
+
+def _keep_progress(spark: SparkSession, rows: list, log: str) -> None:
     if rows:
-        SparkSession.active().createDataFrame(rows, PROGRESS).coalesce(1).write.mode(
-            "append").parquet(log)
-    return max([seen, *(r[0] for r in rows)])
+        spark.createDataFrame(rows, PROGRESS).coalesce(1).write.mode("append").parquet(log)
 
 
 def per_trigger_sink(path: str):
@@ -89,6 +163,66 @@ def drop_duplicates(df: DataFrame, keys, within: str | None = None) -> DataFrame
     return df.withWatermark("event_time", within).dropDuplicatesWithinWatermark(list(keys))
 
 
+class _ShardFilter(StatefulProcessor):
+    """The filter of one shard of keys: its set words, by their number, as stream state."""
+
+    def __init__(self, bits, hashes, ttl_ms):
+        self.bits, self.hashes, self.ttl_ms = bits, hashes, ttl_ms
+
+    def init(self, handle):
+        self.words = handle.getMapState("words", "word int", "bits long", self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues):
+        keys = {}
+        for batch in rows:
+            keys.update(zip(batch["key"], zip(batch["first"], batch["step"])))
+        new, added, read = [], {}, {}
+
+        def word(n):
+            if n not in read:
+                old = self.words.getValue((n,))
+                read[n] = old[0] & (2 ** WORD_BITS - 1) if old else 0
+            return read[n]
+
+        for name, (first, step) in keys.items():
+            at = [divmod((int(first) + i * int(step)) % self.bits, WORD_BITS)
+                  for i in range(self.hashes)]
+            if not all(word(w) >> b & 1 for w, b in at):
+                new.append(name)
+                for w, b in at:
+                    added[w] = added.get(w, 0) | 1 << b
+        for w, bits in added.items():
+            bits |= word(w)
+            self.words.updateValue((w,), (bits - (bits >> 63 << 64),))
+        yield pd.DataFrame({"key": new})
+
+    def close(self):
+        pass
+
+
+def drop_near_duplicates(df: DataFrame, key: str, capacity=BLOOM_CAPACITY, fpp=BLOOM_FPP,
+                         shards=8, ttl: str | None = None) -> DataFrame:
+    """(key): the keys of a stream that a Bloom filter has not seen, each once.
+
+    The filter is the state of the stream, kept by its checkpoint in the state store: a filter
+    for each of ``shards`` groups of keys, sized for its part of ``capacity``, so its words are
+    spread over tasks and the state never exceeds the filter's words, whatever the stream brings.
+    Keys of one trigger are told apart exactly; later ones may be taken for known with the
+    filter's rate. NULL keys are dropped. With ``ttl`` (such as "7 days") words that were not set
+    again in that time are forgotten. A stream that is stopped goes on where it was.
+    """
+    bits, hashes = bloom_shape(-(-capacity // shards), fpp)
+    first, step = bloom_digests(key, bits)
+    milliseconds = None if ttl is None else int(pd.Timedelta(ttl).total_seconds() * 1000)
+    keyed = df.where(F.col(key).isNotNull()).select(
+        shard_of(key, shards).alias("shard"), F.col(key).alias("key"), first.alias("first"),
+        step.alias("step"))
+    kind = dict(df.dtypes)[key]
+    return keyed.groupBy("shard").transformWithStateInPandas(
+        _ShardFilter(bits, hashes, milliseconds), f"key {kind}", "Append",
+        "None" if ttl is None else "ProcessingTime").withColumnRenamed("key", key)
+
+
 class BloomDedup:
     """Approximate deduplication of a stream, as a ``foreachBatch`` sink.
 
