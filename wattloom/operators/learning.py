@@ -5,9 +5,13 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml import Model, PipelineModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasInputCols
 from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window, functions as F
 
 from wattloom.operators.boosting import HistogramBoosting
@@ -47,6 +51,44 @@ def column_medians(df: DataFrame, columns) -> dict[str, float]:
     return {r["feature"]: r["median"] for r in exact_medians(df, columns).collect()}
 
 
+class MedianFill(Model, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """The features as columns of their own (``_`` in front), NULLs filled with fixed medians.
+
+    A stage like any other: its columns and medians are saved with a pipeline. A feature whose
+    median is missing (it has no value in the rows it was taken from) counts as 0. A table that
+    lacks a feature is an error that names it.
+    """
+
+    medians = Param(Params._dummy(), "medians", "median of each input column",
+                    TypeConverters.toListFloat)
+
+    @classmethod
+    def of(cls, features, medians):
+        return cls()._set(inputCols=list(features),
+                          medians=[float(medians.get(c) or 0.0) for c in features])
+
+    def by_feature(self) -> dict[str, float]:
+        return dict(zip(self.getInputCols(), self.getOrDefault(self.medians)))
+
+    def outputs(self):
+        return [f"_{c}" for c in self.getInputCols()]
+
+    def _transform(self, df):
+        missing = [c for c in self.getInputCols() if c not in df.columns]
+        if missing:
+            raise ValueError(f"the table lacks features of the model: {', '.join(missing)}")
+        return df.withColumns({f"_{c}": F.coalesce(F.col(c).cast("double"), F.lit(m))
+                               for c, m in self.by_feature().items()})
+
+
+def preparation(features, medians) -> list:
+    """The stages that add the ``features`` vector to a table and leave its columns as they are."""
+    fill = MedianFill.of(features, medians)
+    listed = ", ".join(f"`{c}`" for c in fill.outputs())
+    return [fill, VectorAssembler(inputCols=fill.outputs(), outputCol="features"),
+            SQLTransformer(statement=f"SELECT * EXCEPT ({listed}) FROM __THIS__")]
+
+
 @dataclass
 class Fitted:
     """A trained model with all that scoring needs."""
@@ -56,11 +98,16 @@ class Fitted:
     name: str
     metrics: dict = field(default_factory=dict)
 
+    @property
+    def pipeline(self) -> PipelineModel:
+        """Preparation and model as one, from a feature table to predictions."""
+        return PipelineModel([*preparation(self.features, self.medians), self.model])
+
     def prepare(self, df: DataFrame) -> DataFrame:
         return assemble(df, self.features, self.medians)
 
     def predict(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(self.prepare(df))
+        return self.pipeline.transform(df)
 
 
 def assemble(df: DataFrame, features, medians) -> DataFrame:
@@ -68,9 +115,7 @@ def assemble(df: DataFrame, features, medians) -> DataFrame:
 
     A feature without a median (it has no value in the rows it was taken from) counts as 0.
     """
-    filled = {f"_{c}": F.coalesce(F.col(c).cast("double"), F.lit(medians.get(c) or 0.0)) for c in features}
-    assembler = VectorAssembler(inputCols=list(filled), outputCol="features")
-    return assembler.transform(df.withColumns(filled)).drop(*filled)
+    return PipelineModel(preparation(features, medians)).transform(df)
 
 
 def is_validation(fraction=VALIDATION_FRACTION, seed=SEED, key="Date"):

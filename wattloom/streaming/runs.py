@@ -194,7 +194,8 @@ class _ShardFilter(StatefulProcessor):
         for w, bits in added.items():
             bits |= word(w)
             self.words.updateValue((w,), (bits - (bits >> 63 << 64),))
-        yield pd.DataFrame({"key": new})
+        if new:
+            yield pd.DataFrame({"key": pd.Series(new, dtype=object)})
 
     def close(self):
         pass
