@@ -210,7 +210,9 @@ def drop_near_duplicates(df: DataFrame, key: str, capacity=BLOOM_CAPACITY, fpp=B
     spread over tasks and the state never exceeds the filter's words, whatever the stream brings.
     Keys of one trigger are told apart exactly; later ones may be taken for known with the
     filter's rate. NULL keys are dropped. With ``ttl`` (such as "7 days") words that were not set
-    again in that time are forgotten. A stream that is stopped goes on where it was.
+    again in that time are forgotten; such state asks for triggers without data, so a run that
+    is to end by itself needs ``spark.sql.streaming.noDataMicroBatches.enabled`` off. A stream
+    that is stopped goes on where it was.
     """
     bits, hashes = bloom_shape(-(-capacity // shards), fpp)
     first, step = bloom_digests(key, bits)
