@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from wattloom.session import fresh_path, written
 
-__all__ = ["CHUNK_BYTES", "broadcast", "components", "crc32_of", "free_name", "fresh_path", "list_array",
+__all__ = ["CHUNK_BYTES", "DRAWS", "broadcast", "components", "crc32_of", "drawn_below", "free_name", "fresh_path", "list_array",
            "lower_map", "mix64", "offsets_of", "opened", "text_chunks", "texts_of", "word_spans",
            "written", "WordHasher"]
 
@@ -26,6 +26,15 @@ def opened(shared):
     return cloudpickle.loads(shared.value)
 
 
+#: Draws by hash are numbers below this; fine enough for any number of rows.
+DRAWS = 1 << 62
+
+
+def drawn_below(wanted, rows):
+    """The bound below which a row's draw must be for about ``wanted`` of ``rows`` to be taken."""
+    return DRAWS if rows <= wanted else int(DRAWS * wanted / rows)
+
+
 def crc32_of(column):
     """crc32 of a column's text; NULL counts as empty."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))

@@ -13,7 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wattloom.llm.common import broadcast, components, list_array, opened, written
+from wattloom.llm.common import (DRAWS, broadcast, components, drawn_below, list_array, opened,
+                                 written)
 
 #: Rows of a block; a task compares two blocks of a cell.
 BLOCK = 1024
@@ -145,23 +146,24 @@ def near_vectors(vectors: DataFrame, id="vec_id", vector="embedding", label="lab
     square = F.aggregate("e", F.lit(0.0), lambda s, v: s + v * v)
     fit = rows.where(F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("e").isNotNull())
     fit = fit.where(finite).where((square > 0) & (square < float("inf")))
-    classes = written(fit.groupBy("label", "e").agg(F.min("id").alias("rep"),
-                                                    F.count("*").alias("many")), "vectors")
+    # A class has a number of its own, fixed once written: ids may repeat across classes.
+    classes = written(fit.groupBy("label", "e").agg(
+        F.min("id").alias("least"), F.count("*").alias("many")).withColumn(
+        "rep", F.monotonically_increasing_id()), "vectors")
     lengths = classes.groupBy(F.size("e").alias("dim")).agg(F.count("*").alias("n")).orderBy(
         F.desc("n"), "dim").first()
     if lengths:
         dim, n = lengths
-        share = min(1.0, sample_rows / n)
         sample = classes.where(F.size("e") == dim).where(
-            F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
-        x = _matrix(sample.orderBy("rep").select("e").toArrow().column("e").combine_chunks())
+            F.pmod(F.xxhash64("label", "e"), F.lit(DRAWS)) < drawn_below(sample_rows, n))
+        x = _matrix(sample.orderBy("label", "e").select("e").toArrow().column("e").combine_chunks())
         x = x / np.linalg.norm(x, axis=1, keepdims=True)
         cells = max(1, min(max_cells, n // cell_rows, len(x)))
         centers = spherical_kmeans(x, cells) if len(x) else np.eye(1, dim)
     else:
         dim, centers = 1, np.ones((1, 1))
     kind = dict(rows.dtypes)["label"]
-    placed = written(classes.mapInArrow(
+    placed = written(classes.drop("least").mapInArrow(
         _assign(broadcast(spark, centers), threshold, dim),
         f"label {kind}, e array<double>, rep long, many long, home int, cell int, "
         "guests array<int>").withColumn("dim", F.size("e")), "cells")
@@ -177,9 +179,11 @@ def near_vectors(vectors: DataFrame, id="vec_id", vector="embedding", label="lab
     degree = found.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(
         F.sum("links").alias("links"))
     groups = components(found.where("b IS NOT NULL").select("a", "b"), "groups")
-    named = (classes.join(degree, "rep", "left")
-             .join(groups, F.col("rep") == F.col("node"), "left")
-             .select("label", "e", F.coalesce("component", "rep").alias("component"),
+    rooted = (classes.join(groups, F.col("rep") == F.col("node"), "left")
+              .withColumn("root", F.coalesce("component", "rep")))
+    least = rooted.groupBy("root").agg(F.min("least").alias("component"))
+    named = (rooted.drop("component").join(least, "root").join(degree, "rep", "left")
+             .select("label", "e", "component",
                      (F.coalesce("links", F.lit(0)) + F.col("many") - 1).alias("links")))
     usable = (F.col("id").isNotNull() & finite & (square > 0) & (square < float("inf")))
     out = rows.withColumn("usable", F.coalesce(usable, F.lit(False))).alias("r").join(

@@ -37,17 +37,32 @@ def read_vocabulary(path: str) -> dict[bytes, int]:
             if i not in special}
 
 
-def encoder(ranks: dict[bytes, int]):
-    """Text to ids. The ids equal those of the `tokenizers` library, in a quarter of its time."""
+def read_added(path: str) -> dict[str, int]:
+    """The added tokens of a file, which stand for themselves wherever a text has them."""
+    with open(path, encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f).get("added_tokens", [])}
+
+
+def encoder(ranks: dict[bytes, int], added: dict[str, int] | None = None):
+    """Text to ids. The ids equal those of the `tokenizers` library, in a quarter of its time;
+    without ``added`` those it gives if told to take added tokens for ordinary text."""
     import tiktoken
     coder = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks,
-                              special_tokens={})
-    return coder.encode_ordinary
+                              special_tokens=added or {})
+    if not added:
+        return coder.encode_ordinary
+    special = set(added)
+
+    def encode(text):
+        if any(t in text for t in special):
+            return coder.encode(text, allowed_special=special, disallowed_special=())
+        return coder.encode_ordinary(text)
+    return encode
 
 
 def _cut(shared, capacity, end_id):
     def run(batches):
-        encode = encoder(opened(shared))
+        encode = encoder(*opened(shared))
         part = TaskContext.get().partitionId()
         seen = defaultdict(int)
         for batch in batches:
@@ -169,7 +184,8 @@ def pack(documents: DataFrame, vocabulary: str, text="text", keep=("doc_id",), c
         raise ValueError("keep has names of result columns")
     left = "".join(f"`{k}` {kinds[k]}, " for k in keep)
     pieces = documents.select(*keep, F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(
-        _cut(broadcast(spark, read_vocabulary(vocabulary)), capacity, end_id),
+        _cut(broadcast(spark, (read_vocabulary(vocabulary), read_added(vocabulary))), capacity,
+             end_id),
         left + "piece int, start long, length long, ids_crc32 long, part int, nth long, "
                "ids array<int>")
     pieces = written(pieces if with_ids else pieces.drop("ids"), "pieces")

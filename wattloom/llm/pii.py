@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wattloom.llm.common import broadcast, opened, texts_of
+from wattloom.llm.common import DRAWS, broadcast, drawn_below, opened, texts_of
 
 KINDS = ["email", "ip", "card", "phone"]
 LABELS = len(KINDS) + 1  # the last label: nothing
@@ -228,8 +228,8 @@ def train(documents: DataFrame, text="text", max_docs=20_000):
     some = documents.select(F.col(f"`{text}`").cast("string").alias("text")).where(
         F.col("text").rlike("[0-9@]"))
     key = F.xxhash64("text")
-    share = min(1.0, max_docs / max(1, some.select(key.alias("h")).distinct().count()))
-    picked = some.where(F.pmod(key, F.lit(1 << 20)) < int(share * (1 << 20))).distinct()
+    below = drawn_below(max_docs, some.select(key.alias("h")).distinct().count())
+    picked = some.where(F.pmod(key, F.lit(DRAWS)) < below).distinct()
     rows = picked.mapInArrow(_graphs, "nodes array<struct<t string, k int>>").collect()
     fields = []
     for nodes in sorted([(n.t, n.k) for n in r.nodes] for r in rows):

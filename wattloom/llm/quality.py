@@ -10,8 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wattloom.llm.common import (WordHasher, broadcast, crc32_of, free_name, lower_map, opened,
-                                 text_chunks, word_spans)
+from wattloom.llm.common import (DRAWS, WordHasher, broadcast, crc32_of, drawn_below, free_name,
+                                 lower_map, opened, text_chunks, word_spans)
 
 #: Byte classes whose pairs are counted.
 CLASSES = [b" ", b"\n\r", bytes(range(ord("a"), ord("z") + 1)),
@@ -160,8 +160,8 @@ def train(documents: DataFrame, labels: DataFrame, id="doc_id", text="text", lab
     rows = documents.where(F.pmod(crc32_of(id), F.lit(folds)) != held_fold).select(
         F.col(id).alias("id"), F.col(text).cast("string").alias("text"))
     key = F.xxhash64("id", "text")
-    share = min(1.0, max_rows / max(1, rows.select(key.alias("h")).distinct().count()))
-    picked = rows.where(F.pmod(key, F.lit(1 << 20)) < int(share * (1 << 20))).distinct()
+    below = drawn_below(max_rows, rows.select(key.alias("h")).distinct().count())
+    picked = rows.where(F.pmod(key, F.lit(DRAWS)) < below).distinct()
     kind = dict(documents.dtypes)[id]
     sample = picked.mapInArrow(_features, f"id {kind}, x array<float>").join(known, "id", "left")
     found = sample.select("x", F.col("y").cast("double")).toArrow()
