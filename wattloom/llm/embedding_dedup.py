@@ -163,7 +163,7 @@ def near_vectors(vectors: DataFrame, id="vec_id", vector="embedding", label="lab
     else:
         dim, centers = 1, np.ones((1, 1))
     kind = dict(rows.dtypes)["label"]
-    placed = written(classes.drop("least").mapInArrow(
+    placed = written(classes.select("label", "e", "rep", "many").mapInArrow(
         _assign(broadcast(spark, centers), threshold, dim),
         f"label {kind}, e array<double>, rep long, many long, home int, cell int, "
         "guests array<int>").withColumn("dim", F.size("e")), "cells")
