@@ -86,6 +86,7 @@ def test_a_bloom_filter_cuts_the_shuffle(spark, how):
     old = {name: spark.conf.get(name, None) for name in (
         "spark.sql.autoBroadcastJoinThreshold", *sketches.RUNTIME_FILTER)}
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "false")
     try:
         plain = large.join(small, F.col("k") == F.col("key"), how)
         expected, _, whole = moved(spark, lambda: sorted(map(tuple, plain.collect())))
