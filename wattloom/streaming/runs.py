@@ -19,7 +19,7 @@ from wattloom.schemas import BLOOM_CAPACITY, BLOOM_FPP, TRIGGER
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Seconds to wait for the last reports of a query that has ended.
-LAST_REPORTS = 10.0
+LAST_REPORTS = 300.0
 
 
 #: Name of the observation that counts the rows a stream receives.
