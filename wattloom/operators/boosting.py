@@ -13,7 +13,6 @@ import math
 import sys
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle, keyword_only
 from pyspark.ml import Estimator, Model
@@ -391,25 +390,24 @@ class BoostedTreesModel(Model, HasFeaturesCol, HasPredictionCol, DefaultParamsRe
         return feature, value, max(top.bit_length() - 1, 0)
 
     def _transform(self, df):
-        shared = df.sparkSession.sparkContext.broadcast(
-            (*self._arrays(), self.getOrDefault(self.base)))
-
-        @F.pandas_udf("double")
-        def predict(batch: pd.Series) -> pd.Series:
-            feature, value, depth, base = shared.value
-            x = np.stack(batch.to_numpy()) if len(batch) else np.zeros((0, 1))
-            total, rows = np.full(len(x), base), np.arange(len(x))
-            for f_of, v_of in zip(feature, value):
-                node = np.ones(len(x), np.int64)
-                for _ in range(depth):
-                    f = f_of[node]
-                    right = ~(x[rows, np.maximum(f, 0)] <= v_of[node])
-                    node = np.where(f >= 0, 2 * node + right, node)
-                total += v_of[node]
-            return pd.Series(total)
-
-        return df.withColumn(self.getPredictionCol(),
-                             predict(vector_to_array(self.getFeaturesCol())))
+        feature, value, depth = self._arrays()
+        rows = [([int(f) for f in fs], [float(v) for v in vs]) for fs, vs in zip(feature, value)]
+        # The trees come from a one-row subquery; rows fold over them without leaving the JVM.
+        trees = df.sparkSession.createDataFrame(
+            [(rows,)], "trees array<struct<f:array<int>,v:array<double>>>").scalar()
+        x = vector_to_array(self.getFeaturesCol())
+
+        def leaf(tree):
+            def below(node, _):
+                f = F.get(tree["f"], node)
+                right = F.when(F.get(F.col("_x"), f) <= F.get(tree["v"], node), 0).otherwise(1)
+                return F.when(f < 0, node).otherwise(node * 2 + right)
+            return F.aggregate(F.array(*[F.lit(i) for i in range(max(depth, 1))]), F.lit(1), below)
+
+        total = F.aggregate("_trees", F.lit(self.getOrDefault(self.base)),
+                            lambda a, tree: a + F.get(tree["v"], leaf(tree)))
+        return df.withColumns({"_x": x, "_trees": trees}).withColumn(
+            self.getPredictionCol(), total).drop("_x", "_trees")
 
 
 class HistogramBoosting(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol, HasMaxIter,

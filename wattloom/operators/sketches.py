@@ -9,7 +9,7 @@ import math
 import sys
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
@@ -257,22 +257,29 @@ def cms_native_merge(sketches: DataFrame, by=()) -> DataFrame:
     kinds = dict(sketches.dtypes)
     schema = "".join(f"`{c}` {kinds[c]}, " for c in by) + "sketch binary"
 
+    def table(held):
+        columns = [pa.array([k[i] for k in held]) for i in range(len(by))]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(list(held.values()), pa.binary())],
+                                          [*by, "sketch"])
+
     def partly(batches):
         held = {}
         for batch in batches:
-            for key, raw in zip(batch[list(by)].itertuples(index=False, name=None) if by
-                                else [()] * len(batch), batch["sketch"]):
+            keys = zip(*[batch.column(c).to_pylist() for c in by]) if by else [()] * len(batch)
+            for key, raw in zip(keys, batch.column("sketch").to_pylist()):
                 if raw is not None:
                     held[key] = _added([held[key], raw] if key in held else [raw])
             if len(held) > MOST_SKETCHES:
-                yield pd.DataFrame([(*k, v) for k, v in held.items()], columns=[*by, "sketch"])
+                yield table(held)
                 held = {}
-        yield pd.DataFrame([(*k, v) for k, v in held.items()], columns=[*by, "sketch"])
+        if held:
+            yield table(held)
 
-    def wholly(key, batch):
-        return pd.DataFrame([(*key, _added(batch["sketch"]))], columns=[*by, "sketch"])
+    def wholly(key, rows):
+        return pa.Table.from_batches([table({tuple(k.as_py() for k in key): _added(
+            x.as_py() for x in rows["sketch"])})])
 
-    return sketches.select(*by, "sketch").mapInPandas(partly, schema).groupBy(*by).applyInPandas(
+    return sketches.select(*by, "sketch").mapInArrow(partly, schema).groupBy(*by).applyInArrow(
         wholly, schema)
 
 
@@ -281,20 +288,28 @@ def cms_native_query(items: DataFrame, item: str, sketch: str = "sketch") -> Dat
 
     Items and sketches meet in a row by whatever join the caller needs. NULL items count 0.
     """
-    @F.pandas_udf("long")
-    def estimate(item: pd.Series, raw: pd.Series) -> pd.Series:
-        out = np.zeros(len(item), np.int64)
-        known = item.notna().to_numpy()
-        for one in raw[known].unique():
-            at = np.flatnonzero(known & (raw == one).to_numpy())
-            _, multipliers, counters = opened_sketch(one)
-            with np.errstate(over="ignore"):
-                h = item.iloc[at].to_numpy().astype(np.int64)[:, None] * multipliers
-                h = (h + (h >> 32)) & 0x7FFFFFFF
-            out[at] = counters[np.arange(len(multipliers)), h % counters.shape[1]].min(axis=1)
-        return pd.Series(out)
-
-    return items.withColumn("cms_estimate", estimate(F.col(item).cast("bigint"), F.col(sketch)))
+    kinds = dict(items.dtypes)
+    schema = ", ".join(f"`{c}` {t}" for c, t in kinds.items()) + ", cms_estimate long"
+
+    def run(batches):
+        for batch in batches:
+            asked = batch.column("_item")
+            known = asked.is_valid().to_numpy(zero_copy_only=False)
+            values = asked.fill_null(0).to_numpy()
+            raws, out = batch.column(sketch).dictionary_encode(), np.zeros(len(batch), np.int64)
+            which = raws.indices.fill_null(-1).to_numpy()
+            for n, one in enumerate(raws.dictionary.to_pylist()):
+                at = np.flatnonzero(known & (which == n))
+                _, multipliers, counters = opened_sketch(one)
+                with np.errstate(over="ignore"):
+                    h = values[at][:, None] * multipliers
+                    h = (h + (h >> 32)) & 0x7FFFFFFF
+                out[at] = counters[np.arange(len(multipliers)), h % counters.shape[1]].min(axis=1)
+            rest = batch.drop_columns(["_item"])
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(out)],
+                                             [*rest.schema.names, "cms_estimate"])
+
+    return items.withColumn("_item", F.col(item).cast("bigint")).mapInArrow(run, schema)
 
 
 def power_classes(spark) -> DataFrame:

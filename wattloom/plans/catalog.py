@@ -680,8 +680,9 @@ def cms_native(spark, sf):
     events = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
     daily = written(sketches.cms_native(events, "user_id", ["day"]), "daily-sketches")
     exact = events.groupBy("user_id").agg(F.count("*").alias("n"))
-    whole = sketches.cms_native_merge(daily).withColumn("total", F.lit(events.count()))
-    asked = sketches.cms_native_query(exact.join(F.broadcast(whole)), "user_id")  # one row
+    whole = sketches.cms_native_merge(daily).scalar()  # one sketch of fixed size
+    asked = written(sketches.cms_native_query(exact.withColumn("sketch", whole), "user_id").select(
+        "n", "cms_estimate", F.lit(events.count()).alias("total")), "estimates")
     return asked.agg(
         F.count("*").alias("items"), F.sum("n").alias("updates"),
         F.count_if(F.col("cms_estimate") < F.col("n")).alias("below"),
