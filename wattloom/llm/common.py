@@ -151,8 +151,15 @@ class WordHasher:
                      + (ends - starts).astype(U64))
 
 
+#: Nodes that a task contracts at once.
+HELD = 1 << 20
+
+
 def _local_stars(batches):
-    """Union-find over the edges of one partition; yields (node, smallest known node)."""
+    """Union-find over edges of one partition; yields (node, smallest known node).
+
+    What it holds is bounded: beyond ``HELD`` nodes it yields what it knows and starts anew.
+    """
     parent = {}
 
     def root(x):
@@ -161,6 +168,12 @@ def _local_stars(batches):
             x = parent[x]
         return x
 
+    def stars():
+        nodes = [x for x in parent if parent[x] != x]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(nodes, pa.int64()), pa.array([root(x) for x in nodes], pa.int64())],
+            ["a", "b"])
+
     for batch in batches:
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             parent.setdefault(a, a)
@@ -168,38 +181,41 @@ def _local_stars(batches):
             a, b = root(a), root(b)
             if a != b:
                 parent[max(a, b)] = min(a, b)
-    nodes = [x for x in parent if parent[x] != x]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(nodes, pa.int64()), pa.array([root(x) for x in nodes], pa.int64())],
-        ["a", "b"])
+        if len(parent) >= HELD:
+            yield stars()
+            parent.clear()
+    yield stars()
+
+
+def _are_stars(links):
+    """Whether every node has one smaller node at most, and that one none."""
+    ends = links.select(F.col("a").alias("x"), F.lit(1).alias("up")).union(
+        links.select(F.col("b").alias("x"), F.lit(0).alias("up")))
+    ends = ends.groupBy("x").agg(F.sum("up").alias("n"), F.min("up").alias("low"))
+    return ends.where("n > 1 OR n = 1 AND low = 0").agg(F.count("*")).first()[0] == 0
 
 
 def components(edges: DataFrame, name="components") -> DataFrame:
     """(node, component): the smallest node that links (a, b) of two longs reach from ``node``.
 
     Each partition first contracts its own links to stars. Then large-star and small-star steps
-    alternate until the links no longer change; each round is a written table. Every step is a
+    alternate until only stars are left; each round is a written table. Every step is a
     grouped minimum, summed before the shuffle, and a join that adaptive execution can split, so
     a node with very many links is no hot task. Nodes without a link are not returned; links
     with a NULL end and loops are ignored.
     """
-    spark = edges.sparkSession
     links = (edges.select(F.col(edges.columns[0]).cast("long").alias("a"),
                           F.col(edges.columns[1]).cast("long").alias("b"))
              .where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
              .mapInArrow(_local_stars, "a long, b long"))
     links = written(links.distinct(), name)
-    before = None
-    while True:
-        state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(state) == before or not state[0]:
-            return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        before = tuple(state)
+    while not _are_stars(links):
         both = links.union(links.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = (both.where("b > a").join(least, "a").where("b <> m")
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"),
+                                                            F.col("m").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"),
                                                               F.col("m").alias("b"))
         links = written(small.union(least.select("a", F.col("m").alias("b"))).distinct(), name)
+    return links.select(F.col("a").alias("node"), F.col("b").alias("component"))

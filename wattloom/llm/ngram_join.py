@@ -3,11 +3,12 @@
 Two sets of sizes a and b with Jaccard similarity of at least p percent differ in at most
 ``D = (a + b) * (100 - p) / (100 + p)`` elements. Within a band of sizes the hash space is cut
 into more segments than D can be, so such sets agree in at least one whole segment: sets meet in
-the tile of that band, segment and content. Tiles that share members form a group, and all links
-lie within groups. A group of few members is compared in one task. In larger groups all
-are compared with a few of the group, then those of each tile with its smallest; only tiles
-whose members are then still apart compare all of them, block by block. Bitmaps rule pairs out;
-those they admit are intersected exactly.
+the tile of that band, segment and content. Of tiles with the same members one is kept. Tiles
+that share members form a group, and all links lie within groups. A group of few members is
+compared in one task. In larger groups all are compared with a few of the group, then those of
+each tile with its smallest; only tiles whose members are then still apart compare them, block by
+block, but for pairs that are together already. Sets travel to a block as sorted arrays. Bitmaps
+rule pairs out; those they admit are intersected exactly, and a task returns a spanning forest.
 """
 
 import numpy as np
@@ -26,8 +27,9 @@ BITS = 1024
 SMALL = 128
 #: Sizes of a band lie within this factor.
 BAND = 1.4
-#: Members of a tile that one task compares with as many others at once.
-BLOCK = 256
+#: Members of a tile that one task compares with as many others at once, about, and the elements
+#: of their sets.
+BLOCK, ELEMENTS = 256, 1 << 20
 #: The members of a large group that are compared with all: the smallest after flipping these.
 FLIPS = [int(x) for x in (np.arange(1, 9, dtype=U64) * U64(0x9E3779B97F4A7C15)).view(np.int64)]
 #: Rows that a task combines before they are shuffled.
@@ -241,18 +243,22 @@ def _meet(buckets):
     return run
 
 
-def _sizes(words):
-    """(d1, n, bits) of the texts whose set is still the one they stand for."""
+def _arrays(words):
+    """(component, d1, n, s) of the texts whose set, as sorted array s, is the one they stand for."""
     def run(batches):
         for batch in batches:
             wanted = batch.column("d1").to_numpy().view(U64)
-            found = [(wanted[row], len(s), bitmap(s))
-                     for row, s in shingle_hashes(batch.column("text"), words)
-                     if len(s) and _digests(s)[1] == wanted[row]]
-            d1, n, bits = zip(*found) if found else ((), (), ())
+            at, n, arrays = [], [], []
+            for row, s in shingle_hashes(batch.column("text"), words):
+                if len(s) and _digests(s)[1] == wanted[row]:
+                    at.append(row)
+                    n.append(len(s))
+                    arrays.append(s.tobytes())
+            at = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(_signed(d1)), pa.array(n, pa.int64()), pa.array(bits, pa.binary())],
-                ["d1", "n", "bits"])
+                [batch.column("component").take(at), batch.column("d1").take(at),
+                 pa.array(n, pa.int64()), pa.array(arrays, pa.binary())],
+                ["component", "d1", "n", "s"])
     return run
 
 
@@ -326,49 +332,54 @@ def _small_groups(words, percent):
     return run
 
 
-def _intersect(words, percent):
-    def run(batches):
-        for batch in batches:
-            pairs = zip(shingle_hashes(batch.column("ta"), words),
-                        shingle_hashes(batch.column("tb"), words))
-            mask = pa.array([_alike(x, y, percent) for (_, x), (_, y) in pairs], pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
+def _tile(percent):
+    """Links of a tile that join sets with different ``c``, as a spanning forest.
+
+    Sets that are ``near`` are compared with all others; if i = j, all are near.
+    """
+    def run(table):
+        near = table.column("near").to_numpy()
+        c, d1 = table.column("c").to_numpy(), table.column("d1").to_numpy()
+        sets = [np.frombuffer(x, U64) for x in table.column("s").to_pylist()]
+        n, bits = np.array([len(x) for x in sets]), _unpacked([bitmap(x) for x in sets])
+        p, same = np.flatnonzero(near), table.column("i")[0] == table.column("j")[0]
+        q = p if same else np.flatnonzero(~near)
+        good = _allowed(bits[p], n[p], bits[q], n[q], percent) & (c[p][:, None] != c[q][None, :])
+        if same:
+            good = np.triu(good, 1)
+        root, a, b = {}, [], []
+
+        def top(x):
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+        for at, row in zip(p.tolist(), good):
+            for other in q[row].tolist():
+                x, y = top(c[at]), top(c[other])
+                if x != y and _alike(sets[at], sets[other], percent):
+                    root[max(x, y)] = min(x, y)
+                    a.append(d1[at])
+                    b.append(d1[other])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
     return run
 
 
-def _admit(percent):
-    """Pairs (a, b) whose sizes and bitmaps allow a link."""
-    def run(batches):
-        for batch in batches:
-            x, y = _unpacked(batch.column("ba").to_pylist()), _unpacked(
-                batch.column("bb").to_pylist())
-            nx, ny = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
-            both = (x * y).sum(1)
-            most = np.minimum(nx - (x.sum(1) - both), ny - (y.sum(1) - both))
-            mask = pa.array(100 * most >= percent * (nx + ny - most))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
-    return run
+def _blocks(size, elements):
+    """In how many blocks a tile of ``size`` sets with so many elements is cut."""
+    return F.ceil(F.greatest(size / F.lit(BLOCK), elements / F.lit(ELEMENTS)))
 
 
-def _tile(percent):
-    """Pairs of different components in a tile that sizes and bitmaps allow."""
-    def run(table):
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        at = table.column("at").to_numpy()
-
-        def side(part):
-            return (_unpacked(part.column("bits").to_pylist()),
-                    *(part.column(c).to_numpy() for c in ("n", "c", "d1")))
-        x, nx, cx, dx = side(table.filter(pa.array(at == i)))
-        y, ny, cy, dy = side(table.filter(pa.array(at == j)))
-        good = _allowed(x, nx, y, ny, percent) & (cx[:, None] != cy[None, :])
-        if i == j:
-            good &= dx[:, None] < dy[None, :]
-        p, q = np.nonzero(good)
-        return pa.table({"a": np.minimum(dx[p], dy[q]), "b": np.maximum(dx[p], dy[q])})
-    return run
+def _place(at, near):
+    return F.struct(at.cast("long").alias("at"), F.lit(near).alias("near"))
+
+
+def _few_with_all(rows, few, blocks):
+    """Rows in tiles (i, j) in which those that are ``few`` meet each block of the others."""
+    own = F.array(_place(F.pmod(F.xxhash64("d1"), blocks), False))
+    each = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda b: _place(b, True))
+    rows = rows.withColumn("place", F.explode(F.when(few, F.concat(each, own)).otherwise(own)))
+    return rows.select("key", F.lit(-1).cast("long").alias("i"), F.col("place.at").alias("j"),
+                       F.col("place.near").alias("near"), "d1", "c")
 
 
 def similar_sets(documents: DataFrame, id="doc_id", text="text", words=5, percent=80
@@ -402,18 +413,26 @@ def _judged(documents, id, text, words, percent):
     usable = docs.where("id IS NOT NULL")
     signed = written(docs.mapInArrow(_sign(words), "id long, text_key long, n long, d1 long, d2 long"), "signed")
     classes = (signed.where("n > 0 AND id IS NOT NULL").groupBy("d1", "d2")
-               .agg(F.min("id").alias("rep")))
+               .agg(F.min("id").alias("rep"), F.max("n").alias("size")))
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     members = ", ".join(f"{c} long" for c in MEMBER)
     met = written(usable.select("text").mapInArrow(_pack(words, percent, buckets), PACKED)
                   .repartition("bucket").mapInArrow(_meet(buckets), members), "tiles")
+    # Of tiles with the same members one is enough; they are told by two sums of 64-bit hashes.
+    met = met.select("key", "d1").distinct()
+    alike = met.groupBy("key").agg(
+        F.count("*").alias("many"), F.min("d1").alias("pivot"),
+        *[F.sum(F.xxhash64("d1", F.lit(x)).cast("decimal(38,0)")).alias(f"who{x}")
+          for x in (1, 2)])
+    alike = alike.groupBy("many", "pivot", "who1", "who2").agg(F.min("key").alias("key"))
+    met = written(met.join(alike.select("key", "pivot"), "key"), "tiles")
     stars = met.where("d1 <> pivot").select("d1", "pivot").distinct()
     grouped = components(stars, "candidates")
     grouped = grouped.union(grouped.select(F.col("component").alias("node"), "component")
                             .distinct())
-    sizes = grouped.groupBy("component").agg(F.count("*").alias("size"))
+    sizes = grouped.groupBy("component").agg(F.count("*").alias("many"))
     placed = grouped.join(sizes, "component").select(
-        F.col("node").alias("d1"), "component", (F.col("size") > SMALL).alias("large"))
+        F.col("node").alias("d1"), "component", (F.col("many") > SMALL).alias("large"))
     reps = written(classes.join(placed, "d1"), "classes")
 
     # One text of each class that met any other; how many has no bound, so no side is broadcast.
@@ -422,68 +441,68 @@ def _judged(documents, id, text, words, percent):
     solved = texts.where("NOT large").repartition("component").sortWithinPartitions(
         "component").mapInArrow(_small_groups(words, percent), "a long, b long")
     solved = written(solved, "small")
+    sets = written(texts.where("large").select("component", "d1", "text").mapInArrow(
+        _arrays(words), "component long, d1 long, n long, s binary"), "arrays")
 
-    met = met.join(reps.where("large").select("d1"), "d1", "left_semi")
-    full = texts.where("large").select("d1", "text")
-    sets = written(full.mapInArrow(_sizes(words), "d1 long, n long, bits binary"), "sizes")
-
-    def sides(pairs, of, columns):
-        for e in ("a", "b"):
-            pairs = pairs.join(of.select(F.col("d1").alias(e), *[
-                F.col(c).alias(c[0] + e) for c in columns]), e)
-        return pairs
-
-    def linked(pairs):
-        fit = written(sides(pairs, sets, ["n", "bits"]).mapInArrow(
-            _admit(percent), "a long, b long").distinct(), "pairs")
-        if fit.isEmpty():
-            return fit
-        return sides(fit, full, ["text"]).select("a", "b", "ta", "tb").mapInArrow(
-            _intersect(words, percent), "a long, b long")
-
-    def between(first, second):
-        return (F.least(first, second).alias("a"), F.greatest(first, second).alias("b"))
-
-    # A few members of a group are compared with all others: of near copies they join most.
-    inside = reps.where("large").select("component", "d1")
-    flipped = [F.min(F.col("d1").bitwiseXOR(F.lit(x))).bitwiseXOR(F.lit(x)) for x in FLIPS]
-    pivots = inside.groupBy("component").agg(F.array(*flipped).alias("pivots"))
-    first = components(linked(inside.join(pivots, "component").select(
-        "d1", F.explode("pivots").alias("p")).where("d1 <> p").select(
-        *between("d1", "p")).distinct()), "stars")
-
-    def apart(groups):
-        """(key, set, component) of tile members, and keys whose members are apart."""
-        rows = met.select("key", "d1").distinct().join(
-            groups.select(F.col("node").alias("d1"), "component"), "d1", "left").select(
-            "key", "d1", F.coalesce("component", "d1").alias("c"))
-        keys = rows.groupBy("key").agg(
-            F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("size"),
-            F.sum(F.xxhash64("d1").cast("decimal(38,0)")).alias("who")).where("low < high")
-        # Of tiles with the same members one is enough.
-        return rows, keys.groupBy("size", "who").agg(F.min("key").alias("key"))
+    def compared(tiles):
+        """Links of tiles; sets come by id as arrays, once for each block they meet."""
+        return tiles.groupBy("key", "i", "j").applyInArrow(_tile(percent), "a long, b long")
 
     def joined(groups, links):
         stars = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
         return components(stars.union(links), "groups")
 
+    # A few members of a group are compared with all others: of near copies they join most.
+    flipped = [F.min(F.col("d1").bitwiseXOR(F.lit(x))).bitwiseXOR(F.lit(x)) for x in FLIPS]
+    pivots = sets.groupBy(F.col("component").alias("key")).agg(
+        F.array(*flipped).alias("pivots"), _blocks(F.count("*"), F.sum("n")).alias("blocks"))
+    inside = _few_with_all(
+        sets.select(F.col("component").alias("key"), "d1", F.col("d1").alias("c")).join(
+            pivots, "key"), F.array_contains("pivots", F.col("d1")), F.col("blocks"))
+    first = components(compared(inside.join(sets.select("d1", "s"), "d1")), "stars")
+
+    def labelled(groups):
+        """(key, d1, pivot, size, c): tile members and what is together; small groups are."""
+        known = reps.join(groups.select(F.col("node").alias("d1"), F.col("component").alias("g")),
+                          "d1", "left")
+        return met.join(known.select("d1", "size", F.when(F.col("large"), F.coalesce("g", "d1"))
+                                     .otherwise(F.col("component")).alias("c")), "d1")
+
     # Then the members of a tile with its smallest, where they are not together yet.
-    some = met.where("d1 <> pivot").select(*between("d1", "pivot")).distinct()
-    ends = {e: first.select(F.col("node").alias(e), F.col("component").alias("c" + e))
-            for e in ("a", "b")}
-    some = some.join(ends["a"], "a", "left").join(ends["b"], "b", "left").where(
-        F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-    second = joined(first, linked(some))
-
-    rows, keys = apart(second)
-    tiles = rows.join(keys.select("key", F.ceil(F.col("size") / BLOCK).alias("blocks")), "key")
-    tiles = tiles.withColumn("at", F.pmod(F.xxhash64("d1"), F.col("blocks"))).withColumn(
-        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    tiles = tiles.join(sets.select("d1", "n", "bits"), "d1").select(
-        "key", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"), "at",
-        "d1", "c", "n", "bits")
-    left = tiles.groupBy("key", "i", "j").applyInArrow(_tile(percent), "a long, b long")
-    groups = joined(second, linked(left.distinct())).union(
+    rows = written(labelled(first), "members")
+    keys = rows.groupBy("key").agg(
+        F.min("c").alias("low"), F.max("c").alias("high"),
+        F.max(F.when(F.col("d1") == F.col("pivot"), F.col("c"))).alias("of"),
+        _blocks(F.count("*"), F.sum("size")).alias("blocks")).where("low < high")
+    some = _few_with_all(rows.join(keys, "key").where("c <> of OR d1 = pivot"),
+                         F.col("d1") == F.col("pivot"), F.col("blocks"))
+    second = joined(first, compared(some.join(sets.select("d1", "s"), "d1")))
+
+    # Last, in tiles that are still apart, all but the largest part with all.
+    rows = written(labelled(second), "members")
+    parts = rows.groupBy("key", "c").agg(F.count("*").alias("many"), F.sum("size").alias("of"))
+    keys = parts.groupBy("key").agg(
+        F.count("*").alias("parts"), F.max(F.struct("many", "of", "c")).alias("top"),
+        F.sum("many").alias("many"), F.sum("of").alias("of")).where("parts > 1").select(
+        "key", F.col("top.c").alias("top"), _blocks(F.col("top.many"), F.col("top.of")).alias("rest"),
+        _blocks(F.col("many") - F.col("top.many"), F.col("of") - F.col("top.of")).alias("blocks"))
+    tiles = rows.join(keys, "key").withColumn("few", F.col("c") != F.col("top"))
+    zero, last = F.lit(0).cast("long"), F.col("blocks") - 1
+    tiles = tiles.withColumn("at", F.pmod(F.xxhash64("d1"), F.when(F.col("few"), F.col("blocks")).otherwise(
+        F.col("rest")))).withColumn("other", F.explode(F.when(F.col("few"), F.concat(
+            F.sequence(zero, last), F.sequence(-F.col("rest"), F.lit(-1).cast("long")))).otherwise(
+            F.sequence(zero, last))))
+    both = F.col("few") & (F.col("other") >= 0)  # blocks of the rest count down from -1
+    tiles = tiles.select(
+        "key", "d1", "c", "few", "at",
+        F.when(both, F.least("at", "other")).when(F.col("few"), F.col("at")).otherwise(
+            F.col("other")).alias("i"),
+        F.when(both, F.greatest("at", "other")).when(F.col("few"), F.col("other")).otherwise(
+            -F.col("at") - 1).alias("j"))
+    tiles = tiles.select("key", "i", "j", (F.col("few") & (F.col("at") == F.col("i"))).alias("near"),
+                         "d1", "c")
+    left = compared(tiles.join(sets.select("d1", "s"), "d1"))
+    groups = joined(second, left).union(
         solved.select(F.col("a").alias("node"), F.col("b").alias("component")))
 
     # From sets to documents: the smallest id of a component's sets.
