@@ -198,7 +198,7 @@ def _are_stars(links):
 def components(edges: DataFrame, name="components") -> DataFrame:
     """(node, component): the smallest node that links (a, b) of two longs reach from ``node``.
 
-    Each partition first contracts its own links to stars. Then large-star and small-star steps
+    Each partition first contracts its own links to stars. Then small-star and large-star steps
     alternate until only stars are left; each round is a written table. Every step is a
     grouped minimum, summed before the shuffle, and a join that adaptive execution can split, so
     a node with very many links is no hot task. Nodes without a link are not returned; links
@@ -210,12 +210,14 @@ def components(edges: DataFrame, name="components") -> DataFrame:
              .mapInArrow(_local_stars, "a long, b long"))
     links = written(links.distinct(), name)
     while not _are_stars(links):
-        both = links.union(links.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"),
-                                                            F.col("m").alias("b"))
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"),
+        # The smaller ends of a node are linked with the smallest of them, then the larger ends
+        # of a node with the smallest around it.
+        least = links.groupBy("a").agg(F.min("b").alias("m"))
+        small = links.join(least, "a").where("b <> m").select(F.col("b").alias("a"),
                                                               F.col("m").alias("b"))
-        links = written(small.union(least.select("a", F.col("m").alias("b"))).distinct(), name)
+        small = written(small.union(least.select("a", F.col("m").alias("b"))), name)
+        both = small.union(small.select("b", "a"))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = both.where("b > a").join(least, "a")
+        links = written(large.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), name)
     return links.select(F.col("a").alias("node"), F.col("b").alias("component"))

@@ -426,7 +426,7 @@ def _judged(documents, id, text, words, percent):
           for x in (1, 2)])
     alike = alike.groupBy("many", "pivot", "who1", "who2").agg(F.min("key").alias("key"))
     met = written(met.join(alike.select("key", "pivot"), "key"), "tiles")
-    stars = met.where("d1 <> pivot").select("d1", "pivot").distinct()
+    stars = met.where("d1 <> pivot").select("d1", "pivot")
     grouped = components(stars, "candidates")
     grouped = grouped.union(grouped.select(F.col("component").alias("node"), "component")
                             .distinct())
@@ -445,8 +445,9 @@ def _judged(documents, id, text, words, percent):
         _arrays(words), "component long, d1 long, n long, s binary"), "arrays")
 
     def compared(tiles):
-        """Links of tiles; sets come by id as arrays, once for each block they meet."""
-        return tiles.groupBy("key", "i", "j").applyInArrow(_tile(percent), "a long, b long")
+        """Links of tiles; sets come as arrays, once for each block they meet."""
+        return written(tiles.join(sets.select("d1", "s"), "d1").groupBy("key", "i", "j")
+                       .applyInArrow(_tile(percent), "a long, b long"), "links")
 
     def joined(groups, links):
         stars = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
@@ -459,33 +460,38 @@ def _judged(documents, id, text, words, percent):
     inside = _few_with_all(
         sets.select(F.col("component").alias("key"), "d1", F.col("d1").alias("c")).join(
             pivots, "key"), F.array_contains("pivots", F.col("d1")), F.col("blocks"))
-    first = components(compared(inside.join(sets.select("d1", "s"), "d1")), "stars")
+    first = components(compared(inside), "stars")
 
-    def labelled(groups):
-        """(key, d1, pivot, size, c): tile members and what is together; small groups are."""
+    def apart(groups):
+        """Members of tiles and what they are together with, and the tiles of several parts."""
         known = reps.join(groups.select(F.col("node").alias("d1"), F.col("component").alias("g")),
                           "d1", "left")
-        return met.join(known.select("d1", "size", F.when(F.col("large"), F.coalesce("g", "d1"))
-                                     .otherwise(F.col("component")).alias("c")), "d1")
-
-    # Then the members of a tile with its smallest, where they are not together yet.
-    rows = written(labelled(first), "members")
-    keys = rows.groupBy("key").agg(
-        F.min("c").alias("low"), F.max("c").alias("high"),
-        F.max(F.when(F.col("d1") == F.col("pivot"), F.col("c"))).alias("of"),
-        _blocks(F.count("*"), F.sum("size")).alias("blocks")).where("low < high")
-    some = _few_with_all(rows.join(keys, "key").where("c <> of OR d1 = pivot"),
-                         F.col("d1") == F.col("pivot"), F.col("blocks"))
-    second = joined(first, compared(some.join(sets.select("d1", "s"), "d1")))
-
-    # Last, in tiles that are still apart, all but the largest part with all.
-    rows = written(labelled(second), "members")
-    parts = rows.groupBy("key", "c").agg(F.count("*").alias("many"), F.sum("size").alias("of"))
-    keys = parts.groupBy("key").agg(
-        F.count("*").alias("parts"), F.max(F.struct("many", "of", "c")).alias("top"),
-        F.sum("many").alias("many"), F.sum("of").alias("of")).where("parts > 1").select(
-        "key", F.col("top.c").alias("top"), _blocks(F.col("top.many"), F.col("top.of")).alias("rest"),
-        _blocks(F.col("many") - F.col("top.many"), F.col("of") - F.col("top.of")).alias("blocks"))
+        rows = written(met.join(known.select(
+            "d1", "size", F.when(F.col("large"), F.coalesce("g", "d1")).otherwise(
+                F.col("component")).alias("c")), "d1"), "members")
+        parts = rows.groupBy("key", "c").agg(
+            F.count("*").alias("many"), F.sum("size").alias("of"),
+            F.max(F.col("d1") == F.col("pivot")).alias("first"))
+        keys = parts.groupBy("key").agg(
+            F.count("*").alias("parts"), F.max(F.struct("many", "of", "c")).alias("top"),
+            F.sum("many").alias("many"), F.sum("of").alias("of"),
+            F.max(F.when(F.col("first"), F.col("c"))).alias("first")).where("parts > 1")
+        return rows, written(keys.select(
+            "key", F.col("top.c").alias("top"), "first",
+            _blocks(F.col("top.many"), F.col("top.of")).alias("rest"),
+            _blocks(F.col("many") - F.col("top.many"), F.col("of") - F.col("top.of"))
+            .alias("blocks")), "apart")
+
+    # In tiles that are not together yet all but the largest part are compared with all. Where
+    # that part is more than a block, all are compared with the smallest member before.
+    groups = first
+    rows, keys = apart(groups)
+    wide = keys.where("blocks > 1")
+    if not wide.isEmpty():
+        some = _few_with_all(rows.join(wide, "key").where("c <> first OR d1 = pivot"),
+                             F.col("d1") == F.col("pivot"), F.col("blocks") + F.col("rest"))
+        groups = joined(groups, compared(some))
+        rows, keys = apart(groups)
     tiles = rows.join(keys, "key").withColumn("few", F.col("c") != F.col("top"))
     zero, last = F.lit(0).cast("long"), F.col("blocks") - 1
     tiles = tiles.withColumn("at", F.pmod(F.xxhash64("d1"), F.when(F.col("few"), F.col("blocks")).otherwise(
@@ -501,8 +507,8 @@ def _judged(documents, id, text, words, percent):
             -F.col("at") - 1).alias("j"))
     tiles = tiles.select("key", "i", "j", (F.col("few") & (F.col("at") == F.col("i"))).alias("near"),
                          "d1", "c")
-    left = compared(tiles.join(sets.select("d1", "s"), "d1"))
-    groups = joined(second, left).union(
+    left = compared(tiles)
+    groups = joined(groups, left).union(
         solved.select(F.col("a").alias("node"), F.col("b").alias("component")))
 
     # From sets to documents: the smallest id of a component's sets.
