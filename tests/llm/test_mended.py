@@ -1,12 +1,13 @@
-"""Repeated ids of vectors, added tokens in packed texts, draws of very large inputs."""
+"""Repeated ids of vectors, added tokens in packed texts, draws, few labels, rules in blocks."""
 
 import random
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from wattloom.llm import embedding_dedup, packing
+from wattloom.llm import embedding_dedup, line_dedup, packing, quality, url_filter
 from wattloom.llm.common import DRAWS, drawn_below
 
 from . import brute
@@ -53,3 +54,32 @@ def test_draws_never_round_to_nothing():
     for rows in (10, 30_000, 3 * 10 ** 10, 10 ** 15):
         below = drawn_below(30_000, rows)
         assert 0 < below <= DRAWS and abs(below / DRAWS * rows - min(rows, 30_000)) < 1
+
+
+def test_few_labels_among_many_rows_are_learnt_from(spark):
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.concat(
+        F.when(F.col("id") % 2 == 0, "Plain words of text ").otherwise("%%%% ### 11 "),
+        F.col("id").cast("string")).alias("text"))
+    labels = spark.createDataFrame([(i, (i + 1) % 2) for i in range(100, 120)],
+                                   "doc_id long, quality int")
+    net = quality.train(docs, labels, max_rows=80)
+    scores = {r.doc_id: r.score for r in quality.score(docs, net).collect()}
+    assert min(scores[i] for i in range(0, 2000, 2)) > max(scores[i] for i in range(1, 2000, 2))
+
+
+def test_rules_in_blocks_judge_as_at_once(spark):
+    rules = [("allow", "org/"), ("block", "a.org/x/"), ("allow", "a.org/x/y"), ("block", "org/x"),
+             ("block", "org/"), ("allow", "b.a.org/"), ("block", "/x")]
+    urls = [f"http://{h}{p}" for h in ("org", "a.org", "b.a.org", "c.org", "com")
+            for p in ("", "/", "/x", "/x/", "/x/y", "/x/yz?q")] + [None, "none"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    whole, parts = (sorted(map(tuple, url_filter.filter_urls(pages, rules, block_rules=n).collect()),
+                           key=lambda r: r[0]) for n in (100, 2))
+    assert whole == parts
+
+
+def test_a_line_on_most_of_few_pages_goes(spark):
+    pages = spark.createDataFrame([("h", f"menu\npage {i}") for i in range(4)] + [(
+        "g", "menu")], "source string, text string")
+    kept = line_dedup.drop_lines(pages, ratio=0.5, min_pages=1).collect()
+    assert sorted(r.text for r in kept) == ["", *[f"page {i}" for i in range(4)]]

@@ -21,7 +21,8 @@ def boilerplate(pages: DataFrame, host="source", text="text", ratio=0.08, min_pa
     """(host, lines, n_pages): for every host the keys of its boilerplate lines, if any.
 
     A line is boilerplate on a host if the pages of the host that contain it, divided by all its
-    pages, exceed ``ratio``, and at least ``min_pages`` pages contain it. As the ratios of all
+    pages, exceed ``ratio``, and at least ``min_pages`` pages contain it: on a host of few pages
+    any line exceeds a small ratio. With 1 the ratio alone decides. As the ratios of all
     lines of a host add up to its mean number of different lines per page, a host has at most
     that number divided by ``ratio`` such lines, however many pages it has.
     """

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from wattloom.llm.common import (DRAWS, WordHasher, broadcast, crc32_of, drawn_below, free_name,
-                                 lower_map, opened, text_chunks, word_spans)
+                                 lower_map, opened, text_chunks, word_spans, written)
 
 #: Byte classes whose pairs are counted.
 CLASSES = [b" ", b"\n\r", bytes(range(ord("a"), ord("z") + 1)),
@@ -59,7 +59,7 @@ def _features(batches):
         flat = features(batch.column("text"))
         vectors = pa.FixedSizeListArray.from_arrays(pa.array(flat.ravel(), pa.float32()), WIDTH)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), vectors.cast(pa.list_(pa.float32()))], ["id", "x"])
+            [batch.column("y"), vectors.cast(pa.list_(pa.float32()))], ["y", "x"])
 
 
 def _sigmoid(z):
@@ -146,25 +146,32 @@ def train(documents: DataFrame, labels: DataFrame, id="doc_id", text="text", lab
           folds=5, held_fold=0, max_rows=30_000) -> Network | None:
     """A classifier from rows whose crc32 of the id, mod ``folds``, is not ``held_fold``.
 
-    It is fitted on a sample of at most about ``max_rows`` such documents, the ones with the
-    smallest hashes of id and text among distinct ones (equal rows count once), so the driver's
-    part has a fixed size. Sampled rows labelled 1
+    It is fitted on a sample of at most about ``max_rows`` such documents, half of them with and
+    half without a label: of each kind those with the smallest hashes of id and text among
+    distinct ones (equal rows count once). So the driver's part has a fixed size, and few labels
+    among many rows are all found. Sampled rows labelled 1
     are the trusted positives, rows without a label the unlabelled text; the prior is the share
     of 1 among the labelled; rows labelled 0 take part in prior and calibration alone. A
     document with labels of both kinds, or NULL, is unlabelled. Without positives there is no
-    model (None).
+    model (None); without any unlabelled row the labelled ones are the text to tell them from.
     """
     known = (labels.where(f"{label} IS NOT NULL AND {id} IS NOT NULL").groupBy(F.col(id).alias("id"))
              .agg(F.min(label).alias("low"), F.max(label).alias("high"))
              .select("id", F.when(F.col("low") == F.col("high"), F.col("low")).alias("y")))
     rows = documents.where(F.pmod(crc32_of(id), F.lit(folds)) != held_fold).select(
         F.col(id).alias("id"), F.col(text).cast("string").alias("text"))
-    key = F.xxhash64("id", "text")
-    below = drawn_below(max_rows, rows.select(key.alias("h")).distinct().count())
-    picked = rows.where(F.pmod(key, F.lit(DRAWS)) < below).distinct()
-    kind = dict(documents.dtypes)[id]
-    sample = picked.mapInArrow(_features, f"id {kind}, x array<float>").join(known, "id", "left")
-    found = sample.select("x", F.col("y").cast("double")).toArrow()
+    key = F.xxhash64("id", "text").alias("key")
+    # Ids meet the labels, without texts; the rows picked are at most about max_rows.
+    drawn = rows.select("id", key).distinct().join(known.where("y IS NOT NULL"), "id", "left")
+    counts = drawn.agg(F.count("*"), F.count("y")).first()
+    seen, unseen = (drawn_below(max_rows // 2, n) for n in (counts[1], counts[0] - counts[1]))
+    picked = written(drawn.where(
+        F.pmod("key", F.lit(DRAWS)) < F.when(F.col("y").isNotNull(), seen).otherwise(unseen))
+        .select("key", "y"), "picked")
+    sample = rows.select("id", "text", key).join(F.broadcast(picked), "key").distinct()
+    sample = sample.select(F.col("y").cast("double"), "text").mapInArrow(
+        _features, "y double, x array<float>")
+    found = sample.toArrow()
     x = np.array(found.column("x").combine_chunks().flatten(), np.float64).reshape(-1, WIDTH)
     y = np.array(found.column("y").to_pylist(), object)
     y = np.where(y == None, np.nan, y).astype(float)  # noqa: E711
@@ -174,7 +181,7 @@ def train(documents: DataFrame, labels: DataFrame, id="doc_id", text="text", lab
     if not positive.any():
         return None
     prior = min(0.99, max(0.01, positive.sum() / seen.sum()))
-    unlabelled = x[~seen] if (~seen).sum() >= seen.sum() // 4 else x
+    unlabelled = x[~seen] if not seen.all() else x
     net = fit_nnpu(x[positive], unlabelled, prior)
     calibrate(net, x[seen], y[seen])
     return net

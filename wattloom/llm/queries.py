@@ -70,8 +70,9 @@ def op7_embedding_dedup(spark, sf):
 
 
 def op8_line_dedup(spark, sf):
-    """Every document without its source's boilerplate lines, and how many lines went."""
-    cleaned = line_dedup.drop_lines(table(spark, sf, "documents"), removed="n_removed")
+    """Every document without lines over its source's ratio, and how many lines went."""
+    cleaned = line_dedup.drop_lines(table(spark, sf, "documents"), min_pages=1,
+                                    removed="n_removed")
     return cleaned.select("doc_id", "source", "text", "n_removed")
 
 

@@ -59,7 +59,7 @@ counts AS (SELECT source, line, count(*) AS n
 common AS (
   SELECT c.source, list(line) AS lines FROM counts c JOIN totals t
     ON c.source IS NOT DISTINCT FROM t.source
-  WHERE n >= 5 AND n > pages * CAST(0.08 AS DOUBLE)
+  WHERE n > pages * CAST(0.08 AS DOUBLE)
     AND NOT regexp_full_match(line, '[\x20\x09-\x0D]*')
   GROUP BY c.source),
 k AS (

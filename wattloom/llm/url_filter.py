@@ -92,39 +92,55 @@ def url_parts(column):
     return F.translate(host, upper, upper.lower()), path
 
 
+def _rank(rule, verdict):
+    """Of two rules that fit one url the higher counts: their hosts and paths are of one chain."""
+    host, path = split_rule(rule)
+    return len(host), len(path), verdict == "block"
+
+
+def _judged(shared):
+    """Fills rule and verdict where the trie has a rule of higher rank than the one there."""
+    def run(batches):
+        trie = opened(shared)
+        for batch in batches:
+            rows = list(zip(*(batch.column(c).to_pylist()
+                              for c in ("host", "path", "rule", "verdict"))))
+            known = {}
+            for row in set(rows):
+                found = judge(trie, *row[:2])
+                better = found[0] is not None and (
+                    row[2] is None or _rank(*found) > _rank(*row[2:]))
+                known[row] = found if better else row[2:]
+            rule, verdict = (pa.array([known[r][i] for r in rows], pa.string()) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], rule, verdict],
+                                             batch.schema.names)
+    return run
+
+
 def filter_urls(pages: DataFrame, rules, url="url", keep=("page_id",), default="allow",
-                max_rules=200_000) -> DataFrame:
+                block_rules=200_000) -> DataFrame:
     """``keep`` columns, host, path, rule (NULL if none fits) and verdict of every url.
 
     NULL urls and those without ``://`` have an empty host and path and get ``default``. Equal
-    urls get equal rows; row order and count stay. The trie is broadcast: its size is proven by
-    the rule list, a parameter of at most ``max_rules`` entries, beyond which this raises.
-    Columns of ``pages`` called host, path, rule or verdict do not disturb: only ``keep`` and
-    the url are read.
+    urls get equal rows; row order and count stay. Rules are a list, of any length, in the
+    driver. Their trie is broadcast in blocks of ``block_rules`` entries, which bounds each; every
+    further block is a further pass over the urls, in which rules of higher rank replace those
+    found before. Rules without a host fit nothing. Columns of ``pages`` called host, path, rule
+    or verdict do not disturb: only ``keep`` and the url are read.
     """
     rules = list(rules)
-    if len(rules) > max_rules:
-        raise ValueError(f"{len(rules)} rules exceed max_rules={max_rules}")
     spark = pages.sparkSession
-    shared = broadcast(spark, build_trie(rules))
     host, path = url_parts(F.col(url).cast("string"))
     kinds = dict(pages.dtypes)
     clash = {"host", "path", "rule", "verdict"} & {k.lower() for k in keep}
     if clash:
         raise ValueError(f"keep has names of result columns: {sorted(clash)}")
-
-    def run(batches):
-        trie = opened(shared)
-        for batch in batches:
-            known = {}
-            pairs = list(zip(batch.column("host").to_pylist(), batch.column("path").to_pylist()))
-            for pair in set(pairs):
-                known[pair] = judge(trie, *pair)
-            rule = pa.array([known[p][0] for p in pairs], pa.string())
-            verdict = pa.array([known[p][1] or default for p in pairs], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, rule, verdict],
-                                             [*batch.schema.names, "rule", "verdict"])
-
     schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), "host string", "path string",
                         "rule string", "verdict string"])
-    return pages.select(*keep, host.alias("host"), path.alias("path")).mapInArrow(run, schema)
+    none = F.lit(None).cast("string")
+    out = pages.select(*keep, host.alias("host"), path.alias("path"), none.alias("rule"),
+                       none.alias("verdict"))
+    for low in range(0, len(rules), block_rules):
+        out = out.mapInArrow(_judged(broadcast(spark, build_trie(rules[low:low + block_rules]))),
+                             schema)
+    return out.withColumn("verdict", F.coalesce("verdict", F.lit(default)))
