@@ -21,8 +21,11 @@ def quality_classifier(spark, docs, sf_dir):
 
 
 def boilerplate_lines(spark, docs, sf_dir):
-    """All rows, without lines that more than 8 % of their source's pages contain."""
-    return line_dedup.drop_lines(docs)
+    """All rows, without lines that more than 8 % of their source's pages, and five, contain.
+
+    Without the five, a source of a dozen pages would lose every line of clean documents.
+    """
+    return line_dedup.drop_lines(docs, min_pages=5)
 
 
 def near_copies(spark, docs, sf_dir):
