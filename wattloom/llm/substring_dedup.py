@@ -5,8 +5,16 @@ smallest hash (the leftmost of equals), so equal strings have equal anchors at e
 Successive strings with one anchor form a block. Equal strings lie in blocks of one anchor;
 blocks that occur twice are repeated as a whole, and the different blocks of an anchor meet in a
 shard whose suffix array, by induced sorting, and permuted common prefixes show what they share.
+
+An anchor whose different blocks would overfill a shard is split. A string has ``length - 64``
+bytes beside the anchor, so it has either many on its left or many on its right. The strings of
+a block with many on the left hold the same bytes there as any equal string, and those bytes
+name a smaller group; likewise on the right. Groups that still overfill a shard are halved
+again, and what has become equal in halving is counted as one.
 """
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -18,8 +26,8 @@ U64 = np.uint64
 GRAM = 64
 #: Bytes of blocks in one suffix array.
 SHARD = 1 << 20
-#: Different blocks of an anchor up to which they go to one shard, which they then about fill;
-#: the strings of more are grouped one by one.
+#: Different blocks of a group up to which they go to one shard, which they then about fill; the
+#: groups of more are split.
 CROWD = 1000
 
 
@@ -54,9 +62,9 @@ def sliding_argmin(values, width):
 
 
 def blocks_of(hasher, raw, offsets, length):
-    """(row, first start, number of strings, anchor, block hash) of every block of a slice."""
+    """(row, first start, number of strings, anchor's place, anchor, block hash) of every block."""
     if len(raw) < length:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, U64),) * 2
+        return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, U64),) * 2
     roll = Roller(hasher, raw)
     at = np.arange(len(raw) - GRAM + 1)
     grams = roll(at, at + GRAM)
@@ -69,7 +77,8 @@ def blocks_of(hasher, raw, offsets, length):
     stops[:-1] &= ~whole[1:] | (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
     start, stop = np.flatnonzero(begins), np.flatnonzero(stops) + 1
     name = roll(start, stop - 1 + length) ^ mix64((anchor[start] - start).astype(U64))
-    return row[start], start - offsets[row[start]], stop - start, grams[anchor[start]], name
+    place = anchor[start] - start
+    return row[start], start - offsets[row[start]], stop - start, place, grams[anchor[start]], name
 
 
 def _blocks(length):
@@ -77,13 +86,14 @@ def _blocks(length):
         hasher = WordHasher()
         for batch in batches:
             for first, raw, offsets in text_chunks(batch.column("text")):
-                row, start, many, anchor, name = blocks_of(hasher, raw, offsets, length)
+                row, start, many, place, anchor, name = blocks_of(hasher, raw, offsets, length)
                 taken = pa.array(first + row)
                 yield pa.RecordBatch.from_arrays(
                     [*[batch.column(c).take(taken) for c in ("id", "k1", "k2")],
                      pa.array(anchor.view(np.int64)), pa.array(name.view(np.int64)),
-                     pa.array(start, pa.int32()), pa.array(many, pa.int32())],
-                    ["id", "k1", "k2", "anchor", "block", "start", "many"])
+                     pa.array(start, pa.int32()), pa.array(many, pa.int32()),
+                     pa.array(place, pa.int32())],
+                    ["id", "k1", "k2", "anchor", "block", "start", "many", "place"])
     return run
 
 
@@ -92,11 +102,11 @@ def _runs(flags):
     return np.flatnonzero(np.diff(np.concatenate(([0], flags.astype(np.int8), [0]))))
 
 
-SPANS = ["anchor", "block", "spans"]
+SPANS = ["grp", "part", "spans"]
 
 
 def _shards(length):
-    """The starts of repeated strings of each block, from shards of whole anchors."""
+    """The starts of repeated strings of each part, from shards of whole groups."""
     def solve(held):
         found = repeated([t for *_, t in held], length)
         spans = [_runs(f) for f in found]
@@ -110,37 +120,61 @@ def _shards(length):
     def run(batches):
         held, size = [], 0
         for batch in batches:
-            for anchor, block, text in zip(*(batch.column(c).to_pylist()
-                                             for c in ("anchor", "block", "bytes"))):
-                if size >= SHARD and anchor != held[-1][0]:
+            for group, part, text in zip(*(batch.column(c).to_pylist()
+                                           for c in ("grp", "part", "bytes"))):
+                if held and held[-1][:2] == (group, part):
+                    continue  # fetched from another row of equal id and text
+                if size >= SHARD and group != held[-1][0]:
                     yield solve(held)
                     held, size = [], 0
-                held.append((anchor, block, text))
+                held.append((group, part, text))
                 size += len(text)
         if held:
             yield solve(held)
     return run
 
 
-def _strings(length):
-    """Every string of a crowded anchor's blocks, by two hashes."""
+#: A part of a block: its strings from ``shift`` on. ``place`` is the anchor's in ``bytes``; its
+#: group's strings have ``low`` to ``high`` bytes on the anchor's left.
+PARTS = ("anchor long, block long, grp long, part long, shift int, place int, low int, high int, "
+         "bytes binary")
+
+
+def _halves(length):
+    """The two halves of every part, by the bytes on the anchor's left."""
+    def halved(hasher, batch):
+        columns = [batch.column(c).to_pylist() for c in batch.schema.names]
+        out = []
+        for anchor, block, group, _, shift, place, low, high, data in zip(*columns):
+            raw = np.frombuffer(data, np.uint8)
+            roll = Roller(hasher, raw)
+            middle = (low + high + 1) // 2
+            for side, (a, b) in enumerate(((low, middle - 1), (middle, high))):
+                # Strings of the half: their starts are the anchor's place less what is left of it.
+                first = max(0, place - b)
+                last = min(len(raw) - length, place - a)
+                if first > last or a > b:
+                    continue
+                common = roll(place - a, place - b + length)
+                whole = roll(first, last + length)
+                group_of = mix64(mix64(U64(group & 0xFFFFFFFFFFFFFFFF) + U64(side)) ^ common)
+                out.append((anchor, block, int(group_of.view(np.int64)),
+                            int((whole ^ mix64(U64(place - first))).view(np.int64)),
+                            shift + first, place - first, a, b,
+                            raw[first:last + length].tobytes()))
+        return out
+
     def run(batches):
         hasher = WordHasher()
+        kinds = [pa.int64()] * 4 + [pa.int32()] * 4 + [pa.binary()]
+        names = [c.split()[0] for c in PARTS.split(", ")]
         for batch in batches:
-            for first, raw, offsets in text_chunks(batch.column("bytes")):
-                roll = Roller(hasher, raw)
-                size = np.diff(offsets)
-                at = np.concatenate([np.arange(a, a + max(0, n - length + 1))
-                                     for a, n in zip(offsets.tolist(), size.tolist())])
-                row = np.repeat(np.arange(len(size)), np.maximum(0, size - length + 1))
-                half = length // 2
-                taken = pa.array(first + row)
-                yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(c).take(taken) for c in ("anchor", "block")],
-                     pa.array(roll(at, at + half).view(np.int64)),
-                     pa.array(roll(at + half, at + length).view(np.int64)),
-                     pa.array(at - offsets[row], pa.int32())],
-                    ["anchor", "block", "h1", "h2", "at"])
+            for low in range(0, len(batch), 1024):
+                with np.errstate(over="ignore"):
+                    rows = halved(hasher, batch.slice(low, 1024))
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
     return run
 
 
@@ -171,6 +205,11 @@ def _cut(length):
     return run
 
 
+def _in_shards(parts, length):
+    return parts.select("grp", "part", "bytes").repartition("grp").sortWithinPartitions(
+        "grp", "part").mapInArrow(_shards(length), "grp long, part long, spans array<int>")
+
+
 def cut_repeats(documents: DataFrame, id="doc_id", text="text", length=400) -> DataFrame:
     """(id, n_bytes, spans, kept) of every row.
 
@@ -183,8 +222,9 @@ def cut_repeats(documents: DataFrame, id="doc_id", text="text", length=400) -> D
     the row. Long texts are whole. ``length`` is at least twice the anchor's 64 bytes.
 
     Blocks are counted before the shuffle, so passages with many copies are a few rows. Only
-    different blocks with a common anchor are fetched. Anchors with very many of those do not
-    fill a shard: their strings are grouped one by one, by hashes of their halves.
+    different blocks with a common anchor are fetched. Anchors with very many of those overfill
+    a shard and are halved, at most as often as ``length`` can be; of parts with equal bytes one
+    goes on, so copies of a passage become fewer rows with every halving.
     """
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
@@ -194,44 +234,53 @@ def cut_repeats(documents: DataFrame, id="doc_id", text="text", length=400) -> D
     kind = dict(docs.dtypes)["id"]
     blocks = written(docs.where(F.octet_length("text") >= length).mapInArrow(
         _blocks(length), f"id {kind}, k1 long, k2 int, anchor long, block long, start int, "
-                         "many int"), "blocks")
+                         "many int, place int"), "blocks")
     classes = blocks.groupBy("anchor", "block").agg(
         F.count("*").alias("copies"), F.first("many").alias("many"),
-        *[F.first(c).alias(c) for c in ("id", "k1", "k2", "start")])
+        F.first("place").alias("place"), *[F.first(c).alias(c) for c in ("id", "k1", "k2", "start")])
     classes = written(classes.withColumn("alone", F.col("copies") == 1), "classes")
     crowds = classes.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
     wanted = classes.join(crowds, "anchor")
     # How many blocks are fetched has no bound, so they are not broadcast.
     wanted = wanted.select(F.col("id").alias("of"), F.col("k1").alias("w1"),
-                           F.col("k2").alias("w2"), "anchor", "block", "start", "many",
-                           "kinds", "alone").hint("merge")
+                           F.col("k2").alias("w2"), "anchor", "block", "start", "many", "place",
+                           "kinds").hint("merge")
     same = (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2")) & F.col("id").eqNullSafe(
         F.col("of"))
-    fetched = docs.join(wanted, same).select(
-        "anchor", "block", "kinds", "alone", F.substring(
+    fetched = written(docs.join(wanted, same).select(
+        "anchor", "block", "kinds", F.col("anchor").alias("grp"), F.col("block").alias("part"),
+        F.lit(0).alias("shift"), "place", F.lit(0).alias("low"),
+        F.lit(length - GRAM).alias("high"), F.substring(
             F.col("text").cast("binary"), F.col("start") + 1, F.col("many") + length - 1
-        ).alias("bytes"))
-    fetched = written(fetched, "fetched")
-    spans = "anchor long, block long, spans array<int>"
-    small = fetched.where(F.col("kinds") <= CROWD).select("anchor", "block", "bytes").repartition(
-        "anchor").sortWithinPartitions("anchor", "block").mapInArrow(_shards(length), spans)
-
-    def strings(some):
-        return some.where(F.col("kinds") > CROWD).select("anchor", "block", "bytes").mapInArrow(
-            _strings(length), "anchor long, block long, h1 long, h2 long, at int")
-
-    twice = strings(fetched).groupBy("anchor", "h1", "h2").agg(F.count("*").alias("n")).where(
-        "n > 1")
-    # Blocks that occur twice count for others, but are repeated as a whole anyway.
-    crowded = strings(fetched.where("alone")).join(
-        twice.drop("n"), ["anchor", "h1", "h2"]).groupBy(
-        "anchor", "block").agg(F.collect_set("at").alias("at"))
-    each = F.transform("at", lambda x: F.array(x, x + 1))
-    crowded = crowded.select("anchor", "block", F.flatten(each).alias("spans"))
+        ).alias("bytes")), "fetched")
+    shown = [_in_shards(fetched.where(F.col("kinds") <= CROWD), length).select(
+        F.col("grp").alias("anchor"), F.col("part").alias("block"), "spans")]
+    crowded = fetched.where(F.col("kinds") > CROWD).dropDuplicates(["anchor", "block"]).drop(
+        "kinds")
+    while not crowded.isEmpty():
+        parts = written(crowded.select(*[c.split()[0] for c in PARTS.split(", ")]).mapInArrow(
+            _halves(length), PARTS), "parts")
+        kinds = parts.groupBy("grp", "part").agg(F.count("*").alias("copies"), *[
+            F.first(c).alias(c) for c in ("anchor", "block", "shift", "place", "low", "high",
+                                          "bytes")])
+        kinds = written(kinds, "kinds")
+        sizes = written(kinds.groupBy("grp").agg(F.count("*").alias("kinds")), "sizes")
+        # Parts that occur twice are repeated whole; the others need a suffix array or halving.
+        many = F.octet_length("bytes") - (length - 1)
+        solved = kinds.where("copies > 1").select("grp", "part", F.array(
+            F.lit(0), many).alias("spans")).union(_in_shards(
+                kinds.join(sizes.where((F.col("kinds") > 1) & (F.col("kinds") <= CROWD)), "grp"),
+                length))
+        shown.append(parts.select("anchor", "block", "grp", "part", "shift").join(
+            solved, ["grp", "part"]).select("anchor", "block", F.expr(
+                "transform(spans, x -> x + shift)").alias("spans")))
+        # One of equal parts is enough to show that others are repeated.
+        crowded = kinds.join(sizes.where(F.col("kinds") > CROWD), "grp")
+    shown = reduce(DataFrame.union, shown)
     whole = classes.where("NOT alone").select(
         "anchor", "block", F.array(F.lit(0), F.col("many")).alias("spans"))
     alone = classes.where("alone").select("anchor", "block")
-    found = whole.union(small.union(crowded).join(alone, ["anchor", "block"], "left_semi"))
+    found = whole.union(shown.join(alone, ["anchor", "block"], "left_semi"))
     found = written(found, "found")
     hits = blocks.join(found, ["anchor", "block"]).select("k1", "k2", "start", "spans")
     hits = hits.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "spans")).alias("hits"))
