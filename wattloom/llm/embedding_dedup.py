@@ -1,6 +1,6 @@
 """Embedding near-dedup: spherical k-means cells, blocked cosine products, one per group.
 
-A vector is compared in its own cell. It is a guest of another cell if a vector there could be
+Every label has cells of its own, as only vectors of equal label are compared. A vector is compared in its own cell. It is a guest of another cell if a vector there could be
 similar to it: for unit vectors x of cell A and y of cell B at a distance of at most d, the
 gaps ``x.cA - x.cB`` and ``y.cB - y.cA`` are not negative and add up to at most ``d |cA - cB|``,
 so one of the two is at most half of that and its vector visits the other's cell. No pair is
@@ -8,6 +8,7 @@ lost, however the cells were fitted.
 """
 
 import math
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +17,10 @@ from pyspark.sql import DataFrame, functions as F
 from wattloom.llm.common import (DRAWS, broadcast, components, drawn_below, list_array, opened,
                                  written)
 
-#: Rows of a block; a task compares two blocks of a cell.
-BLOCK = 1024
+#: Rows of a block, and numbers in it; a task compares two blocks of a cell.
+BLOCK, NUMBERS = 4096, 1 << 20
+#: Rows whose products with all others are held at once.
+STRIP = 256
 
 
 def spherical_kmeans(x, k, rounds=12, seed=3):
@@ -40,26 +43,34 @@ def _matrix(column):
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 
+def _visits(x, centers, threshold):
+    """(cell of every row, which other cells it visits) of rows of one label."""
+    apart = np.sqrt(np.maximum(0, 2 - 2 * (centers @ centers.T)))
+    reach = math.sqrt(max(0.0, 2 - 2 * threshold)) / 2 * apart + 1e-7
+    near = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ centers.T
+    rows, best = np.arange(len(x)), near.argmax(1)
+    visit = near[rows, best][:, None] - near <= reach[best]
+    visit[rows, best] = False
+    return best, visit
+
+
 def _assign(shared, threshold, dim):
     def run(batches):
         centers = opened(shared)
-        apart = np.linalg.norm(centers[:, None] - centers[None], axis=2)
-        reach = math.sqrt(max(0.0, 2 - 2 * threshold)) / 2 * apart + 1e-9
         for batch in batches:
             home = np.zeros(len(batch), np.int64)
             guests = [[] for _ in range(len(batch))]
-            sizes = batch.column("e").value_lengths().to_numpy()
-            usual = np.flatnonzero(sizes == dim)
-            if len(usual):
-                x = _matrix(batch.column("e").take(pa.array(usual)))
-                near = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ centers.T
-                best = near.argmax(1)
-                gap = near[np.arange(len(x)), best][:, None] - near
-                visit = gap <= reach[best]
-                visit[np.arange(len(x)), best] = False
-                home[usual] = best
-                for row, at in zip(usual.tolist(), visit):
-                    guests[row] = np.flatnonzero(at).tolist()
+            usual = batch.column("e").value_lengths().to_numpy() == dim
+            coded = batch.column("label").dictionary_encode()
+            codes = coded.indices.to_numpy()
+            for code, label in enumerate(coded.dictionary.to_pylist()):
+                at = np.flatnonzero(usual & (codes == code))
+                if label not in centers or not len(at):
+                    continue
+                home[at], visit = _visits(_matrix(batch.column("e").take(pa.array(at))),
+                                          centers[label], threshold)
+                for row, cells in zip(at.tolist(), visit):
+                    guests[row] = np.flatnonzero(cells).tolist()
             rows = np.repeat(np.arange(len(batch)), [1 + len(g) for g in guests])
             cells = [c for h, g in zip(home.tolist(), guests) for c in (h, *g)]
             taken = batch.take(pa.array(rows))
@@ -71,57 +82,114 @@ def _assign(shared, threshold, dim):
     return run
 
 
-def _forest(links):
-    """Edges of a spanning forest of a symmetric boolean matrix."""
-    left = np.ones(len(links), bool)
-    edges = []
-    while left.any():
-        wave = [int(left.argmax())]
-        left[wave[0]] = False
-        while wave:
-            at = wave.pop()
-            new = np.flatnonzero(links[at] & left)
-            left[new] = False
-            edges += [(at, n) for n in new.tolist()]
-            wave += new.tolist()
-    return edges
+def _pairs(x, norm, rows, columns, threshold, ordered):
+    """Strips (row, column) of the similar pairs; of ``ordered`` ones the column is the later."""
+    if not len(rows) or not len(columns):
+        return
+    other, other_norm = x[columns], norm[columns]
+    for low in range(0, len(rows), STRIP):
+        some = rows[low:low + STRIP]
+        a, b = np.nonzero((x[some] @ other.T) / (norm[some][:, None] * other_norm) >= threshold)
+        a, b = some[a], columns[b]
+        yield (a[a < b], b[a < b]) if ordered else (a, b)
+
+
+class Forest:
+    """Grows a spanning forest from pairs, of which those within a tree add nothing."""
+
+    def __init__(self, nodes):
+        self.root, self.edges = np.arange(nodes), []
+
+    def add(self, a, b):
+        fresh = np.flatnonzero(self.root[a] != self.root[b])
+        while len(fresh):
+            # All trees that the first open row is linked with become one.
+            at = a[fresh[0]]
+            mine = fresh[a[fresh] == at]
+            roots, first = np.unique(self.root[b[mine]], return_index=True)
+            self.edges += [(at, b[mine[i]]) for i in first.tolist()]
+            self.root[np.isin(self.root, roots)] = self.root[at]
+            fresh = fresh[self.root[a[fresh]] != self.root[b[fresh]]]
 
 
 def _tile(threshold):
     def run(table):
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        cell, at = table.column("cell")[0].as_py(), table.column("at").to_numpy()
-        table = table.take(pa.array(np.argsort(at, kind="stable"))).combine_chunks()
-        at = np.sort(at)
+        cell = table.column("cell")[0].as_py()
+        away = table.column("home").to_numpy() != cell
+        # Rows at home first, within each block.
+        order = np.lexsort((table.column("rep").to_numpy(), away, table.column("at").to_numpy()))
+        table = table.take(pa.array(order)).combine_chunks()
         x = _matrix(table.column("e").combine_chunks())
         norm = np.linalg.norm(x, axis=1)
         rep, many = table.column("rep").to_numpy(), table.column("many").to_numpy()
-        home = table.column("home").to_numpy()
-        links = (x @ x.T) / (norm[:, None] * norm[None, :]) >= threshold
-        links &= (home == cell)[:, None] | (home == cell)[None, :]  # two guests meet elsewhere
-        if i != j:
-            links &= at[:, None] != at[None, :]
-        np.fill_diagonal(links, False)
-        counted = links.copy()
-        # A pair of two cells that visit each other is counted in the lower cell alone.
-        guests = table.column("guests").to_pylist()
-        for g in np.flatnonzero(home < cell).tolist():
-            for h in np.flatnonzero(links[g]).tolist():
-                if home[g] in guests[h]:
-                    counted[g, h] = counted[h, g] = False
-        degree = counted @ many
-        edges = _forest(links)
+        home, at = table.column("home").to_numpy(), table.column("at").to_numpy()
+        own, every = home == cell, np.arange(len(x))
+        guests = table.column("guests").combine_chunks()
+        # (row, cell visited) as sorted numbers.
+        visits = (np.repeat(every, guests.value_lengths().to_numpy()) << 32) + (
+            guests.flatten().to_numpy())
+
+        def visited(row, other):
+            key = (row << 32) + other
+            place = np.searchsorted(visits, key)
+            return (place < len(visits)) & (np.append(visits, -1)[place] == key)
+
+        # Two guests meet elsewhere.
+        if i == j:
+            strips = _pairs(x, norm, np.flatnonzero(own), every, threshold, True)
+        else:
+            left, right = np.flatnonzero(at == i), np.flatnonzero(at == j)
+            strips = chain(_pairs(x, norm, left[own[left]], right, threshold, False),
+                           _pairs(x, norm, left[~own[left]], right[own[right]], threshold, False))
+        degree, forest = np.zeros(len(x)), Forest(len(x))
+        for a, b in strips:
+            forest.add(a, b)
+            # A pair of two cells that visit each other is counted in the lower cell alone.
+            twice = np.zeros(len(a), bool)
+            for g, h in ((a, b), (b, a)):
+                low = np.flatnonzero(home[g] < cell)
+                twice[low] |= visited(h[low], home[g[low]])
+            a, b = a[~twice], b[~twice]
+            degree += np.bincount(a, many[b], len(x)) + np.bincount(b, many[a], len(x))
+        edges = np.array(forest.edges, np.int64).reshape(-1, 2)
         some = np.flatnonzero(degree)
         return pa.table({
-            "a": np.concatenate((rep[some], rep[[e[0] for e in edges]])).astype(np.int64),
-            "b": pa.array(np.concatenate((0 * some, rep[[e[1] for e in edges]])).astype(np.int64),
+            "a": np.concatenate((rep[some], rep[edges[:, 0]])).astype(np.int64),
+            "b": pa.array(np.concatenate((0 * some, rep[edges[:, 1]])).astype(np.int64),
                           mask=np.arange(len(some) + len(edges)) < len(some)),
             "links": np.concatenate((degree[some], np.zeros(len(edges)))).astype(np.int64)})
     return run
 
 
+def _centers(classes, dim, sample_rows, cell_rows, max_cells):
+    """{label: unit centroids} of the labels that have enough classes for two cells or more.
+
+    If that were over ``max_cells``, cells are larger.
+    """
+    usual = classes.where(F.size("e") == dim)
+    sizes = usual.groupBy("label").agg(F.count("*").alias("n"))
+    rows = sizes.agg(F.sum("n")).first()[0]
+    wide = max(cell_rows, math.ceil(rows / max_cells))
+    large = sizes.where(F.col("n") >= 2 * wide)
+    drawn = usual.where(F.pmod(F.xxhash64("label", "e"), F.lit(DRAWS))
+                        < drawn_below(sample_rows, rows))
+    sample = drawn.join(large, "label").orderBy("label", "e").select("label", "n", "e").toArrow()
+    coded = sample.column("label").combine_chunks().dictionary_encode()
+    codes, counts = coded.indices.to_numpy(), sample.column("n").to_numpy()
+    x = _matrix(sample.column("e").combine_chunks())
+    out = {}
+    for code, label in enumerate(coded.dictionary.to_pylist()):
+        at = np.flatnonzero(codes == code)
+        k = min(int(counts[at[0]]) // wide, len(at))
+        if k > 1:
+            out[label] = spherical_kmeans(
+                x[at] / np.linalg.norm(x[at], axis=1, keepdims=True), k)
+    return out
+
+
 def near_vectors(vectors: DataFrame, id="vec_id", vector="embedding", label="label",
-                 threshold=0.93, cell_rows=4096, max_cells=512, sample_rows=20_000) -> DataFrame:
+                 threshold=0.93, cell_rows=1024, max_cells=512, sample_rows=20_000) -> DataFrame:
     """(id, n_links, component_id, kept) of every row.
 
     Rows of equal label link if the cosine of their vectors, in double precision, is at least
@@ -133,8 +201,8 @@ def near_vectors(vectors: DataFrame, id="vec_id", vector="embedding", label="lab
     those that are not of the usual length share one cell per label. Equal vectors are one class
     with a count; rows of one id are vectors of their own. An empty table gives no rows.
 
-    There is about one centroid per ``cell_rows`` classes, at most ``max_cells``, fitted on a
-    sample of at most about ``sample_rows`` vectors and broadcast. A cell of many rows is cut
+    A label has about one centroid per ``cell_rows`` classes, all labels at most ``max_cells``,
+    fitted on a sample of at most about ``sample_rows`` vectors and broadcast. A cell of many rows is cut
     into blocks, and every pair of blocks is a task of its own, so a large group has no hot
     task; a task returns counts and a spanning forest, not pairs.
     """
@@ -152,23 +220,16 @@ def near_vectors(vectors: DataFrame, id="vec_id", vector="embedding", label="lab
         "rep", F.monotonically_increasing_id()), "vectors")
     lengths = classes.groupBy(F.size("e").alias("dim")).agg(F.count("*").alias("n")).orderBy(
         F.desc("n"), "dim").first()
-    if lengths:
-        dim, n = lengths
-        sample = classes.where(F.size("e") == dim).where(
-            F.pmod(F.xxhash64("label", "e"), F.lit(DRAWS)) < drawn_below(sample_rows, n))
-        x = _matrix(sample.orderBy("label", "e").select("e").toArrow().column("e").combine_chunks())
-        x = x / np.linalg.norm(x, axis=1, keepdims=True)
-        cells = max(1, min(max_cells, n // cell_rows, len(x)))
-        centers = spherical_kmeans(x, cells) if len(x) else np.eye(1, dim)
-    else:
-        dim, centers = 1, np.ones((1, 1))
+    dim = lengths[0] if lengths else 1
+    centers = _centers(classes, dim, sample_rows, cell_rows, max_cells) if lengths else {}
     kind = dict(rows.dtypes)["label"]
     placed = written(classes.select("label", "e", "rep", "many").mapInArrow(
         _assign(broadcast(spark, centers), threshold, dim),
         f"label {kind}, e array<double>, rep long, many long, home int, cell int, "
         "guests array<int>").withColumn("dim", F.size("e")), "cells")
     cell = ["label", "dim", "cell"]
-    blocks = placed.groupBy(*cell).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    fill = F.least(F.lit(BLOCK), F.greatest(F.lit(STRIP), F.floor(NUMBERS / F.col("dim"))))
+    blocks = placed.groupBy(*cell).agg(F.ceil(F.count("*") / fill).alias("blocks"))
     tiles = (placed.join(blocks, cell)
              .withColumn("at", F.pmod(F.xxhash64("rep"), F.col("blocks")))
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"),
