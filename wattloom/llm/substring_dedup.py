@@ -25,10 +25,12 @@ from wattloom.llm.suffix_array import repeated
 U64 = np.uint64
 GRAM = 64
 #: Bytes of blocks in one suffix array.
-SHARD = 1 << 20
+SHARD = 1 << 19
 #: Different blocks of a group up to which they go to one shard, which they then about fill; the
 #: groups of more are split.
-CROWD = 1000
+CROWD = 600
+#: Ranges of places by which a shard's strings are looked over before they are sorted.
+RANGES = 8
 
 
 class Roller:
@@ -102,33 +104,64 @@ def _runs(flags):
     return np.flatnonzero(np.diff(np.concatenate(([0], flags.astype(np.int8), [0]))))
 
 
+SHOWN = ["grp", "part", "place", "low", "high", "bytes"]
 SPANS = ["grp", "part", "spans"]
 
 
+def _open(hasher, held, length):
+    """(part, first string, bytes) of what of a shard's parts may be repeated.
+
+    Equal strings of a group have equal bytes on the anchor's left. Strings with ``a`` to ``b`` of
+    those share what all of them cover, so where nothing else covers the same, none is repeated.
+    """
+    group, place, low, high, size = (np.array(x, np.int64) for x in zip(*(
+        (h[0], h[2], h[3], h[4], len(h[5])) for h in held)))
+    roll = Roller(hasher, np.frombuffer(b"".join(h[5] for h in held), np.uint8))
+    anchor = np.cumsum(size) - size + place
+    least, most = np.maximum(low, place + length - size), np.minimum(high, place)
+    start, stop = most + 1, least - 1
+    for i in range(RANGES):
+        a = low + (high - low + 1) * i // RANGES
+        b = low + (high - low + 1) * (i + 1) // RANGES - 1
+        lower, upper = np.maximum(a, least), np.minimum(b, most)
+        some = np.flatnonzero(lower <= upper)
+        common = roll(anchor[some] - a[some], anchor[some] - b[some] + length)
+        _, kind, copies = np.unique(common ^ mix64(group[some].view(U64)), return_inverse=True,
+                                    return_counts=True)
+        some = some[copies[kind] > 1]
+        start[some] = np.minimum(start[some], lower[some])
+        stop[some] = np.maximum(stop[some], upper[some])
+    for i in np.flatnonzero(start <= stop).tolist():
+        first = int(place[i] - stop[i])
+        yield i, first, held[i][5][first:int(place[i] - start[i]) + length]
+
+
 def _shards(length):
     """The starts of repeated strings of each part, from shards of whole groups."""
+    hasher = WordHasher()
+
     def solve(held):
-        found = repeated([t for *_, t in held], length)
-        spans = [_runs(f) for f in found]
-        keep = [i for i, s in enumerate(spans) if len(s)]
+        some = list(_open(hasher, held, length))
+        found = repeated([t for *_, t in some], length) if some else []
+        spans = [_runs(f) + first for f, (_, first, _) in zip(found, some)]
+        keep = [(held[i], s) for (i, _, _), s in zip(some, spans) if len(s)]
         return pa.RecordBatch.from_arrays(
-            [pa.array([held[i][0] for i in keep], pa.int64()),
-             pa.array([held[i][1] for i in keep], pa.int64()),
-             list_array(np.concatenate([spans[i] for i in keep]) if keep else [],
-                        [len(spans[i]) for i in keep], pa.int32())], SPANS)
+            [pa.array([h[0] for h, _ in keep], pa.int64()),
+             pa.array([h[1] for h, _ in keep], pa.int64()),
+             list_array(np.concatenate([s for _, s in keep]) if keep else [],
+                        [len(s) for _, s in keep], pa.int32())], SPANS)
 
     def run(batches):
         held, size = [], 0
         for batch in batches:
-            for group, part, text in zip(*(batch.column(c).to_pylist()
-                                           for c in ("grp", "part", "bytes"))):
-                if held and held[-1][:2] == (group, part):
+            for row in zip(*(batch.column(c).to_pylist() for c in SHOWN)):
+                if held and held[-1][:2] == row[:2]:
                     continue  # fetched from another row of equal id and text
-                if size >= SHARD and group != held[-1][0]:
+                if size >= SHARD and row[0] != held[-1][0]:
                     yield solve(held)
                     held, size = [], 0
-                held.append((group, part, text))
-                size += len(text)
+                held.append(row)
+                size += len(row[-1])
         if held:
             yield solve(held)
     return run
@@ -206,7 +239,7 @@ def _cut(length):
 
 
 def _in_shards(parts, length):
-    return parts.select("grp", "part", "bytes").repartition("grp").sortWithinPartitions(
+    return parts.select(*SHOWN).repartition("grp").sortWithinPartitions(
         "grp", "part").mapInArrow(_shards(length), "grp long, part long, spans array<int>")
 
 
