@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wattloom.operators import joins, learning, registry, sketches, splits
 from wattloom.plans import standins
+from wattloom.plans.catalog import QUERIES
 from wattloom.session import fresh_path, written
 from wattloom.sinks.tables import replace_partitions, write_parquet
 from wattloom.sources.messages import table_stream
@@ -175,6 +176,32 @@ def test_dedup_state_is_the_filter(spark):
     assert 0 < most <= words
 
 
+def test_dedup_state_in_a_session_with_another_store(spark):
+    """The stream gets the store its state asks for; the session keeps its own."""
+    path, plain = fresh_path(spark, "store"), spark.newSession()
+    plain.conf.set(runs.STATE_STORE, "org.apache.spark.sql.execution.streaming.state."
+                                     "HDFSBackedStateStoreProvider")
+    before = plain.conf.get(runs.STATE_STORE)
+    write_keys(plain, f"{path}/in", [["a", "b", "a"], ["b", "c"]])
+    stream = table_stream(plain, f"{path}/in", "key string", max_files=1)
+    query = runs.start(runs.drop_near_duplicates(stream, "key", shards=2),
+                       runs.per_trigger_sink(f"{path}/out"), f"{path}/check", "append",
+                       available_now=True, state_store=runs.ROCKS_DB)
+    runs.finish(query)
+    assert sorted(r["key"] for r in plain.read.parquet(f"{path}/out").collect()) == [
+        "a", "b", "c"]
+    assert plain.conf.get(runs.STATE_STORE) == before != runs.ROCKS_DB
+
+
+def test_stream_dedup_state_in_a_plain_session(spark, sf):
+    plain = spark.newSession()
+    plain.conf.set(runs.STATE_STORE, "org.apache.spark.sql.execution.streaming.state."
+                                     "HDFSBackedStateStoreProvider")
+    plain.conf.set("spark.sql.shuffle.partitions", "4")
+    found = QUERIES["stream_dedup_state"](plain, sf).collect()
+    assert sorted(found) == sorted(QUERIES["stream_dedup_state"](spark, sf).collect()) != []
+
+
 def test_dedup_state_with_a_time_limit(spark):
     path = fresh_path(spark, "ttl")
     write_keys(spark, f"{path}/in", [["a", "b", "a"], ["b", "c"]])

@@ -734,7 +734,7 @@ def _run(spark, stream, name, mode="update", log=None) -> str:
     return f"{path}/out"
 
 
-def _feed(spark, sf, arrival, build, name, mode="update", sink=None) -> str:
+def _feed(spark, sf, arrival, build, name, mode="update", sink=None, **options) -> str:
     """Events arriving in groups by the number ``arrival``, each taken up before the next one.
 
     The table is read once and stored by group; a group's folder is then moved into the folder
@@ -748,7 +748,7 @@ def _feed(spark, sf, arrival, build, name, mode="update", sink=None) -> str:
     store = JavaFolder(spark, f"{path}/in")
     sink = sink or runs.per_trigger_sink(f"{path}/out")
     stream = build(table_stream(spark, f"{path}/in", events.schema, nested=True))
-    query = runs.start(stream, sink, f"{path}/checkpoint", mode, every="0 seconds")
+    query = runs.start(stream, sink, f"{path}/checkpoint", mode, every="0 seconds", **options)
     try:
         for n in groups:
             store.take(f"{path}/waiting/arrival={n}")
@@ -885,7 +885,8 @@ def stream_dedup_sketch(spark, sf):
 def stream_dedup_state(spark, sf):
     """Users that a crowded, sharded Bloom filter in stream state lets pass: 200 keys planned."""
     out = _feed(spark, sf, _ten_days(), lambda e: runs.drop_near_duplicates(
-        e.select("user_id"), "user_id", capacity=200, shards=4), "state", "append")
+        e.select("user_id"), "user_id", capacity=200, shards=4), "state", "append",
+        state_store=runs.ROCKS_DB)
     return spark.read.parquet(out).select("user_id")
 
 
