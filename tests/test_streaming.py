@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from wattloom.operators.sketches import bloom_summary
+from wattloom.plans import catalog
 from wattloom.session import fresh_path
-from wattloom.sinks.tables import as_messages, publish
+from wattloom.sinks.tables import JavaFolder, as_messages, publish
 from wattloom.sources.messages import file_messages, kafka_options, parse_messages, table_stream
 from wattloom.streaming import runs, windows
 
@@ -178,3 +179,37 @@ def test_catalog_streams_take_several_triggers(spark, sf, name):
     else:
         out = catalog._run(spark, catalog._event_stream(spark, sf).select("user_id"), "t", "append")
     assert spark.read.parquet(out).select("trigger_id").distinct().count() == 3
+
+
+def test_a_group_of_many_files_is_one_trigger(spark, sf, monkeypatch):
+    """Files are small, so that many tasks read them, and a group of them arrives as a whole."""
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    monkeypatch.setattr(catalog, "ROWS_PER_FILE", 20)
+    out = catalog._feed(spark, sf, catalog._ten_days(),
+                        lambda e: e.select("event_id", F.input_file_name().alias("file")),
+                        "many", "append")
+    rows = spark.read.parquet(out)
+    groups = events.select(catalog._ten_days().alias("n")).distinct().count()
+    assert rows.select("trigger_id").distinct().count() == groups > 1
+    assert rows.count() == events.count() > 20 * groups
+    assert rows.groupBy("file").count().agg(F.max("count")).first()[0] <= 20
+
+
+def test_a_folder_is_moved_not_copied(spark, tmp_path):
+    """Also into a folder that has files already."""
+    folder = JavaFolder(spark, str(tmp_path / "in"))
+    for name in "ab":
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.parquet").write_text(name)
+        before = (tmp_path / name / "x.parquet").stat().st_ino
+        folder.take(str(tmp_path / name))
+        assert (tmp_path / "in" / name / "x.parquet").stat().st_ino == before
+
+
+def test_larger_streams_have_more_files_and_as_many_triggers(spark, sf, monkeypatch):
+    monkeypatch.setattr(catalog, "ROWS_PER_FILE", 50)
+    stream = catalog._event_stream(spark, sf).select("event_id", F.input_file_name().alias("file"))
+    rows = spark.read.parquet(catalog._run(spark, stream, "files", "append"))
+    assert rows.select("trigger_id").distinct().count() == catalog.TRIGGERS
+    assert rows.select("file").distinct().count() > 2 * catalog.TRIGGERS
+    assert rows.count() == spark.read.parquet(f"{sf}/events.parquet").count()

@@ -704,14 +704,20 @@ def cms_error_rate(spark, sf):
 
 # ---- Streaming --------------------------------------------------------------------------
 
-FILES, FILES_PER_TRIGGER = 6, 2
+TRIGGERS, FILES_PER_TRIGGER = 3, 2
+#: About the rows of a file of a stream: a task reads one, and messages are much work.
+ROWS_PER_FILE = 50_000
 
 
 def _event_stream(spark, sf):
-    """Events as a stream of several triggers, from files written in parallel."""
+    """Events as a stream of several triggers, from files written in parallel.
+
+    There are as many triggers for every table, whose files grow in number.
+    """
     path, events = fresh_path(spark, "events"), table(spark, sf, "events")
-    events.repartition(FILES, "event_id").write.parquet(path)
-    return table_stream(spark, path, events.schema, max_files=FILES_PER_TRIGGER)
+    per_trigger = max(FILES_PER_TRIGGER, -(-events.count() // (TRIGGERS * ROWS_PER_FILE)))
+    events.repartition(TRIGGERS * per_trigger, "event_id").write.parquet(path)
+    return table_stream(spark, path, events.schema, max_files=per_trigger)
 
 
 def _messages(events):
@@ -742,7 +748,7 @@ def _feed(spark, sf, arrival, build, name, mode="update", sink=None, **options)
     """
     path, events = fresh_path(spark, name), table(spark, sf, "events")
     numbered = events.withColumn("arrival", arrival)
-    write_parquet(numbered, f"{path}/waiting", ("arrival",))
+    write_parquet(numbered, f"{path}/waiting", ("arrival",), ROWS_PER_FILE)
     groups = sorted(r[0] for r in spark.read.parquet(f"{path}/waiting").select("arrival")
                     .distinct().collect())  # a few
     store = JavaFolder(spark, f"{path}/in")

@@ -34,15 +34,16 @@ def location(base: str, dataset: str) -> str:
     return f"{base.rstrip('/')}/{LAYOUT[dataset]}"
 
 
-def write_parquet(df: DataFrame, path: str, partition_by=()) -> None:
+def write_parquet(df: DataFrame, path: str, partition_by=(), rows_per_file: int = 0) -> None:
     """Overwrite a Parquet table, Hive-partitioned if columns are given.
 
     The rebalance hint groups rows by partition value to bound the number of files, and lets
-    adaptive execution split a value that holds too much for one task.
+    adaptive execution split a value that holds too much for one task. ``rows_per_file`` bounds
+    the rows of a file: few bytes may be much work, and a small file is read by one task.
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
@@ -67,8 +68,13 @@ class JavaFolder:
         self.store.mkdirs(self.as_path(path))
 
     def take(self, folder: str) -> None:
-        """Move a folder with all its files in here, in one step where the store can rename."""
-        if not self.store.rename(self.as_path(folder), self.as_path(self.path)):
+        """Move a folder with all its files in here, in one step where the store can rename.
+
+        The new path is told in full: moved to a folder that has files already, it would be copied
+        file by file on a local disk, and a stream would take up a part of it.
+        """
+        source = self.as_path(folder)
+        if not self.store.rename(source, self.as_path(self.path, source.getName())):
             raise OSError(f"{folder} could not be moved to {self.path}")
 
 
