@@ -410,6 +410,29 @@ def test_near_copies_of_a_large_group(spark, monkeypatch, small):
         assert (r.n_shingles, r.component_id) == expected[r.doc_id]
 
 
+def test_members_of_tiles_that_are_together_are_not_joined(spark, monkeypatch):
+    """A large group of near copies meets in many tiles; once together, none is looked at again."""
+    rng, stored, keep = random.Random(3), [], ngram_join.written
+    base = [f"w{i}" for i in range(80)]
+    docs = []
+    for i in range(160):
+        text = list(base)
+        text[rng.randrange(80)] = f"x{i}"
+        docs.append((i, " ".join(text)))
+
+    def noted(df, name):
+        out = keep(df, name)
+        stored.append((name, out))
+        return out
+    monkeypatch.setattr(ngram_join, "written", noted)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    found = ngram_join.similar_sets(frame, words=3, percent=80).collect()
+    expected = brute.near_sets(docs, 3, 80)
+    assert all((r.n_shingles, r.component_id) == expected[r.doc_id] for r in found)
+    assert [df.count() for name, df in stored if name == "members"] == [0]
+    assert max(df.count() for name, df in stored if name == "tiles") > 160 * 5
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(9)
     edges = [(i, i + 1) for i in range(100, 140)] + [(200, i) for i in range(201, 260)]

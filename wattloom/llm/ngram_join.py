@@ -453,6 +453,8 @@ def _judged(documents, id, text, words, percent):
         stars = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
         return components(stars.union(links), "groups")
 
+    # Which sets met which smallest member of a tile, once for all tiles in which they did.
+    pairs = written(stars.distinct(), "pairs")
     # A few members of a group are compared with all others: of near copies they join most.
     flipped = [F.min(F.col("d1").bitwiseXOR(F.lit(x))).bitwiseXOR(F.lit(x)) for x in FLIPS]
     pivots = sets.groupBy(F.col("component").alias("key")).agg(
@@ -464,11 +466,16 @@ def _judged(documents, id, text, words, percent):
 
     def apart(groups):
         """Members of tiles and what they are together with, and the tiles of several parts."""
-        known = reps.join(groups.select(F.col("node").alias("d1"), F.col("component").alias("g")),
-                          "d1", "left")
-        rows = written(met.join(known.select(
-            "d1", "size", F.when(F.col("large"), F.coalesce("g", "d1")).otherwise(
-                F.col("component")).alias("c")), "d1"), "members")
+        known = written(reps.where("large").join(groups.select(
+            F.col("node").alias("d1"), F.col("component").alias("g")), "d1", "left").select(
+            "d1", "size", F.coalesce("g", "d1").alias("c")), "known")
+        # A tile has several parts if a member lies in another one than its smallest member. In how
+        # many tiles two sets met does not matter for that, so only pairs are looked up.
+        strays = pairs.join(known.select("d1", "c"), "d1").join(known.select(
+            F.col("d1").alias("pivot"), F.col("c").alias("top")), "pivot").where("c <> top")
+        several = met.join(strays.select("d1", "pivot"), ["d1", "pivot"], "left_semi")
+        rows = written(met.join(several.select("key").distinct(), "key", "left_semi").join(
+            known, "d1"), "members")
         parts = rows.groupBy("key", "c").agg(
             F.count("*").alias("many"), F.sum("size").alias("of"),
             F.max(F.col("d1") == F.col("pivot")).alias("first"))
