@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,3 +124,13 @@ def test_metrics_by_hand(spark):
     assert row["RMSE"] == pytest.approx((2.25 / 4) ** 0.5)
     assert row["R2"] == pytest.approx(1 - 2.25 / 8.75)
     assert row["MAPE"] == pytest.approx((1 + 0 + 5 + 0.25) / 4 * 100)
+
+
+def test_threads_have_local_properties_of_their_own(spark):
+    """Jobs at once set and clear properties, such as the id of the running query."""
+    def work(k):
+        spark.sparkContext.setLocalProperty("wattloom.test", str(k))
+        time.sleep(0.5)
+        return spark.sparkContext.getLocalProperty("wattloom.test")
+    assert learning.at_once(spark, work, range(5)) == [str(k) for k in range(5)]
+    assert spark.sparkContext.getLocalProperty("wattloom.test") is None

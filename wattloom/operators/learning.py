@@ -180,6 +180,18 @@ def train_and_test(estimator, table: DataFrame, name: str, strict=False, feature
     return fitted
 
 
+def at_once(spark, work, items) -> list:
+    """What ``work`` returns for each item, by ``FITS_AT_ONCE`` threads.
+
+    Every item gets its own copy of the caller's job group and pool: jobs of threads that share one
+    copy would end each other's.
+    """
+    items = list(items)
+    own = [inheritable_thread_target(spark)(work) for _ in items]
+    with ThreadPool(FITS_AT_ONCE) as pool:
+        return pool.starmap(lambda run, x: run(x), zip(own, items))
+
+
 def cross_validate(estimator, table: DataFrame, features, n_splits=CV_SPLITS, date="Date"):
     """Per-fold metrics of expanding-window validation: (fold, MAE, R2).
 
@@ -198,18 +210,13 @@ def cross_validate(estimator, table: DataFrame, features, n_splits=CV_SPLITS, da
         return [assemble(x, features, medians).select(date, "fold", TARGET, "features")
                 for x in (train, test)]
 
-    def at_once(work, items):
-        with ThreadPool(min(FITS_AT_ONCE, n_splits)) as pool:
-            run = inheritable_thread_target(table.sparkSession)(work)
-            return pool.map(run, items)
-
-    halves = dict(zip(folds, at_once(parts, folds)))
+    halves = dict(zip(folds, at_once(table.sparkSession, parts, folds)))
     if isinstance(estimator, HistogramBoosting):
         models = estimator.fit_series(reduce(DataFrame.unionByName, [
             estimator.rows_of(halves[k][0], k) for k in folds]))
     else:
         models = dict(zip(folds, at_once(
-            lambda k: estimator.copy().fit(spread(halves[k][0], date)), folds)))
+            table.sparkSession, lambda k: estimator.copy().fit(spread(halves[k][0], date)), folds)))
     scored = reduce(DataFrame.unionByName, [
         models[k].transform(halves[k][1]).select("fold", TARGET, "prediction") for k in folds])
     return scored.groupBy("fold").agg(*metric_columns(TARGET)).select("fold", "MAE", "R2")
