@@ -213,3 +213,13 @@ def test_larger_streams_have_more_files_and_as_many_triggers(spark, sf, monkeypa
     assert rows.select("trigger_id").distinct().count() == catalog.TRIGGERS
     assert rows.select("file").distinct().count() > 2 * catalog.TRIGGERS
     assert rows.count() == spark.read.parquet(f"{sf}/events.parquet").count()
+
+
+def test_events_without_a_time_come_last(spark, tmp_path):
+    rows = [(1, dt.datetime(2024, 1, 25)), (2, None), (3, dt.datetime(2024, 1, 5)), (1, None)]
+    spark.createDataFrame(rows, "user_id long, ts timestamp_ntz").write.parquet(
+        str(tmp_path / "events.parquet"))
+    out = spark.read.parquet(catalog._feed(spark, str(tmp_path), catalog._ten_days(),
+                                           lambda e: e.select("user_id"), "times", "append"))
+    assert [sorted(r.user_id for r in out.where(F.col("trigger_id") == i).collect())
+            for i in range(3)] == [[3], [1], [1, 2]]

@@ -707,6 +707,8 @@ def cms_error_rate(spark, sf):
 TRIGGERS, FILES_PER_TRIGGER = 3, 2
 #: About the rows of a file of a stream: a task reads one, and messages are much work.
 ROWS_PER_FILE = 50_000
+#: The group of events without a time.
+LATEST = 1 << 40
 
 
 def _event_stream(spark, sf):
@@ -741,13 +743,14 @@ def _run(spark, stream, name, mode="update", log=None) -> str:
 
 
 def _feed(spark, sf, arrival, build, name, mode="update", sink=None, **options) -> str:
-    """Events arriving in groups by the number ``arrival``, each taken up before the next one.
+    """Events arriving in groups by the number ``arrival``, each taken up before the next one, and
+    those without a number at last.
 
     The table is read once and stored by group; a group's folder is then moved into the folder
     that one running query reads. Returns where the query's triggers wrote.
     """
     path, events = fresh_path(spark, name), table(spark, sf, "events")
-    numbered = events.withColumn("arrival", arrival)
+    numbered = events.withColumn("arrival", F.coalesce(arrival.cast("long"), F.lit(LATEST)))
     write_parquet(numbered, f"{path}/waiting", ("arrival",), ROWS_PER_FILE)
     groups = sorted(r[0] for r in spark.read.parquet(f"{path}/waiting").select("arrival")
                     .distinct().collect())  # a few
