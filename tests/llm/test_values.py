@@ -433,6 +433,32 @@ def test_members_of_tiles_that_are_together_are_not_joined(spark, monkeypatch):
     assert max(df.count() for name, df in stored if name == "tiles") > 160 * 5
 
 
+def test_sets_outside_of_a_large_part_meet_it_once(spark, monkeypatch):
+    """Near copies about the threshold and strangers with a common passage meet in many tiles."""
+    monkeypatch.setattr(ngram_join, "SMALL", 16)
+    rng, stored, keep = random.Random(5), [], ngram_join.written
+    base, docs = [f"w{i}" for i in range(120)], []
+    for i in range(150):
+        text = list(base)
+        for j in range(rng.choice([1, 3, 4, 5])):
+            text[rng.randrange(120)] = f"x{i}y{j}"
+        docs.append((i, " ".join(text)))
+    for i in range(150, 200):
+        docs.append((i, " ".join(base[:80] + [f"s{i}z{j}" for j in range(40)])))
+
+    def noted(df, name):
+        out = keep(df, name)
+        stored.append((name, out))
+        return out
+    monkeypatch.setattr(ngram_join, "written", noted)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    found = ngram_join.similar_sets(frame, words=3, percent=80).collect()
+    expected = brute.near_sets(docs, 3, 80)
+    assert all((r.n_shingles, r.component_id) == expected[r.doc_id] for r in found)
+    links = [df.count() for name, df in stored if name == "links"]
+    assert sum(links) <= 2 * len(docs), links
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(9)
     edges = [(i, i + 1) for i in range(100, 140)] + [(200, i) for i in range(201, 260)]

@@ -5,8 +5,9 @@ Two sets of sizes a and b with Jaccard similarity of at least p percent differ i
 into more segments than D can be, so such sets agree in at least one whole segment: sets meet in
 the tile of that band, segment and content. Of tiles with the same members one is kept. Tiles
 that share members form a group, and all links lie within groups. A group of few members is
-compared in one task. In larger groups all are compared with a few of the group, then those of
-each tile with its smallest; only tiles whose members are then still apart compare them, block by
+compared in one task. In larger groups all are compared with a few of the group. A tile then goes
+by the part most of its members may lie in: sets outside of that part are compared with it once
+for all tiles. Only tiles whose members are then still apart compare those outside, block by
 block, but for pairs that are together already. Sets travel to a block as sorted arrays. Bitmaps
 rule pairs out; those they admit are intersected exactly, and a task returns a spanning forest.
 """
@@ -382,6 +383,30 @@ def _few_with_all(rows, few, blocks):
                        F.col("place.near").alias("near"), "d1", "c")
 
 
+def _outside_with_parts(outside, known):
+    """Rows in tiles (i, j) in which ``dense`` sets meet all of a part, others one set of it."""
+    # The two kinds of tiles have names of their own.
+    outside = outside.select(F.when(F.col("dense"), F.col("top")).otherwise(
+        F.bitwise_not("pivot")).alias("key"), "dense", "top", "pivot", "d1", "size", "c")
+    names = outside.groupBy("key").agg(
+        F.min("dense").alias("dense"), F.min("top").alias("top"), F.min("pivot").alias("pivot"),
+        _blocks(F.count("*"), F.sum("size")).alias("few"))
+    inside = names.where("dense").select("key", "few", F.col("top").alias("c")).join(
+        known, "c").select("key", "few", "d1", "size", "c").union(
+        names.where("NOT dense").select("key", "few", F.col("pivot").alias("d1")).join(
+            known, "d1").select("key", "few", "d1", "size", "c"))
+    rest = inside.groupBy("key").agg(
+        F.max("few").alias("few"), _blocks(F.count("*"), F.sum("size")).alias("rest"))
+    zero, last = F.lit(0).cast("long"), F.lit(-1).cast("long")
+    outer = outside.join(rest, "key").select(
+        "key", F.pmod(F.xxhash64("d1"), "few").alias("i"),
+        F.explode(F.sequence(-F.col("rest"), last)).alias("j"), F.lit(True).alias("near"), "d1", "c")
+    inner = inside.join(rest.select("key", "rest"), "key").select(
+        "key", F.explode(F.sequence(zero, F.col("few") - 1)).alias("i"),
+        (-F.pmod(F.xxhash64("d1"), "rest") - 1).alias("j"), F.lit(False).alias("near"), "d1", "c")
+    return outer.union(inner)
+
+
 def similar_sets(documents: DataFrame, id="doc_id", text="text", words=5, percent=80
                  ) -> DataFrame:
     """(id, n_shingles, component_id) of every row: which texts are near copies of which.
@@ -418,14 +443,6 @@ def _judged(documents, id, text, words, percent):
     members = ", ".join(f"{c} long" for c in MEMBER)
     met = written(usable.select("text").mapInArrow(_pack(words, percent, buckets), PACKED)
                   .repartition("bucket").mapInArrow(_meet(buckets), members), "tiles")
-    # Of tiles with the same members one is enough; they are told by two sums of 64-bit hashes.
-    met = met.select("key", "d1").distinct()
-    alike = met.groupBy("key").agg(
-        F.count("*").alias("many"), F.min("d1").alias("pivot"),
-        *[F.sum(F.xxhash64("d1", F.lit(x)).cast("decimal(38,0)")).alias(f"who{x}")
-          for x in (1, 2)])
-    alike = alike.groupBy("many", "pivot", "who1", "who2").agg(F.min("key").alias("key"))
-    met = written(met.join(alike.select("key", "pivot"), "key"), "tiles")
     stars = met.where("d1 <> pivot").select("d1", "pivot")
     grouped = components(stars, "candidates")
     grouped = grouped.union(grouped.select(F.col("component").alias("node"), "component")
@@ -453,8 +470,6 @@ def _judged(documents, id, text, words, percent):
         stars = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
         return components(stars.union(links), "groups")
 
-    # Which sets met which smallest member of a tile, once for all tiles in which they did.
-    pairs = written(stars.distinct(), "pairs")
     # A few members of a group are compared with all others: of near copies they join most.
     flipped = [F.min(F.col("d1").bitwiseXOR(F.lit(x))).bitwiseXOR(F.lit(x)) for x in FLIPS]
     pivots = sets.groupBy(F.col("component").alias("key")).agg(
@@ -464,26 +479,59 @@ def _judged(documents, id, text, words, percent):
             pivots, "key"), F.array_contains("pivots", F.col("d1")), F.col("blocks"))
     first = components(compared(inside), "stars")
 
-    def apart(groups):
-        """Members of tiles and what they are together with, and the tiles of several parts."""
-        known = written(reps.where("large").join(groups.select(
+    def known_of(groups):
+        """What the members of large groups are together with."""
+        return written(reps.where("large").join(groups.select(
             F.col("node").alias("d1"), F.col("component").alias("g")), "d1", "left").select(
             "d1", "size", F.coalesce("g", "d1").alias("c")), "known")
-        # A tile has several parts if a member lies in another one than its smallest member. In how
-        # many tiles two sets met does not matter for that, so only pairs are looked up.
-        strays = pairs.join(known.select("d1", "c"), "d1").join(known.select(
-            F.col("d1").alias("pivot"), F.col("c").alias("top")), "pivot").where("c <> top")
-        several = met.join(strays.select("d1", "pivot"), ["d1", "pivot"], "left_semi")
-        rows = written(met.join(several.select("key").distinct(), "key", "left_semi").join(
-            known, "d1"), "members")
+
+    # Of tiles with the same members one is enough; they are told by two sums of 64-bit hashes.
+    known = known_of(first)
+    whole = known.groupBy(F.col("c").alias("top")).agg(F.count("*").alias("part"))
+    met = met.select("key", "d1").distinct()
+    alike = met.groupBy("key").agg(
+        F.count("*").alias("many"), *[x.alias(f"pivot{i}") for i, x in enumerate(flipped)],
+        *[F.sum(F.xxhash64("d1", F.lit(x)).cast("decimal(38,0)")).alias(f"who{x}")
+          for x in (1, 2)])
+    pivots = [f"pivot{i}" for i in range(len(flipped))]
+    alike = alike.groupBy("many", "who1", "who2").agg(
+        F.min("key").alias("key"), *[F.min(x).alias(x) for x in pivots])
+    # A tile goes by the largest part that any of a few members lies in.
+    alike = alike.withColumn("pivot", F.explode(F.array_distinct(F.array(*pivots)))).join(
+        known.select(F.col("d1").alias("pivot"), F.col("c").alias("top")), "pivot").join(
+        whole, "top").groupBy("key").agg(
+        F.max("many").alias("many"), F.max(F.struct("part", "top", "pivot")).alias("by"))
+    met = written(met.join(alike.select("key", "many", "by.*"), "key"), "tiles")
+    # A member of another part is outside. In how many tiles it met a part does not matter for
+    # that, so only pairs are looked up. One that is outside in tiles of as many members as the part
+    # has is compared with the whole part, once, and no more with what of it lies in each tile.
+    outside = met.groupBy("d1", "top").agg(
+        (F.sum("many") >= F.max("part")).alias("dense"), F.min("pivot").alias("pivot"))
+    outside = written(outside.join(known, "d1").where("c <> top"), "outside")
+    groups = joined(first, compared(_outside_with_parts(outside, known)))
+
+    known = known_of(groups)
+    outside = outside.select("d1", "top", "dense").join(known, "d1").join(
+        known.select(F.col("d1").alias("top"), F.col("c").alias("now")), "top")
+    members = written(met.select("key", "d1", "top").join(outside, ["d1", "top"]), "outside")
+    still = members.where("c <> now").groupBy("key").agg(F.min("dense").alias("dense"))
+    still = written(still, "still")
+    # Those outside meet each other in their tiles; what is inside meets the others than the dense.
+    rows = members.join(still.where("dense"), "key", "left_semi").select(
+        "key", "d1", "size", "c").union(
+        met.join(still.where("NOT dense"), "key", "left_semi").select("key", "d1").join(
+            known, "d1").select("key", "d1", "size", "c"))
+    rows = written(rows, "members")
+
+    def apart(rows):
+        """The tiles of several parts."""
         parts = rows.groupBy("key", "c").agg(
-            F.count("*").alias("many"), F.sum("size").alias("of"),
-            F.max(F.col("d1") == F.col("pivot")).alias("first"))
+            F.count("*").alias("many"), F.sum("size").alias("of"), F.min("d1").alias("least"))
         keys = parts.groupBy("key").agg(
             F.count("*").alias("parts"), F.max(F.struct("many", "of", "c")).alias("top"),
             F.sum("many").alias("many"), F.sum("of").alias("of"),
-            F.max(F.when(F.col("first"), F.col("c"))).alias("first")).where("parts > 1")
-        return rows, written(keys.select(
+            F.min(F.struct("least", "c")).alias("first")).where("parts > 1")
+        return written(keys.select(
             "key", F.col("top.c").alias("top"), "first",
             _blocks(F.col("top.many"), F.col("top.of")).alias("rest"),
             _blocks(F.col("many") - F.col("top.many"), F.col("of") - F.col("top.of"))
@@ -491,14 +539,16 @@ def _judged(documents, id, text, words, percent):
 
     # In tiles that are not together yet all but the largest part are compared with all. Where
     # that part is more than a block, all are compared with the smallest member before.
-    groups = first
-    rows, keys = apart(groups)
+    keys = apart(rows)
     wide = keys.where("blocks > 1")
     if not wide.isEmpty():
-        some = _few_with_all(rows.join(wide, "key").where("c <> first OR d1 = pivot"),
-                             F.col("d1") == F.col("pivot"), F.col("blocks") + F.col("rest"))
+        some = _few_with_all(rows.join(wide, "key").where("c <> first.c OR d1 = first.least"),
+                             F.col("d1") == F.col("first.least"), F.col("blocks") + F.col("rest"))
         groups = joined(groups, compared(some))
-        rows, keys = apart(groups)
+        again = rows.join(wide, "key", "left_semi").select("key", "d1").join(
+            known_of(groups), "d1").select("key", "d1", "size", "c")
+        rows = written(rows.join(wide, "key", "left_anti").union(again), "members")
+        keys = apart(rows)
     tiles = rows.join(keys, "key").withColumn("few", F.col("c") != F.col("top"))
     zero, last = F.lit(0).cast("long"), F.col("blocks") - 1
     tiles = tiles.withColumn("at", F.pmod(F.xxhash64("d1"), F.when(F.col("few"), F.col("blocks")).otherwise(
