@@ -538,17 +538,23 @@ def _judged(documents, id, text, words, percent):
             .alias("blocks")), "apart")
 
     # In tiles that are not together yet all but the largest part are compared with all. Where
-    # that part is more than a block, all are compared with the smallest member before.
+    # that part is more than a block, all are compared with the smallest member before, and with
+    # that once for all tiles.
     keys = apart(rows)
     wide = keys.where("blocks > 1")
     if not wide.isEmpty():
-        some = _few_with_all(rows.join(wide, "key").where("c <> first.c OR d1 = first.least"),
-                             F.col("d1") == F.col("first.least"), F.col("blocks") + F.col("rest"))
-        groups = joined(groups, compared(some))
-        again = rows.join(wide, "key", "left_semi").select("key", "d1").join(
-            known_of(groups), "d1").select("key", "d1", "size", "c")
-        rows = written(rows.join(wide, "key", "left_anti").union(again), "members")
-        keys = apart(rows)
+        some = rows.join(wide.select("key", "first"), "key").where("c <> first.c").groupBy(
+            "d1", F.col("first.least").alias("pivot")).agg(
+            F.max("size").alias("size"), F.max("c").alias("c"))
+        links = compared(_outside_with_parts(some.select(
+            "d1", F.col("pivot").alias("top"), F.lit(False).alias("dense"), "pivot", "size", "c"),
+            known))
+        if not links.isEmpty():
+            groups = joined(groups, links)
+            again = rows.join(wide, "key", "left_semi").select("key", "d1").join(
+                known_of(groups), "d1").select("key", "d1", "size", "c")
+            rows = written(rows.join(wide, "key", "left_anti").union(again), "members")
+            keys = apart(rows)
     tiles = rows.join(keys, "key").withColumn("few", F.col("c") != F.col("top"))
     zero, last = F.lit(0).cast("long"), F.col("blocks") - 1
     tiles = tiles.withColumn("at", F.pmod(F.xxhash64("d1"), F.when(F.col("few"), F.col("blocks")).otherwise(
