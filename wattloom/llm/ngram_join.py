@@ -531,11 +531,14 @@ def _judged(documents, id, text, words, percent):
             F.count("*").alias("parts"), F.max(F.struct("many", "of", "c")).alias("top"),
             F.sum("many").alias("many"), F.sum("of").alias("of"),
             F.min(F.struct("least", "c")).alias("first")).where("parts > 1")
+        # Two blocks' worth are compared at once, in one place; there is no rest then.
+        split = (F.col("many") > 2 * BLOCK) | (F.col("of") > 2 * ELEMENTS)
+        rest = _blocks(F.col("top.many"), F.col("top.of"))
+        blocks = _blocks(F.col("many") - F.col("top.many"), F.col("of") - F.col("top.of"))
         return written(keys.select(
-            "key", F.col("top.c").alias("top"), "first",
-            _blocks(F.col("top.many"), F.col("top.of")).alias("rest"),
-            _blocks(F.col("many") - F.col("top.many"), F.col("of") - F.col("top.of"))
-            .alias("blocks")), "apart")
+            "key", F.when(split, F.col("top.c")).alias("top"), "first",
+            F.when(split, rest).otherwise(0).alias("rest"),
+            F.when(split, blocks).otherwise(1).alias("blocks")), "apart")
 
     # In tiles that are not together yet all but the largest part are compared with all. Where
     # that part is more than a block, all are compared with the smallest member before, and with
@@ -555,11 +558,13 @@ def _judged(documents, id, text, words, percent):
                 known_of(groups), "d1").select("key", "d1", "size", "c")
             rows = written(rows.join(wide, "key", "left_anti").union(again), "members")
             keys = apart(rows)
-    tiles = rows.join(keys, "key").withColumn("few", F.col("c") != F.col("top"))
+    tiles = rows.join(keys, "key").withColumn("few", F.coalesce(
+        F.col("c") != F.col("top"), F.lit(True)))
     zero, last = F.lit(0).cast("long"), F.col("blocks") - 1
     tiles = tiles.withColumn("at", F.pmod(F.xxhash64("d1"), F.when(F.col("few"), F.col("blocks")).otherwise(
         F.col("rest")))).withColumn("other", F.explode(F.when(F.col("few"), F.concat(
-            F.sequence(zero, last), F.sequence(-F.col("rest"), F.lit(-1).cast("long")))).otherwise(
+            F.sequence(zero, last), F.transform(F.array_repeat(zero, F.col("rest").cast("int")),
+                                                lambda x, i: -i.cast("long") - 1))).otherwise(
             F.sequence(zero, last))))
     both = F.col("few") & (F.col("other") >= 0)  # blocks of the rest count down from -1
     tiles = tiles.select(
