@@ -485,14 +485,18 @@ def _judged(documents, id, text, words, percent):
             F.col("node").alias("d1"), F.col("component").alias("g")), "d1", "left").select(
             "d1", "size", F.coalesce("g", "d1").alias("c")), "known")
 
-    # Of tiles with the same members one is enough; they are told by two sums of 64-bit hashes.
+    # What a set is together with is looked up once for all of its tiles, whose number its size
+    # bounds. Tiles whose members are together are done with. Of tiles with the same members one
+    # is enough; they are told by two sums of 64-bit hashes.
     known = known_of(first)
     whole = known.groupBy(F.col("c").alias("top")).agg(F.count("*").alias("part"))
-    met = met.select("key", "d1").distinct()
+    met = met.groupBy("d1").agg(F.collect_set("key").alias("keys")).join(known, "d1").select(
+        F.explode("keys").alias("key"), "d1", "size", "c")
+    met = written(met, "tiles")
     alike = met.groupBy("key").agg(
         F.count("*").alias("many"), *[x.alias(f"pivot{i}") for i, x in enumerate(flipped)],
         *[F.sum(F.xxhash64("d1", F.lit(x)).cast("decimal(38,0)")).alias(f"who{x}")
-          for x in (1, 2)])
+          for x in (1, 2)], F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
     pivots = [f"pivot{i}" for i in range(len(flipped))]
     alike = alike.groupBy("many", "who1", "who2").agg(
         F.min("key").alias("key"), *[F.min(x).alias(x) for x in pivots])
@@ -501,19 +505,21 @@ def _judged(documents, id, text, words, percent):
         known.select(F.col("d1").alias("pivot"), F.col("c").alias("top")), "pivot").join(
         whole, "top").groupBy("key").agg(
         F.max("many").alias("many"), F.max(F.struct("part", "top", "pivot")).alias("by"))
-    met = written(met.join(alike.select("key", "many", "by.*"), "key"), "tiles")
-    # A member of another part is outside. In how many tiles it met a part does not matter for
-    # that, so only pairs are looked up. One that is outside in tiles of as many members as the part
+    # A member of another part is outside; only those go on.
+    strange = written(met.join(alike.select("key", "many", "by.*"), "key").where("c <> top"),
+                      "strange")
+    # In how many tiles one met a part does not matter to the comparison with the part, so only
+    # pairs are looked up. One that is outside in tiles of as many members as the part
     # has is compared with the whole part, once, and no more with what of it lies in each tile.
-    outside = met.groupBy("d1", "top").agg(
-        (F.sum("many") >= F.max("part")).alias("dense"), F.min("pivot").alias("pivot"))
-    outside = written(outside.join(known, "d1").where("c <> top"), "outside")
+    outside = written(strange.groupBy("d1", "top").agg(
+        (F.sum("many") >= F.max("part")).alias("dense"), F.min("pivot").alias("pivot"),
+        F.max("size").alias("size"), F.max("c").alias("c")), "outside")
     groups = joined(first, compared(_outside_with_parts(outside, known)))
 
     known = known_of(groups)
     outside = outside.select("d1", "top", "dense").join(known, "d1").join(
         known.select(F.col("d1").alias("top"), F.col("c").alias("now")), "top")
-    members = written(met.select("key", "d1", "top").join(outside, ["d1", "top"]), "outside")
+    members = written(strange.select("key", "d1", "top").join(outside, ["d1", "top"]), "outside")
     still = members.where("c <> now").groupBy("key").agg(F.min("dense").alias("dense"))
     still = written(still, "still")
     # Those outside meet each other in their tiles; what is inside meets the others than the dense.
