@@ -311,6 +311,12 @@ PARTS = "which int, block int, places binary, times binary, value binary"
 
 def _parts(net, start):
     """How far this task moved which rows, by blocks, and how often it did."""
+    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+
+    def batch(out):
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
+                                          ["which", "block", "places", "times", "value"])
+
     out = []
     for which, (w, old, times) in enumerate(zip(net.moved(), start, net.times)):
         at = np.flatnonzero(times)
@@ -321,11 +327,11 @@ def _parts(net, start):
                 out.append((which, int(some[0]) // BLOCK_ROWS, some.astype(np.int32).tobytes(),
                             times[some].tobytes(),
                             (w[some] - old[some]).astype(np.float16).tobytes()))
-    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-    for low in range(0, len(out), 64):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(zip(*out[low:low + 64]), kinds)],
-            ["which", "block", "places", "times", "value"])
+            if len(out) == 64:
+                yield batch(out)
+                out = []
+    if out:
+        yield batch(out)
 
 
 def _mean(table):
@@ -404,6 +410,7 @@ def _score(shared, fitted):
         symbols, (net, total, distinct) = opened(shared), opened(fitted)
         lexicon, symbol = symbols.table()
         net.ready()
+        del net.r  # only its two parts are needed
         base_of = math.log10(total + SMOOTH * (distinct + 1))
         logs = np.append(np.log10(symbols.counts + SMOOTH), 0.0)
         known = np.append(symbols.counts > 0, False)
@@ -482,15 +489,16 @@ def score_texts(documents: DataFrame, id="doc_id", text="text", folds=10, held_f
         if sum_so_far > lexicon:
             break
         least = at
-    frequent = [(bytes(t), n) for t, n in
-                counts.where(step >= (least if sizes else 0)).select("token", "n").collect()
-                ] if least < math.inf else []
-    frequent.sort(key=lambda x: (-x[1], x[0]))
+    frequent = counts.where(step >= (least if sizes else 0)) if least < math.inf else counts.limit(0)
+    frequent = frequent.select("token", "n").toArrow().sort_by(
+        [("n", "descending"), ("token", "ascending")])
+    frequent = list(zip(frequent["token"].to_pylist(), frequent["n"].to_pylist()))
     endings = [(bytes(e), s, d) for e, s, d in counts.groupBy(
         F.substring("token", -2, 2).alias("e")).agg(F.sum("n"), F.count("*")).collect()]
     symbols = Symbols(frequent, endings, words, groups)
     shared = broadcast(spark, symbols)
     net = LogBilinear(symbols.size, dim, symbols.sums)
+    del frequent, symbols  # the driver holds nothing but the model while tasks learn
     if total:
         rounds, tasks = _plan(total, task_tokens, replicas)
         slot = F.xxhash64("id", "text")
@@ -499,10 +507,14 @@ def score_texts(documents: DataFrame, id="doc_id", text="text", folds=10, held_f
             some = train.where(F.pmod(slot, F.lit(rounds)) == i).select(
                 "text", F.pmod(F.floor(slot / rounds), F.lit(tasks)).alias("task"), slot.alias("slot"))
             moved = some.groupBy("task").applyInArrow(_train(shared, start, batch_tokens), PARTS)
-            for r in moved.groupBy("which", "block").applyInArrow(_mean, PARTS).collect():
-                at = np.frombuffer(r.places, np.int32)
-                net.moved()[r.which][at] += np.frombuffer(r.value, np.float16).reshape(len(at), -1)
-            start.unpersist()
+            # Arrow batches pass the driver's JVM as tasks end, rows would all be there at once.
+            moved = moved.groupBy("which", "block").applyInArrow(_mean, PARTS).toArrow()
+            for which, places, value in zip(*(moved[c] for c in ("which", "places", "value"))):
+                at = np.frombuffer(places.as_buffer(), np.int32)
+                net.moved()[which.as_py()][at] += np.frombuffer(
+                    value.as_buffer(), np.float16).reshape(len(at), -1)
+            del moved
+            start.destroy()  # in the driver too, which would keep the model of every round
     parts = written(docs.withColumn("held_out", held).mapInArrow(
         _score(shared, broadcast(spark, (net, total, distinct))),
         f"id {kind}, held_out boolean, row long, n_tokens long, n_known long, "
