@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from wattloom.llm.common import broadcast, list_array, opened, texts_of, written
+from wattloom.llm.common import broadcast, list_array, opened, text_chunks, texts_of, written
 
 #: Split of a text into pre-tokens, as public byte-level BPE vocabularies use it (fixed value).
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -65,7 +65,8 @@ def _cut(shared, capacity, end_id):
         encode = encoder(*opened(shared))
         part = TaskContext.get().partitionId()
         seen = defaultdict(int)
-        for batch in batches:
+
+        def pieces(batch):
             out = defaultdict(list)
             rows = []
             for row, text in enumerate(texts_of(batch.column("text"))):
@@ -92,8 +93,13 @@ def _cut(shared, capacity, end_id):
             columns += [pa.array([part] * len(rows), pa.int32()), pa.array(out["nth"], pa.int64())]
             columns += [list_array(np.concatenate(ids).astype(np.int32) if ids else [],
                                    [len(x) for x in ids], pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, [
+            return pa.RecordBatch.from_arrays(columns, [
                 *kept, "piece", "start", "length", "ids_crc32", "part", "nth", "ids"])
+
+        # Ids are several times their text: a slice of a batch is cut at once.
+        for batch in batches:
+            for row, _, offsets in text_chunks(batch.column("text")):
+                yield pieces(batch.slice(row, len(offsets) - 1))
     return run
 
 
