@@ -17,11 +17,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from wattloom.llm.common import (broadcast, crc32_of, list_array, lower_map, opened,
-                                 text_chunks, written)
+from wattloom.llm.common import (broadcast, crc32_of, list_array, lower_map, offsets_of, opened,
+                                 text_chunks, word_spans, written)
 
 LOWER = lower_map([])
 LOWER[0] = 0
+#: Byte table: 0 for white space, 1 for what words consist of.
+INSIDE = np.ones(256, np.uint8)
+INSIDE[[0x20, *range(0x09, 0x0E)]] = 0
 #: Children of a node of the tree of symbols, as a power of two.
 FAN_BITS = 6
 FAN = 1 << FAN_BITS
@@ -31,20 +34,40 @@ SMOOTH = 0.1
 
 
 def tokens_of(column):
-    """Yields (first row, [tokens of each text, END last]) for slices of an Arrow column."""
-    table = LOWER.tobytes()
-    for row, raw, offsets in text_chunks(column):
-        data = raw.tobytes().translate(table)
-        yield row, [[*data[a:b].split(), END] for a, b in zip(offsets[:-1], offsets[1:])]
+    """Yields (distinct tokens, place among them of each token, last place of each text).
+
+    For slices of an Arrow column; a text's tokens are its words and END.
+    """
+    lower, inside = LOWER.tobytes(), INSIDE.tobytes()
+    for _, raw, offsets in text_chunks(column):
+        data = raw.tobytes().translate(lower)
+        mapped = np.frombuffer(data.translate(inside), np.uint8)
+        starts, ends = word_spans(mapped, offsets)
+        words = pa.Array.from_buffers(pa.binary(), len(starts), [
+            None, pa.py_buffer(offsets_of(ends - starts).astype(np.int32)),
+            pa.py_buffer(np.frombuffer(data, np.uint8)[mapped.view(bool)])]).dictionary_encode()
+        sizes = np.diff(np.searchsorted(starts, offsets))
+        flat = np.zeros(len(starts) + len(sizes), np.int64)
+        flat[np.arange(len(starts)) + np.repeat(np.arange(len(sizes)), sizes)] = np.frombuffer(
+            words.indices.buffers()[1], np.int32, len(starts)) + 1
+        yield [END, *_slices(words.dictionary)], flat, np.cumsum(sizes + 1) - 1
+
+
+def _slices(words):
+    """A new binary Arrow array as a list; faster than its own way."""
+    if not len(words):
+        return []
+    _, places, data = words.buffers()
+    places, data = np.frombuffer(places, np.int32, len(words) + 1).tolist(), data.to_pybytes()
+    return [data[a:b] for a, b in zip(places, places[1:])]
 
 
 def _count(limit):
     def run(batches):
         seen = Counter()
         for batch in batches:
-            for _, texts in tokens_of(batch.column("text")):
-                for tokens in texts:
-                    seen.update(tokens)
+            for tokens, flat, _ in tokens_of(batch.column("text")):
+                seen.update(dict(zip(tokens, np.bincount(flat).tolist())))
                 if len(seen) > limit:
                     yield rows(seen)
                     seen = Counter()
@@ -142,18 +165,32 @@ def _noise(share):
     return table.astype(np.int32), np.log(np.maximum(slots, 1) / SLOTS).ravel().astype(np.float32)
 
 
-def _summed(places, rows, few=5):
-    """(distinct places, the sum of the rows of each); most places come once or twice."""
+def _whole(rows):
+    """Rows as single values, which numpy puts at places much faster than numbers of rows."""
+    return rows.view(np.dtype((np.void, rows.itemsize * rows.shape[1])))[:, 0]
+
+
+def _summed(places, factors, rows, owner, few=10):
+    """(distinct places, the sum of factor times row ``owner`` at each); most come once or twice."""
     order = _order(places)
-    ordered = places[order]
+    ordered, factors, owner = places[order], factors[order], owner[order]
     starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
     sizes = np.diff(np.append(starts, len(order)))
-    out = rows[order[starts]]
-    for i in range(1, few):
-        more = np.flatnonzero(sizes > i)
-        out[more] += rows[order[starts[more] + i]]
-    for i in np.flatnonzero(sizes > few).tolist():
-        out[i] += rows[order[starts[i] + few:starts[i] + sizes[i]]].sum(0)
+    # The most frequent first, so that those with one more are always the first of the others.
+    by = np.argsort(-np.minimum(sizes, few + 1).astype(np.int16), kind="stable")
+    starts, sizes = starts[by], sizes[by]
+    many = int((sizes > few).sum())
+    out = np.empty((len(starts), rows.shape[1]), np.float32)
+    for i, (a, n) in enumerate(zip(starts[:many].tolist(), sizes[:many].tolist())):
+        out[i] = factors[a:a + n] @ rows.take(owner[a:a + n], axis=0)
+    for i in range(few):
+        at = starts[many:many + int((sizes[many:] > i).sum())] + i
+        part = rows.take(owner[at], axis=0)
+        part *= factors[at][:, None]
+        if i:
+            out[many:many + len(at)] += part
+        else:
+            out[many:] = part
     return ordered[starts], out
 
 
@@ -194,9 +231,11 @@ class LogBilinear:
     def _move(self, which, places, g, n, rate):
         """An Adagrad step of the named rows, with one sum of squares a row."""
         w, square = self.moved()[which], self.square[which]
-        g = g / np.float32(n ** 0.5)
-        square[places] += (g * g).mean(1)
-        w[places] += rate * g / np.sqrt(square[places])[:, None]
+        squares = square[places] + np.vecdot(g, g) / np.float32(n * g.shape[1])
+        square[places] = squares
+        g *= (rate / np.float32(n ** 0.5) / np.sqrt(squares))[:, None]
+        g += w.take(places, axis=0)
+        _whole(w)[places] = _whole(g)
         self.times[which][places] += 1
 
     def step(self, first, second, target, rng, noises=5, rate=0.12):
@@ -207,7 +246,7 @@ class LogBilinear:
         if not hasattr(self, "square"):
             self.learner()
         (c1, c2), n, rate = self.c, len(target), np.float32(rate)
-        r1, r2 = self.r[first], self.r[second]
+        r1, r2 = self.r.take(first, axis=0), self.r.take(second, axis=0)
         q = np.ones((n, len(c1) + 1), np.float32)
         q[:, :-1] = r1 @ c1 + r2 @ c2
         dq = np.zeros_like(q)
@@ -217,44 +256,65 @@ class LogBilinear:
                 continue
             places = np.empty((n, 1 + noises), np.int64)
             places[:, 0] = target >> shift
-            places[:, 1:] = table[places[:, :1] >> FAN_BITS, rng.integers(0, SLOTS, (n, noises))]
-            rows = t[places]
-            odds = np.matmul(rows, q[:, :, None])[:, :, 0] - chance[places] - math.log(noises)
+            places[:, 1:] = table.ravel().take((places[:, :1] >> FAN_BITS) * SLOTS
+                                               + rng.integers(0, SLOTS, (n, noises)))
+            places = places.ravel()
+            rows = t.take(places, axis=0).reshape(n, 1 + noises, -1)
+            odds = np.einsum("nkd,nd->nk", rows, q)
+            odds -= chance.take(places).reshape(odds.shape) + np.float32(math.log(noises))
             back = -1 / (1 + np.exp(-np.clip(odds, -30, 30)))
             back[:, 0] += 1
-            dq += np.matmul(back[:, None, :], rows)[:, 0]
-            self._move(3 + i, *_summed(places.ravel(), (
-                back[:, :, None] * q[:, None, :]).reshape(-1, q.shape[1])), n, rate)
+            dq += np.einsum("nk,nkd->nd", back, rows)
+            self._move(3 + i, *_summed(places, back.ravel(), q,
+                                       np.repeat(np.arange(n), 1 + noises)), n, rate)
         dq = dq[:, :-1]
-        self._move(0, *_summed(np.concatenate([first, second]),
-                               np.concatenate([dq @ c1.T, dq @ c2.T])), n, rate)
+        self._move(0, *_summed(np.concatenate([first, second]), np.ones(2 * n, np.float32),
+                               np.concatenate([dq @ c1.T, dq @ c2.T]), np.arange(2 * n)), n, rate)
         for i, r in ((1, r1), (2, r2)):
             self._move(i, np.arange(len(c1)), r.T @ dq, n, rate)
 
     def _expected(self, i, node, q, dq, noises):
         """Gradient of one depth with few parents: of all siblings, for the expected noise."""
-        t, chance = self.depths[i], self.drawn[i][1]
+        t, chance = self.depths[i], self.drawn[i][1][:len(self.depths[i])]
         order = _order(node)
         node = node[order]
         parent = node >> FAN_BITS
         starts = np.flatnonzero(np.append(True, parent[1:] != parent[:-1]))
+        runs = list(zip(starts.tolist(), [*starts[1:].tolist(), len(node)],
+                        (parent[starts] << FAN_BITS).tolist()))
+        mine = q.take(order, axis=0)
+        # Chances of all children to be noise, from the negative odds.
+        against = -t
+        against[:, -1] += chance + np.float32(math.log(noises))
+        back = np.zeros((len(node), min(FAN, len(t))), np.float32)
+        for a, b, base in runs:
+            some = against[base:base + FAN]
+            np.matmul(mine[a:b], some.T, out=back[a:b, :len(some)])
+        for a in range(0, len(node), 512):
+            x = back[a:a + 512]
+            np.minimum(x, 30, out=x)
+            np.exp(x, out=x)
+            x += 1
+            np.reciprocal(x, out=x)
+        # The gradient of the odds is -weight * back, and 1 - chance more for the child that is.
+        weight = noises * np.exp(chance)
+        own = (np.arange(len(node)), node & (FAN - 1))
+        real = back[own]
+        back[own] = real - (1 - real) / weight[node]
+        weighted = t * -weight[:, None]
+        ways = np.empty_like(mine)
         places, sums = [], []
-        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(node)]):
-            base, at = int(parent[a]) << FAN_BITS, order[a:b]
-            some, log = t[base:base + FAN], chance[base:base + FAN][:len(t) - base]
-            mine = q[at]
-            back = mine @ some.T
-            back -= log + np.float32(math.log(noises))
-            np.clip(back, -30, 30, out=back)
-            back = -1 / (1 + np.exp(-back))
-            own = (np.arange(b - a), node[a:b] - base)
-            real = 1 + back[own]
-            back *= noises * np.exp(log)
-            back[own] += real
-            dq[at] += back @ some
+        for a, b, base in runs:
+            some = weighted[base:base + FAN]
+            x = back[a:b, :len(some)]
+            np.matmul(x, some, out=ways[a:b])
             places.append(np.arange(base, base + len(some)))
-            sums.append(back.T @ mine)
-        return np.concatenate(places), np.concatenate(sums)
+            sums.append(x.T @ mine[a:b])
+        again = np.empty_like(order)
+        again[order] = np.arange(len(order))
+        dq += ways.take(again, axis=0)
+        places = np.concatenate(places)
+        return places, np.concatenate(sums) * -weight[places][:, None]
 
     def tables(self):
         """(first part, second part + bias, log normaliser) of all logits of one depth, base e."""
@@ -281,24 +341,29 @@ class LogBilinear:
     def _logs(self, first, second, target):
         order = _order(target)
         target = target[order]
-        q = self.parts[0][first[order]] + self.parts[1][second[order]]
+        q = np.ones((len(target), self.parts[0].shape[1] + 1), np.float32)
+        np.add(self.parts[0].take(first[order], axis=0), self.parts[1].take(second[order], axis=0),
+               out=q[:, :-1])
         total, logits = np.zeros(len(target)), np.empty((len(target), FAN), np.float32)
+        powers, ones = np.empty((1024, FAN), np.float32), np.ones(FAN, np.float32)
         for shift, t in zip(self.shifts, self.depths):
             node = target >> shift
             parent = node >> FAN_BITS
             starts = np.flatnonzero(np.append(True, parent[1:] != parent[:-1]))
-            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(target)]):
-                base = int(parent[a]) << FAN_BITS
+            for a, b, base in zip(starts.tolist(), [*starts[1:].tolist(), len(target)],
+                                  (parent[starts] << FAN_BITS).tolist()):
                 some = t[base:base + FAN]
-                np.matmul(q[a:b], some[:, :-1].T, out=logits[a:b, :len(some)])
-                logits[a:b, :len(some)] += some[:, -1]
-                logits[a:b, len(some):] = -np.inf
-            for a in range(0, len(target), 2048):
-                x = logits[a:a + 2048]
-                x -= x.max(1)[:, None]
-                total[a:a + 2048] += x[np.arange(len(x)), node[a:a + 2048] & (FAN - 1)]
-                np.exp(x, out=x)
-                total[a:a + 2048] -= np.log(x.sum(1))
+                np.matmul(q[a:b], some.T, out=logits[a:b, :len(some)])
+                if len(some) < FAN:
+                    logits[a:b, len(some):] = -np.inf
+            for a in range(0, len(target), 1024):
+                x = logits[a:a + 1024]
+                e = powers[:len(x)]
+                if x.max() > 60 or (np.exp(x, out=e) @ ones).min() < 1e-25:
+                    x -= x.max(1)[:, None]
+                    np.exp(x, out=e)
+                total[a:a + 1024] += (x[np.arange(len(x)), node[a:a + 1024] & (FAN - 1)]
+                                      - np.log(e @ ones))
         out = np.empty(len(target))
         out[order] = total
         return out
@@ -356,16 +421,13 @@ def _mean(table):
                      pa.array([mean.tobytes()])], ["which", "block", "places", "times", "value"])
 
 
-def _symbols_of(texts, lexicon, symbol, symbols):
-    """Flat lexicon places (-1: none), symbols and last places of the texts' tokens."""
-    ends = np.cumsum([len(x) for x in texts]) - 1
-    flat = [t for x in texts for t in x]
-    places = np.fromiter((lexicon.get(t, -1) for t in flat), np.int64, len(flat))
+def _symbols_of(tokens, lexicon, symbol, symbols):
+    """Lexicon places (-1: none) and symbols of distinct tokens."""
+    places = np.fromiter((lexicon.get(t, -1) for t in tokens), np.int64, len(tokens))
     out = symbol[places]
-    outside = np.flatnonzero(places < 0)
-    for i in outside.tolist():
-        out[i] = symbols.of(flat[i])
-    return flat, places, outside, out, ends
+    for i in np.flatnonzero(places < 0).tolist():
+        out[i] = symbols.of(tokens[i])
+    return places, out
 
 
 def _plan(total, task_tokens, replicas):
@@ -376,12 +438,8 @@ def _plan(total, task_tokens, replicas):
 
 
 def _train(shared, start, batch_tokens):
-    def run(table):
-        symbols, net = opened(shared), opened(start)
-        lexicon, symbol = symbols.table()
-        net.learner()
-        before = [w.copy() for w in net.moved()]
-        rng = np.random.default_rng(5)
+    def run(batches):
+        net = None
         count, held = 0, []
 
         def learn():
@@ -391,17 +449,24 @@ def _train(shared, start, batch_tokens):
                 at = order[low:low + batch_tokens]
                 net.step(first[at], second[at], target[at], rng)
 
-        # In the order of their hashes, however they arrived.
-        for _, texts in tokens_of(table.sort_by("slot").column("text")):
-            *_, found, ends = _symbols_of(texts, lexicon, symbol, symbols)
-            held.append((*contexts(found, ends), found))
-            count += len(found)
-            if count >= 64 * batch_tokens:
-                learn()
-                count, held = 0, []
+        for batch in batches:
+            for tokens, flat, ends in tokens_of(batch.column("text")):
+                if net is None:
+                    symbols, net = opened(shared), opened(start)
+                    lexicon, symbol = symbols.table()
+                    net.learner()
+                    before = [w.copy() for w in net.moved()]
+                    rng = np.random.default_rng(5)
+                found = _symbols_of(tokens, lexicon, symbol, symbols)[1][flat]
+                held.append((*contexts(found, ends), found))
+                count += len(found)
+                if count >= 64 * batch_tokens:
+                    learn()
+                    count, held = 0, []
         if held:
             learn()
-        return pa.Table.from_batches(list(_parts(net, before)))
+        if net is not None:
+            yield from _parts(net, before)
     return run
 
 
@@ -418,8 +483,9 @@ def _score(shared, fitted):
         part, row_number = TaskContext.get().partitionId(), 0
         for batch in batches:
             n, n_known, base, score, outside_of = [], [], [], [], []
-            for _, texts in tokens_of(batch.column("text")):
-                flat, places, outside, found, ends = _symbols_of(texts, lexicon, symbol, symbols)
+            for tokens, flat, ends in tokens_of(batch.column("text")):
+                places, found = (x[flat] for x in _symbols_of(tokens, lexicon, symbol, symbols))
+                outside = np.flatnonzero(places < 0)
                 first, second = contexts(found, ends)
                 seen = logs[places]
                 model = net.logs(first, second, found) / math.log(10)
@@ -431,7 +497,7 @@ def _score(shared, fitted):
                 base.append(np.add.reduceat(seen, starts) - size * base_of)
                 score.append(np.add.reduceat(model, starts))
                 cuts = np.searchsorted(outside, np.append(starts, len(flat))).tolist()
-                names = [flat[i] for i in outside.tolist()]
+                names = [tokens[i] for i in flat[outside].tolist()]
                 outside_of += [names[x:y] for x, y in zip(cuts[:-1], cuts[1:])]
             rows = len(batch.column("text"))
             key = (part << 40) + row_number + np.arange(rows)
@@ -506,7 +572,11 @@ def score_texts(documents: DataFrame, id="doc_id", text="text", folds=10, held_f
             start = broadcast(spark, net)
             some = train.where(F.pmod(slot, F.lit(rounds)) == i).select(
                 "text", F.pmod(F.floor(slot / rounds), F.lit(tasks)).alias("task"), slot.alias("slot"))
-            moved = some.groupBy("task").applyInArrow(_train(shared, start, batch_tokens), PARTS)
+            # A partition for each task, which adaptive execution doesn't merge; the texts of a
+            # task in the order of their hashes, however they arrived.
+            moved = (some.repartitionById(tasks, F.col("task").cast("int"))
+                     .sortWithinPartitions("slot").select("text")
+                     .mapInArrow(_train(shared, start, batch_tokens), PARTS))
             # Arrow batches pass the driver's JVM as tasks end, rows would all be there at once.
             moved = moved.groupBy("which", "block").applyInArrow(_mean, PARTS).toArrow()
             for which, places, value in zip(*(moved[c] for c in ("which", "places", "value"))):
